@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenfold.llm import language_id, media, quality, url_filter
+from lumenfold.llm import decontaminate, fm_dedup, language_id, media, quality, sp_codec, url_filter
 from lumenfold.llm.common import table
 
+#: Folder of public tokenizer files; none of them is part of this repository.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def vocabulary(name: str = "piece_bpe_32k.model") -> str:
+    return f"{TOKENIZERS}/{name}"
+
 
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.store_payload(table(spark, sf_dir, "documents"))
@@ -20,9 +27,21 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp_codec.digest(table(spark, sf_dir, "documents"), sp_codec.codec(vocabulary()))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_dedup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_media_columns, op3_url_filters, op6_language_id, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op2_media_columns, op3_url_filters, op6_language_id, op7_sentencepiece, op8_decontamination, op9_substring_dedup, op10_quality_classifier)}
 ORACLES: dict[str, str] = {}

@@ -69,7 +69,7 @@ def train(spark: SparkSession, labelled: list[tuple[str, int]] = LABELLED) -> li
     x = x.join(x.groupBy("i").agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("norm")), "i").select("i", "y", "b", (F.col("c") / F.col("norm")).alias("v"))
     n = len(labelled)
     gram = x.select("i", "b", "v").join(x.select(F.col("i").alias("j"), "b", F.col("v").alias("w")), "b").groupBy("i", "j").agg(F.sum(F.col("v") * F.col("w")).alias("k"))
-    gram = F.broadcast(x.select("i").distinct()).join(F.broadcast(x.select(F.col("i").alias("j")).distinct()), F.col("i") >= 0).join(gram, ["i", "j"], "left").na.fill(0.0, ["k"])
+    gram = x.select("i").distinct().select("i", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("j")).join(gram, ["i", "j"], "left").na.fill(0.0, ["k"])
     rows = gram.groupBy("i").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "k"))), lambda s: s["k"]).alias("row"))
     one = rows.join(x.select("i", "y").distinct(), "i").agg(F.array_sort(F.collect_list(F.struct("i", "y", "row"))).alias("m"))
     dual = one.select(
