@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumenfold.llm.bloom import Bloom
 from lumenfold.llm.common import by_piece
 from lumenfold.llm.tokens import MUL, inside, mix, words
 from lumenfold.plans.shared import materialize
@@ -28,7 +29,6 @@ MIN_WORDS = 5
 #: A run needs so many matching words, or so large a part of a shorter item.
 NEED, PART = 12, 0.8
 MISS = 1.5
-MAX_BITS = 27
 
 
 def seeds(h: np.ndarray, first: np.ndarray, mask: str) -> np.ndarray:
@@ -81,27 +81,16 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     the row's key (xxhash64 of id and text), with which a caller can remove it."""
     bench = materialize(item_seeds(items), "items")
     n_seeds = bench.agg(F.sum(F.size("seeds"))).first()[0] or 0
-    bits = min(MAX_BITS, max(16, int(np.ceil(np.log2(n_seeds * 48 + 1)))))
     lengths = sorted(r[0] for r in bench.select(F.explode("size").alias("k")).distinct().collect())
     masks = [m for m in MASKS if len(m) in lengths] + ["1" * k for k in lengths if k < min(map(len, MASKS))]
-    # the filter is built from one distinct bit position per seed and probe, at most 2^MAX_BITS bits
-    probe = bench.select(F.explode("seeds").alias("s")).select(F.explode(F.array(F.shiftrightunsigned("s", 64 - bits), F.col("s").bitwiseAND((1 << bits) - 1))).alias("p"))
-    words_of = probe.groupBy((F.shiftright("p", 6)).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("v"))
-    filled = np.zeros(1 << (bits - 6), np.uint64)
-    for r in words_of.collect():
-        filled[r["w"]] = np.int64(r["v"]).view(np.uint64)
-    bitmap = filled.tobytes()
+    bloom = Bloom(bench.select(F.explode("seeds").alias("s")), "s", n_seeds)
 
     def hits(b: pa.RecordBatch) -> pa.RecordBatch | None:
-        bloom = np.frombuffer(bitmap, np.uint64)
         h, first, *_ = words(b.column("text"), True)
         found: list[tuple[np.ndarray, np.ndarray]] = []
         for m in masks:
             s = seeds(h, first, m)
-            one = (s >> np.uint64(64 - bits)).astype(np.int64)
-            maybe = np.flatnonzero((bloom[one >> 6] >> (one & 63).astype(np.uint64)) & np.uint64(1))
-            two = (s[maybe] & np.uint64((1 << bits) - 1)).astype(np.int64)
-            maybe = maybe[((bloom[two >> 6] >> (two & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)]
+            maybe = bloom.find(s)
             if len(maybe):
                 maybe = maybe[inside(first, len(h), len(m))[maybe]]
                 found.append((maybe, s[maybe]))

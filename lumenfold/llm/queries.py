@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenfold.llm import decontaminate, fm_dedup, language_id, media, quality, sp_codec, url_filter
+from lumenfold.llm import decontaminate, fm_dedup, jaccard_join, language_id, media, quality, sp_codec, url_filter
 from lumenfold.llm.common import table
 
 #: Folder of public tokenizer files; none of them is part of this repository.
@@ -23,6 +23,10 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -43,5 +47,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_media_columns, op3_url_filters, op6_language_id, op7_sentencepiece, op8_decontamination, op9_substring_dedup, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op2_media_columns, op3_url_filters, op4_jaccard_join, op6_language_id, op7_sentencepiece, op8_decontamination, op9_substring_dedup, op10_quality_classifier)}
 ORACLES: dict[str, str] = {}
