@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenfold.llm import decontaminate, fm_dedup, jaccard_join, language_id, media, quality, sp_codec, url_filter
+from lumenfold.llm import decontaminate, fm_dedup, jaccard_join, language_id, lm_scoring, media, quality, sp_codec, suffix_dedup, url_filter
 from lumenfold.llm.common import table
 
 #: Folder of public tokenizer files; none of them is part of this repository.
@@ -15,6 +15,10 @@ def vocabulary(name: str = "piece_bpe_32k.model") -> str:
     return f"{TOKENIZERS}/{name}"
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.store_payload(table(spark, sf_dir, "documents"))
 
@@ -27,6 +31,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.find_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -47,5 +55,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_media_columns, op3_url_filters, op4_jaccard_join, op6_language_id, op7_sentencepiece, op8_decontamination, op9_substring_dedup, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_media_columns, op3_url_filters, op4_jaccard_join, op5_suffix_dedup, op6_language_id, op7_sentencepiece, op8_decontamination, op9_substring_dedup, op10_quality_classifier)}
 ORACLES: dict[str, str] = {}
