@@ -1,10 +1,888 @@
-"""All registered queries of the imaging engine with their SQL twins."""
+"""All registered queries of the imaging engine with their SQL twins.
+
+The driver's tables stand in for images: every vector is an 8 x 8 frame (see model.volume). Q registers a query by its
+function's name together with the DuckDB text that must give the same rows; {vox} stands for that relation.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lumenfold.functions import names
+from lumenfold.model import table, to_blocks, to_voxels, volume
+from lumenfold.operators import arith, chunks, components, geometry, linalg, reduce, stitch, tables
+from lumenfold.plans.imaging import Config, correct_and_project
+from lumenfold.sources import spool
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+VOX = """vox as (select vec_id x, ((p-1)//8)::int z, ((p-1)%8)::int y, label, least(4095, greatest(0, round_even((e::double+1)*2047.5, 0)::int))*16 v
+ from (select vec_id, label, unnest(embedding) e, generate_subscripts(embedding, 1) p from embeddings))"""
+
+
+def Q(sql: str | None = None):  # noqa: N802
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql.replace("{vox}", VOX)
+        return f
+
+    return add
+
+
+BG = "bg as (select z, y, median(v) bg from vox where x < 1000 group by z, y)"
+PATTERN = "pat as (select z, y, avg(v) / 65536 pattern from vox group by z, y)"
+
+
+def bg(v: DataFrame) -> DataFrame:
+    return reduce.median_mask(v)
+
+
+def pattern(v: DataFrame) -> DataFrame:
+    return v.groupBy("z", "y").agg((F.avg("v") / 65536).alias("pattern"))
+
+
+# --- corrections -----------------------------------------------------------------------------------------------------
+
+
+@Q(f"with {{vox}}, {BG}, d as (select z, y, trunc(least(65535, greatest(0, v - bg)))::int v from vox join bg using (z, y)) select z, y, max(v) v_max, sum(v)::bigint v_sum from d group by z, y")
+def correct_and_project_(s, d):
+    return correct_and_project(volume(s, d), Config())
+
+
+QUERIES["correct_and_project"] = QUERIES.pop("correct_and_project_")
+ORACLES["correct_and_project"] = ORACLES.pop("correct_and_project_")
+
+
+@Q(f"with {{vox}}, {BG} select * from bg")
+def bg_mask_median(s, d):
+    return bg(volume(s, d))
+
+
+@Q("with {vox} select z, y, round_even(avg(v), 0) bg from vox where x between 100 and 299 group by z, y")
+def bg_mask_mean(s, d):
+    return reduce.mean_mask(volume(s, d), 100, 300)
+
+
+@Q(f"with {{vox}}, {BG} select x, z, y, v - bg v from vox join bg using (z, y)")
+def bg_subtract(s, d):
+    v = volume(s, d).drop("label")
+    return arith.subtract_background(v, bg(v))
+
+
+@Q(f"with {{vox}}, {BG} select x, z, y, trunc(least(65535, greatest(0, v - bg)))::int v from vox join bg using (z, y)")
+def bg_subtract_clip16(s, d):
+    v = volume(s, d).drop("label")
+    return arith.subtract_background(v, bg(v)).withColumn("v", arith.clip16(F.col("v")))
+
+
+@Q("with {vox}, bg as (select z, y, round_even(avg(v), 0) bg from vox where x between 100 and 299 group by z, y) select x, z, y, greatest(0, v - bg) v from vox join bg using (z, y)")
+def bg_subtract_mean_clamped(s, d):
+    v = volume(s, d).drop("label")
+    return arith.subtract_background(v, reduce.mean_mask(v, 100, 300), clamp=True)
+
+
+@Q(f"with {{vox}}, {BG} select x, z, y, v - (bg - 1024) v from vox join bg using (z, y)")
+def bg_subtract_pedestal(s, d):
+    v = volume(s, d).drop("label")
+    return arith.subtract_background(v, bg(v), offset=1024.0)
+
+
+@Q(f"with {{vox}}, {BG} select z, y from vox where y < 6 except select z, y from bg where z < 7")
+def plane_shape_check(s, d):
+    v = volume(s, d)
+    return arith.missing_pixels(v.where("y < 6"), bg(v).where("z < 7"))
+
+
+@Q(f"with {{vox}}, {PATTERN} select x, z, y, round(v / (pattern + 1e-6), 3) v from vox join pat using (z, y)")
+def laser_correct(s, d):
+    v = volume(s, d).drop("label")
+    return arith.divide_pattern(v, pattern(v)).withColumn("v", F.round("v", 3))
+
+
+QUAD = "q as (select x, case when z<4 and y<4 then 1 when y<4 then {b} when z<4 then {c} else 4 end ch, case when z<4 then z else z-4 end z, case when y<4 then y else y-4 end y, v from vox)"
+
+
+@Q(f"with {{vox}}, {QUAD.format(b=2, c=3)} select x, ch, z, y, v from q")
+def quadrant_split(s, d):
+    return arith.split_quadrants(volume(s, d).drop("label"), 4, 4, 8, 8)
+
+
+@Q(f"with {{vox}}, {QUAD.format(b=3, c=2)} select x, ch, z, y, v from q")
+def quadrant_split_pattern_order(s, d):
+    return arith.split_quadrants(volume(s, d).drop("label"), 4, 4, 8, 8, "pattern")
+
+
+@Q("with {vox} select x, case when z<3 and y<5 then 4 when y<5 then 3 when z<3 then 2 else 1 end ch, case when z<3 then z else z-3 end z, case when y<5 then y else y-5 end y, v from vox where (case when z<3 then z else z-3 end)<3 and (case when y<5 then y else y-5 end)<3")
+def quadrant_split_off_centre(s, d):
+    return arith.split_quadrants(volume(s, d).drop("label"), 3, 5, 8, 8, "reversed")
+
+
+@Q(f"with {{vox}}, {QUAD.format(b=2, c=3)}, p as (select ch, z, y, avg(v)/65536 pattern from q group by all) select x, ch, z, y, round(v/(pattern+1e-6), 3) v from q join p using (ch, z, y)")
+def laser_correct_colours(s, d):
+    q = arith.split_quadrants(volume(s, d).drop("label"), 4, 4, 8, 8)
+    p = q.groupBy("ch", "z", "y").agg((F.avg("v") / 65536).alias("pattern"))
+    return arith.divide_pattern(q, p, keys=("ch", "z", "y")).withColumn("v", F.round("v", 3))
+
+
+@Q(f"with {{vox}}, {BG}, {PATTERN} select x, z, y, round(greatest(0, v-bg)/(pattern+1e-6), 3) v from vox join bg using (z, y) join pat using (z, y)")
+def process_step(s, d):
+    v = volume(s, d).drop("label")
+    return arith.process_step(v, bg(v), pattern(v)).withColumn("v", F.round("v", 3))
+
+
+@Q("with {vox}, r as (select z, (z + 1) * 256.0 corr from (select distinct z from vox)) select x, z, y, trunc(least(65535, v * 512.0 / corr))::int v from vox join r using (z)")
+def flat_field_rows(s, d):
+    v = volume(s, d).drop("label")
+    return arith.flat_field(v, v.select("z").distinct().select("z", ((F.col("z") + 1) * 256.0).alias("corr")), 512)
+
+
+@Q("with {vox}, l as (select z, y, (z + y + 1)::double light from (select distinct z, y from vox)), w as (select x, z, y, v, v / light w from vox join l using (z, y)), m as (select max(v) m0, max(w) m1 from w) select x, z, y, round(w * m0 / m1, 6) v from w, m")
+def lighting_correction(s, d):
+    v = volume(s, d).drop("label")
+    light = v.select("z", "y").distinct().withColumn("light", (F.col("z") + F.col("y") + 1).cast("double"))
+    return arith.even_lighting(v, light).withColumn("v", F.round("v", 6))
+
+
+@Q("with {vox}, m as (select min(v) lo, max(v) hi from vox) select x, z, y, floor((v - lo) * 65535.0::double / (hi - lo))::int v from vox, m")
+def minmax_u16(s, d):
+    return arith.minmax16(volume(s, d).drop("label"))
+
+
+@Q("with m as (select p_brand, avg(p_size) mu, stddev_pop(p_size) sd from part group by p_brand) select p_partkey x, p_brand, round(case when sd = 0 then null else (p_size - mu) / sd end, 6) v from part join m using (p_brand)")
+def zscore(s, d):
+    p = table(s, d, "part").select(F.col("p_partkey").alias("x"), "p_brand", F.col("p_size").alias("v"))
+    return arith.zscore(p, "p_brand").withColumn("v", F.round("v", 6))
+
+
+@Q("with {vox} select x, ((z + 3) % 8)::int z, ((y - 2 + 8) % 8)::int y, v from vox")
+def roll(s, d):
+    return arith.roll(volume(s, d).drop("label"), 3, -2, 8, 8)
+
+
+@Q("with {vox} select x, ((z + 2) % 8)::int z, ((y - 1 + 8) % 8)::int y, case when z + 2 between 0 and 7 and y - 1 between 0 and 7 then v else 0 end v from vox")
+def shift_zero(s, d):
+    return arith.shift_zero(volume(s, d).drop("label"), 2, -1, 8, 8)
+
+
+@Q("with {vox} select x, 7 - z z, 7 - y y, v from vox")
+def rot180(s, d):
+    return arith.rot180(volume(s, d).drop("label"), 8, 8)
+
+
+@Q("with {vox} select x, z - 1 z, y - 2 y, v from vox where z between 1 and 5 and y between 2 and 6")
+def crop(s, d):
+    return arith.crop(volume(s, d).drop("label"), 8, 8, top=1, bottom=2, left=2, right=1)
+
+
+@Q("with {vox} select z, y, x, v from vox where x % 7 = 0")
+def transpose_axes(s, d):
+    return volume(s, d).where("x % 7 = 0").select("z", "y", "x", "v")
+
+
+@Q("with {vox} select x, z, y, case when 1/(1+exp(-(v - 32768) / 4096.0::double)) > 0.95 then 255 else 0 end mask from vox")
+def threshold_sigmoid(s, d):
+    v = volume(s, d).withColumn("v", (F.col("v") - 32768) / F.lit(4096.0))
+    return arith.threshold_mask(v, 0.95).select("x", "z", "y", "mask")
+
+
+@Q("with {vox}, h as (select x, z, y, 1/(1+exp(-(case when x % 5 = 0 then 0 else v - 32768 end) / 4096.0::double)) > 0.95 hit from vox), c as (select x, bool_and(hit) = bool_or(hit) same from h group by x) select x, z, y, case when hit or same then 255 else 0 end mask from h join c using (x)")
+def threshold_constant_patch(s, d):
+    v = volume(s, d).withColumn("v", F.when(F.col("x") % 5 == 0, 0).otherwise(F.col("v") - 32768) / F.lit(4096.0))
+    return arith.threshold_mask(v, 0.95, replicate_constant=True).select("x", "z", "y", "mask")
+
+
+@Q("with {vox}, m as (select x, median(v) med from vox where (z + y) % 3 > 0 group by x) select x, z, y, case when (z + y) % 3 = 0 then med else v::double end v from vox join m using (x)")
+def inpaint_median(s, d):
+    v = volume(s, d).drop("label")
+    mask = v.select("z", "y").distinct().withColumn("m", F.when((F.col("z") + F.col("y")) % 3 > 0, 1).otherwise(0))
+    return arith.inpaint(v, mask, "x")
+
+
+@Q("with {vox} select x, z, y, v::double v from vox union all select x, z, (y + k)::int y, v * (1 - k / 5.0::double) v from vox, range(1, 6) t(k) where y = 7 and k <= 5 and x >= 0 and 13 - 8 = 5")
+def pad_linear_ramp(s, d):
+    return arith.pad_ramp(volume(s, d).drop("label"), 8, 13)
+
+
+@Q("with {vox} select x * 1.34::double x, z * 1.54::double z, y * 2.0::double y, v from vox where x < 50")
+def unit_scaling(s, d):
+    return arith.to_units(volume(s, d).where("x < 50").drop("label"), {"x": 1.34, "z": 1.54, "y": 2.0})
+
+
+@Q("with {vox} select x, z, y, round_even(least(65535, greatest(0, (v - 30000) * 1.25::double)), 0)::int v from vox")
+def clip_round_u16(s, d):
+    return volume(s, d).select("x", "z", "y", arith.round16((F.col("v") - 30000) * 1.25).alias("v"))
+
+
+# --- filters ---------------------------------------------------------------------------------------------------------
+
+
+@Q("with {vox} select x, y, v from vox where z = 3 and y between 2 and 5")
+def plane_select(s, d):
+    return volume(s, d).where("z = 3 AND y BETWEEN 2 AND 5").select("x", "y", "v")
+
+
+@Q("select l_orderkey, l_linenumber, least(30, greatest(5, l_linenumber * 7 - 3))::int clamped, l_linenumber * 7 - 3 between 0 and 29 inside from lineitem")
+def bounds_and_clamp(s, d):
+    c = F.col("l_linenumber") * 7 - 3
+    return table(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.greatest(F.lit(5), F.least(F.lit(30), c)).alias("clamped"), c.between(0, 29).alias("inside"))
+
+
+@Q("with {vox} select x, z, y, v from vox where label in (1, 3, 4) and z in (0, 2)")
+def allowed_slabs(s, d):
+    return volume(s, d).where(F.col("label").isin(1, 3, 4) & F.col("z").isin(0, 2)).select("x", "z", "y", "v")
+
+
+@Q("with {vox} select a.x, a.z, a.y, a.v from vox a semi join (select x, z, y from vox where v > 40000) b using (x, z, y)")
+def mask_keep(s, d):
+    v = volume(s, d).drop("label")
+    return v.join(v.where("v > 40000").select("x", "z", "y"), ["x", "z", "y"], "left_semi")
+
+
+@Q("with {vox}, sc as (select x, sum(v)::bigint score from vox group by x) select x, score from sc where score >= (select quantile_cont(score, 0.9) from sc)")
+def top_decile_frames(s, d):
+    return reduce.top_frames(volume(s, d).groupBy("x").agg(F.sum("v").alias("score")))
+
+
+# --- reductions ------------------------------------------------------------------------------------------------------
+
+
+@Q("with {vox}, m as (select z, y, median(v) m from vox where x < 1000 group by z, y), dk as (select z, y, min(v)::double bg from vox group by z, y), f as (select z, y, m - (bg - 1024) m from m join dk using (z, y)) select z, y, round(m / (select median(m) from f), 9) flat from f")
+def flat_field_chain(s, d):
+    v = volume(s, d)
+    return reduce.flat_chain(v, v.groupBy("z", "y").agg(F.min("v").cast("double").alias("bg"))).withColumn("flat", F.round("flat", 9))
+
+
+@Q("with {vox}, p as (select label laser, z, y, median(v) v from vox group by all), b as (select laser, min(v) lo, max(v) hi from p where z between 2 and 5 and y between 2 and 5 group by laser) select laser, z, y, round((v - lo) / (hi - lo), 9) v from p join b using (laser)")
+def powell_masks(s, d):
+    p = volume(s, d).groupBy(F.col("label").alias("laser"), "z", "y").agg(F.median("v").alias("v"))
+    return reduce.interior_normalise(p, "v", 2, 8, 8, "laser").withColumn("v", F.round("v", 9))
+
+
+@Q("""with {vox}, p as (select y, median(v) v from vox where x < 1000 group by y),
+taps as (select t.y t, k, ((t.y + k) % 16 + 16) % 16 q, exp(-0.5 * (k / 0.8::double) * (k / 0.8::double)) w from p t, range(-3, 4) r(k)),
+s as (select t y, sum(w * v) / sum(w) s from taps join p on p.y = case when q >= 8 then 15 - q else q end group by t)
+select y, round((v / s - 1) / 3 + 1, 9) contrast from p join s using (y)""")
+def contrast_profile(s, d):
+    return reduce.contrast_profile(volume(s, d), 8).withColumn("contrast", F.round("contrast", 9))
+
+
+@Q("with {vox}, p as (select label laser, z % 4 ch, x, y, v from vox) , m as (select laser, ch, greatest(max(v), 1e-6) m from p group by all) select laser, ch, x, y, round(v / m, 9) v from p join m using (laser, ch)")
+def pattern_channel_max(s, d):
+    p = volume(s, d).select(F.col("label").alias("laser"), (F.col("z") % 4).alias("ch"), "x", "y", "v")
+    return reduce.channel_max(p).withColumn("v", F.round("v", 9))
+
+
+@Q("with {vox}, p as (select label ch, z, y, avg(v) v from vox group by all), a as (select ch, avg(v) mu, min(v) lo from p group by ch), q as (select ch, z, y, v / (mu - lo) + 1 v from p join a using (ch)), b as (select ch, avg(v) mu from q group by ch) select ch, z, y, round(v / mu, 9) v from q join b using (ch)")
+def pattern_final_normalise(s, d):
+    p = volume(s, d).groupBy(F.col("label").alias("ch"), "z", "y").agg(F.avg("v").alias("v"))
+    return reduce.final_normalise(p).withColumn("v", F.round("v", 9))
+
+
+for _name, _axes in (("project_x", ("z", "y")), ("project_z", ("x", "y")), ("project_y", ("x", "z"))):
+
+    def _project(s, d, axes=_axes):
+        return reduce.project(volume(s, d), *axes).withColumn("v_mean", F.round("v_mean", 6))
+
+    _project.__name__ = _name
+    Q(f"with {{vox}} select {', '.join(_axes)}, max(v) v_max, round(avg(v), 6) v_mean, sum(v)::bigint v_sum, median(v) v_median from vox group by {', '.join(_axes)}")(_project)
+
+
+@Q("with {vox} select x, z, y, max(v) v_max, sum(v)::bigint v_sum from vox group by grouping sets ((z, y), (x, y), (x, z))")
+def project_all_axes(s, d):
+    return reduce.project_all(volume(s, d))
+
+
+STATS = "count(*) n, avg(v) mean, round_even(avg(x)*100, 0)/100 c_x, round_even(avg(z)*100, 0)/100 c_z, round_even(avg(y)*100, 0)/100 c_y"
+
+
+@Q(f"with {{vox}} select label, {STATS} from vox group by label")
+def label_stats(s, d):
+    return reduce.label_stats(volume(s, d))
+
+
+@Q(f"with {{vox}}, s as (select label, {STATS} from vox where v > 50000 group by label), l as (select (range + 0)::int as label from range(0, 15)) select label, coalesce(n, 0) n, coalesce(mean, 0) mean, c_x, c_z, c_y from l left join s using (label)")
+def label_stats_absent_zero(s, d):
+    return reduce.label_stats(volume(s, d).where("v > 50000"), s.range(15).select(F.col("id").cast("int").alias("label")))
+
+
+@Q("with {vox} select label, x, z, y, row_number() over (partition by label order by x, z, y) - 1 i from vox where v > 60000")
+def label_voxels(s, d):
+    return reduce.label_voxels(volume(s, d).where("v > 60000"))
+
+
+@Q("with {vox} select x // 10 chunk, not bool_or(v - 20000 > 0) background, bool_and(v - 20000 > 0) bright from vox group by 1")
+def chunk_flags(s, d):
+    return reduce.chunk_flags(volume(s, d).select(F.expr("x div 10").alias("chunk"), (F.col("v") - 20000).alias("v")))
+
+
+@Q("select l_linenumber ch, round_even(median(l_quantity), 0)::int dz, round_even(median(l_discount * 100), 0)::int dy from lineitem group by 1")
+def median_shift(s, d):
+    return reduce.median_shift(table(s, d, "lineitem").select(F.col("l_linenumber").alias("ch"), F.col("l_quantity").alias("dz"), (F.col("l_discount") * 100).alias("dy")))
+
+
+@Q("select l_linenumber ch, round(exp(avg(ln(l_quantity + 3))) - 3, 6) dz, round(exp(avg(ln(l_tax + 3))) - 3, 6) dy from lineitem group by 1")
+def geomean_shift(s, d):
+    g = reduce.geometric_shift(table(s, d, "lineitem").select(F.col("l_linenumber").alias("ch"), F.col("l_quantity").alias("dz"), F.col("l_tax").alias("dy")), 3.0)
+    return g.select("ch", F.round("dz", 6).alias("dz"), F.round("dy", 6).alias("dy"))
+
+
+PCT = [0.0, 0.1, 1.0, 50.0, 99.0, 99.9, 100.0]
+
+
+@Q("with {vox}, q as (select quantile_cont(v, [0.0, 0.001, 0.01, 0.5, 0.99, 0.999, 1.0]) a from vox) select unnest([0.0, 0.1, 1.0, 50.0, 99.0, 99.9, 100.0])::double p, round(unnest(a)::double, 6) q from q")
+def volume_percentiles(s, d):
+    return reduce.percentiles(volume(s, d), PCT).withColumn("q", F.round("q", 6))
+
+
+@Q("""with {vox}, p as (select a.x, a.v a, b.v b from vox a join vox b on b.x = a.x and b.z = (a.z + 1) % 8 and b.y = a.y),
+m as (select x, min(a) la, max(a) ha, min(b) lb, max(b) hb from p group by x),
+h as (select x, case when ha > la then least(3, floor((a - la) * 4 / (ha - la))) else 0 end ba, case when hb > lb then least(3, floor((b - lb) * 4 / (hb - lb))) else 0 end bb, count(*) n from p join m using (x) group by all),
+e as (select x, ln(64) - sum(n * ln(n)) / 64 hab from h group by x), ea as (select x, ln(64) - sum(n * ln(n)) / 64 ha from (select x, ba, sum(n) n from h group by all) group by x), eb as (select x, ln(64) - sum(n * ln(n)) / 64 hb from (select x, bb, sum(n) n from h group by all) group by x)
+select x, round(case when hab > 1e-12 then (ha + hb) / hab else 1 end, 6) nmi from e join ea using (x) join eb using (x)""")
+def mutual_information(s, d):
+    v = volume(s, d).drop("label")
+    p = v.withColumnRenamed("v", "a").join(arith.roll(v, -1, 0, 8, 8).withColumnRenamed("v", "b"), ["x", "z", "y"])
+    return reduce.mutual_information(p, 4, "x").withColumn("nmi", F.round("nmi", 6))
+
+
+@Q("select min(c_nationkey) lo, max(c_nationkey) hi, min(p_size) plane_lo, max(p_size) plane_hi from customer, (select min(p_size) p_size from part union all select max(p_size) from part)")
+def index_ranges(s, d):
+    c = table(s, d, "customer").agg(F.min("c_nationkey").alias("lo"), F.max("c_nationkey").alias("hi")).withColumn("k", F.lit(1))
+    p = table(s, d, "part").agg(F.min("p_size").alias("plane_lo"), F.max("p_size").alias("plane_hi")).withColumn("k", F.lit(1))
+    return c.join(F.broadcast(p), "k").drop("k")
+
+
+@Q("select count(distinct user_id) files, count(*) as lines from events where contains(event_type || ' ' || coalesce(props, ''), 'error')")
+def error_log_count(s, d):
+    e = table(s, d, "events").select(F.col("user_id").alias("file"), F.concat_ws(" ", "event_type", F.coalesce("props", F.lit(""))).alias("line"))
+    return reduce.error_logs(e, "error")
+
+
+# --- matrices --------------------------------------------------------------------------------------------------------
+
+FLCH = [[8.0, 2.0, 1.0, 0.0, 0.0], [1.0, 9.0, 2.0, 0.0, 0.0], [0.0, 2.0, 7.0, 1.0, 0.0], [0.0, 0.0, 1.0, 6.0, 2.0], [0.0, 0.0, 0.0, 2.0, 5.0]]
+EXC = [[0.9, 0.1, 0.0, 0.0], [0.2, 0.8, 0.1, 0.0], [0.0, 0.3, 0.7, 0.1], [0.0, 0.0, 0.2, 0.9], [0.1, 0.0, 0.1, 0.6]]
+
+
+def sql_matrix(name: str, rows: list[list[float]]) -> str:
+    return f"{name}(i, j, v) as (values " + ", ".join(f"({i}, {j}, {v}::double)" for i, r in enumerate(rows) for j, v in enumerate(r)) + ")"
+
+
+REL = sql_matrix("flch", FLCH) + ", rel as (select i, j, v / sum(v) over (partition by i) v from flch)"
+WEIGHTS = f"{REL}, {sql_matrix('exc', EXC)}, pw(laser, power) as (values " + ", ".join(f"({i}, {p / max(linalg.LASER_POWER)!r}::double)" for i, p in enumerate(linalg.LASER_POWER)) + "), w as (select e.j laser, r.j ch, sum(e.v * r.v) * any_value(power) w from exc e join rel r using (i) join pw on pw.laser = e.j group by e.j, r.j)"
+
+
+@Q(f"with {REL} select i, j, round(v, 12) v from rel")
+def rownorm(s, d):
+    return linalg.row_normalise(linalg.matrix(s, FLCH)).withColumn("v", F.round("v", 12))
+
+
+@Q(f"with {WEIGHTS} select laser, ch, round(w, 9) w from w")
+def laser_channel_weights(s, d):
+    return linalg.laser_weights(linalg.matrix(s, FLCH), linalg.matrix(s, EXC), linalg.LASER_POWER).withColumn("w", F.round("w", 9))
+
+
+@Q(f"with {{vox}}, {WEIGHTS}, p as (select label laser, z, y, median(v) v from vox where label < 4 group by all) select ch, z, y, round(sum(v * w), 4) v from p join w using (laser) group by all")
+def mix_patterns(s, d):
+    p = volume(s, d).where("label < 4").groupBy(F.col("label").alias("laser"), "z", "y").agg(F.median("v").alias("v"))
+    w = linalg.laser_weights(linalg.matrix(s, FLCH), linalg.matrix(s, EXC), linalg.LASER_POWER)
+    return linalg.mix(p, w).withColumn("v", F.round("v", 4))
+
+
+@Q(f"with {{vox}}, {WEIGHTS}, p as (select label laser, z, y, median(v) v from vox where label < 4 group by all), m as (select ch, z, y, sum(v * w) pattern from p join w using (laser) group by all) select vox.x, vox.z, vox.y, round(vox.v / (pattern + 1), 6) v from vox join m using (z, y) where ch = 0")
+def laser_correct_from_matrices(s, d):
+    v = volume(s, d)
+    p = v.where("label < 4").groupBy(F.col("label").alias("laser"), "z", "y").agg(F.median("v").alias("v"))
+    w = linalg.laser_weights(linalg.matrix(s, FLCH), linalg.matrix(s, EXC), linalg.LASER_POWER)
+    m = linalg.mix(p, w).where("ch = 0").select("z", "y", F.col("v").alias("pattern"))
+    return arith.divide_pattern(v.drop("label"), m, eps=1.0).withColumn("v", F.round("v", 6))
+
+
+INV = linalg.inverse(FLCH)
+
+
+@Q("with {vox}, w as (select x, z, max(case when y=0 then v end) c1, max(case when y=1 then v end) c2, max(case when y=2 then v end) c3, max(case when y=3 then v end) c4, max(case when y=4 then v end) c5 from vox group by x, z) select x, z, " + ", ".join("round(" + " + ".join(f"c{j + 1} * ({INV[j][i]!r})::double" for j in range(5)) + f", 4) u_c{i + 1}" for i in range(5)) + " from w")
+def unmix_linear(s, d):
+    w = volume(s, d).groupBy("x", "z").agg(*(F.max(F.when(F.col("y") == k, F.col("v"))).alias(f"c{k + 1}") for k in range(5)))
+    u = linalg.unmix(w, FLCH, [f"c{k + 1}" for k in range(5)])
+    return u.select("x", "z", *(F.round(f"u_c{k + 1}", 4).alias(f"u_c{k + 1}") for k in range(5)))
+
+
+@Q()
+def unmix_nonnegative(s, d):
+    w = volume(s, d).groupBy("x", "z").agg(*(F.max(F.when(F.col("y") == k, F.col("v"))).cast("double").alias(f"c{k + 1}") for k in range(5)))
+    return linalg.unmix_nonnegative(w, FLCH, [f"c{k + 1}" for k in range(5)])
+
+
+@Q()
+def illumination_inverse(s, d):
+    w = volume(s, d).groupBy("x", "z").agg(*(F.max(F.when(F.col("y") == k, F.col("v"))).cast("double").alias(f"c{k + 1}") for k in range(5)), *(((F.max(F.when(F.col("y") == 5 + k, F.col("v"))) + 1) / 65536).alias(f"s{k + 1}") for k in range(2)))
+    second = [[r[(j + 1) % 5] for j in range(5)] for r in FLCH]
+    return linalg.illumination_inverse(w, [FLCH, second], [f"c{k + 1}" for k in range(5)], ["s1", "s2"])
+
+
+# --- scans, chunks, joins --------------------------------------------------------------------------------------------
+
+
+@Q("with {vox}, p as (select x, z, y, v // 16 a, lead(v // 16) over (partition by x, z order by y) b from vox), q as (select x, z, y, a & 255 f, (a >> 8) | ((b & 15) << 4) m, b >> 4 l from p where y % 2 = 0) select x, z, y, (((m & 15) << 8) | f) * 16 p0, ((l << 4) | ((m & 240) >> 4)) * 16 p1 from q")
+def unpack_uint12(s, d):
+    """Pixels packed to bytes by arithmetic, then unpacked."""
+    w = volume(s, d).withColumn("q", F.expr("v div 16"))
+    g = w.groupBy("x", "z", F.expr("y - y % 2").alias("y")).agg(F.max(F.when(F.col("y") % 2 == 0, F.col("q"))).alias("a"), F.max(F.when(F.col("y") % 2 == 1, F.col("q"))).alias("b"))
+    b = g.select("x", "z", "y", F.expr("a & 255").alias("f"), F.expr("shiftright(a, 8) | shiftleft(b & 15, 4)").alias("m"), F.expr("shiftright(b, 4)").alias("l"))
+    p0, p1 = spool.unpack12(F.col("f"), F.col("m"), F.col("l"))
+    return b.select("x", "z", "y", p0.alias("p0"), p1.alias("p1"))
+
+
+@Q("with h as (select o_orderkey, 'X = 1280' || chr(10) || 'y = ' || (8 * (o_custkey % 5 + 1)) || chr(10) || 'timestamps = ' || (o_orderkey % 50) || chr(10) || 'note' || chr(10) || '{END}bytes' t from orders) select o_orderkey::varchar path, 1280::bigint x, regexp_extract(t, 'y = (\\d+)', 1)::bigint y, regexp_extract(t, 'timestamps = (\\d+)', 1)::bigint timestamps, instr(t, '{END}') + 4 header_length from h")
+def header_table(s, d):
+    o = table(s, d, "orders").select(F.col("o_orderkey").cast("string").alias("path"), F.format_string("X = 1280\ny = %d\ntimestamps = %d\nnote\n{END}bytes", 8 * (F.col("o_custkey") % 5 + 1), F.col("o_orderkey") % 50).alias("text"))
+    return spool.header_table(o).drop("fields")
+
+
+@Q("select p_partkey::varchar path, 100 + p_size * 96 size, p_size::bigint frames from part")
+def frame_counts(s, d):
+    p = table(s, d, "part").select(F.col("p_partkey").cast("string").alias("path"), (100 + F.col("p_size") * 96).alias("size"))
+    return p.withColumn("frames", spool.frame_count(F.col("size"), F.lit(100), F.lit(8), F.lit(8)))
+
+
+@Q("with g as (select p_partkey, p_size frames, unnest(range(0, greatest(0, (p_size - 1) // 16) + 1)) grp from part where p_size > 0) select p_partkey::varchar path, grp, 40 + grp * 16 * 96 start, 40 + grp * 16 * 96 + least(16, frames - grp * 16) * 96 stop, least(16, frames - grp * 16) frames, grp = (frames - 1) // 16 as last from g")
+def frame_groups(s, d):
+    p = table(s, d, "part").select(F.col("p_partkey").cast("string").alias("path"), F.lit(8).cast("long").alias("x"), F.lit(8).cast("long").alias("y"), F.col("p_size").cast("long").alias("frames"), F.lit(40).cast("long").alias("header_length"))
+    return spool.frame_groups(p, 16)
+
+
+@Q("with {vox} select x, z, y, v::double v from vox where x < 60")
+def block_round_trip(s, d):
+    """Voxels to blocks and back."""
+    v = volume(s, d).where("x < 60").drop("label")
+    return to_voxels(to_blocks(v, 16, 4, 4), 16, 4, 4).withColumn("v", F.col("v").cast("double"))
+
+
+@Q("with {vox} select x // 4 x, (z // 4)::int z, (y // 4)::int y, avg(v) v from vox group by all")
+def pyramid_level(s, d):
+    return geometry.block_average(volume(s, d), 4)
+
+
+@Q("with g as (select a * 12 + b * 3 + c chunk, a, b, c from range(2) t(a), range(4) u(b), range(3) w(c)) select chunk, least(17, a * 10)::bigint z0, least(17, (a + 1) * 10)::bigint z1, least(30, b * 10)::bigint y0, least(30, (b + 1) * 10)::bigint y1, least(25, c * 10)::bigint x0, least(25, (c + 1) * 10)::bigint x1 from g")
+def chunk_grid(s, d):
+    return chunks.chunk_grid(s, (17, 30, 25), 10)
+
+
+@Q("select a chunk, least(17, round_even(a * 2.5, 0))::bigint z0, least(17, round_even((a + 1) * 2.5, 0))::bigint z1, 0::bigint y0, 1::bigint y1, 0::bigint x0, 1::bigint x1 from range(7) t(a)")
+def chunk_grid_scaled(s, d):
+    g = chunks.chunk_grid(s, (67, 3, 3), 10, 2)
+    return g.select("chunk", "z0", "z1", "y0", F.lit(1).cast("long").alias("y1"), "x0", F.lit(1).cast("long").alias("x1"))
+
+
+@Q("with {vox} select x, z, y, ((z // 3)::bigint * 3 + y // 3) * 200 + x // 3 chunk from vox where x < 300")
+def chunk_assign(s, d):
+    return volume(s, d).where("x < 300").select("x", "z", "y", chunks.chunk_of((8, 8, 599), 3).alias("chunk"))
+
+
+@Q("with g as (select a chunk from range(70) t(a)), {vox}, f as (select x // 10 chunk, not bool_or(v > 62000) background, bool_and(v > 100) bright from vox group by 1) select chunk from g where chunk not in (select g.chunk from g left join f using (chunk) where coalesce(background, true) or coalesce(bright, false))")
+def fg_chunks(s, d):
+    f = volume(s, d).groupBy(F.expr("x div 10").alias("chunk")).agg((~F.bool_or(F.col("v") > 62000)).alias("background"), F.bool_and(F.col("v") > 100).alias("bright"))
+    return chunks.foreground(s.range(70).select(F.col("id").alias("chunk")), f)
+
+
+@Q("select max(z1) nz, max(y1) ny, max(x1) nx from (select 17 z1, 30 y1, 25 x1)")
+def grid_extent(s, d):
+    return chunks.grid_extent(chunks.chunk_grid(s, (17, 30, 25), 10)).select(*(F.col(c).cast("int").alias(c) for c in ("nz", "ny", "nx")))
+
+
+@Q("select o_orderkey chunk from orders where o_orderkey not in (select l_orderkey from lineitem where l_quantity > 45)")
+def pending_chunks(s, d):
+    return chunks.pending(table(s, d, "orders").select(F.col("o_orderkey").alias("chunk")), table(s, d, "lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("chunk")))
+
+
+@Q("with a as (select 'scan-run001-z' || lpad((o_custkey % 13)::varchar, 2, '0') || '-y' || lpad((o_orderkey % 77)::varchar, 3, '0') || '-272.fli.zst' path, o_orderkey from orders), b as (select replace(path, '272.fli', '088.fli') path2, o_orderkey k2 from a where o_orderkey % 3 > 0) select o_orderkey, k2 from a join b on replace(a.path, '272.fli', '088.fli') = b.path2 and k2 = o_orderkey")
+def pair_cameras(s, d):
+    name = F.format_string("scan-run001-z%02d-y%03d-272.fli.zst", F.col("o_custkey") % 13, F.col("o_orderkey") % 77)
+    a = table(s, d, "orders").select("o_orderkey", name.alias("path"))
+    b = a.where("o_orderkey % 3 > 0").select(names.other_camera(F.col("path")).alias("path2"), F.col("o_orderkey").alias("k2"))
+    return a.join(b, (names.other_camera(F.col("path")) == F.col("path2")) & (F.col("k2") == F.col("o_orderkey"))).select("o_orderkey", "k2")
+
+
+@Q("with {vox}, t as (select x, lpad((x % 13)::varchar, 2, '0') scan_z, z, y, v from vox), m as (select lpad(range::varchar, 2, '0') scan_z, range * 10 bg from range(13)) select x, z, y, v - bg v from t join m using (scan_z)")
+def scan_mask_by_slab(s, d):
+    t = volume(s, d).select("x", names.padded(F.col("x") % 13, 2).alias("scan_z"), "z", "y", "v")
+    m = s.range(13).select(names.padded(F.col("id"), 2).alias("scan_z"), (F.col("id") * 10).alias("bg"))
+    return t.join(m, "scan_z").select("x", "z", "y", (F.col("v") - F.col("bg")).alias("v"))
+
+
+@Q("with g as (select y, p z from range(10) t(y), (select distinct o_orderpriority p from orders)) select y, z from g anti join (select o_custkey % 10 y, o_orderpriority z from orders where o_totalprice > 300000 group by all) f using (y, z)")
+def missing_tiles(s, d):
+    o = table(s, d, "orders")
+    grid = o.select(F.col("o_orderpriority").alias("z")).distinct().select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(9).cast("long"))).alias("y"), "z")
+    return tables.missing_tiles(grid, o.where("o_totalprice > 300000").select((F.col("o_custkey") % 10).alias("y"), F.col("o_orderpriority").alias("z")), ["y", "z"])
+
+
+@Q("select coalesce(a, b) laser, a is not null in_a from (select distinct p_size a from part where p_partkey % 7 = 0) full join (select distinct p_size b from part where p_partkey % 11 = 0) on a = b where a is null or b is null")
+def laser_key_mismatch(s, d):
+    p = table(s, d, "part")
+    return tables.key_mismatch(p.where("p_partkey % 7 = 0").select(F.col("p_size").alias("laser")), p.where("p_partkey % 11 = 0").select(F.col("p_size").alias("laser")), "laser")
+
+
+@Q("with {vox}, lab as (select x, z, y, label from vox where v > 30000) select l.label, count(*) n, sum(v)::bigint total from vox v join lab l using (x, z, y) group by l.label")
+def voxel_label_join(s, d):
+    v = volume(s, d)
+    return v.drop("label").join(v.where("v > 30000").select("x", "z", "y", "label"), ["x", "z", "y"]).groupBy("label").agg(F.count("*").alias("n"), F.sum("v").alias("total"))
+
+
+@Q("with {vox}, p as (select x id, x px, (x % 8) pz, (x // 8 % 8) py from vox where z = 0 and y = 0 and x % 5 = 0), b as (select id, greatest(0, px - 2) lx, greatest(0, pz - 1) lz, greatest(0, py - 1) ly from p), h as (select *, least((select max(x) + 1 from vox), lx + 4) hx, least(8, lz + 3) hz, least(8, ly + 2) hy from b) select id, coalesce(avg(v), 0) mean, count(v) n from h left join vox on x >= lx and x < hx and z >= lz and z < hz and y >= ly and y < hy group by id")
+def box_mean(s, d):
+    v = volume(s, d).drop("label")
+    n = table(s, d, "embeddings").agg(F.max("vec_id") + 1).first()[0] or 0
+    p = v.where("z = 0 AND y = 0 AND x % 5 = 0").select(F.col("x").alias("id"), F.col("x").alias("px"), (F.col("x") % 8).alias("pz"), F.expr("x div 8 % 8").alias("py"))
+    return components.box_mean(p, v, (4, 3, 2), (n, 8, 8), 16)
+
+
+@Q("with {vox}, a as (select x, z, y, x // 4 l from vox where v > 30000), b as (select x, z, y, x * 10 + z // 4 s from vox where v > 50000), sz as (select s, count(*) size from b group by s), i as (select l, s, count(*) n from a join b using (x, z, y) group by all) select l label, count(*) parts from i join sz using (s) where n = size group by l having count(*) >= 3")
+def containment_filter(s, d):
+    v = volume(s, d)
+    return components.containing(v.where("v > 30000").select("x", "z", "y", F.expr("x div 4").alias("label")), v.where("v > 50000").select("x", "z", "y", F.expr("x * 10 + z div 4").alias("label")), 3)
+
+
+# --- geometry --------------------------------------------------------------------------------------------------------
+
+SHIFT = [[1.0, 0.0, 0.5], [0.0, 1.0, -1.25]]
+
+
+@Q("""with {vox}, o as (select x, z, y, y - 0.5::double sy, z + 1.25::double sz from vox), f as (select x, z, y, floor(sy)::int fy, floor(sz)::int fz, sy, sz from o),
+t as (select x, z, y, fz + a tz, fy + b ty, (1 - abs(sz - fz - a)) * (1 - abs(sy - fy - b)) w from f, range(2) r(a), range(2) u(b))
+select t.x, t.z, t.y, coalesce(sum(w * v), 0) v from t left join vox on vox.x = t.x and vox.z = tz and vox.y = ty group by t.x, t.z, t.y""")
+def bilinear_warp(s, d):
+    return geometry.warp_bilinear(volume(s, d).drop("label"), SHIFT, 8, 8)
+
+
+@Q()
+def cubic_warp(s, d):
+    """Three-dimensional affine of the first frames in blocks."""
+    m = linalg.compose_affine(rotation=5.0, deskew=-7.0, tx=4.5)
+    return geometry.warp_blocks(volume(s, d).where("x < 32").drop("label"), m, (32, 8, 8), 16)
+
+
+@Q("with {vox}, m as (select a oz, b oy, least(7, floor((a + 0.5) * 8 / 5))::int z, least(7, floor((b + 0.5) * 8 / 12))::int y from range(5) t(a), range(12) u(b)) select x, oz z, oy y, v from vox join m using (z, y)")
+def resize_nearest(s, d):
+    return geometry.resize_nearest(volume(s, d), 8, 8, 5, 12)
+
+
+@Q("""with {vox}, a as (select range o, greatest(0, least(7, (range + 0.5::double) * 8 / 4 - 0.5)) p from range(4)), t as (select o, least(7, floor(p)::int + k) i, 1 - abs(p - floor(p) - k) w from a, range(2) r(k))
+select x, tz.o z, ty.o y, sum(v * tz.w * ty.w) v from vox join t tz on tz.i = z and tz.w > 0 join t ty on ty.i = y and ty.w > 0 group by all""")
+def resize_linear(s, d):
+    return geometry.resize_linear(volume(s, d), 8, 8, 4, 4)
+
+
+N26 = "n as (select a dx, b dz, c dy from range(-1, 2) t(a), range(-1, 2) u(b), range(-1, 2) w(c))"
+
+
+@Q(f"with {{vox}}, {N26} select distinct x + dx x, (z + dz)::int z, (y + dy)::int y from vox, n where v > 62000 and z + dz between 0 and 7 and y + dy between 0 and 7 and x + dx between 0 and 9999999")
+def dilate(s, d):
+    return geometry.dilate(volume(s, d).where("v > 62000"), 26, 1, bounds=(10_000_000, 8, 8))
+
+
+@Q(f"with {{vox}}, {N26}, m as (select x, z, y from vox where v > 62000) select distinct x + dx x, (z + dz)::int z, (y + dy)::int y from m, n where abs(dx) + abs(dz) + abs(dy) = 1 and z + dz between 0 and 7 and y + dy between 0 and 7 and x + dx between 0 and 9999999 and not exists (select 1 from m q where q.x = m.x + dx and q.z = m.z + dz and q.y = m.y + dy)")
+def dilate_ring(s, d):
+    return geometry.dilate(volume(s, d).where("v > 62000"), 6, 1, ring=True, bounds=(10_000_000, 8, 8))
+
+
+@Q("""with {vox}, n as (select a dx, b dz, c dy, a*a + b*b + c*c d from range(-3, 4) t(a), range(-3, 4) u(b), range(-3, 4) w(c) where a*a + b*b + c*c <= 9),
+e as (select label, x + dx x, (z + dz)::int z, (y + dy)::int y, d from vox, n where v > 64000), r as (select *, row_number() over (partition by x, z, y order by d, label) r from e where x between 0 and 9999999 and z between 0 and 7 and y between 0 and 7)
+select label, x, z, y, (ceil(sqrt(d::double)) + 1)::int layer from r where r = 1""")
+def shells(s, d):
+    return geometry.shells(volume(s, d).where("v > 64000"), 3, bounds=(10_000_000, 8, 8))
+
+
+PLANES = "p as (select x, z, y from vox where v > 52000 and x < 40)"
+
+
+@Q(f"""with recursive {{vox}}, {PLANES}, i as (select x, z, y, (x * 8 + z) * 8 + y id from p), e as (select a.id a, b.id b from i a join i b on abs(a.x - b.x) <= 1 and abs(a.z - b.z) <= 1 and abs(a.y - b.y) <= 1),
+r(id, c) as (select id, id from i union select e.b, r.c from r join e on e.a = r.id) select x, z, y, min(c) label from i join r using (id) group by x, z, y""")
+def connected_components_26(s, d):
+    v = volume(s, d).where("x < 40").withColumn("v", F.when(F.col("v") > 52000, 1).otherwise(0))
+    return components.label_components(v.drop("label"), 8, 8, 26, 4).select("x", "z", "y", "label")
+
+
+@Q(f"""with recursive {{vox}}, {PLANES}, i as (select x, z, y, (x * 8 + z) * 8 + y id from p), e as (select a.id a, b.id b from i a join i b on abs(a.x - b.x) + abs(a.z - b.z) + abs(a.y - b.y) = 1),
+r(id, c) as (select id, id from i union select e.b, r.c from r join e on e.a = r.id), l as (select x, z, y, min(c) label from i join r using (id) group by x, z, y)
+select label, count(*) area, round_even(avg(x) * 100, 0) / 100 x, round_even(avg(z) * 100, 0) / 100 z, round_even(avg(y) * 100, 0) / 100 y from l group by label having count(*) >= 4""")
+def extract_points(s, d):
+    from lumenfold.operators.detect import extract_points as extract
+
+    v = volume(s, d).where("x < 40").withColumn("v", F.when(F.col("v") > 52000, 1).otherwise(0))
+    return extract(v.drop("label"), 8, 8, 6, 4)
+
+
+POINTS = "pt as (select p_partkey id, (p_partkey * 37 % 101)::double x, (p_partkey * 53 % 97)::double z, (p_size)::double y from part where p_partkey <= 400)"
+
+
+@Q(f"""with recursive {POINTS}, e as (select a.id a, b.id b from pt a join pt b on (a.x-b.x)*(a.x-b.x) + (a.z-b.z)*(a.z-b.z) + (a.y-b.y)*(a.y-b.y) <= 49),
+r(id, c) as (select id, id from pt union select e.b, r.c from r join e on e.a = r.id), k as (select id, min(c) cluster from r group by id) select cluster, count(*) n, round(avg(x), 9) x, round(avg(z), 9) z, round(avg(y), 9) y from k join pt using (id) group by cluster""")
+def dbscan_eps(s, d):
+    p = table(s, d, "part").where("p_partkey <= 400").select(F.col("p_partkey").alias("id"), (F.col("p_partkey") * 37 % 101).cast("double").alias("x"), (F.col("p_partkey") * 53 % 97).cast("double").alias("z"), F.col("p_size").cast("double").alias("y"))
+    c = components.cluster_centres(components.clusters(p, 7.0))
+    return c.select("cluster", "n", *(F.round(k, 9).alias(k) for k in "xzy"))
+
+
+@Q()
+def two_threshold_objects(s, d):
+    from lumenfold.operators.detect import split_merged
+
+    v = volume(s, d).where("x < 60").drop("label")
+    on = lambda t: v.withColumn("v", F.when(F.col("v") > t, 1).otherwise(0))
+    return split_merged(on(42000), on(56000), 8, 8, 2)
+
+
+@Q()
+def phase_shift(s, d):
+    v = volume(s, d).drop("label").where("x < 100")
+    p = v.withColumnRenamed("v", "a").join(arith.roll(v, 2, -3, 8, 8).withColumnRenamed("v", "b"), ["x", "z", "y"])
+    return geometry.phase_shift(p, 8, 8)
+
+
+@Q()
+def register_channel(s, d):
+    v = volume(s, d).drop("label").where("x < 100")
+    return geometry.register(arith.roll(v, 1, 2, 8, 8), v, 8, 8)
+
+
+@Q()
+def histogram_match(s, d):
+    v = volume(s, d).drop("label").where("x < 100")
+    return geometry.match_histogram(v, v.withColumn("x", F.col("x") - 1), "x")
+
+
+@Q()
+def equalise_frames(s, d):
+    return geometry.equalise(volume(s, d).drop("label").where("x < 100"), 8, 8, 4)
+
+
+@Q()
+def detect_and_measure(s, d):
+    """Scores, mask, components, shells and the spectral table of the first frames, five shifted copies as channels."""
+    from functools import reduce as fold
+
+    from lumenfold.operators.detect import IntensityScorer
+    from lumenfold.plans.imaging import detect_and_measure as plan
+
+    v = volume(s, d).where("x < 64").drop("label")
+    ch = fold(DataFrame.unionByName, [arith.roll(v, k, 0, 8, 8).withColumn("ch", F.lit(k + 1)) for k in range(5)])
+    return plan(v, ch, Config(threshold=0.6), IntensityScorer(1.0), 16)
+
+
+# --- names -----------------------------------------------------------------------------------------------------------
+
+TILE = "'/data/hb-run' || lpad((o_custkey % 7)::varchar, 3, '0') || '-z' || lpad((o_custkey % 13)::varchar, 2, '0') || '-y' || lpad((o_orderkey % 77)::varchar, 3, '0') || '-Exc-' || (case o_orderkey % 4 when 0 then 488 when 1 then 561 when 2 then 594 else 660 end) || 'nm_' || (case when o_orderkey % 5 = 0 then 'x_darkFrames_' else '' end) || '272' || (case o_orderkey % 3 when 0 then '_transformed' when 1 then '_bg_subtracted' else '' end) || '.fli.zst'"
+
+
+def tile_names(s, d):
+    o = table(s, d, "orders")
+    k = F.col("o_orderkey")
+    laser = F.when(k % 4 == 0, 488).when(k % 4 == 1, 561).when(k % 4 == 2, 594).otherwise(660)
+    return o.select("o_orderkey", F.concat(F.format_string("/data/hb-run%03d-z%02d-y%03d-Exc-%dnm_", F.col("o_custkey") % 7, F.col("o_custkey") % 13, k % 77, laser), F.when(k % 5 == 0, "x_darkFrames_").otherwise(""), F.lit("272"), F.when(k % 3 == 0, "_transformed").when(k % 3 == 1, "_bg_subtracted").otherwise(""), F.lit(".fli.zst")).alias("path"))
+
+
+@Q(f"with t as (select o_orderkey, {TILE} path from orders) select o_orderkey, regexp_extract(path, '-z(\\d+)-', 1) z, regexp_extract(path, '-y(\\d+)-', 1) y, regexp_extract(path, '[Ee]xc[-_]?(\\d{{3,4}})\\s*nm', 1) laser, contains(lower(path), 'dark') dark, case when contains(path, '_transformed') then 'transformed' when contains(path, '_bg_subtracted') then 'bg_subtracted' else 'raw' end stage, replace(path, '272.fli', '088.fli') other, path like '%.fli.zst' packed from t")
+def parse_tile_name(s, d):
+    p = F.col("path")
+    return tile_names(s, d).select("o_orderkey", names.infer_axis(p, "z").alias("z"), names.infer_axis(p, "y").alias("y"), names.infer_laser(p).alias("laser"), names.is_dark(p).alias("dark"), names.stage_of(p).alias("stage"), names.other_camera(p).alias("other"), names.is_compressed(p).alias("packed"))
+
+
+@Q("with n as (select p_partkey, case p_partkey % 3 when 0 then 'napari_chunk_' || lpad(p_partkey::varchar, 5, '0') || '.csv' when 1 then 'Z' || (p_size) || '_Y' || p_partkey || ' v2' else 'plain' end n from part) select p_partkey, regexp_extract(n, '(?i)z(\\d+)', 1) z, case when regexp_extract(n, '(?i)y(\\d+)', 1) = '' then 1000000000 else regexp_extract(n, '(?i)y(\\d+)', 1)::bigint end k, regexp_extract(n, '(\\d+)', 1) first, regexp_extract(n, '(\\d+)\\D*$', 1) \"last\" from n")
+def parse_numbers(s, d):
+    k = F.col("p_partkey")
+    n = F.when(k % 3 == 0, F.format_string("napari_chunk_%05d.csv", k)).when(k % 3 == 1, F.concat(F.lit("Z"), F.col("p_size"), F.lit("_Y"), k, F.lit(" v2"))).otherwise("plain")
+    d_ = table(s, d, "part").select("p_partkey", n.alias("n"))
+    text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    first = F.when(F.col("n").rlike(r"^napari_chunk_"), F.regexp_extract("n", r"(\d+)", 1)).otherwise(text(names.chunk_number(F.col("n"), "napari_chunk_")))
+    last = F.when(F.col("n").rlike(r"^napari_chunk_"), F.regexp_extract("n", r"(\d+)\D*$", 1)).otherwise(text(names.last_number(F.col("n"))))
+    return d_.select("p_partkey", text(names.folder_number(F.col("n"), "z")).alias("z"), names.sort_key(F.col("n")).alias("k"), first.alias("first"), last.alias("last"))
+
+
+@Q("with n as (select p_partkey, 'slab a' || p_size || '_z' || lpad((p_partkey % 13)::varchar, 2, '0') || '_plane' || lpad((p_partkey % 508)::varchar, 3, '0') || '_ch' || (p_partkey % 5) || '.fli' n from part) select p_partkey, regexp_extract(n, '_plane(\\d{3})', 1)::int plane, regexp_extract(n, '_ch?(\\d)', 1)::int ch, regexp_extract(n, '_z(\\d{2})', 1)::int slab, regexp_replace(regexp_replace(n, '\\.fli(\\.zst)?$', ''), '[^A-Za-z0-9_.\\-]', '_', 'g') root, lpad(p_partkey::varchar, 5, '0') id from n")
+def parse_plane_name(s, d):
+    k = F.col("p_partkey")
+    n = F.concat(F.lit("slab a"), F.col("p_size"), F.format_string("_z%02d_plane%03d_ch%d.fli", k % 13, k % 508, k % 5))
+    d_ = table(s, d, "part").select("p_partkey", n.alias("n"))
+    c = F.col("n")
+    return d_.select("p_partkey", names.plane_number(c).alias("plane"), names.channel_number(c).alias("ch"), names.slab_number(c).alias("slab"), names.safe_root(c).alias("root"), names.padded(k, 5).alias("id"))
+
+
+# --- relational tail -------------------------------------------------------------------------------------------------
+
+COORDS = ["l_suppkey", "l_linenumber", "l_quantity"]
+
+
+def coordinates(s, d):
+    return table(s, d, "lineitem").select(*COORDS, "l_orderkey", "l_extendedprice", "l_discount")
+
+
+ORDER = "l_orderkey, l_extendedprice, l_discount"
+
+
+@Q(f"select l_suppkey, l_linenumber, l_quantity, l_orderkey, l_extendedprice, l_discount from lineitem qualify row_number() over (partition by l_suppkey, l_linenumber, l_quantity order by {ORDER}) = 1")
+def dedupe_first(s, d):
+    return tables.keep_first(coordinates(s, d), COORDS, ORDER.split(", "))
+
+
+@Q(f"select l_suppkey, l_linenumber, l_quantity, l_orderkey, l_extendedprice, l_discount from lineitem qualify row_number() over (partition by l_suppkey, l_linenumber, l_quantity order by l_extendedprice desc, {ORDER}) = 1")
+def dedupe_max(s, d):
+    return tables.keep_largest(coordinates(s, d), COORDS, "l_extendedprice", ORDER.split(", "))
+
+
+@Q("select l_suppkey, l_linenumber, l_quantity, round(avg(l_extendedprice), 7) l_extendedprice, round(avg(l_discount), 9) l_discount from lineitem group by 1, 2, 3")
+def dedupe_mean(s, d):
+    m = tables.keep_mean(coordinates(s, d), COORDS, ("l_orderkey",))
+    return m.select(*COORDS, F.round("l_extendedprice", 7).alias("l_extendedprice"), F.round("l_discount", 9).alias("l_discount"))
+
+
+@Q("with c as (select c_nationkey chunk, c_custkey, c_custkey % 50 label from customer), m as (select chunk, max(label) m from c group by 1), r as (select chunk, coalesce(sum(m) over (order by chunk rows between unbounded preceding and 1 preceding), 0) s from m) select chunk, c_custkey, (label + s)::bigint label from c join r using (chunk)")
+def label_offset(s, d):
+    c = table(s, d, "customer").select(F.col("c_nationkey").alias("chunk"), "c_custkey", (F.col("c_custkey") % 50).alias("label"))
+    return tables.offset_labels(c)
+
+
+@Q("select c_nationkey, c_custkey, row_number() over (order by c_nationkey, c_custkey) - 1 as \"index\" from customer")
+def reindex_rows(s, d):
+    return tables.reindex(table(s, d, "customer").select("c_nationkey", "c_custkey"), ["c_custkey"], "c_nationkey")
+
+
+GRID = "g as (select a * 12 + b * 3 + c chunk, a * 10 z0, b * 10 y0, c * 10 x0 from range(2) t(a), range(4) u(b), range(3) w(c))"
+CSV = "p as (select l_orderkey % 24 chunk, l_orderkey * 8 + l_linenumber as row, l_quantity % 10 + 0.5::double z, (l_partkey % 20) * 0.5::double y, (l_suppkey % 21) * 0.5::double x from lineitem)"
+
+
+def chunk_points(s, d):
+    return table(s, d, "lineitem").select((F.col("l_orderkey") % 24).alias("chunk"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row"), (F.col("l_quantity") % 10 + 0.5).alias("z"), ((F.col("l_partkey") % 20) * 0.5).alias("y"), ((F.col("l_suppkey") % 21) * 0.5).alias("x"))
+
+
+def sql_whole(c: str, n: int) -> str:
+    return f"greatest(0, least({n - 1}, round_even({c} + {c}0, 0)))::bigint"
+
+
+@Q(f"with {GRID}, {CSV} select distinct {sql_whole('x', 25)} axis_0, {sql_whole('z', 17)} axis_1, {sql_whole('y', 30)} axis_2 from p join g using (chunk)")
+def combine_centroids(s, d):
+    return tables.combine_points(chunk_points(s, d), chunks.chunk_grid(s, (17, 30, 25), 10), (17, 30, 25))
+
+
+@Q(f"with {GRID}, {CSV} select chunk, row, round_even((z + z0) * (34 / 17.0::double), 0)::bigint z, round_even((y + y0) * (15 / 30.0::double), 0)::bigint y, round_even((x + x0) * (50 / 25.0::double), 0)::bigint x from p join g using (chunk)")
+def combine_centroids_scaled(s, d):
+    return tables.scale_points(chunk_points(s, d), chunks.chunk_grid(s, (17, 30, 25), 10), (34, 15, 50), (17, 30, 25))
+
+
+@Q(f"with {GRID}, {CSV}, k as (select chunk, row, row % 40 label, z + z0 z, y / 2 + y0 y, x / 2 + x0 x from p join g using (chunk) where chunk % 6 > 0), m as (select chunk, max(label) m from k group by 1), r as (select chunk, coalesce(sum(m) over (order by chunk rows between unbounded preceding and 1 preceding), 0) s from m) select chunk, row, (label + s)::bigint label, z, y, x from k join r using (chunk)")
+def merge_measurements(s, d):
+    p = chunk_points(s, d).withColumn("label", F.col("row") % 40)
+    return tables.merge_measurements(p, s.range(24).where("id % 6 = 0").select(F.col("id").alias("chunk")), chunks.chunk_grid(s, (17, 30, 25), 10), 2.0)
+
+
+SPECTRA = "sp as (select l_orderkey % 24 chunk, (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey as row, round_even(l_quantity / 4, 0)::bigint axis_0, round_even(l_linenumber, 0)::bigint axis_1, (l_suppkey % 9)::bigint axis_2, l_partkey vol_l1, l_extendedprice ch1_l1 from lineitem)"
+
+
+def spectra(s, d):
+    return table(s, d, "lineitem").select((F.col("l_orderkey") % 24).alias("chunk"), ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey")).alias("row"), (F.col("l_quantity") / 4).alias("axis_0"), F.col("l_linenumber").cast("double").alias("axis_1"), (F.col("l_suppkey") % 9).cast("double").alias("axis_2"), F.col("l_partkey").alias("vol_l1"), F.col("l_extendedprice").alias("ch1_l1"))
+
+
+@Q(f"with {SPECTRA} select axis_0, axis_1, axis_2, vol_l1, ch1_l1 from sp qualify row_number() over (partition by axis_0, axis_1, axis_2 order by chunk, row) = 1")
+def combine_spectra_first(s, d):
+    return tables.combine_spectra(spectra(s, d), "first")
+
+
+@Q(f"with {SPECTRA} select axis_0, axis_1, axis_2, vol_l1, ch1_l1 from sp qualify row_number() over (partition by axis_0, axis_1, axis_2 order by vol_l1 desc, chunk, row) = 1")
+def combine_spectra_max(s, d):
+    return tables.combine_spectra(spectra(s, d), "max_vol_l1")
+
+
+@Q(f"with {SPECTRA} select axis_0, axis_1, axis_2, round(avg(vol_l1), 7) vol_l1, round(avg(ch1_l1), 7) ch1_l1 from sp group by 1, 2, 3")
+def combine_spectra_mean(s, d):
+    m = tables.combine_spectra(spectra(s, d), "mean")
+    return m.select(*tables.AXES, F.round("vol_l1", 7).alias("vol_l1"), F.round("ch1_l1", 7).alias("ch1_l1"))
+
+
+@Q("with {vox} select distinct x, z, y from (select x, z, y from vox where v > 60000 union all select x, (z + 1) % 8, y from vox where v > 63000)")
+def mask_union(s, d):
+    v = volume(s, d).drop("label")
+    on = lambda t: v.withColumn("v", F.when(F.col("v") > t, 1).otherwise(0))
+    return tables.union_masks(on(60000), arith.roll(on(63000), 1, 0, 8, 8))
+
+
+@Q("select n_regionkey scan_z, n_nationkey scan_y, w width, coalesce(sum(w) over (partition by n_regionkey order by n_nationkey rows between unbounded preceding and 1 preceding), 0)::bigint \"start\" from nation join (select s_nationkey n_nationkey, count(*) w from supplier group by 1) using (n_nationkey)")
+def stitch_offsets(s, d):
+    return stitch.tile_starts(tiles(s, d))
+
+
+def tiles(s, d):
+    w = table(s, d, "supplier").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.count("*").alias("width"))
+    return table(s, d, "nation").join(w, "n_nationkey").select(F.col("n_regionkey").alias("scan_z"), F.col("n_nationkey").alias("scan_y"), "width")
+
+
+@Q("with s as (select n_regionkey scan_z, count(*) width from supplier join nation on n_nationkey = s_nationkey group by 1), r as (select *, dense_rank() over (order by scan_z) - 1 i, count(*) over () n from s) select scan_z, width, ((n - 1 - i) * 24)::bigint left_pad, (width + 24 * (n - 1))::bigint total from r")
+def slab_shear(s, d):
+    return stitch.slab_pads(tiles(s, d).groupBy("scan_z").agg(F.sum("width").alias("width")))
+
+
+@Q("""with {vox}, t as (select n_regionkey scan_z, n_nationkey scan_y, 8 width, coalesce(sum(8) over (partition by n_regionkey order by n_nationkey rows between unbounded preceding and 1 preceding), 0) st from nation),
+sl as (select scan_z, dense_rank() over (order by scan_z) - 1 i, count(*) over () n from (select distinct scan_z from t)), q as (select x, z, y, v, n_regionkey scan_z, n_nationkey scan_y from vox join nation on n_nationkey = x % 25)
+select x, (i * 8 + 7 - z)::bigint z, (st + (n - 1 - i) * 24 + 7 - y)::bigint y, v from q join t using (scan_z, scan_y) join sl using (scan_z)""")
+def stitch_grid(s, d):
+    n = table(s, d, "nation")
+    t = n.select(F.col("n_regionkey").alias("scan_z"), F.col("n_nationkey").alias("scan_y"), F.lit(8).alias("width"))
+    v = volume(s, d).drop("label").join(n.select("n_nationkey", F.col("n_regionkey").alias("scan_z"), F.col("n_nationkey").alias("scan_y")), F.col("x") % 25 == F.col("n_nationkey")).drop("n_nationkey")
+    return stitch.stitch(v, t, -24, 8, rotate=(8, 8))
+
+
+@Q("""with {vox}, t as (select n_regionkey scan_z, n_nationkey scan_y, coalesce(sum(8) over (partition by n_regionkey order by n_nationkey rows between unbounded preceding and 1 preceding), 0) st from nation),
+q as (select n_regionkey scan_z, x, (st + y)::bigint y, v from vox join nation on n_nationkey = x % 25 join t on scan_y = n_nationkey where z = 5), m as (select min(v) lo, max(v) hi from q) select scan_z, x, y, floor((v - lo) * 65535.0::double / (hi - lo))::int v from q, m""")
+def plane_composite(s, d):
+    n = table(s, d, "nation")
+    t = n.select(F.col("n_regionkey").alias("scan_z"), F.col("n_nationkey").alias("scan_y"), F.lit(8).alias("width"))
+    v = volume(s, d).drop("label").join(n.select(F.col("n_regionkey").alias("scan_z"), F.col("n_nationkey").alias("scan_y")), F.col("x") % 25 == F.col("scan_y"))
+    return stitch.plane_composite(v, t, 5)
+
+
+@Q("with p as (select p_size % 4 + 1 slab, p_partkey plane from part), m as (select max(plane) m from p) select slab, plane, m * (dense_rank() over (order by slab) - 1) + plane whole from p, m")
+def renumber_planes(s, d):
+    return stitch.renumber_planes(table(s, d, "part").select((F.col("p_size") % 4 + 1).alias("slab"), F.col("p_partkey").alias("plane")))
+
+
+# --- sources and streams ---------------------------------------------------------------------------------------------
+
+
+@Q("with {vox} select x, z, y, v from vox where x < 40")
+def spool_round_trip(s, d):
+    """Frames written as two packed spools (one compressed), read back by the data source."""
+    return spool.frames_to_voxels(_spools(s, d)).select("x", "z", "y", "v")
+
+
+def _spools(s, d):
+    import tempfile
+
+    import numpy as np
+
+    rows = table(s, d, "embeddings").where("vec_id < 40").orderBy("vec_id").collect()  # a fixture of 40 frames at most
+    px = np.clip(np.rint((np.array([r["embedding"] for r in rows], np.float32).astype(float) + 1) * 2047.5), 0, 4095).astype(np.uint16).reshape(-1, 8, 8)
+    folder = tempfile.mkdtemp(prefix="spools-")
+    spool.write_spool(f"{folder}/a.fli", px[:25])
+    spool.write_spool(f"{folder}/b.fli.zst", px[25:])
+    f = spool.read_spools(s, f"{folder}/a.fli", f"{folder}/b.fli.zst", frames_at_once=7)
+    return f.withColumn("frame", F.when(F.col("path").endswith(".zst"), F.col("frame") + 25).otherwise(F.col("frame")))
+
+
+@Q("select user_id % 40 chunk from events group by 1")
+def stream_completion(s, d):
+    """Arrivals of result files drained by a stream that keeps the first of each chunk."""
+    import uuid
+
+    from lumenfold.plans.shared import shared_folder
+    from lumenfold.streaming.completion import track
+
+    e = f"{shared_folder(s)}/arrivals-{uuid.uuid4().hex}"
+    table(s, d, "events").select((F.col("user_id") % 40).alias("chunk"), "event_id").repartition(4).write.parquet(f"{e}/in")
+    stream = s.readStream.schema("chunk long, event_id long").parquet(f"{e}/in").select("chunk")
+    track(stream, f"{e}/out", f"{e}/log")
+    return s.read.schema("chunk long").parquet(f"{e}/out")
