@@ -29,11 +29,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words of repeated passages; a text that loses none stays as it is, one that loses all goes."""
-    cut = fm_dedup.dedup(docs, docs.columns).where("n_removed < n_words OR n_words = 0 OR n_words IS NULL")
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    out = cut.withColumn("text", text)
+    cut = fm_dedup.dedup(docs, docs.columns, prefix="__").where("__n_removed < __n_words OR __n_words = 0")
+    changed = F.col("__n_removed") > 0
+    out = cut.withColumn("text", F.when(changed, F.col("__kept")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 

@@ -7,7 +7,6 @@ order of its entries, so answers carry no keys. Blocks are rebuilt from the same
 
 from __future__ import annotations
 
-import json
 import struct
 
 import numpy as np
@@ -24,17 +23,18 @@ _NAMES = ["dest", "src", "kind", "payload"]
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    head = json.dumps([(a.dtype.str, len(a)) for a in arrays]).encode()
-    body = struct.pack("<I", len(head)) + head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
-    return struct.pack("<Q", len(body)) + pa.compress(body, codec="zstd", asbytes=True)
+    """Arrays with a 7-byte head each (type, length), compressed."""
+    head = struct.pack("<B", len(arrays)) + b"".join(struct.pack("<3sI", a.dtype.str.encode(), len(a)) for a in arrays)
+    body = head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
+    return struct.pack("<I", len(body)) + pa.compress(body, codec="zstd", asbytes=True)
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
-    body = pa.decompress(blob[8:], struct.unpack("<Q", blob[:8])[0], codec="zstd", asbytes=True)
-    n = struct.unpack("<I", body[:4])[0]
-    at, out = 4 + n, []
-    for kind, size in json.loads(body[4 : 4 + n]):
-        out.append(np.frombuffer(body, kind, size, at))
+    body = pa.decompress(blob[4:], struct.unpack("<I", blob[:4])[0], codec="zstd", asbytes=True)
+    at, out = 1 + 7 * body[0], []
+    for i in range(body[0]):
+        kind, size = struct.unpack_from("<3sI", body, 1 + 7 * i)
+        out.append(np.frombuffer(body, kind.decode(), size, at))
         at += out[-1].nbytes
     return out
 
@@ -56,8 +56,8 @@ def block_count(docs: DataFrame, bytes_each: int = BLOCK_BYTES) -> int:
 
 
 def blocks(docs: DataFrame, n: int) -> DataFrame:
-    """docs with a column block, dealt by it; every round reads this one shuffle."""
-    return docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n))).repartition(n, "block")
+    """docs with a column __block, dealt by it; every round reads this one shuffle."""
+    return docs.withColumn("__block", F.pmod(F.xxhash64("doc_id"), F.lit(n))).repartition(n, "__block")
 
 
 def shard_of(h: np.ndarray, parts: int) -> np.ndarray:

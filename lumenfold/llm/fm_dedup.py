@@ -164,16 +164,17 @@ class Segments:
         self.ids = np.array([0 if i is None else i for i in ids], np.int64)
 
 
-def dedup(docs: DataFrame, keep: list[str] | None = None, window: int = WINDOW, hot: int = HOT) -> DataFrame:
-    """The given columns (default doc_id), n_words, n_removed, kept_sha256 and kept (the words left, one space between)."""
+def dedup(docs: DataFrame, keep: list[str] | None = None, window: int = WINDOW, hot: int = HOT, prefix: str = "") -> DataFrame:
+    """The given columns (default doc_id) and, with the prefix before their names, n_words, n_removed, kept_sha256 and kept (the words left, one space between)."""
     keep = keep or ["doc_id"]
     fields = {f.name: f for f in docs.schema.fields}
-    cols = list(dict.fromkeys([*keep, "doc_id", "text"]))
+    # other columns travel under names of their own, so that none of theirs clashes
+    own = {c: c if c in ("doc_id", "text") else f"k{i}" for i, c in enumerate(keep)}
     n = B.block_count(docs)
-    dealt = B.blocks(docs.select(*cols), n)
+    dealt = B.blocks(docs.select("doc_id", "text", *(F.col(f"`{c}`").alias(a) for c, a in own.items() if a != c)), n)
 
     def ask_keys(t: pa.Table) -> pa.Table:
-        block = t.column("block")[0].as_py()
+        block = t.column("__block")[0].as_py()
         s = Segments(B.in_order(t), window)
         use = s.known[s.row]
         key, hash_, doc = s.key[use], s.hash[use], s.ids[s.row[use]]
@@ -232,7 +233,7 @@ def dedup(docs: DataFrame, keep: list[str] | None = None, window: int = WINDOW,
     def ask_segments(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return B.messages([])
-        block = left.column("block")[0].as_py()
+        block = left.column("__block")[0].as_py()
         s = Segments(B.in_order(left), window)
         state = states(left, right, s)
         start, windows, row, _, at, shard = pieces_of(s, state)
@@ -304,16 +305,16 @@ def dedup(docs: DataFrame, keep: list[str] | None = None, window: int = WINDOW,
             if removed[r]:
                 w = compress(w, (~drop[s.first[r] : s.first[r + 1]]).tolist())
             kept.append(b" ".join(w))
-        cols = [*(t.column(c) for c in keep), pa.array(np.diff(s.first)), pa.array(removed), pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array([k.decode() for k in kept], pa.string())]
+        cols = [*(t.column(own[c]) for c in keep), pa.array(np.diff(s.first)), pa.array(removed), pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array([k.decode() for k in kept], pa.string())]
         return pa.Table.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in cols], names)
 
-    names = [*keep, "n_words", "n_removed", "kept_sha256", "kept"]
+    names = [*keep, *(prefix + c for c in ("n_words", "n_removed", "kept_sha256", "kept"))]
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    schema = T.StructType([*(T.StructField(c, fields[c].dataType) for c in keep), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.StringType())])
+    schema = T.StructType([*(T.StructField(c, fields[c].dataType) for c in keep), *(T.StructField(c, T.LongType() if i < 2 else T.StringType()) for i, c in enumerate(names[-4:]))])
     out_schema = to_arrow_schema(schema)
-    keys = B.answer(dealt.groupBy("block").applyInArrow(ask_keys, B.MESSAGES), count_keys)
-    asked = dealt.groupBy("block").cogroup(keys.groupBy(F.col("src").alias("block"))).applyInArrow(ask_segments, B.MESSAGES)
+    keys = B.answer(dealt.groupBy("__block").applyInArrow(ask_keys, B.MESSAGES), count_keys)
+    asked = dealt.groupBy("__block").cogroup(keys.groupBy(F.col("src").alias("__block"))).applyInArrow(ask_segments, B.MESSAGES)
     found = B.answer(asked, search)
-    return dealt.groupBy("block").cogroup(found.groupBy(F.col("src").alias("block"))).applyInArrow(finish, schema)
+    return dealt.groupBy("__block").cogroup(found.groupBy(F.col("src").alias("__block"))).applyInArrow(finish, schema)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lumenfold.llm import decontaminate, fm_dedup, jaccard_join, language_id, lm_scoring, media, quality, sp_codec, suffix_dedup, url_filter
 from lumenfold.llm.common import table
+from lumenfold.llm.oracles import ORACLES
 
 #: Folder of public tokenizer files; none of them is part of this repository.
 TOKENIZERS = "/opt/tokenizers"
@@ -24,7 +26,7 @@ def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+    return url_filter.filter_urls(table(spark, sf_dir, "pages")).drop("score")
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +34,8 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.find_repeats(table(spark, sf_dir, "documents"))
+    found = suffix_dedup.find_repeats(table(spark, sf_dir, "documents"))
+    return found.withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,4 +59,4 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_media_columns, op3_url_filters, op4_jaccard_join, op5_suffix_dedup, op6_language_id, op7_sentencepiece, op8_decontamination, op9_substring_dedup, op10_quality_classifier)}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]

@@ -68,7 +68,7 @@ def find_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
 
     def ask_keys(t: pa.Table) -> pa.Table:
-        block = t.column("block")[0].as_py()
+        block = t.column("__block")[0].as_py()
         s = Suffixes(B.in_order(t))
         o = np.lexsort((s.around, s.key))
         key, around, doc = s.key[o], s.around[o], s.ids[s.row[o]]
@@ -119,7 +119,7 @@ def find_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     def ask_suffixes(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return B.messages([])
-        block = left.column("block")[0].as_py()
+        block = left.column("__block")[0].as_py()
         s = Suffixes(B.in_order(left))
         state = states(right, s)
         low, at, high, row, shard, first, which = entries(s, state)
@@ -215,7 +215,7 @@ def find_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
         ids = t.column("doc_id").take(pa.array(r, pa.int64()))
         return pa.Table.from_arrays([ids, *(pa.array(x, pa.int64()) for x in rest[:3]), pa.array(rest[3], pair)], names)
 
-    keys = B.answer(dealt.groupBy("block").applyInArrow(ask_keys, B.MESSAGES), count_keys)
-    asked = dealt.groupBy("block").cogroup(keys.groupBy(F.col("src").alias("block"))).applyInArrow(ask_suffixes, B.MESSAGES)
+    keys = B.answer(dealt.groupBy("__block").applyInArrow(ask_keys, B.MESSAGES), count_keys)
+    asked = dealt.groupBy("__block").cogroup(keys.groupBy(F.col("src").alias("__block"))).applyInArrow(ask_suffixes, B.MESSAGES)
     found = B.answer(asked, compare)
-    return dealt.groupBy("block").cogroup(found.groupBy(F.col("src").alias("block"))).applyInArrow(finish, schema)
+    return dealt.groupBy("__block").cogroup(found.groupBy(F.col("src").alias("__block"))).applyInArrow(finish, schema)

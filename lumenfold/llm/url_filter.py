@@ -55,7 +55,12 @@ def buckets(host: Column, path: Column) -> Column:
     def of(mark: str, text: Column) -> Column:
         t = F.concat(F.lit(mark + "^"), text, F.lit("$"))
         n = F.length(t)
-        return F.flatten(F.array(*(F.when(n >= k, F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i, k=k: t.substr(i, F.lit(k)))).otherwise(F.array().cast("array<string>")) for k in (3, 4))))
+
+        def cut(k: int) -> Column:
+            some = F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: t.substr(i, F.lit(k)))
+            return F.when(n >= k, some).otherwise(F.array().cast("array<string>"))
+
+        return F.concat(cut(3), cut(4))
 
     grams = F.concat(of("h", host), of("p", path), F.array(F.lit("bias")))
     return F.transform(grams, lambda g: F.conv(F.substring(F.md5(g), 1, 3), 16, 10).cast("int"))
