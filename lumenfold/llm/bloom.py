@@ -6,13 +6,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BITS = 27
+MIN_BITS, MAX_BITS = 24, 27
 
 
 class Bloom:
     def __init__(self, hashes: DataFrame, column: str, count: int):
         """count: about how many keys there are; at most 2^MAX_BITS bits are used."""
-        self.bits = min(MAX_BITS, max(16, int(np.ceil(np.log2(count * 48 + 1)))))
+        self.bits = min(MAX_BITS, max(MIN_BITS, int(np.ceil(np.log2(count * 48 + 1)))))
         at = F.explode(F.array(F.shiftrightunsigned(column, 64 - self.bits), F.col(column).bitwiseAND((1 << self.bits) - 1)))
         # one row per 64 bits of the filter: at most 2^(MAX_BITS - 6)
         rows = hashes.select(at.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("v")).toPandas()
