@@ -41,8 +41,3 @@ def to_voxels(blocks: DataFrame, nx: int, nz: int, ny: int, *keys: str) -> DataF
     e = blocks.select(*keys, "x0", "z0", "y0", F.posexplode("data").alias("p", "v")).where("v IS NOT NULL")
     return e.select(*keys, F.expr(f"x0 + p div {nz * ny}").alias("x"), F.expr(f"cast(z0 + p div {ny} % {nz} as int)").alias("z"), F.expr(f"cast(y0 + p % {ny} as int)").alias("y"), "v")
 
-
-def bounded(df: DataFrame, most_rows: int = 4_000_000) -> DataFrame:
-    """df with a broadcast hint if it has at most so many rows (a mask plane or a small matrix), else df itself, for
-    which Spark then chooses a shuffled join."""
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df

@@ -305,14 +305,14 @@ def label_stats(s, d):
     return reduce.label_stats(volume(s, d))
 
 
-@Q(f"with {{vox}}, s as (select label, {STATS} from vox where v > 50000 group by label), l as (select (range + 0)::int as label from range(0, 15)) select label, coalesce(n, 0) n, coalesce(mean, 0) mean, c_x, c_z, c_y from l left join s using (label)")
+@Q(f"with {{vox}}, s as (select label, {STATS} from vox where v > 38500 group by label), l as (select (range + 0)::int as label from range(0, 15)) select label, coalesce(n, 0) n, coalesce(mean, 0) mean, c_x, c_z, c_y from l left join s using (label)")
 def label_stats_absent_zero(s, d):
-    return reduce.label_stats(volume(s, d).where("v > 50000"), s.range(15).select(F.col("id").cast("int").alias("label")))
+    return reduce.label_stats(volume(s, d).where("v > 38500"), s.range(15).select(F.col("id").cast("int").alias("label")))
 
 
-@Q("with {vox} select label, x, z, y, row_number() over (partition by label order by x, z, y) - 1 i from vox where v > 60000")
+@Q("with {vox} select label, x, z, y, row_number() over (partition by label order by x, z, y) - 1 i from vox where v > 41000")
 def label_voxels(s, d):
-    return reduce.label_voxels(volume(s, d).where("v > 60000"))
+    return reduce.label_voxels(volume(s, d).where("v > 41000"))
 
 
 @Q("with {vox} select x // 10 chunk, not bool_or(v - 20000 > 0) background, bool_and(v - 20000 > 0) bright from vox group by 1")
@@ -485,9 +485,9 @@ def chunk_assign(s, d):
     return volume(s, d).where("x < 300").select("x", "z", "y", chunks.chunk_of((8, 8, 599), 3).alias("chunk"))
 
 
-@Q("with g as (select a chunk from range(70) t(a)), {vox}, f as (select x // 10 chunk, not bool_or(v > 62000) background, bool_and(v > 100) bright from vox group by 1) select chunk from g where chunk not in (select g.chunk from g left join f using (chunk) where coalesce(background, true) or coalesce(bright, false))")
+@Q("with g as (select a chunk from range(70) t(a)), {vox}, f as (select x // 10 chunk, not bool_or(v > 45500) background, bool_and(v > 20500) bright from vox group by 1) select chunk from g where chunk not in (select g.chunk from g left join f using (chunk) where coalesce(background, true) or coalesce(bright, false))")
 def fg_chunks(s, d):
-    f = volume(s, d).groupBy(F.expr("x div 10").alias("chunk")).agg((~F.bool_or(F.col("v") > 62000)).alias("background"), F.bool_and(F.col("v") > 100).alias("bright"))
+    f = volume(s, d).groupBy(F.expr("x div 10").alias("chunk")).agg((~F.bool_or(F.col("v") > 45500)).alias("background"), F.bool_and(F.col("v") > 20500).alias("bright"))
     return chunks.foreground(s.range(70).select(F.col("id").alias("chunk")), f)
 
 
@@ -516,11 +516,11 @@ def scan_mask_by_slab(s, d):
     return t.join(m, "scan_z").select("x", "z", "y", (F.col("v") - F.col("bg")).alias("v"))
 
 
-@Q("with g as (select y, p z from range(10) t(y), (select distinct o_orderpriority p from orders)) select y, z from g anti join (select o_custkey % 10 y, o_orderpriority z from orders where o_totalprice > 300000 group by all) f using (y, z)")
+@Q("with g as (select y, p z from range(10) t(y), (select distinct o_orderpriority p from orders)) select y, z from g anti join (select o_custkey % 10 y, o_orderpriority z from orders where o_orderkey % 400 = 0 group by all) f using (y, z)")
 def missing_tiles(s, d):
     o = table(s, d, "orders")
     grid = o.select(F.col("o_orderpriority").alias("z")).distinct().select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(9).cast("long"))).alias("y"), "z")
-    return tables.missing_tiles(grid, o.where("o_totalprice > 300000").select((F.col("o_custkey") % 10).alias("y"), F.col("o_orderpriority").alias("z")), ["y", "z"])
+    return tables.missing_tiles(grid, o.where("o_orderkey % 400 = 0").select((F.col("o_custkey") % 10).alias("y"), F.col("o_orderpriority").alias("z")), ["y", "z"])
 
 
 @Q("select coalesce(a, b) laser, a is not null in_a from (select distinct p_size a from part where p_partkey % 7 = 0) full join (select distinct p_size b from part where p_partkey % 11 = 0) on a = b where a is null or b is null")
@@ -543,10 +543,10 @@ def box_mean(s, d):
     return components.box_mean(p, v, (4, 3, 2), (n, 8, 8), 16)
 
 
-@Q("with {vox}, a as (select x, z, y, x // 4 l from vox where v > 30000), b as (select x, z, y, x * 10 + z // 4 s from vox where v > 50000), sz as (select s, count(*) size from b group by s), i as (select l, s, count(*) n from a join b using (x, z, y) group by all) select l label, count(*) parts from i join sz using (s) where n = size group by l having count(*) >= 3")
+@Q("with {vox}, a as (select x, z, y, x // 4 l from vox where v > 30000), b as (select x, z, y, x * 10 + z // 4 s from vox where v > 38500), sz as (select s, count(*) size from b group by s), i as (select l, s, count(*) n from a join b using (x, z, y) group by all) select l label, count(*) parts from i join sz using (s) where n = size group by l having count(*) >= 3")
 def containment_filter(s, d):
     v = volume(s, d)
-    return components.containing(v.where("v > 30000").select("x", "z", "y", F.expr("x div 4").alias("label")), v.where("v > 50000").select("x", "z", "y", F.expr("x * 10 + z div 4").alias("label")), 3)
+    return components.containing(v.where("v > 30000").select("x", "z", "y", F.expr("x div 4").alias("label")), v.where("v > 38500").select("x", "z", "y", F.expr("x * 10 + z div 4").alias("label")), 3)
 
 
 # --- geometry --------------------------------------------------------------------------------------------------------
@@ -582,40 +582,40 @@ def resize_linear(s, d):
 N26 = "n as (select a dx, b dz, c dy from range(-1, 2) t(a), range(-1, 2) u(b), range(-1, 2) w(c))"
 
 
-@Q(f"with {{vox}}, {N26} select distinct x + dx x, (z + dz)::int z, (y + dy)::int y from vox, n where v > 62000 and z + dz between 0 and 7 and y + dy between 0 and 7 and x + dx between 0 and 9999999")
+@Q(f"with {{vox}}, {N26} select distinct x + dx x, (z + dz)::int z, (y + dy)::int y from vox, n where v > 42000 and z + dz between 0 and 7 and y + dy between 0 and 7 and x + dx between 0 and 9999999")
 def dilate(s, d):
-    return geometry.dilate(volume(s, d).where("v > 62000"), 26, 1, bounds=(10_000_000, 8, 8))
+    return geometry.dilate(volume(s, d).where("v > 42000"), 26, 1, bounds=(10_000_000, 8, 8))
 
 
-@Q(f"with {{vox}}, {N26}, m as (select x, z, y from vox where v > 62000) select distinct x + dx x, (z + dz)::int z, (y + dy)::int y from m, n where abs(dx) + abs(dz) + abs(dy) = 1 and z + dz between 0 and 7 and y + dy between 0 and 7 and x + dx between 0 and 9999999 and not exists (select 1 from m q where q.x = m.x + dx and q.z = m.z + dz and q.y = m.y + dy)")
+@Q(f"with {{vox}}, {N26}, m as (select x, z, y from vox where v > 42000) select distinct x + dx x, (z + dz)::int z, (y + dy)::int y from m, n where abs(dx) + abs(dz) + abs(dy) = 1 and z + dz between 0 and 7 and y + dy between 0 and 7 and x + dx between 0 and 9999999 and not exists (select 1 from m q where q.x = m.x + dx and q.z = m.z + dz and q.y = m.y + dy)")
 def dilate_ring(s, d):
-    return geometry.dilate(volume(s, d).where("v > 62000"), 6, 1, ring=True, bounds=(10_000_000, 8, 8))
+    return geometry.dilate(volume(s, d).where("v > 42000"), 6, 1, ring=True, bounds=(10_000_000, 8, 8))
 
 
 @Q("""with {vox}, n as (select a dx, b dz, c dy, a*a + b*b + c*c d from range(-3, 4) t(a), range(-3, 4) u(b), range(-3, 4) w(c) where a*a + b*b + c*c <= 9),
-e as (select label, x + dx x, (z + dz)::int z, (y + dy)::int y, d from vox, n where v > 64000), r as (select *, row_number() over (partition by x, z, y order by d, label) r from e where x between 0 and 9999999 and z between 0 and 7 and y between 0 and 7)
+e as (select label, x + dx x, (z + dz)::int z, (y + dy)::int y, d from vox, n where v > 43000), r as (select *, row_number() over (partition by x, z, y order by d, label) r from e where x between 0 and 9999999 and z between 0 and 7 and y between 0 and 7)
 select label, x, z, y, (ceil(sqrt(d::double)) + 1)::int layer from r where r = 1""")
 def shells(s, d):
-    return geometry.shells(volume(s, d).where("v > 64000"), 3, bounds=(10_000_000, 8, 8))
+    return geometry.shells(volume(s, d).where("v > 43000"), 3, bounds=(10_000_000, 8, 8))
 
 
-PLANES = "p as (select x, z, y from vox where v > 52000 and x < 40)"
+PLANES = "p as (select x, z, y from vox where v > {t} and x < 40)"
 
 
-@Q(f"""with recursive {{vox}}, {PLANES}, i as (select x, z, y, (x * 8 + z) * 8 + y id from p), e as (select a.id a, b.id b from i a join i b on abs(a.x - b.x) <= 1 and abs(a.z - b.z) <= 1 and abs(a.y - b.y) <= 1),
+@Q(f"""with recursive {{vox}}, {PLANES.format(t=38000)}, i as (select x, z, y, (x * 8 + z) * 8 + y id from p), e as (select a.id a, b.id b from i a join i b on abs(a.x - b.x) <= 1 and abs(a.z - b.z) <= 1 and abs(a.y - b.y) <= 1),
 r(id, c) as (select id, id from i union select e.b, r.c from r join e on e.a = r.id) select x, z, y, min(c) label from i join r using (id) group by x, z, y""")
 def connected_components_26(s, d):
-    v = volume(s, d).where("x < 40").withColumn("v", F.when(F.col("v") > 52000, 1).otherwise(0))
+    v = volume(s, d).where("x < 40").withColumn("v", F.when(F.col("v") > 38000, 1).otherwise(0))
     return components.label_components(v.drop("label"), 8, 8, 26, 4).select("x", "z", "y", "label")
 
 
-@Q(f"""with recursive {{vox}}, {PLANES}, i as (select x, z, y, (x * 8 + z) * 8 + y id from p), e as (select a.id a, b.id b from i a join i b on abs(a.x - b.x) + abs(a.z - b.z) + abs(a.y - b.y) = 1),
+@Q(f"""with recursive {{vox}}, {PLANES.format(t=35500)}, i as (select x, z, y, (x * 8 + z) * 8 + y id from p), e as (select a.id a, b.id b from i a join i b on abs(a.x - b.x) + abs(a.z - b.z) + abs(a.y - b.y) = 1),
 r(id, c) as (select id, id from i union select e.b, r.c from r join e on e.a = r.id), l as (select x, z, y, min(c) label from i join r using (id) group by x, z, y)
 select label, count(*) area, round_even(avg(x) * 100, 0) / 100 x, round_even(avg(z) * 100, 0) / 100 z, round_even(avg(y) * 100, 0) / 100 y from l group by label having count(*) >= 4""")
 def extract_points(s, d):
     from lumenfold.operators.detect import extract_points as extract
 
-    v = volume(s, d).where("x < 40").withColumn("v", F.when(F.col("v") > 52000, 1).otherwise(0))
+    v = volume(s, d).where("x < 40").withColumn("v", F.when(F.col("v") > 35500, 1).otherwise(0))
     return extract(v.drop("label"), 8, 8, 6, 4)
 
 
@@ -636,7 +636,7 @@ def two_threshold_objects(s, d):
 
     v = volume(s, d).where("x < 60").drop("label")
     on = lambda t: v.withColumn("v", F.when(F.col("v") > t, 1).otherwise(0))
-    return split_merged(on(42000), on(56000), 8, 8, 2)
+    return split_merged(on(35000), on(39500), 8, 8, 2)
 
 
 @Q()
@@ -673,7 +673,7 @@ def detect_and_measure(s, d):
 
     v = volume(s, d).where("x < 64").drop("label")
     ch = fold(DataFrame.unionByName, [arith.roll(v, k, 0, 8, 8).withColumn("ch", F.lit(k + 1)) for k in range(5)])
-    return plan(v, ch, Config(threshold=0.6), IntensityScorer(1.0), 16)
+    return plan(v, ch, Config(threshold=0.6, least_voxels=2), IntensityScorer(2.0), 16)
 
 
 # --- names -----------------------------------------------------------------------------------------------------------
@@ -736,10 +736,10 @@ def dedupe_max(s, d):
     return tables.keep_largest(coordinates(s, d), COORDS, "l_extendedprice", ORDER.split(", "))
 
 
-@Q("select l_suppkey, l_linenumber, l_quantity, round(avg(l_extendedprice), 7) l_extendedprice, round(avg(l_discount), 9) l_discount from lineitem group by 1, 2, 3")
+@Q("select l_suppkey, l_linenumber, l_quantity, avg(round(l_extendedprice * 100)::bigint) cents, avg(round(l_discount * 100)::bigint) percent from lineitem group by 1, 2, 3")
 def dedupe_mean(s, d):
-    m = tables.keep_mean(coordinates(s, d), COORDS, ("l_orderkey",))
-    return m.select(*COORDS, F.round("l_extendedprice", 7).alias("l_extendedprice"), F.round("l_discount", 9).alias("l_discount"))
+    c = coordinates(s, d).select(*COORDS, "l_orderkey", F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"), F.round(F.col("l_discount") * 100).cast("long").alias("percent"))
+    return tables.keep_mean(c, COORDS, ("l_orderkey",))
 
 
 @Q("with c as (select c_nationkey chunk, c_custkey, c_custkey % 50 label from customer), m as (select chunk, max(label) m from c group by 1), r as (select chunk, coalesce(sum(m) over (order by chunk rows between unbounded preceding and 1 preceding), 0) s from m) select chunk, c_custkey, (label + s)::bigint label from c join r using (chunk)")
@@ -781,11 +781,11 @@ def merge_measurements(s, d):
     return tables.merge_measurements(p, s.range(24).where("id % 6 = 0").select(F.col("id").alias("chunk")), chunks.chunk_grid(s, (17, 30, 25), 10), 2.0)
 
 
-SPECTRA = "sp as (select l_orderkey % 24 chunk, (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey as row, round_even(l_quantity / 4, 0)::bigint axis_0, round_even(l_linenumber, 0)::bigint axis_1, (l_suppkey % 9)::bigint axis_2, l_partkey vol_l1, l_extendedprice ch1_l1 from lineitem)"
+SPECTRA = "sp as (select l_orderkey % 24 chunk, (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey as row, round_even(l_quantity / 4, 0)::bigint axis_0, round_even(l_linenumber, 0)::bigint axis_1, (l_suppkey % 9)::bigint axis_2, l_partkey vol_l1, round(l_extendedprice * 100)::bigint ch1_l1 from lineitem)"
 
 
 def spectra(s, d):
-    return table(s, d, "lineitem").select((F.col("l_orderkey") % 24).alias("chunk"), ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey")).alias("row"), (F.col("l_quantity") / 4).alias("axis_0"), F.col("l_linenumber").cast("double").alias("axis_1"), (F.col("l_suppkey") % 9).cast("double").alias("axis_2"), F.col("l_partkey").alias("vol_l1"), F.col("l_extendedprice").alias("ch1_l1"))
+    return table(s, d, "lineitem").select((F.col("l_orderkey") % 24).alias("chunk"), ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey")).alias("row"), (F.col("l_quantity") / 4).alias("axis_0"), F.col("l_linenumber").cast("double").alias("axis_1"), (F.col("l_suppkey") % 9).cast("double").alias("axis_2"), F.col("l_partkey").alias("vol_l1"), F.round(F.col("l_extendedprice") * 100).cast("long").alias("ch1_l1"))
 
 
 @Q(f"with {SPECTRA} select axis_0, axis_1, axis_2, vol_l1, ch1_l1 from sp qualify row_number() over (partition by axis_0, axis_1, axis_2 order by chunk, row) = 1")
@@ -798,17 +798,16 @@ def combine_spectra_max(s, d):
     return tables.combine_spectra(spectra(s, d), "max_vol_l1")
 
 
-@Q(f"with {SPECTRA} select axis_0, axis_1, axis_2, round(avg(vol_l1), 7) vol_l1, round(avg(ch1_l1), 7) ch1_l1 from sp group by 1, 2, 3")
+@Q(f"with {SPECTRA} select axis_0, axis_1, axis_2, avg(vol_l1) vol_l1, avg(ch1_l1) ch1_l1 from sp group by 1, 2, 3")
 def combine_spectra_mean(s, d):
-    m = tables.combine_spectra(spectra(s, d), "mean")
-    return m.select(*tables.AXES, F.round("vol_l1", 7).alias("vol_l1"), F.round("ch1_l1", 7).alias("ch1_l1"))
+    return tables.combine_spectra(spectra(s, d), "mean")
 
 
-@Q("with {vox} select distinct x, z, y from (select x, z, y from vox where v > 60000 union all select x, (z + 1) % 8, y from vox where v > 63000)")
+@Q("with {vox} select distinct x, z, y from (select x, z, y from vox where v > 41000 union all select x, (z + 1) % 8, y from vox where v > 42500)")
 def mask_union(s, d):
     v = volume(s, d).drop("label")
     on = lambda t: v.withColumn("v", F.when(F.col("v") > t, 1).otherwise(0))
-    return tables.union_masks(on(60000), arith.roll(on(63000), 1, 0, 8, 8))
+    return tables.union_masks(on(41000), arith.roll(on(42500), 1, 0, 8, 8))
 
 
 @Q("select n_regionkey scan_z, n_nationkey scan_y, w width, coalesce(sum(w) over (partition by n_regionkey order by n_nationkey rows between unbounded preceding and 1 preceding), 0)::bigint \"start\" from nation join (select s_nationkey n_nationkey, count(*) w from supplier group by 1) using (n_nationkey)")
@@ -886,3 +885,93 @@ def stream_completion(s, d):
     stream = s.readStream.schema("chunk long, event_id long").parquet(f"{e}/in").select("chunk")
     track(stream, f"{e}/out", f"{e}/log")
     return s.read.schema("chunk long").parquet(f"{e}/out")
+
+
+# --- compositions ----------------------------------------------------------------------------------------------------
+
+
+@Q(f"with {{vox}}, {QUAD.format(b=2, c=3)}, l as (select z, y, (z + y + 1)::double light from (select distinct z, y from q)), w as (select x, ch, z, y, v, v / light w from q join l using (z, y)), m as (select max(v) m0, max(w) m1 from w) select x, ch, ((z + ch) % 4)::int z, ((y + 2 * ch) % 4)::int y, round(w * m0 / m1, 6) v from w, m")
+def aligned_colour_view(s, d):
+    """Quadrants as channels, evened by the lighting image and rolled by channel: a view over the raw frames."""
+    q = arith.split_quadrants(volume(s, d).drop("label"), 4, 4, 8, 8)
+    light = q.select("z", "y").distinct().withColumn("light", (F.col("z") + F.col("y") + 1).cast("double"))
+    e = arith.even_lighting(q, light)
+    return e.select("x", "ch", ((F.col("z") + F.col("ch")) % 4).alias("z"), ((F.col("y") + 2 * F.col("ch")) % 4).alias("y"), F.round("v", 6).alias("v"))
+
+
+@Q(f"with {GRID}, {CSV} select chunk, z axis_0, y axis_1, x axis_2 from p")
+def csv_round_trip(s, d):
+    """Chunk tables written as CSV by chunk, and read back with the chunk from the path."""
+    import uuid
+
+    from lumenfold.plans.shared import shared_folder
+
+    path = f"{shared_folder(s)}/csv-{uuid.uuid4().hex}"
+    p = chunk_points(s, d).select("chunk", F.col("z").alias("axis-0"), F.col("y").alias("axis-1"), F.col("x").alias("axis-2"))
+    p.write.partitionBy("chunk").option("header", True).csv(path)
+    back = s.read.schema("`axis-0` double, `axis-1` double, `axis-2` double, chunk long").option("header", True).csv(path)
+    return back.select("chunk", F.col("`axis-0`").alias("axis_0"), F.col("`axis-1`").alias("axis_1"), F.col("`axis-2`").alias("axis_2"))
+
+
+@Q("with c as (select a * 31 + 4.5 cx, b * 7 cz, e * 7 cy from range(2) t(a), range(2) u(b), range(2) w(e)) select floor(min(2.0 * cx - 0.5 * cz))::int lo, ceil(max(2.0 * cx - 0.5 * cz))::int hi from c")
+def affine_bounds(s, d):
+    """Extent of a transformed volume from its eight corners, as a relation."""
+    c = s.range(8).selectExpr("(id div 4) * 31 + 4.5 cx", "(id div 2 % 2) * 7 cz", "(id % 2) * 7 cy")
+    o = 2.0 * F.col("cx") - 0.5 * F.col("cz")
+    return c.agg(F.floor(F.min(o)).cast("int").alias("lo"), F.ceil(F.max(o)).cast("int").alias("hi"))
+
+
+@Q("with n as (select n_nationkey, case when n_nationkey % 6 = 5 then 'plain' else 'tile_y' || (n_nationkey * 7 % 30) end f from nation), k as (select *, case when f = 'plain' then 1000000000 else regexp_extract(f, 'y(\\d+)', 1)::bigint end k from n) select n_nationkey, f, row_number() over (order by k, f, n_nationkey) r from k")
+def natural_order(s, d):
+    """Files in numeric order of their strip, unnumbered ones last."""
+    from pyspark.sql import Window as W
+
+    n = table(s, d, "nation").select("n_nationkey", F.when(F.col("n_nationkey") % 6 == 5, "plain").otherwise(F.concat(F.lit("tile_y"), F.col("n_nationkey") * 7 % 30)).alias("f"))
+    return n.withColumn("r", F.row_number().over(W.orderBy(names.sort_key(F.col("f")), "f", "n_nationkey"))).select("n_nationkey", "f", "r")
+
+
+@Q("select o_custkey % 10 tile, count(*) n from orders where o_totalprice > 400000 group by 1 having count(*) > 1")
+def non_empty_tiles(s, d):
+    """Tiles that have data beyond one row; the others are rejected before stitching."""
+    t = table(s, d, "orders").where("o_totalprice > 400000").groupBy((F.col("o_custkey") % 10).alias("tile")).agg(F.count("*").alias("n"))
+    return t.where("n > 1")
+
+
+@Q("with {vox}, m as (select x // 4 cx, z // 4 cz, y // 4 cy, bool_or(v > 43000) keep from vox group by all) select x // 16 chunk, count(*) n, sum(v)::bigint total from vox join m on cx = x // 4 and cz = z // 4 and cy = y // 4 where keep group by 1")
+def mask_chunk_join(s, d):
+    """Voxels under a mask of a lower resolution, by chunk ordinal."""
+    v = volume(s, d)
+    at = [F.expr(f"{c} div 4").alias(f"c{c}") for c in "xzy"]
+    m = v.groupBy(*at).agg(F.bool_or(F.col("v") > 43000).alias("keep")).where("keep")
+    return v.select("*", *at).join(m, ["cx", "cz", "cy"]).groupBy(F.expr("x div 16").alias("chunk")).agg(F.count("*").alias("n"), F.sum("v").alias("total"))
+
+
+@Q("with {vox}, r as (select z, (z + 1) * 256.0 corr from (select distinct z from vox)), c as (select x, z, y, trunc(least(65535, v * 512.0 / corr))::int v, x % 3 + 1 slab from vox join r using (z) where x < 90), m as (select max(z) m from c) select slab, x, m * (dense_rank() over (order by slab) - 1) + z whole, y, v from c, m")
+def fuse_planes(s, d):
+    """Flat-fielded planes of all slabs on end."""
+    v = volume(s, d).where("x < 90").drop("label")
+    f = arith.flat_field(v, v.select("z").distinct().select("z", ((F.col("z") + 1) * 256.0).alias("corr")), 512).withColumn("slab", F.col("x") % 3 + 1)
+    r = stitch.renumber_planes(f.select("slab", F.col("z").alias("plane")).distinct())
+    return f.join(r.withColumnRenamed("plane", "z"), ["slab", "z"]).select("slab", "x", "whole", "y", "v")
+
+
+@Q("""with {vox}, p as (select x // 16 bx, sum(v)::double s, sum(v::double * v) q from vox where x < 64 group by 1), st as (select bx, s / 4096 mu, sqrt(q / 4096 - (s / 4096) * (s / 4096)) sd from p)
+select x, z, y, case when 1 / (1 + exp(-((v - mu) / sd - 1))) > 0.6 then 1 else 0 end v from vox join st on bx = x // 16 where x < 64""")
+def score_and_mask(s, d):
+    """Patches of 16^3 (zeros beyond the volume) through the scorer, then the threshold."""
+    from lumenfold.operators.detect import IntensityScorer, mask_of, score_patches
+
+    return mask_of(score_patches(volume(s, d).where("x < 64").drop("label"), IntensityScorer(1.0), 16), 0.6)
+
+
+@Q("with {vox} select x // 100 scan, x, z, y, v from vox where z = 2 and x < 400")
+def plane_pruning(s, d):
+    """Planes in folders by scan and z; a single plane is read by partition pruning."""
+    import uuid
+
+    from lumenfold.plans.shared import shared_folder
+    from lumenfold.sources.tables import write_planes
+
+    path = f"{shared_folder(s)}/planes-{uuid.uuid4().hex}"
+    write_planes(volume(s, d).where("x < 400").select(F.expr("x div 100").alias("scan"), "x", "z", "y", "v"), path, "scan", "z")
+    return s.read.parquet(path).where("z = 2").select(F.col("scan").cast("long").alias("scan"), "x", "z", "y", "v")

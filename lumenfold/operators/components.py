@@ -34,26 +34,34 @@ def label_components(vox: DataFrame, nz: int, ny: int, kind: int = 26, block: in
     half = half_offsets(kind)
 
     def one(g: pd.DataFrame) -> pd.DataFrame:
-        at = {p: k for k, p in enumerate(zip(g.x.tolist(), g.z.tolist(), g.y.tolist(), strict=True))}
-        v, up = g.v.to_numpy(), np.arange(len(g))
-
-        def root(k: int) -> int:
-            while up[k] != k:
-                up[k] = up[up[k]]
-                k = up[k]
-            return k
-
-        for p, k in at.items():
-            for o in half:
-                q = at.get((p[0] + o[0], p[1] + o[1], p[2] + o[2]))
-                if q is not None and (not by_value or v[k] == v[q]):
-                    a, b = root(k), root(q)
-                    up[max(a, b)] = min(a, b)
-        r = np.array([root(k) for k in range(len(g))], dtype=np.int64)
+        at = np.stack([g[c].to_numpy() - int(g[f"b{c}"].iloc[0]) * block for c in "xzy"]).astype(np.int64)
+        size = at.max(axis=1) + 3  # an empty rim, so that no shift wraps
+        flat = np.ravel_multi_index(tuple(at + 1), tuple(size))
+        place = np.full(int(np.prod(size)), -1, np.int64)
+        place[flat] = np.arange(len(g))
+        v = g.v.to_numpy()
+        a, b = [], []
+        for o in half:
+            other = place[flat + (o[0] * size[1] + o[1]) * size[2] + o[2]]
+            ok = other >= 0
+            if by_value:
+                ok &= v == v[other]
+            a.append(np.flatnonzero(ok)), b.append(other[ok])
+        a, b = np.concatenate(a), np.concatenate(b)
         i = g.i.to_numpy()
-        least = np.full(len(g), np.iinfo(np.int64).max)
-        np.minimum.at(least, r, i)
-        return g[["x", "z", "y", "v", "i"]].assign(part=least[r])
+        order = np.argsort(i)  # roots are the smallest linear index
+        up = np.empty(len(g), np.int64)
+        up[order] = np.arange(len(g))
+        while True:
+            low = np.minimum(up[a], up[b])
+            new = up.copy()
+            np.minimum.at(new, a, low)
+            np.minimum.at(new, b, low)
+            new = np.minimum(new, new[order][new])  # also the label of the label
+            if (new == up).all():
+                break
+            up = new
+        return g[["x", "z", "y", "v", "i"]].assign(part=i[order][up])
 
     kind_v = dict(vox.dtypes)["v"]
     parts = materialize(cut.groupBy("bx", "bz", "by").applyInPandas(one, f"x {dict(vox.dtypes)['x']}, z int, y int, v {kind_v}, i long, part long"), "parts")

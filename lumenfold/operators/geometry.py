@@ -24,14 +24,15 @@ def warp_bilinear(vox: DataFrame, m: list[list[float]], nz: int, ny: int) -> Dat
     sources: the taps are a relation of 4 rows per pixel of one plane, whatever the number of frames."""
     full = np.vstack([np.array(m, float), [0, 0, 1]])
     inv = np.linalg.inv(full)
+    z, y = (a.ravel() for a in np.indices((nz, ny)))
+    sy, sz, _ = np.round(inv @ np.stack([y, z, np.ones(len(y))]), 9)
+    fy, fz = np.floor(sy).astype(int), np.floor(sz).astype(int)
     taps = []
-    for z, y in itertools.product(range(nz), range(ny)):
-        sy, sz, _ = np.round(inv @ [y, z, 1], 9)
-        fy, fz = int(np.floor(sy)), int(np.floor(sz))
-        for dz, dy in itertools.product((0, 1), (0, 1)):
-            w = (1 - abs(sz - fz - dz)) * (1 - abs(sy - fy - dy))
-            if w > 0 and 0 <= fz + dz < nz and 0 <= fy + dy < ny:
-                taps.append((z, y, fz + dz, fy + dy, float(w)))
+    for dz, dy in itertools.product((0, 1), (0, 1)):
+        w = (1 - np.abs(sz - fz - dz)) * (1 - np.abs(sy - fy - dy))
+        ok = (w > 0) & (fz + dz >= 0) & (fz + dz < nz) & (fy + dy >= 0) & (fy + dy < ny)
+        taps.append(np.stack([z, y, fz + dz, fy + dy, w], axis=1)[ok])
+    taps = np.concatenate(taps)
     spark = vox.sparkSession
     t = spark.createDataFrame(pd.DataFrame(taps, columns=["oz", "oy", "z", "y", "w"]), "oz int, oy int, z int, y int, w double")
     got = vox.join(t, ["z", "y"]).groupBy("x", F.col("oz").alias("z"), F.col("oy").alias("y")).agg(F.sum(F.col("w") * F.col("v")).alias("v"))
