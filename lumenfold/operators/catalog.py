@@ -310,7 +310,7 @@ def label_stats_absent_zero(s, d):
     return reduce.label_stats(volume(s, d).where("v > 38500"), s.range(15).select(F.col("id").cast("int").alias("label")))
 
 
-@Q("with {vox} select label, x, z, y, row_number() over (partition by label order by x, z, y) - 1 i from vox where v > 41000")
+@Q("with {vox} select label, x, z, y, (row_number() over (partition by label order by x, z, y) - 1)::int i from vox where v > 41000")
 def label_voxels(s, d):
     return reduce.label_voxels(volume(s, d).where("v > 41000"))
 
@@ -436,7 +436,7 @@ def unpack_uint12(s, d):
     g = w.groupBy("x", "z", F.expr("y - y % 2").alias("y")).agg(F.max(F.when(F.col("y") % 2 == 0, F.col("q"))).alias("a"), F.max(F.when(F.col("y") % 2 == 1, F.col("q"))).alias("b"))
     b = g.select("x", "z", "y", F.expr("a & 255").alias("f"), F.expr("shiftright(a, 8) | shiftleft(b & 15, 4)").alias("m"), F.expr("shiftright(b, 4)").alias("l"))
     p0, p1 = spool.unpack12(F.col("f"), F.col("m"), F.col("l"))
-    return b.select("x", "z", "y", p0.alias("p0"), p1.alias("p1"))
+    return b.select("x", "z", "y", p0.cast("int").alias("p0"), p1.cast("int").alias("p1"))
 
 
 @Q("with h as (select o_orderkey, 'X = 1280' || chr(10) || 'y = ' || (8 * (o_custkey % 5 + 1)) || chr(10) || 'timestamps = ' || (o_orderkey % 50) || chr(10) || 'note' || chr(10) || '{END}bytes' t from orders) select o_orderkey::varchar path, 1280::bigint x, regexp_extract(t, 'y = (\\d+)', 1)::bigint y, regexp_extract(t, 'timestamps = (\\d+)', 1)::bigint timestamps, instr(t, '{END}') + 4 header_length from h")
@@ -568,13 +568,13 @@ def cubic_warp(s, d):
     return geometry.warp_blocks(volume(s, d).where("x < 32").drop("label"), m, (32, 8, 8), 16)
 
 
-@Q("with {vox}, m as (select a oz, b oy, least(7, floor((a + 0.5) * 8 / 5))::int z, least(7, floor((b + 0.5) * 8 / 12))::int y from range(5) t(a), range(12) u(b)) select x, oz z, oy y, v from vox join m using (z, y)")
+@Q("with {vox}, m as (select a oz, b oy, least(7, floor((a + 0.5) * 8 / 5))::int z, least(7, floor((b + 0.5) * 8 / 12))::int y from range(5) t(a), range(12) u(b)) select x, oz::int z, oy::int y, v from vox join m using (z, y)")
 def resize_nearest(s, d):
     return geometry.resize_nearest(volume(s, d), 8, 8, 5, 12)
 
 
 @Q("""with {vox}, a as (select range o, greatest(0, least(7, (range + 0.5::double) * 8 / 4 - 0.5)) p from range(4)), t as (select o, least(7, floor(p)::int + k) i, 1 - abs(p - floor(p) - k) w from a, range(2) r(k))
-select x, tz.o z, ty.o y, sum(v * tz.w * ty.w) v from vox join t tz on tz.i = z and tz.w > 0 join t ty on ty.i = y and ty.w > 0 group by all""")
+select x, tz.o::int z, ty.o::int y, sum(v * tz.w * ty.w) v from vox join t tz on tz.i = z and tz.w > 0 join t ty on ty.i = y and ty.w > 0 group by all""")
 def resize_linear(s, d):
     return geometry.resize_linear(volume(s, d), 8, 8, 4, 4)
 
@@ -921,7 +921,7 @@ def affine_bounds(s, d):
     return c.agg(F.floor(F.min(o)).cast("int").alias("lo"), F.ceil(F.max(o)).cast("int").alias("hi"))
 
 
-@Q("with n as (select n_nationkey, case when n_nationkey % 6 = 5 then 'plain' else 'tile_y' || (n_nationkey * 7 % 30) end f from nation), k as (select *, case when f = 'plain' then 1000000000 else regexp_extract(f, 'y(\\d+)', 1)::bigint end k from n) select n_nationkey, f, row_number() over (order by k, f, n_nationkey) r from k")
+@Q("with n as (select n_nationkey, case when n_nationkey % 6 = 5 then 'plain' else 'tile_y' || (n_nationkey * 7 % 30) end f from nation), k as (select *, case when f = 'plain' then 1000000000 else regexp_extract(f, 'y(\\d+)', 1)::bigint end k from n) select n_nationkey, f, (row_number() over (order by k, f, n_nationkey))::int r from k")
 def natural_order(s, d):
     """Files in numeric order of their strip, unnumbered ones last."""
     from pyspark.sql import Window as W
@@ -946,7 +946,7 @@ def mask_chunk_join(s, d):
     return v.select("*", *at).join(m, ["cx", "cz", "cy"]).groupBy(F.expr("x div 16").alias("chunk")).agg(F.count("*").alias("n"), F.sum("v").alias("total"))
 
 
-@Q("with {vox}, r as (select z, (z + 1) * 256.0 corr from (select distinct z from vox)), c as (select x, z, y, trunc(least(65535, v * 512.0 / corr))::int v, x % 3 + 1 slab from vox join r using (z) where x < 90), m as (select max(z) m from c) select slab, x, m * (dense_rank() over (order by slab) - 1) + z whole, y, v from c, m")
+@Q("with {vox}, r as (select z, (z + 1) * 256.0 corr from (select distinct z from vox)), c as (select x, z, y, trunc(least(65535, v * 512.0 / corr))::int v, x % 3 + 1 slab from vox join r using (z) where x < 90), m as (select max(z) m from c) select slab, x, (m * (dense_rank() over (order by slab) - 1) + z)::int whole, y, v from c, m")
 def fuse_planes(s, d):
     """Flat-fielded planes of all slabs on end."""
     v = volume(s, d).where("x < 90").drop("label")
