@@ -25,12 +25,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
-
-def drop_table(df: DataFrame) -> None:
-    """Delete a table made by materialize() that no plan needs any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for f in {x.rpartition("/")[0] for x in df.inputFiles()}:
-        if f.startswith(shared_folder(spark).replace("file:///", "file:/").replace("file:/", "file:///")) or "/" in f:
-            p = jvm.org.apache.hadoop.fs.Path(f)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
