@@ -28,6 +28,8 @@ from lumenfold.llm import blocks as B
 from lumenfold.llm.tokens import grams, inside, mix, words
 
 WINDOW, GRAM, HOT = 13, 5, 5000
+#: Text per block: its index structures take about twenty times as much.
+BLOCK_BYTES = 4 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS = np.ones(1, np.uint64)
 
@@ -170,7 +172,7 @@ def dedup(docs: DataFrame, keep: list[str] | None = None, window: int = WINDOW,
     fields = {f.name: f for f in docs.schema.fields}
     # other columns travel under names of their own, so that none of theirs clashes
     own = {c: c if c in ("doc_id", "text") else f"k{i}" for i, c in enumerate(keep)}
-    n = B.block_count(docs)
+    n = B.block_count(docs, BLOCK_BYTES)
     dealt = B.blocks(docs.select("doc_id", "text", *(F.col(f"`{c}`").alias(a) for c, a in own.items() if a != c)), n)
 
     def ask_keys(t: pa.Table) -> pa.Table:

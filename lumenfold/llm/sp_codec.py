@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from lumenfold.llm.common import by_piece
 
 SPACE, LITERAL = "▁", ""
-CHUNK, CACHE = 64, 400_000
+CHUNK, CACHE = 64, 200_000
 NEG = np.int64(-(1 << 50))
 
 
@@ -253,7 +253,7 @@ def encode(docs: DataFrame, tables: Codec, keep: list[str] | None = None) -> Dat
         return pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), ids, pa.array(size, pa.int64()), pa.array([float(g[1]) for g in got])], [*keep, "ids", "n_tokens", "score"])
 
     kinds = dict(docs.dtypes)
-    return docs.select(*keep, docs["text"].alias("__text")).mapInArrow(by_piece(run, "__text"), ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids array<int>, n_tokens long, score double"]))
+    return docs.select(*keep, docs["text"].alias("__text")).mapInArrow(by_piece(run, "__text", 2 << 20), ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids array<int>, n_tokens long, score double"]))
 
 
 def decode(tokens: DataFrame, tables: Codec) -> DataFrame:
@@ -281,4 +281,4 @@ def digest(docs: DataFrame, tables: Codec) -> DataFrame:
         ]
         return pa.RecordBatch.from_arrays(cols, ["doc_id", "n_chars", "n_tokens", "score", "ids_sha256", "round_trip"])
 
-    return docs.select("doc_id", "text").mapInArrow(by_piece(run), f"doc_id {dict(docs.dtypes)['doc_id']}, n_chars long, n_tokens long, score double, ids_sha256 string, round_trip boolean")
+    return docs.select("doc_id", "text").mapInArrow(by_piece(run, most=2 << 20), f"doc_id {dict(docs.dtypes)['doc_id']}, n_chars long, n_tokens long, score double, ids_sha256 string, round_trip boolean")
