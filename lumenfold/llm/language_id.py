@@ -19,8 +19,8 @@ from lumenfold.llm.common import by_piece, remainder
 from lumenfold.llm.tokens import LOWER, raw
 
 BUCKETS = 4096
-SAMPLE = 600
-STEPS, RATE, DECAY = 120, 20.0, 1e-5
+SAMPLE = 400
+STEPS, RATE, DECAY = 60, 20.0, 1e-5
 _CLEAN = LOWER.copy()
 _CLEAN[[b for b in range(128) if not chr(b).isalpha()]] = 32
 
