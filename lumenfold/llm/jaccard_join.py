@@ -167,7 +167,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         token, cls, n, pos, more = token[o], cls[o], n[o], pos[o], more[o]
         a, b, start = stars(token, cls, n, pos, percent)
         count = np.diff(np.r_[start, len(token)])
-        listed = np.repeat((count > 2) | (np.add.reduceat(more.astype(np.int64), start) > 0), count)
+        # a pair in no block's list too: it may be no class's best hub, and is then found only here
+        listed = np.repeat((count > 1) | (np.add.reduceat(more.astype(np.int64), start) > 0), count)
         return B.messages([(-1, 0, 0, B.pack(cls[a], cls[b])), (-1, 0, 1, B.pack(token[listed], cls[listed], n[listed], pos[listed]))])
 
     sent = classes.select("cls", "n", "pre").mapInArrow(entries, B.MESSAGES)

@@ -253,6 +253,24 @@ def test_jaccard_chain_and_hot_group(spark):
 # 5 and 9
 
 
+def test_jaccard_middle_of_three_in_three_blocks(spark):
+    # whole and either copy share enough shingles, the copies do not; all lists across blocks have two entries
+    r = random.Random(17)
+    data = []
+    for i in range(40):
+        w = [f"t{i}x{r.randrange(10**6)}" for _ in range(60)]
+        data += [(3 * i, " ".join(w[:-8])), (3 * i + 1, " ".join(w)), (3 * i + 2, " ".join(w[8:]))]
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # a partition is a block, and prints are dealt by hash
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = jaccard_join.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), 5, 80).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert {r["doc_id"]: r["component_id"] for r in got} == {d: d // 3 * 3 for d, _ in data}
+
+
 def brute_windows(rows, n):
     seen = collections.defaultdict(set)
     for r in rows:
