@@ -142,6 +142,21 @@ def test_lm_scores(spark, rows, docs):
         assert x[:5] == y[:5] and x[5] == pytest.approx(y[5], rel=1e-9) and x[6] == pytest.approx(y[6], rel=1e-9)
 
 
+def test_lm_counts_of_contexts_rare_in_most_blocks(spark):
+    r = random.Random(23)
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5 != 1][: spark.sparkContext.defaultParallelism]
+    rows = []
+    for k, i in enumerate(ids):
+        w = [r.choice(VOCAB) for _ in range(70_000)]
+        for j in range(3 if k else 60):  # three are under a fourth of the least share of a block
+            w[1000 * j + 5 : 1000 * j + 8] = ["hotone", "hottwo", "after" if k else "before"]
+        rows.append((i, " ".join(w)))
+    _, want, _ = brute_scores(rows)
+    got = {x["doc_id"]: x["score"] for x in lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, w in zip(ids, want, strict=True):
+        assert got[i] == pytest.approx(w[4], rel=1e-9)
+
+
 def test_lm_beats_unigrams(spark, small):
     r = queries.op1_lm_scoring(spark, small).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert r.s > r.b
