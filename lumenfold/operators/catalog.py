@@ -563,9 +563,11 @@ def bilinear_warp(s, d):
 
 @Q()
 def cubic_warp(s, d):
-    """Three-dimensional affine of the first frames in blocks."""
+    """Three-dimensional affine of all frames in blocks."""
     m = linalg.compose_affine(rotation=5.0, deskew=-7.0, tx=4.5)
-    return geometry.warp_blocks(volume(s, d).where("x < 32").drop("label"), m, (32, 8, 8), 16)
+    v = volume(s, d).drop("label")
+    frames = (v.agg(F.max("x")).first()[0] or 0) + 1
+    return geometry.warp_blocks(v, m, (frames, 8, 8), 16)
 
 
 @Q("with {vox}, m as (select a oz, b oy, least(7, floor((a + 0.5) * 8 / 5))::int z, least(7, floor((b + 0.5) * 8 / 12))::int y from range(5) t(a), range(12) u(b)) select x, oz::int z, oy::int y, v from vox join m using (z, y)")
@@ -634,44 +636,44 @@ def dbscan_eps(s, d):
 def two_threshold_objects(s, d):
     from lumenfold.operators.detect import split_merged
 
-    v = volume(s, d).where("x < 60").drop("label")
+    v = volume(s, d).drop("label")
     on = lambda t: v.withColumn("v", F.when(F.col("v") > t, 1).otherwise(0))
     return split_merged(on(35000), on(39500), 8, 8, 2)
 
 
 @Q()
 def phase_shift(s, d):
-    v = volume(s, d).drop("label").where("x < 100")
+    v = volume(s, d).drop("label")
     p = v.withColumnRenamed("v", "a").join(arith.roll(v, 2, -3, 8, 8).withColumnRenamed("v", "b"), ["x", "z", "y"])
     return geometry.phase_shift(p, 8, 8)
 
 
 @Q()
 def register_channel(s, d):
-    v = volume(s, d).drop("label").where("x < 100")
+    v = volume(s, d).drop("label")
     return geometry.register(arith.roll(v, 1, 2, 8, 8), v, 8, 8)
 
 
 @Q()
 def histogram_match(s, d):
-    v = volume(s, d).drop("label").where("x < 100")
+    v = volume(s, d).drop("label")
     return geometry.match_histogram(v, v.withColumn("x", F.col("x") - 1), "x")
 
 
 @Q()
 def equalise_frames(s, d):
-    return geometry.equalise(volume(s, d).drop("label").where("x < 100"), 8, 8, 4)
+    return geometry.equalise(volume(s, d).drop("label"), 8, 8, 4)
 
 
 @Q()
 def detect_and_measure(s, d):
-    """Scores, mask, components, shells and the spectral table of the first frames, five shifted copies as channels."""
+    """Scores, mask, components, shells and the spectral table of all frames, five shifted copies as channels."""
     from functools import reduce as fold
 
     from lumenfold.operators.detect import IntensityScorer
     from lumenfold.plans.imaging import detect_and_measure as plan
 
-    v = volume(s, d).where("x < 64").drop("label")
+    v = volume(s, d).drop("label")
     ch = fold(DataFrame.unionByName, [arith.roll(v, k, 0, 8, 8).withColumn("ch", F.lit(k + 1)) for k in range(5)])
     return plan(v, ch, Config(threshold=0.6, least_voxels=2), IntensityScorer(2.0), 16)
 
