@@ -1,14 +1,18 @@
 """SentencePiece vocabularies: best-path encoding as a max-plus scan, and decoding.
 
 The best path maximises the sum of piece scores over the lattice of all pieces, with byte pieces for characters outside
-the vocabulary (a max-plus product over positions). A position that no piece crosses has one boundary state, so the text
-splits there exactly; the units between such cuts are solved side by side, one numpy step per position. Longer units are
-split into chunks of CHUNK characters: each chunk yields a transfer matrix from "characters taken by a piece of the chunk
-before" to "characters taken from the next chunk", the matrices are combined by an associative scan, and every chunk then
-traces its own path back for each exit state. Equal scores: the longer last piece wins, with and without chunks.
+the vocabulary. Giant texts (over GIANT characters) are split into chunks of SPLIT characters, wherever these end: each
+chunk yields a transfer matrix from "characters taken by a piece of the chunk before" to "characters taken from the next
+chunk", the matrices are combined associatively, and every chunk is traced back by itself from its exit state (giant,
+crossing). Where a chunk holds places that no piece crosses its matrix is kept as an outer product; stretches without such
+a place (units of over CHUNK characters, such as long runs without a space) go through dense matrices, an associative scan
+and traces for every exit state (scan). What lies between those places, the units, is solved side by side, once for each
+distinct unit. Equal scores: the longer last piece wins, so ids don't depend on where chunks end.
 
 Spaces become U+2581 and one is put in front of non-empty texts; a U+2581 of the text itself is written as byte pieces,
-so decoding returns every text unchanged. Null texts have no tokens and decode to null; empty ones decode to "".
+so decoding returns every text unchanged. Null texts have no tokens and decode to null; empty ones have none and decode to
+"". Repeated rows each get their own result, an empty table gives an empty one, and only the columns asked for are read,
+whatever others are called. A text without any cut takes the scan's memory: about 10 bytes a character beside the text.
 """
 
 from __future__ import annotations
@@ -22,8 +26,12 @@ from pyspark.sql import DataFrame
 
 from lumenfold.llm.common import by_piece
 
-SPACE, LITERAL = "▁", ""
+SPACE = "▁"
+#: Stands for a U+2581 of the text: a lone surrogate, which no valid text holds.
+LITERAL = "\ud800"
 CHUNK, CACHE = 64, 200_000
+#: Texts of over GIANT characters are split into chunks of SPLIT; the scan takes about BATCH characters at once.
+GIANT, SPLIT, BATCH = 1 << 14, 1 << 12, 1 << 14
 NEG = np.int64(-(1 << 50))
 
 
@@ -164,60 +172,171 @@ class Codec:
                 ids[p : p + len(x)] = self.byte_id[list(x)]
         return ids, np.searchsorted(unit, np.arange(n + 1)).tolist()
 
-    def scan(self, unit: str) -> tuple[bytes, int]:
-        """A unit of any length by chunks, transfer matrices, an associative scan and independent traces."""
-        chars = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), np.uint32)
-        total, width, n = len(chars), self.longest, -(-len(chars) // CHUNK)
-        ids = self.lattice(chars, np.full(total, total))
-        ids = np.concatenate([ids, np.full((width, (n + 1) * CHUNK - total), -1, np.int32)], axis=1)
-        ids[0, total:] = -3  # padding is free
+    def _chunks(self, chars: np.ndarray, a: int, b: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids by [length - 1, last position] and their gains, of the chunks a to b - 1 and one piece beyond."""
+        part = chars[a * size : b * size + self.longest]
+        ids = np.full((self.longest, (b - a) * size + self.longest), -1, np.int32)
+        ids[:, : len(part)] = self.lattice(part, np.full(len(part), len(part)))
+        ids[0, len(part) :] = -3  # padding behind the text is free
         gain = np.where(ids == -1, NEG, self.score[np.where(ids == -2, len(self.score) - 2, np.maximum(ids, 0))])
         gain[ids == -3] = 0
-
-        def run(seed: np.ndarray, a: int) -> tuple[np.ndarray, np.ndarray]:
-            """Chunks from a on; seed [chunks, states, width]: value of each entry. Values and last lengths by boundary."""
-            ends = (a + np.arange(len(seed)))[:, None] * CHUNK + np.arange(CHUNK + width)
-            v = np.full((*seed.shape[:2], CHUNK + width), NEG)
-            back = np.zeros(v.shape, np.int16)
-            v[:, :, :width] = seed
-            for j in range(1, CHUNK + width):
-                for k in range(min(j, width), 0, -1):
-                    if j - k < CHUNK:  # the piece starts in this chunk
-                        s = v[:, :, j - k] + gain[k - 1, np.minimum(ends[:, j - 1], gain.shape[1] - 1)][:, None]
-                        up = s > v[:, :, j]
-                        v[:, :, j] = np.where(up, s, v[:, :, j])
-                        back[:, :, j] = np.where(up, k, back[:, :, j])
-            return v, back
-
-        eye, step = np.where(np.eye(width, dtype=bool), 0, NEG), 256
-        parts = [run(np.broadcast_to(eye, (min(step, n - a), width, width)), a)[0][:, :, CHUNK:] for a in range(0, n, step)]
-        scan, d = np.maximum(np.concatenate(parts), NEG), 1
+        return ids, gain
+
+    def _advance(self, seed: np.ndarray, gain: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks side by side; seed [chunks, states, width]: the value of each entry. Values and last lengths by position.
+        A piece of the chunk before that ends at a position is longer than any that starts in this one, so it wins ties."""
+        width = self.longest
+        ends = np.arange(len(seed))[:, None] * size + np.arange(size + width)
+        v = np.full((*seed.shape[:2], size + width), NEG)
+        back = np.zeros(v.shape, np.int8)
+        v[:, :, :width] = seed
+        for j in range(1, size + width):
+            best, length = v[:, :, j].copy(), np.zeros(v.shape[:2], np.int8)
+            for k in range(min(j, width), max(0, j - size), -1):  # the piece starts in this chunk
+                s = v[:, :, j - k] + gain[k - 1, ends[:, j - 1]][:, None]
+                up = s > best
+                np.copyto(best, s, where=up)
+                length[up] = k
+            v[:, :, j], back[:, :, j] = best, length
+        return v, back
+
+    def scan(self, text: str) -> tuple[bytes, int]:
+        """A unit of any length: transfer matrices of its chunks, their associative scan, and a trace of its own for every
+        chunk. Only the matrices (width x width for each chunk) and the tokens follow the length."""
+        chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        size = CHUNK if len(chars) < 1 << 18 else 16 * CHUNK
+        width, n = self.longest, -(-len(chars) // size)
+        step = max(1, BATCH // size)
+        batches = [(a, min(n, a + step)) for a in range(0, n, step)]
+        # each chunk's matrix: characters taken by the chunk before -> characters taken from the next one
+        eye = np.where(np.eye(width, dtype=bool), 0, NEG)
+        matrix = np.empty((n, width, width), np.int64)
+        for a, b in batches:
+            _, gain = self._chunks(chars, a, b, size)
+            matrix[a:b] = self._advance(np.broadcast_to(eye, (b - a, width, width)), gain, size)[0][:, :, size:]
+        scan, d = np.maximum(matrix, NEG), 1
+        del matrix
         while d < n:  # inclusive scan of the max-plus products
             new = scan.copy()
             for a in range(d, n, 2048):
                 b = min(n, a + 2048)
-                new[a:b] = (scan[a - d : b - d, :, :, None] + scan[a:b, None, :, :]).max(axis=2)
+                left, right = scan[a - d : b - d], scan[a:b]
+                best = left[:, :, 0, None] + right[:, None, 0, :]
+                for k in range(1, width):
+                    np.maximum(best, left[:, :, k, None] + right[:, None, k, :], out=best)
+                new[a:b] = best
             scan, d = np.maximum(new, NEG), 2 * d
-        entry = np.full((n, width), NEG)
-        entry[0, 0] = 0
-        entry[1:] = scan[:-1, 0]
-        v, back = run(entry[:, None, :], 0)
-        flat: list[tuple[int, int]] = []
-        state = 0  # characters that the last chunk's path takes beyond it
+        entry = np.full((n, 1, width), NEG)
+        entry[0, 0, 0] = 0
+        entry[1:, 0] = scan[:-1, 0]
+        score = int(scan[-1, 0, 0])  # the last chunk is full: padding is free
+        del scan
+        # every chunk by itself: where the path to each exit state came in
+        came = np.empty((n, width), np.int64)
+        for a, b in batches:
+            _, gain = self._chunks(chars, a, b, size)
+            back = self._advance(entry[a:b], gain, size)[1][:, 0]
+            came[a:b] = self._trace(back, np.broadcast_to(np.arange(size, size + width), (b - a, width)))
+        state = np.zeros(n + 1, np.int64)
         for c in range(n - 1, -1, -1):
-            j = CHUNK + state
-            while j > 0 and back[c, 0, j]:
-                k, at = int(back[c, 0, j]), c * CHUNK + j - 1
-                flat.append((int(ids[k - 1, at]), at))
-                j -= k
-            state = j
-        flat = [x for x in reversed(flat) if x[0] != -3]
-        tokens, _ = self._tokens(np.zeros(len(flat), np.int64), np.array([x[0] for x in flat]), chars[[x[1] for x in flat]], 1)
-        return tokens.tobytes(), int(v[-1, 0, CHUNK])
+            state[c] = came[c, state[c + 1]]
+        out = []
+        for a, b in batches:
+            ids, gain = self._chunks(chars, a, b, size)
+            back = self._advance(entry[a:b], gain, size)[1][:, 0]
+            seen: list[tuple[np.ndarray, np.ndarray]] = []
+            self._trace(back, size + state[a + 1 : b + 1][:, None], seen)
+            chunk, end = (np.concatenate(x) for x in zip(*seen, strict=True))
+            length = back[chunk, end].astype(np.int64)
+            at = chunk * size + end - 1
+            o = np.argsort(at, kind="stable")
+            found, at = ids[length[o] - 1, at[o]], at[o] + a * size
+            real = found != -3
+            out.append(self._tokens(np.zeros(int(real.sum()), np.int64), found[real], chars[at[real]], 1)[0])
+        return np.concatenate(out).tobytes(), score
+
+    @staticmethod
+    def _trace(back: np.ndarray, start: np.ndarray, seen: list | None = None) -> np.ndarray:
+        """Follows the last lengths from start [chunks, walkers] down to the entry states; seen gets (chunk, position)s."""
+        at = start.astype(np.int64)
+        row = np.arange(len(back))[:, None]
+        while True:
+            k = back[row, at].astype(np.int64)
+            go = k > 0
+            if not go.any():
+                return at
+            if seen is not None:
+                c = np.flatnonzero(go[:, 0])
+                seen.append((c, at[c, 0]))
+            at = at - k
+
+    def crossing(self, units: list[str], left: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Units that a chunk's end cuts after `left` of their characters: (values of the exit states of the chunk before,
+        from the unit's start on; values from each entry state of the chunk behind to the unit's end; ids)."""
+        n, width = len(units), self.longest
+        size = np.array([len(u) for u in units])
+        chars = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        start = np.cumsum(size) - size
+        ids = self.lattice(chars, np.repeat(start + size, size))
+        most, each, col = int(size.max()), np.arange(n), np.arange(width)
+        tail, head = np.full((n, most + width), NEG), np.full((n, width, most + width), NEG)
+        back = np.zeros((2, n, most + width), np.int8)
+        tail[:, 0] = 0
+        head[each[:, None], col, left[:, None] + col] = 0
+        path = np.full((n, most + width), NEG)  # behind the cut, entered with the exit values
+        for j in range(1, most + 1):
+            for k in range(min(j, width), 0, -1):
+                pid = ids[k - 1, np.minimum(start + j - 1, len(chars) - 1)]
+                gain = np.where((pid == -1) | (j > size), NEG, self.score[pid])
+                before = j - k < left
+                s = np.where(before, tail[:, j - k] + gain, NEG)
+                up = s > tail[:, j]
+                tail[up, j], back[0, up, j] = s[up], k
+                s = np.where(before[:, None], NEG, head[:, :, j - k] + gain[:, None])
+                np.maximum(head[:, :, j], s, out=head[:, :, j])
+            entered = j >= left
+            path[entered, j] = tail[entered, j]
+            for k in range(min(j, width), 0, -1):
+                pid = ids[k - 1, np.minimum(start + j - 1, len(chars) - 1)]
+                s = np.where((pid == -1) | (j > size) | (j - k < left), NEG, path[:, j - k] + self.score[pid])
+                up = s > path[:, j]
+                path[up, j], back[1, up, j] = s[up], k
+        out = []
+        for i in range(n):
+            j, ends = int(size[i]), []
+            for side in (1, 0):
+                while j and (k := int(back[side, i, j])):
+                    ends.append((ids[k - 1, start[i] + j - 1], chars[start[i] + j - 1]))
+                    j -= k
+            found, last = (np.array(x) for x in zip(*reversed(ends), strict=True))
+            out.append(self._tokens(np.zeros(len(found), np.int64), found, last, 1)[0].tobytes())
+        return tail[each[:, None], left[:, None] + col], head[each, :, size], out
+
+    def giant(self, units: list[str]) -> tuple[bytes, int]:
+        """A giant text's units, in chunks of SPLIT characters wherever these end. Inside a chunk there are places that no
+        piece crosses, so its transfer matrix is an outer (max-plus) product: values to the first such place by entry
+        state, the value between, values from the last one by exit state. Of such matrices the product is
+        (h1, m1 + max(t1 + h2) + m2, t2), which is associative; here all of them are combined by one prefix sum. A unit of
+        over CHUNK characters has no such place: it starts a chunk and is solved by matrices of its own."""
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        first = np.cumsum(size) - size
+        cut = np.arange(SPLIT, int(size.sum()), SPLIT)
+        at = np.searchsorted(first, cut, "right") - 1
+        inside = (first[at] < cut) & (size[at] <= CHUNK)
+        at, left = at[inside], (cut - first[at])[inside]
+        got = [self.cache[u] for u in units]
+        blobs, middle = [g[0] for g in got], np.array([g[1] for g in got], np.int64)
+        if len(at):
+            out, enter, ids = self.crossing([units[i] for i in at], left)
+            middle[at] = (out + enter).max(axis=1)
+            for i, x in zip(at.tolist(), ids, strict=True):
+                blobs[i] = x
+        return b"".join(blobs), int(np.cumsum(middle)[-1])
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, int]]:
         """(ids as int32 bytes, score) of whole texts."""
-        split = [self.units.findall(SPACE + t.replace(SPACE, LITERAL).replace(" ", SPACE)) if t else [] for t in texts]
+        whole = [SPACE + t.replace(SPACE, LITERAL).replace(" ", SPACE) if t else "" for t in texts]
+        split = [self.units.findall(t) for t in whole]
         new = {u for own in split for u in own if u not in self.cache}
         if len(self.cache) + len(new) > CACHE:
             self.cache.clear()
@@ -228,7 +347,10 @@ class Codec:
         for u in long:
             self.cache[u] = self.scan(u)
         out = []
-        for own in split:
+        for t, own in zip(whole, split, strict=True):
+            if len(t) > GIANT:
+                out.append(self.giant(own))
+                continue
             got = [self.cache[u] for u in own]
             out.append((b"".join([g[0] for g in got]), sum([g[1] for g in got])))
         return out
@@ -243,13 +365,14 @@ def codec(path: str) -> Codec:
 
 
 def encode(docs: DataFrame, tables: Codec, keep: list[str] | None = None) -> DataFrame:
-    """The given columns (default doc_id), ids array<int>, n_tokens and score of every row's whole text."""
+    """The given columns (default doc_id), ids array<int> (null for a null text), n_tokens and score of every row's whole text."""
     keep = keep or ["doc_id"]
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         got = tables.encode(b.column("__text").to_pylist())
         size = np.array([len(g[0]) // 4 for g in got])
-        ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)], pa.int32()), pa.array(np.frombuffer(b"".join(g[0] for g in got), np.int32)))
+        null = b.column("__text").is_null()
+        ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)], pa.int32()), pa.array(np.frombuffer(b"".join(g[0] for g in got), np.int32)), mask=null)
         return pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), ids, pa.array(size, pa.int64()), pa.array([float(g[1]) for g in got])], [*keep, "ids", "n_tokens", "score"])
 
     kinds = dict(docs.dtypes)

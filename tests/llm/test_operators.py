@@ -419,16 +419,42 @@ def test_codec_best_path_and_round_trip(codec, rows):
             pieces.setdefault(p, (int(s), i))
     r = random.Random(2)
     texts = [x[1] or "" for x in rows if len(x[1] or "") < 6000]
-    texts += ["".join(r.choice("abcdethin ▁\né" + "the" * 3) for _ in range(n)) for n in (5, 63, 64, 65, 300, 2000)] + ["thein" * 500, " " * 200, "\n\n"]
+    alphabet = "abcdethin ▁\né\ue000" + "the" * 3
+    texts += ["".join(r.choice(alphabet) for _ in range(n)) for n in (5, 63, 64, 65, 300, 2000, sp_codec.GIANT + 3000)] + ["thein" * 500, " " * 200, "\n\n", "\ue000", "▁\ue000▁"]
+    texts += [(text(12_000, r) + " ") * 1, "x" * (1 << 15)]
     for t, (ids, score) in zip(texts, codec.encode(texts), strict=True):
         assert (np.frombuffer(ids, np.int32).tolist(), score) == brute_path(codec, pieces, t)
         assert codec.decode(ids) == t
 
 
+@pytest.mark.parametrize("split", [7, 64, 1000])
+def test_giant_texts_in_chunks(codec, monkeypatch, split):
+    r = random.Random(3)
+    t = " ".join(r.choice([*VOCAB, "unbelievable", "internationalisation", "é▁ü日本", "x" * 90, "  "]) for _ in range(3000)) + "\n\n"
+    short = codec.encode([t])
+    used = []
+    monkeypatch.setattr(sp_codec, "GIANT", 100)
+    monkeypatch.setattr(sp_codec, "SPLIT", split if split > codec.longest else 65)
+    monkeypatch.setattr(sp_codec.Codec, "crossing", lambda self, u, n, f=sp_codec.Codec.crossing: used.extend(u) or f(self, u, n))
+    assert codec.encode([t]) == short and len(used) > 3
+    # every crossing unit at every cut
+    for u in ["▁unbelievable", "▁internationalisation", "▁é" + sp_codec.LITERAL + "ü"]:
+        want = codec.solve([u])[0]
+        cuts = list(range(1, len(u)))
+        out, enter, ids = codec.crossing([u] * len(cuts), np.array(cuts))
+        assert set((out + enter).max(axis=1).tolist()) == {want[1]} and set(ids) == {want[0]}
+
+
+def test_millions_of_characters_without_a_space(codec):
+    t = "thenothing" * 220_000
+    (ids, _), = codec.encode([t])
+    assert codec.decode(ids) == t
+
+
 def test_codec_frames(spark, codec, rows, docs, empty):
     e = sp_codec.encode(docs, codec)
     back = sp_codec.decode(e, codec).collect()
-    assert sorted(((x.doc_id, x.text or "") for x in back), key=str) == sorted(((x[0], x[1] or "") for x in rows), key=str)
+    assert sorted(((x.doc_id, x.text) for x in back), key=str) == sorted(((x[0], x[1]) for x in rows), key=str)
     assert all(x.round_trip for x in sp_codec.digest(docs, codec).collect()) and sp_codec.digest(empty, codec).count() == 0
 
 
