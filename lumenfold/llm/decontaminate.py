@@ -6,9 +6,11 @@ a Bloom filter of the benchmark's seeds (at most MAX_BITS bits, so its size is b
 Every (document, item, shift) found is verified once, around the hit: along the shift, matching words count +1 and others
 -1.5, and the best run must hold enough words of the item.
 
-Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. Items with fewer words than a mask are hashed whole, at their own
-length; items with fewer than MIN_WORDS words are not looked for (they are everyday phrases). Null and empty texts, on
-either side, match nothing; repeated rows each get their own result; an empty benchmark leaves all documents clean.
+Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. Items with fewer words than a mask have masks of their own length, one
+for each position that it ignores, so one replaced word is tolerated there as well. Items of fewer than MIN_WORDS words are
+everyday phrases inside other texts: they match only a document that consists of exactly these words. Null and empty texts,
+on either side, match nothing; repeated rows each get their own result; repeated items count once; an empty benchmark leaves
+all documents clean; other columns are neither read nor changed, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from lumenfold.plans.shared import materialize
 
 #: 1: compared, 0: ignored.
 MASKS = ("111010011", "110110101", "101101011")
+#: Shorter items match whole documents only.
 MIN_WORDS = 5
 #: A run needs so many matching words, or so large a part of a shorter item.
 NEED, PART = 12, 0.8
@@ -43,24 +46,32 @@ def seeds(h: np.ndarray, first: np.ndarray, mask: str) -> np.ndarray:
     return mix(s)
 
 
+def short_masks(n: int) -> list[str]:
+    """Masks for items of n words, fewer than those of MASKS: one for each ignored position, or none ignored."""
+    return ["1" * i + "0" + "1" * (n - i - 1) for i in range(n)] if n >= MIN_WORDS else ["1" * n]
+
+
+ALL_MASKS = [*MASKS, *(m for n in range(1, min(map(len, MASKS))) for m in short_masks(n))]
+
+
 def item_seeds(items: DataFrame) -> DataFrame:
-    """item_id, words (array<long>), seed, item_pos, mask length of every benchmark item of MIN_WORDS words or more."""
+    """item_id, item_words, and the seeds, places and masks' places in all_masks() of every benchmark item with words."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch | None:
         h, first, *_ = words(b.column("text"), True)
         out = []
         for r in range(b.num_rows):
             own = h[first[r] : first[r + 1]]
-            if len(own) >= MIN_WORDS:
-                masks = [m for m in MASKS if len(m) <= len(own)] or ["1" * len(own)]
-                got = [(int(s), p, len(m)) for m in masks for p, s in enumerate(seeds(own, None, m).view(np.int64))]
+            if len(own):
+                masks = [m for m in MASKS if len(m) <= len(own)] or short_masks(len(own))
+                got = [(int(s), p, ALL_MASKS.index(m)) for m in masks for p, s in enumerate(seeds(own, None, m).view(np.int64))]
                 out.append((r, own.view(np.int64).tolist(), *map(list, zip(*got, strict=True))))
         if not out:
             return None
         r, w, s, p, k = zip(*out, strict=True)
-        return pa.RecordBatch.from_arrays([b.column("item_id").take(pa.array(r)), pa.array(w, pa.list_(pa.int64())), pa.array(s, pa.list_(pa.int64())), pa.array(p, pa.list_(pa.int32())), pa.array(k, pa.list_(pa.int32()))], ["item_id", "item_words", "seeds", "at", "size"])
+        return pa.RecordBatch.from_arrays([b.column("item_id").take(pa.array(r)), pa.array(w, pa.list_(pa.int64())), pa.array(s, pa.list_(pa.int64())), pa.array(p, pa.list_(pa.int32())), pa.array(k, pa.list_(pa.int32()))], ["item_id", "item_words", "seeds", "at", "mask"])
 
-    return items.select("item_id", "text").mapInArrow(by_piece(run), f"item_id {dict(items.dtypes)['item_id']}, item_words array<long>, seeds array<long>, at array<int>, size array<int>")
+    return items.select("item_id", "text").mapInArrow(by_piece(run), f"item_id {dict(items.dtypes)['item_id']}, item_words array<long>, seeds array<long>, at array<int>, mask array<int>")
 
 
 def best_run(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]:
@@ -81,8 +92,8 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     the row's key (xxhash64 of id and text), with which a caller can remove it."""
     bench = materialize(item_seeds(items), "items")
     n_seeds = bench.agg(F.sum(F.size("seeds"))).first()[0] or 0
-    lengths = sorted(r[0] for r in bench.select(F.explode("size").alias("k")).distinct().collect())
-    masks = [m for m in MASKS if len(m) in lengths] + ["1" * k for k in lengths if k < min(map(len, MASKS))]
+    # at most as many rows as there are masks
+    masks = [ALL_MASKS[r[0]] for r in bench.select(F.explode("mask").alias("m")).distinct().sort("m").collect()]
     bloom = Bloom(bench.select(F.explode("seeds").alias("s")), "s", n_seeds)
 
     def hits(b: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -93,6 +104,9 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
             maybe = bloom.find(s)
             if len(maybe):
                 maybe = maybe[inside(first, len(h), len(m))[maybe]]
+                if len(m) < MIN_WORDS:  # the whole document
+                    row = np.searchsorted(first, maybe, "right") - 1
+                    maybe = maybe[first[row + 1] - first[row] == len(m)]
                 found.append((maybe, s[maybe]))
         at = np.concatenate([f[0] for f in found] or [np.zeros(0, np.int64)])
         if not len(at):
@@ -116,10 +130,13 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     own = docs.select("doc_id", row_key().alias("row_key"), "text").where("text IS NOT NULL")
     near = materialize(own.mapInArrow(by_piece(hits), f"doc_id {kind}, row_key long, words binary, seeds array<long>, at array<int>"), "hits")
+    # equal rows have equal results: they are searched once and counted
+    near = near.groupBy("row_key", "doc_id").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("words", "seeds", "at")))
+    near = materialize(near, "near")
     left = near.select("row_key", F.explode(F.arrays_zip("seeds", "at")).alias("h")).select("row_key", F.col("h.seeds").alias("seed"), F.col("h.at").alias("at"))
     right = bench.select("item_id", F.explode(F.arrays_zip("seeds", "at")).alias("h")).select("item_id", F.col("h.seeds").alias("seed"), F.col("h.at").alias("item_at"))
     pairs = left.join(right, "seed").select("row_key", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
-    todo = pairs.join(bench.select("item_id", "item_words").distinct(), "item_id").join(near.select("row_key", "doc_id", "words"), "row_key")
+    todo = pairs.join(bench.select("item_id", "item_words").distinct(), "item_id").join(near.select("row_key", "doc_id", "copies", "words"), "row_key")
 
     def verify(batches):
         for b in batches:
@@ -131,12 +148,14 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
                     out.append((i, len(w), m, start, end))
             if out:
                 i, n, m, s, e = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([b.column(c).take(pa.array(i)) for c in ("doc_id", "row_key", "item_id")] + [pa.array(x, pa.int64()) for x in (n, m, s, e)], ["doc_id", "row_key", "item_id", "n_words", "n_match", "doc_start", "doc_end"])
+                yield pa.RecordBatch.from_arrays([b.column(c).take(pa.array(i)) for c in ("doc_id", "row_key", "item_id", "copies")] + [pa.array(x, pa.int64()) for x in (n, m, s, e)], ["doc_id", "row_key", "item_id", "copies", "n_words", "n_match", "doc_start", "doc_end"])
 
     kinds = dict(todo.dtypes)
-    runs = todo.select("doc_id", "row_key", "item_id", "words", "item_words", "shift").mapInArrow(verify, f"doc_id {kind}, row_key long, item_id {kinds['item_id']}, n_words long, n_match long, doc_start long, doc_end long")
+    runs = todo.select("doc_id", "row_key", "item_id", "copies", "words", "item_words", "shift").mapInArrow(verify, f"doc_id {kind}, row_key long, item_id {kinds['item_id']}, copies long, n_words long, n_match long, doc_start long, doc_end long")
     best = F.max_by(F.struct("n_words", "n_match", "doc_start", "doc_end"), F.struct("n_match", -F.col("doc_start"), -F.col("doc_end"))).alias("b")
-    return runs.groupBy("row_key", "doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*", "row_key")
+    found = runs.groupBy("row_key", "doc_id", "item_id").agg(best, F.first("copies").alias("copies"))
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return found.select("doc_id", "item_id", "b.*", "row_key", each.alias("copy")).drop("copy")
 
 
 def row_key():
