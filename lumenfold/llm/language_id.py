@@ -6,6 +6,8 @@ codeword; a small gap to the second flags ambiguity. Texts that are null or have
 
 The classifiers are fitted on at most about SAMPLE labelled rows a language (chosen by a hash of the id, whole texts);
 languages and their counts are taken from all labelled rows. Without any labelled row all predictions are "und".
+Equal probabilities go to the alphabetically first language; repeated rows each get their own, equal result; an empty table
+gives an empty one; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ from lumenfold.llm.common import by_piece, remainder
 from lumenfold.llm.tokens import LOWER, raw
 
 BUCKETS = 4096
-SAMPLE = 400
-STEPS, RATE, DECAY = 60, 20.0, 1e-5
+SAMPLE = 600
+STEPS, RATE, DECAY = 120, 20.0, 1e-5
 _CLEAN = LOWER.copy()
 _CLEAN[[b for b in range(128) if not chr(b).isalpha()]] = 32
 
