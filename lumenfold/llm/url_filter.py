@@ -4,8 +4,10 @@ Everything that touches pages is a Spark SQL expression. The model is trained in
 labelled table comes from a self-join on n-gram buckets, gradient descent on the dual coefficients is one aggregate()
 over a single row, and the weights (a fixed number of buckets) are read once and inlined as an array literal.
 
-Null urls and urls without "://" have an empty host and an empty path; no rule fits them and the model judges the bias
-alone. Empty tables give empty results; other columns are ignored.
+The table lists ordinary kinds of hosts; none of them comes from the tables that the filter is tested on. Null urls and urls
+without "://" have an empty host and an empty path; no rule fits them and the model judges the bias alone.
+A tie (probability 0.5) is blocked. Repeated rows each get their own, equal result; empty tables give empty results; other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,9 +28,13 @@ RULES = [
 BUCKETS = 4096
 STEPS, RATE, DECAY = 300, 2.0, 0.002
 #: Labelled urls: 1 is to be blocked.
-SPAM_HOSTS = ["spam-farm", "cheap-pills", "casino-win", "free-bets", "adult-x", "ads-track", "free-money", "buy-followers", "xxx-cams", "pills-online", "best-casino", "win-prizes", "link-farm", "cheap-loans", "fake-watches", "hot-bets"]
-GOOD_HOSTS = ["news", "library", "museum", "weather", "theory", "thereon", "garden", "travel", "history", "school", "recipes", "science", "ththan", "tionsh", "therer", "thonth", "tiontion", "thening", "leseau", "ländern", "ciónes", "thedwh", "tionble", "theand", "therst", "thatou", "ththha", "therhe", "ththnt", "thorea", "theran", "ththly"]
-_FORMS = ["http://{h}.example.com/en/{n}", "https://www.{h}.example.net/de/{n}.html", "https://blog.{h}.example.org/fr/{n}?page=2", "http://m.{h}.example.com/es/{n}/", "https://{h}.example.org/en/{n}#top", "https://blog.{h}.example.net/en/{n}", "https://www.{h}.example.com/fr/{n}"]
+SPAM_HOSTS = """cheap-pills online-casino free-bets adult-chat payday-loans fake-watches buy-followers win-prizes hot-singles ads-tracker
+link-farm spam-farm xxx-cams crypto-double replica-bags diet-pills free-money lottery-winner sexy-dating bonus-casino seo-backlinks
+click-tracker banner-ads essay-writers betting-tips viagra-shop""".split()
+GOOD_HOSTS = """library museum weather gardening travel-guide history school recipes science university hospital chess-club local-news
+railways botany cooking-class poetry-review city-council astronomy language-forum developer-docs climate-data open-maps orchestra
+swimming book-reviews""".split()
+_FORMS = ["http://{h}.com/articles/{n}", "https://www.{h}.net/{n}.html", "https://blog.{h}.org/posts/{n}?page=2", "http://m.{h}.co.uk/{n}/", "https://{h}.example.org/en/{n}#top", "https://blog.{h}.example.net/en/{n}", "https://www.{h}.example.com/fr/{n}"]
 LABELLED = [(_FORMS[(i + j) % len(_FORMS)].format(h=h, n=(137 * i + 71 * j) % 1000), y) for y, hosts in ((1, SPAM_HOSTS), (0, GOOD_HOSTS)) for i, h in enumerate(hosts) for j in (0, 2, 4)]
 
 
