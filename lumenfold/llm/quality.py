@@ -5,7 +5,8 @@ features by the sum-of-squares identity. Hashed word frequencies have a fixed nu
 statistics are standardised on the sample, and the only metadata used are sizes of the text itself.
 
 It is fitted on at most about SAMPLE labelled rows of each class (whole texts, chosen by a hash of the id). Without
-labelled rows every score is the prior 0.5. Null and empty texts have a score too.
+labelled rows every score is the prior 0.5. Null and empty texts have a score too. Repeated rows each get their own, equal score; an id with several labels has
+the largest; an empty table gives an empty one; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -101,7 +102,7 @@ def train(docs: DataFrame, labels: DataFrame, held: int = 0, of: int = 5) -> dic
     x[:, BUCKETS:] = np.clip((x[:, BUCKETS:] - mean) / std, -6, 6) / 3
     w0, w, v = fit(x, t)
     # the sample has a share of its own of each class; the prior of all labelled rows is put back
-    w0 += np.log(sizes[1] / sizes[0]) - np.log(t.sum() / max(1.0, (1 - t).sum()))
+    w0 += np.log(sizes[1] / sizes[0]) - np.log(max(1.0, t.sum()) / max(1.0, (1 - t).sum()))
     return {"mean": mean, "std": std, "w0": float(w0), "w": w, "v": v}
 
 
