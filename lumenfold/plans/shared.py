@@ -7,11 +7,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset and all tasks run in this
+    process (tests). On a cluster each machine would write to a folder of its own, so that raises ValueError."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -23,5 +29,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(schema).parquet(path)
 
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables written so far, once the results that read them are stored; their number."""
+    hadoop, n = spark._jvm.org.apache.hadoop.fs, 0
+    while _WRITTEN:
+        path = hadoop.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n
