@@ -179,9 +179,9 @@ def crop(s, d):
     return arith.crop(volume(s, d).drop("label"), 8, 8, top=1, bottom=2, left=2, right=1)
 
 
-@Q("with {vox} select z, y, x, v from vox where x % 7 = 0")
+@Q("with {vox} select z, y, x, v from vox")
 def transpose_axes(s, d):
-    return volume(s, d).where("x % 7 = 0").select("z", "y", "x", "v")
+    return volume(s, d).select("z", "y", "x", "v")
 
 
 @Q("with {vox} select x, z, y, case when 1/(1+exp(-(v - 32768) / 4096.0::double)) > 0.95 then 255 else 0 end mask from vox")
@@ -208,9 +208,9 @@ def pad_linear_ramp(s, d):
     return arith.pad_ramp(volume(s, d).drop("label"), 8, 13)
 
 
-@Q("with {vox} select x * 1.34::double x, z * 1.54::double z, y * 2.0::double y, v from vox where x < 50")
+@Q("with {vox} select x * 1.34::double x, z * 1.54::double z, y * 2.0::double y, v from vox")
 def unit_scaling(s, d):
-    return arith.to_units(volume(s, d).where("x < 50").drop("label"), {"x": 1.34, "z": 1.54, "y": 2.0})
+    return arith.to_units(volume(s, d).drop("label"), {"x": 1.34, "z": 1.54, "y": 2.0})
 
 
 @Q("with {vox} select x, z, y, round_even(least(65535, greatest(0, (v - 30000) * 1.25::double)), 0)::int v from vox")
@@ -457,10 +457,10 @@ def frame_groups(s, d):
     return spool.frame_groups(p, 16)
 
 
-@Q("with {vox} select x, z, y, v::double v from vox where x < 60")
+@Q("with {vox} select x, z, y, v::double v from vox")
 def block_round_trip(s, d):
     """Voxels to blocks and back."""
-    v = volume(s, d).where("x < 60").drop("label")
+    v = volume(s, d).drop("label")
     return to_voxels(to_blocks(v, 16, 4, 4), 16, 4, 4).withColumn("v", F.col("v").cast("double"))
 
 
@@ -480,9 +480,10 @@ def chunk_grid_scaled(s, d):
     return g.select("chunk", "z0", "z1", "y0", F.lit(1).cast("long").alias("y1"), "x0", F.lit(1).cast("long").alias("x1"))
 
 
-@Q("with {vox} select x, z, y, ((z // 3)::bigint * 3 + y // 3) * 200 + x // 3 chunk from vox where x < 300")
+@Q("with {vox}, n as (select (max(x) + 1) // 3 + 1 nx from vox) select x, z, y, ((z // 3)::bigint * 3 + y // 3) * nx + x // 3 chunk from vox, n")
 def chunk_assign(s, d):
-    return volume(s, d).where("x < 300").select("x", "z", "y", chunks.chunk_of((8, 8, 599), 3).alias("chunk"))
+    frames = (table(s, d, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1
+    return volume(s, d).select("x", "z", "y", chunks.chunk_of((8, 8, frames), 3).alias("chunk"))
 
 
 @Q("with g as (select a chunk from range(70) t(a)), {vox}, f as (select x // 10 chunk, not bool_or(v > 45500) background, bool_and(v > 20500) bright from vox group by 1) select chunk from g where chunk not in (select g.chunk from g left join f using (chunk) where coalesce(background, true) or coalesce(bright, false))")
@@ -601,13 +602,13 @@ def shells(s, d):
     return geometry.shells(volume(s, d).where("v > 43000"), 3, bounds=(10_000_000, 8, 8))
 
 
-PLANES = "p as (select x, z, y from vox where v > {t} and x < 40)"
+PLANES = "p as (select x, z, y from vox where v > {t})"
 
 
 @Q(f"""with recursive {{vox}}, {PLANES.format(t=38000)}, i as (select x, z, y, (x * 8 + z) * 8 + y id from p), e as (select a.id a, b.id b from i a join i b on abs(a.x - b.x) <= 1 and abs(a.z - b.z) <= 1 and abs(a.y - b.y) <= 1),
 r(id, c) as (select id, id from i union select e.b, r.c from r join e on e.a = r.id) select x, z, y, min(c) label from i join r using (id) group by x, z, y""")
 def connected_components_26(s, d):
-    v = volume(s, d).where("x < 40").withColumn("v", F.when(F.col("v") > 38000, 1).otherwise(0))
+    v = volume(s, d).withColumn("v", F.when(F.col("v") > 38000, 1).otherwise(0))
     return components.label_components(v.drop("label"), 8, 8, 26, 4).select("x", "z", "y", "label")
 
 
@@ -617,18 +618,18 @@ select label, count(*) area, round_even(avg(x) * 100, 0) / 100 x, round_even(avg
 def extract_points(s, d):
     from lumenfold.operators.detect import extract_points as extract
 
-    v = volume(s, d).where("x < 40").withColumn("v", F.when(F.col("v") > 35500, 1).otherwise(0))
+    v = volume(s, d).withColumn("v", F.when(F.col("v") > 35500, 1).otherwise(0))
     return extract(v.drop("label"), 8, 8, 6, 4)
 
 
-POINTS = "pt as (select p_partkey id, (p_partkey * 37 % 101)::double x, (p_partkey * 53 % 97)::double z, (p_size)::double y from part where p_partkey <= 400)"
+POINTS = "pt as (select p_partkey id, (p_partkey * 37 % 101)::double x, (p_partkey * 53 % 97)::double z, (p_size)::double y from part)"
 
 
-@Q(f"""with recursive {POINTS}, e as (select a.id a, b.id b from pt a join pt b on (a.x-b.x)*(a.x-b.x) + (a.z-b.z)*(a.z-b.z) + (a.y-b.y)*(a.y-b.y) <= 49),
+@Q(f"""with recursive {POINTS}, e as (select a.id a, b.id b from pt a join pt b on (a.x-b.x)*(a.x-b.x) + (a.z-b.z)*(a.z-b.z) + (a.y-b.y)*(a.y-b.y) <= 4),
 r(id, c) as (select id, id from pt union select e.b, r.c from r join e on e.a = r.id), k as (select id, min(c) cluster from r group by id) select cluster, count(*) n, round(avg(x), 9) x, round(avg(z), 9) z, round(avg(y), 9) y from k join pt using (id) group by cluster""")
 def dbscan_eps(s, d):
-    p = table(s, d, "part").where("p_partkey <= 400").select(F.col("p_partkey").alias("id"), (F.col("p_partkey") * 37 % 101).cast("double").alias("x"), (F.col("p_partkey") * 53 % 97).cast("double").alias("z"), F.col("p_size").cast("double").alias("y"))
-    c = components.cluster_centres(components.clusters(p, 7.0))
+    p = table(s, d, "part").select(F.col("p_partkey").alias("id"), (F.col("p_partkey") * 37 % 101).cast("double").alias("x"), (F.col("p_partkey") * 53 % 97).cast("double").alias("z"), F.col("p_size").cast("double").alias("y"))
+    c = components.cluster_centres(components.clusters(p, 2.0))
     return c.select("cluster", "n", *(F.round(k, 9).alias(k) for k in "xzy"))
 
 
@@ -854,24 +855,20 @@ def renumber_planes(s, d):
 # --- sources and streams ---------------------------------------------------------------------------------------------
 
 
-@Q("with {vox} select x, z, y, v from vox where x < 40")
+@Q("with {vox} select x, z, y, v from vox")
 def spool_round_trip(s, d):
-    """Frames written as two packed spools (one compressed), read back by the data source."""
-    return spool.frames_to_voxels(_spools(s, d)).select("x", "z", "y", "v")
-
-
-def _spools(s, d):
-    import tempfile
+    """All frames written by the executors as packed spools, half of them compressed, and read back by the data source."""
+    import uuid
 
-    import numpy as np
+    from lumenfold.plans.shared import shared_folder
 
-    rows = table(s, d, "embeddings").where("vec_id < 40").orderBy("vec_id").collect()  # a fixture of 40 frames at most
-    px = np.clip(np.rint((np.array([r["embedding"] for r in rows], np.float32).astype(float) + 1) * 2047.5), 0, 4095).astype(np.uint16).reshape(-1, 8, 8)
-    folder = tempfile.mkdtemp(prefix="spools-")
-    spool.write_spool(f"{folder}/a.fli", px[:25])
-    spool.write_spool(f"{folder}/b.fli.zst", px[25:])
-    f = spool.read_spools(s, f"{folder}/a.fli", f"{folder}/b.fli.zst", frames_at_once=7)
-    return f.withColumn("frame", F.when(F.col("path").endswith(".zst"), F.col("frame") + 25).otherwise(F.col("frame")))
+    path = f"{shared_folder(s)}/spools-{uuid.uuid4().hex}"
+    pixel = lambda e: F.greatest(F.lit(0), F.least(F.lit(4095), F.rint((e.cast("double") + 1) * 2047.5).cast("int")))
+    e = table(s, d, "embeddings").select(F.col("vec_id").alias("frame"), F.transform("embedding", pixel).alias("data"))
+    half = e.agg(F.expr("max(frame) div 2")).first()[0] or 0
+    spool.write_spools(e.where(F.col("frame") <= half), f"{path}/plain", 8, 8)
+    spool.write_spools(e.where(F.col("frame") > half), f"{path}/packed", 8, 8, packed=True)
+    return spool.frames_to_voxels(spool.read_spools(s, f"{path}/plain", f"{path}/packed", frames_at_once=64)).select("x", "z", "y", "v")
 
 
 @Q("select user_id % 40 chunk from events group by 1")
@@ -948,25 +945,25 @@ def mask_chunk_join(s, d):
     return v.select("*", *at).join(m, ["cx", "cz", "cy"]).groupBy(F.expr("x div 16").alias("chunk")).agg(F.count("*").alias("n"), F.sum("v").alias("total"))
 
 
-@Q("with {vox}, r as (select z, (z + 1) * 256.0 corr from (select distinct z from vox)), c as (select x, z, y, trunc(least(65535, v * 512.0 / corr))::int v, x % 3 + 1 slab from vox join r using (z) where x < 90), m as (select max(z) m from c) select slab, x, (m * (dense_rank() over (order by slab) - 1) + z)::int whole, y, v from c, m")
+@Q("with {vox}, r as (select z, (z + 1) * 256.0 corr from (select distinct z from vox)), c as (select x, z, y, trunc(least(65535, v * 512.0 / corr))::int v, x % 3 + 1 slab from vox join r using (z)), m as (select max(z) m from c) select slab, x, (m * (dense_rank() over (order by slab) - 1) + z)::int whole, y, v from c, m")
 def fuse_planes(s, d):
     """Flat-fielded planes of all slabs on end."""
-    v = volume(s, d).where("x < 90").drop("label")
+    v = volume(s, d).drop("label")
     f = arith.flat_field(v, v.select("z").distinct().select("z", ((F.col("z") + 1) * 256.0).alias("corr")), 512).withColumn("slab", F.col("x") % 3 + 1)
     r = stitch.renumber_planes(f.select("slab", F.col("z").alias("plane")).distinct())
     return f.join(r.withColumnRenamed("plane", "z"), ["slab", "z"]).select("slab", "x", "whole", "y", "v")
 
 
-@Q("""with {vox}, p as (select x // 16 bx, sum(v)::double s, sum(v::double * v) q from vox where x < 64 group by 1), st as (select bx, s / 4096 mu, sqrt(q / 4096 - (s / 4096) * (s / 4096)) sd from p)
-select x, z, y, case when 1 / (1 + exp(-((v - mu) / sd - 1))) > 0.6 then 1 else 0 end v from vox join st on bx = x // 16 where x < 64""")
+@Q("""with {vox}, p as (select x // 16 bx, sum(v)::double s, sum(v::double * v) q from vox group by 1), st as (select bx, s / 4096 mu, sqrt(q / 4096 - (s / 4096) * (s / 4096)) sd from p)
+select x, z, y, case when 1 / (1 + exp(-((v - mu) / sd - 1))) > 0.6 then 1 else 0 end v from vox join st on bx = x // 16""")
 def score_and_mask(s, d):
     """Patches of 16^3 (zeros beyond the volume) through the scorer, then the threshold."""
     from lumenfold.operators.detect import IntensityScorer, mask_of, score_patches
 
-    return mask_of(score_patches(volume(s, d).where("x < 64").drop("label"), IntensityScorer(1.0), 16), 0.6)
+    return mask_of(score_patches(volume(s, d).drop("label"), IntensityScorer(1.0), 16), 0.6)
 
 
-@Q("with {vox} select x // 100 scan, x, z, y, v from vox where z = 2 and x < 400")
+@Q("with {vox} select x // 100 scan, x, z, y, v from vox where z = 2")
 def plane_pruning(s, d):
     """Planes in folders by scan and z; a single plane is read by partition pruning."""
     import uuid
@@ -975,5 +972,5 @@ def plane_pruning(s, d):
     from lumenfold.sources.tables import write_planes
 
     path = f"{shared_folder(s)}/planes-{uuid.uuid4().hex}"
-    write_planes(volume(s, d).where("x < 400").select(F.expr("x div 100").alias("scan"), "x", "z", "y", "v"), path, "scan", "z")
+    write_planes(volume(s, d).select(F.expr("x div 100").alias("scan"), "x", "z", "y", "v"), path, "scan", "z")
     return s.read.parquet(path).where("z = 2").select(F.col("scan").cast("long").alias("scan"), "x", "z", "y", "v")

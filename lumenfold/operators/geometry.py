@@ -20,25 +20,23 @@ def output_bounds(m: np.ndarray, shape: tuple[int, int, int]) -> tuple[np.ndarra
 
 
 def warp_bilinear(vox: DataFrame, m: list[list[float]], nz: int, ny: int) -> DataFrame:
-    """2-D affine of every frame, forward matrix on (y, z, 1), 0 outside. Each output pixel is joined to its four
-    sources: the taps are a relation of 4 rows per pixel of one plane, whatever the number of frames."""
-    full = np.vstack([np.array(m, float), [0, 0, 1]])
-    inv = np.linalg.inv(full)
+    """2-D affine of every frame, forward matrix on (y, z, 1), 0 outside: one kernel call a frame, after the one shuffle
+    that brings a frame together."""
+    inv = np.linalg.inv(np.vstack([np.array(m, float), [0, 0, 1]]))
     z, y = (a.ravel() for a in np.indices((nz, ny)))
     sy, sz, _ = np.round(inv @ np.stack([y, z, np.ones(len(y))]), 9)
     fy, fz = np.floor(sy).astype(int), np.floor(sz).astype(int)
-    taps = []
-    for dz, dy in itertools.product((0, 1), (0, 1)):
-        w = (1 - np.abs(sz - fz - dz)) * (1 - np.abs(sy - fy - dy))
-        ok = (w > 0) & (fz + dz >= 0) & (fz + dz < nz) & (fy + dy >= 0) & (fy + dy < ny)
-        taps.append(np.stack([z, y, fz + dz, fy + dy, w], axis=1)[ok])
-    taps = np.concatenate(taps)
-    spark = vox.sparkSession
-    t = spark.createDataFrame(pd.DataFrame(taps, columns=["oz", "oy", "z", "y", "w"]), "oz int, oy int, z int, y int, w double")
-    got = vox.join(t, ["z", "y"]).groupBy("x", F.col("oz").alias("z"), F.col("oy").alias("y")).agg(F.sum(F.col("w") * F.col("v")).alias("v"))
-    # pixels without a source are 0
-    plane = grid(spark, nz, ny)
-    return vox.select("x").distinct().withColumn("g", F.lit(1)).join(F.broadcast(plane.withColumn("g", F.lit(1))), "g").drop("g").join(got, ["x", "z", "y"], "left").na.fill(0.0, ["v"])
+
+    def one(g: pd.DataFrame) -> pd.DataFrame:
+        img = np.zeros((nz + 2, ny + 2))  # a rim of zeros
+        img[g.z + 1, g.y + 1] = g.v
+        out = np.zeros(len(z))
+        for dz, dy in itertools.product((0, 1), (0, 1)):
+            w = (1 - np.abs(sz - fz - dz)) * (1 - np.abs(sy - fy - dy))
+            out += w * img[np.clip(fz + dz + 1, 0, nz + 1), np.clip(fy + dy + 1, 0, ny + 1)]
+        return pd.DataFrame({"x": np.full(len(z), g.x.iloc[0]), "z": z.astype("int32"), "y": y.astype("int32"), "v": out})
+
+    return vox.select("x", "z", "y", "v").groupBy("x").applyInPandas(one, f"x {dict(vox.dtypes)['x']}, z int, y int, v double")
 
 
 def grid(spark: SparkSession, nz: int, ny: int) -> DataFrame:
@@ -107,10 +105,12 @@ def warp_blocks(vox: DataFrame, m: np.ndarray, shape: tuple[int, int, int], bloc
             boxes.append((*o, *size, *a, *b))
     names = [*(f"o{i}" for i in range(3)), *(f"s{i}" for i in range(3)), *(f"a{i}" for i in range(3)), *(f"b{i}" for i in range(3))]
     t = vox.sparkSession.createDataFrame(pd.DataFrame(boxes, columns=names), ", ".join(f"{c} long" for c in names))
-    # an equi-join on coarse cells, then the exact box
+    # an equi-join on coarse cells of all three axes, then the exact box: a voxel meets the few boxes that touch its cell
     cell = block
-    t = t.withColumn("cx", F.explode(F.sequence(F.expr(f"a0 div {cell}"), F.expr(f"b0 div {cell}"))))
-    hit = vox.withColumn("cx", F.expr(f"x div {cell}")).join(t, "cx").where("x between a0 and b0 and z between a1 and b1 and y between a2 and b2")
+    for i, c in enumerate("xzy"):
+        t = t.withColumn(f"c{c}", F.explode(F.sequence(F.expr(f"a{i} div {cell}"), F.expr(f"b{i} div {cell}"))))
+    cells = [F.expr(f"cast({c} div {cell} as long)").alias(f"c{c}") for c in "xzy"]
+    hit = vox.select("x", "z", "y", "v", *cells).join(t, ["cx", "cz", "cy"]).where("x between a0 and b0 and z between a1 and b1 and y between a2 and b2")
 
     def one(g: pd.DataFrame) -> pd.DataFrame:
         r = g.iloc[0]

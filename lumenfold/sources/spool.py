@@ -1,20 +1,24 @@
 """Camera spools: text header up to {END}, then packed 12-bit frames, optionally zstd-compressed.
 
 The "fli" data source yields one partition per group of frames (compressed files: one per file, as the stream can't be
-entered midway), reads only its own byte range and decodes whole frames at once into Arrow.
+entered midway), reads only its own byte range and decodes whole frames at once into Arrow. A path may be a spool or a
+folder of spools. Writing gives one spool per partition; the field `first` keeps the number of its first frame. A task
+writes under a name of its own, and only the files of tasks that were committed get their final names.
 """
 
 from __future__ import annotations
 
 import ast
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 HEADER_LIMIT = 40_000
 SCHEMA = "path string, frame long, height int, width int, data array<int>"
@@ -89,6 +93,15 @@ def _open(path: str):
     return fs, p
 
 
+def _spools(path: str) -> list[str]:
+    """The spools of a folder, or the path itself."""
+    fs, p = _open(path)
+    if fs.get_file_info(p).type != pafs.FileType.Directory:
+        return [path]
+    names = sorted(i.base_name for i in fs.get_file_info(pafs.FileSelector(p)))
+    return [f"{path.rstrip('/')}/{n}" for n in names if n.endswith((".fli", ".fli.zst"))]
+
+
 class Frames(InputPartition):
     def __init__(self, path: str, start: int, count: int, first: int, x: int, y: int, packed: bool):
         self.path, self.start, self.count, self.first, self.x, self.y, self.packed = path, start, count, first, x, y, packed
@@ -96,7 +109,7 @@ class Frames(InputPartition):
 
 class SpoolReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.paths = options["path"].split(",")
+        self.paths = [s for p in options["path"].split(",") for s in _spools(p)]
         self.at_once = int(options.get("framesatonce", options.get("framesAtOnce", 64)))
         self.scale = str(options.get("scale", "true")).lower() == "true"
 
@@ -109,16 +122,16 @@ class SpoolReader(DataSourceReader):
             fs, p = _open(path)
             with fs.open_input_stream(p, compression="zstd" if packed else None) as f:
                 head = parse_header(f.read(HEADER_LIMIT))
-            x, y = int(head["x"]), int(head["y"])
+            x, y, first = int(head["x"]), int(head["y"]), int(head.get("first") or 0)
             frame = x * y // 2 * 3
             if packed:
-                out.append(Frames(path, head["header_length"], -1, 0, x, y, True))
+                out.append(Frames(path, head["header_length"], -1, first, x, y, True))
                 continue
             body = fs.get_file_info(p).size - head["header_length"]
             if body % frame:
                 raise ValueError(f"{path} doesn't hold whole frames")
             n = min(body // frame, int(head.get("timestamps") or body // frame))
-            out += [Frames(path, head["header_length"] + a * frame, min(self.at_once, n - a), a, x, y, False) for a in range(0, n, self.at_once)]
+            out += [Frames(path, head["header_length"] + a * frame, min(self.at_once, n - a), first + a, x, y, False) for a in range(0, n, self.at_once)]
         return out
 
     def read(self, part: Frames) -> Iterator[pa.RecordBatch]:
@@ -127,7 +140,7 @@ class SpoolReader(DataSourceReader):
         if part.packed:
             with fs.open_input_stream(p, compression="zstd") as f:
                 f.read(part.start)
-                at = 0
+                at = part.first
                 while raw := f.read(frame * self.at_once):
                     if len(raw) % frame:
                         raise ValueError(f"{part.path} doesn't hold whole frames")
@@ -145,8 +158,67 @@ class SpoolReader(DataSourceReader):
         return pa.RecordBatch.from_arrays([pa.array([part.path] * n), pa.array(np.arange(first, first + n)), pa.array([part.y] * n, pa.int32()), pa.array([part.x] * n, pa.int32()), data], ["path", "frame", "height", "width", "data"])
 
 
+@dataclass
+class Written(WriterCommitMessage):
+    temporary: str
+    final: str
+
+
+class SpoolWriter(DataSourceArrowWriter):
+    """One spool a partition: rows of (frame, data) with consecutive frame numbers, in order."""
+
+    def __init__(self, options: dict):
+        self.path, self.x, self.y = options["path"], int(options["width"]), int(options["height"])
+        self.packed = str(options.get("packed", "false")).lower() == "true"
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+        from pyspark import TaskContext
+
+        fs, p = _open(self.path)
+        fs.create_dir(p)
+        task = TaskContext.get().partitionId()
+        temporary = f"{p}/.{task}-{uuid.uuid4().hex}"
+        first = last = None
+        # the body goes to a file of its own first: the header holds the number of frames
+        with fs.open_output_stream(f"{temporary}.body") as f:
+            for b in iterator:
+                at = b.column("frame").to_numpy()
+                if not len(at):
+                    continue
+                if (np.diff(at) != 1).any() or (last is not None and at[0] != last + 1):
+                    raise ValueError("the frames of a spool must be consecutive")
+                first, last = at[0] if first is None else first, at[-1]
+                pixels = b.column("data").flatten().to_numpy()
+                if len(pixels) != len(at) * self.x * self.y:
+                    raise ValueError("a frame doesn't have width x height pixels")
+                f.write(pack12(pixels))
+        if first is None:
+            fs.delete_file(f"{temporary}.body")
+            return Written("", "")
+        fields = {"x": self.x, "y": self.y, "timestamps": int(last - first + 1), "first": int(first)}
+        with fs.open_output_stream(temporary, compression="zstd" if self.packed else None) as f, fs.open_input_stream(f"{temporary}.body") as body:
+            f.write(header_text(fields))
+            while raw := body.read(1 << 20):
+                f.write(raw)
+        fs.delete_file(f"{temporary}.body")
+        return Written(temporary, f"{p}/part-{first:012d}.fli" + (".zst" if self.packed else ""))
+
+    def commit(self, messages: list) -> None:
+        fs, _ = _open(self.path)
+        for m in messages:
+            if m and m.temporary:
+                fs.move(m.temporary, m.final)
+
+    def abort(self, messages: list) -> None:
+        fs, _ = _open(self.path)
+        for m in messages:
+            if m and m.temporary:
+                fs.delete_file(m.temporary)
+
+
 class SpoolSource(DataSource):
-    """spark.read.format("fli").option("framesAtOnce", 64).load(path)"""
+    """spark.read.format("fli").option("framesAtOnce", 64).load(path), and frames.write.format("fli") with the options
+    width, height and packed."""
 
     @classmethod
     def name(cls) -> str:
@@ -158,6 +230,9 @@ class SpoolSource(DataSource):
     def reader(self, schema) -> SpoolReader:
         return SpoolReader(self.options)
 
+    def writer(self, schema, overwrite: bool) -> SpoolWriter:
+        return SpoolWriter(self.options)
+
 
 def read_spools(spark: SparkSession, *paths: str, frames_at_once: int = 64, scale: bool = True) -> DataFrame:
     spark.dataSource.register(SpoolSource)
@@ -169,10 +244,27 @@ def frames_to_voxels(frames: DataFrame) -> DataFrame:
     return e.select("path", "x", F.expr("cast(p div width as int)").alias("z"), F.expr("cast(p % width as int)").alias("y"), "v")
 
 
+def write_spools(frames: DataFrame, path: str, height: int, width: int, packed: bool = False, at_once: int = 1024) -> None:
+    """(frame, data) rows as spools of up to at_once consecutive frames, each written by an executor."""
+    frames.sparkSession.dataSource.register(SpoolSource)
+    n, low = frames.agg(F.max("frame") - F.min("frame") + 1, F.min("frame")).first()
+    if not n:
+        return
+    parts = -(-n // at_once)
+    d = frames.select(F.col("frame").cast("long").alias("frame"), F.col("data").cast("array<int>").alias("data"))
+    # equal ranges of frame numbers, one a partition
+    group = F.expr(f"(frame - {low}) div {at_once}")
+    d = d.repartitionByRange(parts, group).sortWithinPartitions("frame") if parts > 1 else d.coalesce(1).sortWithinPartitions("frame")
+    d.write.format("fli").option("width", width).option("height", height).option("packed", str(packed).lower()).mode("append").save(path)
+
+
+def header_text(fields: dict) -> bytes:
+    return "".join(f"{k} = {v!r}\n" for k, v in fields.items()).encode() + b"{END}"
+
+
 def write_spool(path: str, frames: np.ndarray, fields: dict | None = None) -> None:
     """A spool of 12-bit frames (n, y, x), for tests and simulations; .zst is compressed."""
     n, y, x = frames.shape
-    head = "".join(f"{k} = {v!r}\n" for k, v in {"x": x, "y": y, "timestamps": n, **(fields or {})}.items())
-    raw = head.encode() + b"{END}" + pack12(frames.ravel())
+    raw = header_text({"x": x, "y": y, "timestamps": n, **(fields or {})}) + pack12(frames.ravel())
     with pa.OSFile(path, "wb") as f:
         f.write(pa.compress(raw, codec="zstd", asbytes=True) if path.endswith(".zst") else raw)
