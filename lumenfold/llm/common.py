@@ -15,6 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def need_integers(docs: DataFrame, column: str = "doc_id") -> None:
+    """Operators that compare ids work on integers (up to 64 bits)."""
+    kind = dict(docs.dtypes)[column]
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"{column} must be an integer column, not {kind}")
+
+
 def remainder(doc_id: str | Column, m: int) -> Column:
     """crc32 of the id as text, modulo m; a null id counts as the empty text."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

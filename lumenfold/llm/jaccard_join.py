@@ -3,8 +3,8 @@
 Texts with equal shingle sets form a class and are represented once. Classes are joined on the prefix of their sets in a
 global rare-first order: |x| - ceil(t |x|) + 1 shingles, ordered by document frequency (counted over all rows in
 2^SKETCH_BITS hash buckets and kept as a byte each, so the table has a fixed size; any order is exact, rarer first has fewer candidates).
-Candidates pass the length filter and the positional filter; a suffix filter (the sets' counts in ranges of the hash
-space bound the overlap) precedes the intersection, which is computed once per pair.
+Candidates pass the length filter and the positional filter where they meet, then a suffix filter (the classes' counts in
+ranges of the hash space bound the overlap) before any set is built; the intersection is computed once per pair.
 
 Links are needed only between components, so no list of a shingle is paired out: in every list the class that
 has the shingle earliest (it has the fewest rare shingles, as the original of its copies has) is compared with the
@@ -13,7 +13,9 @@ of its lists name. Connected components follow, and then all remaining pairs of
 link between different texts is lost, and a large group of copies costs a pair per member.
 
 Null texts, texts without words and rows with a null id are linked with nothing (component: their own id). Rows with
-equal ids count as one node.
+equal ids count as one node; of such rows with different texts each is compared. Repeated rows each get their own result;
+an empty table gives an empty one; ties of rarity are ordered by hash; other columns are not read, whatever their names.
+Ids that aren't integers raise TypeError.
 """
 
 from __future__ import annotations
@@ -27,12 +29,14 @@ from pyspark.sql import functions as F
 
 from lumenfold.llm import blocks as B
 from lumenfold.llm.bloom import Bloom
-from lumenfold.llm.common import by_piece
+from lumenfold.llm.common import by_piece, need_integers
 from lumenfold.llm.tokens import fold, grams, mix, pieces, words
 from lumenfold.plans.graph import connected_components
 from lumenfold.plans.shared import materialize
 
 SKETCH_BITS, SLICES, RANGES = 22, 64, 16
+#: A list with more than LIST entries in several components is met in up to SPLITS tasks.
+LIST, SPLITS = 256, 64
 
 
 def shingle_sets(col: pa.Array, k: int) -> list[np.ndarray]:
@@ -104,6 +108,7 @@ def may_link(na, pa_, nb, pb, percent: int):
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links) and n_class (rows with the same set)."""
+    need_integers(docs)
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
     df = frequencies(docs, k)
@@ -113,10 +118,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         sets = shingle_sets(b.column("text"), k)
         prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
         pre = [prefix(s, df, percent).tobytes() if len(s) else b"" for s in sets]
-        return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()), pa.array(pre, pa.binary())], ["doc_id", "n", "print", "pre"])
+        hist = np.concatenate([np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=RANGES) for s in sets]).astype(np.int32)
+        hist = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * RANGES, pa.int32()), pa.array(hist))
+        return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()), pa.array(pre, pa.binary()), hist], ["doc_id", "n", "print", "pre", "hist"])
 
-    rows = materialize(docs.select("doc_id", "text").mapInArrow(by_piece(sketch), f"doc_id {kind}, n long, print binary, pre binary"), "sets")
-    classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("print").agg(F.min("doc_id").cast("long").alias("cls"), F.first("n").alias("n"), F.count("*").alias("n_class"), F.first("pre").alias("pre"))
+    rows = materialize(docs.select("doc_id", "text").mapInArrow(by_piece(sketch), f"doc_id {kind}, n long, print binary, pre binary, hist array<int>"), "sets")
+    known = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("print")
+    classes = known.agg(F.min("doc_id").cast("long").alias("cls"), F.first("n").alias("n"), F.first("pre").alias("pre"))
+    narrow = materialize(known.agg(F.min("doc_id").cast("long").alias("cls"), F.first("n").alias("n"), F.count("*").alias("n_class"), F.first("hist").alias("hist")), "classes")
 
     def entries(batches):
         task = 0
@@ -192,7 +201,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     named_by = met.where("kind = 0").select("payload").mapInArrow(pairs_of, "hub long, cls long, n long").where("hub <> cls").groupBy("hub", "cls").agg(F.sum("n").alias("n"))
     best = named_by.groupBy("cls").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub"))
     pairs = materialize(best.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct(), "pairs")
-    links = materialize(verify(docs, pairs, k, percent), "links")
+    links = materialize(verify(docs, pairs, narrow, k, percent), "links")
     found = connected_components(links)
     lists = materialize(met.where("kind = 1").select("payload").mapInArrow(lists_of, "token long, cls long, n int, pos int"), "lists")
     need = lambda a, b: F.expr(f"({percent} * cast({a}.n + {b}.n as long) + {99 + percent}) div {100 + percent}")
@@ -206,25 +215,28 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     more = materialize(more, "pairs")
     if not more.isEmpty():
         pairs = pairs.union(more)
-        links = links.union(materialize(verify(docs, more, k, percent), "links"))
+        links = links.union(materialize(verify(docs, more, narrow, k, percent), "links"))
         found = connected_components(links)
         open_ = unsettled(lists, found)
     # what is left: pairs of one list in different components
-    largest = open_.groupBy("token", "comp").agg(F.count("*").alias("c")).groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"))
+    sizes = open_.groupBy("token", "comp").agg(F.count("*").alias("c")).groupBy("token")
+    largest = sizes.agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.expr(f"cast(least({SPLITS}, 1 + sum(c) div {LIST}) as int)").alias("splits"))
     marked = open_.join(largest, "token").select("*", (F.col("comp") == F.col("top")).alias("big"))
-    x, y = marked.where("NOT big").alias("x"), marked.alias("y")
+    # a long list is met in several tasks: one side is dealt, the other repeated
+    x = marked.where("NOT big").withColumn("part", F.expr("cast(pmod(xxhash64(cls), splits) as int)")).alias("x")
+    y = marked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("splits") - 1))).alias("y")
     rest = (
-        x.join(y, F.expr("x.token = y.token AND x.comp <> y.comp AND (y.big OR x.cls < y.cls)") & passes("x", "y"))
+        x.join(y, F.expr("x.token = y.token AND x.part = y.part AND x.comp <> y.comp AND (y.big OR x.cls < y.cls)") & passes("x", "y"))
         .select(F.expr("least(x.cls, y.cls)").alias("a"), F.expr("greatest(x.cls, y.cls)").alias("b"))
         .distinct()
         .join(pairs, ["a", "b"], "left_anti")
     )
     rest = materialize(rest, "rest")
     if not rest.isEmpty():
-        more = materialize(verify(docs, rest, k, percent), "links")
+        more = materialize(verify(docs, rest, narrow, k, percent), "links")
         if not more.isEmpty():
             found = connected_components(links.union(more))
-    named = classes.select("print", "cls", "n_class").join(found.withColumnRenamed("node", "cls"), "cls", "left").select("print", "n_class", F.coalesce("component", "cls").alias("component"))
+    named = narrow.select("print", "cls", "n_class").join(found.withColumnRenamed("node", "cls"), "cls", "left").select("print", "n_class", F.coalesce("component", "cls").alias("component"))
     return rows.join(named, "print", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).cast(kind).alias("component_id"), F.coalesce("n_class", F.lit(1)).alias("n_class"))
 
 
@@ -235,9 +247,13 @@ def unsettled(lists: DataFrame, found: DataFrame) -> DataFrame:
     return materialize(d.join(split, "token", "left_semi"), "open")
 
 
-def verify(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of ids whose sets are similar enough. Only rows that a Bloom filter of the ids lets through have
-    their sets built."""
+def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of ids whose sets are similar enough. The suffix filter comes first, on the classes' counts by range
+    of the hash space; only rows that a Bloom filter of the remaining ids lets through have their sets built."""
+    need = lambda a, b: F.expr(f"({percent} * cast({a} + {b} as long) + {99 + percent}) div {100 + percent}")
+    one, two = (classes.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("hist").alias(f"h{c}")) for c in "ab")
+    bound = F.expr("aggregate(zip_with(ha, hb, (p, q) -> least(p, q)), 0, (t, z) -> t + z)")
+    pairs = materialize(pairs.join(one, "a").join(two, "b").where(bound >= need("na", "nb")).select("a", "b"), "candidates")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(F.xxhash64("id").alias("h"))
     bloom = Bloom(ids, "h", 2 * pairs.count())
 
@@ -248,17 +264,9 @@ def verify(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame
         b = b.take(pa.array(hit))
         own = shingle_sets(b.column("text"), k)
         size = np.cumsum([0, *map(len, own)])
-        hist = np.concatenate([np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=RANGES) for s in own]).astype(np.int32)
-        return pa.RecordBatch.from_arrays(
-            [b.column("id"), pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.array(np.concatenate(own).view(np.int64))), pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * RANGES, pa.int32()), pa.array(hist))],
-            ["id", "s", "hist"],
-        )
+        return pa.RecordBatch.from_arrays([b.column("id"), pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.array(np.concatenate(own).view(np.int64)))], ["id", "s"])
 
     whole = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("doc_id").cast("long")).alias("h"), "text")
-    whole = whole.mapInArrow(by_piece(sets), "id long, s array<long>, hist array<int>")
-    whole = materialize(whole, "whole")
-    left, right = whole.toDF("a", "sa", "ha"), whole.toDF("b", "sb", "hb")
-    both = pairs.join(left, "a").join(right, "b")
-    need = F.expr(f"({percent} * cast(size(sa) + size(sb) as long) + {99 + percent}) div {100 + percent}")
-    bound = F.expr("aggregate(zip_with(ha, hb, (p, q) -> least(p, q)), 0, (t, z) -> t + z)")
-    return both.where(F.when(bound < need, False).otherwise(F.size(F.array_intersect("sa", "sb")) >= need)).select("a", "b")
+    whole = materialize(whole.mapInArrow(by_piece(sets), "id long, s array<long>"), "whole")
+    both = pairs.join(whole.toDF("a", "sa"), "a").join(whole.toDF("b", "sb"), "b")
+    return both.where(F.size(F.array_intersect("sa", "sb")) >= need("size(sa)", "size(sb)")).select("a", "b").distinct()
