@@ -2,7 +2,9 @@
 
 Documents are dealt to blocks of bounded size by a hash of their id. A block sends each shard one packed message with its
 distinct keys, so a hot key costs one entry per block however many rows hold it; the shard answers every message in the
-order of its entries, so answers carry no keys. Blocks are rebuilt from the same shuffle for the next round.
+order of its entries, so answers carry no keys. Blocks are rebuilt from the same shuffle for the next round. A message is
+sent only where there is an entry for it: there are at most blocks x shards of them, and never more than entries, so the
+cost of a round stays in proportion to the text; BLOCK_BYTES is what decides how many entries share a message.
 """
 
 from __future__ import annotations
@@ -76,8 +78,9 @@ def by_shard(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(shard[order], np.arange(parts + 1))
 
 
-def answer(asked: DataFrame, f) -> DataFrame:
-    """Shards reply: f(list of payloads) -> list of replies, in the same order; kind < 0 goes on to its block as it is."""
+def answer(asked: DataFrame, f, n: int) -> DataFrame:
+    """Shards reply, in n tasks (as many as there are shards, so a task's messages don't grow with the table): f(list of
+    payloads) -> list of replies, in the same order; kind < 0 goes on to its block as it is."""
 
     def run(t: pa.Table) -> pa.Table:
         dest = t.column("dest")[0].as_py()
@@ -87,4 +90,4 @@ def answer(asked: DataFrame, f) -> DataFrame:
         got = f([x.as_py() for x in t.column("payload")])
         return messages([(dest, s, 1, r) for s, r in zip(t.column("src").to_pylist(), got, strict=True)])
 
-    return asked.groupBy("dest").applyInArrow(run, MESSAGES)
+    return asked.repartition(n, "dest").groupBy("dest").applyInArrow(run, MESSAGES)

@@ -4,14 +4,18 @@ A window of WINDOW words is removed wherever its word sequence also starts in a
 routed by content: each has a minimiser among its GRAM-word shingles, equal windows have the same one, and consecutive
 windows with one minimiser form a segment. Minimisers seen in one document only are dropped (first round). The segments
 of the others go to the minimiser's shard, once per block and distinct segment. A shard joins its distinct segments to one
-text, builds a suffix array of it, keeps the Burrows-Wheeler transform in a wavelet matrix (packed bits with block
-counts) and streams every segment against it: backward search gives the interval of each window, i.e. its matching
-statistics cut at the threshold, and intervals of full length with more than one row report the smallest document id.
+text, builds a suffix array of it, keeps the Burrows-Wheeler transform in a wavelet tree shaped by a prefix code (packed
+bits with block counts, about the text's zero-order entropy) and streams every document's segments against it: backward
+search extends each match to the left while more than one row is left. A match's statistic only matters up to the
+threshold, where it is cut; those that reach it report the smallest document id, and a document's matches join to the
+maximal intervals of repeated words that are reported and removed, whatever their lengths.
 
 A minimiser with over HOT distinct segments (variants of one passage) is split: its windows travel on their own, each to
 the shard of its own hash, so no shard holds such a group whole; results are the same.
 
-Nulls: a null text has no words; a row with a null id neither removes nor loses words. Equal ids count as one document.
+Nulls: a null text has no words; a row with a null id neither removes nor loses words. Equal ids count as one document, so
+repeated rows don't remove each other's words and each get their own result. An empty table gives an empty one; columns
+that are kept travel under names of their own, so none clashes. Ids that aren't integers raise TypeError.
 """
 
 from __future__ import annotations
@@ -23,11 +27,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lumenfold.llm import blocks as B
+from lumenfold.llm.common import need_integers
 from lumenfold.llm.tokens import grams, inside, mix, words
 
 WINDOW, GRAM, HOT = 13, 5, 5000
+SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 #: Text per block: its index structures take about twenty times as much.
 BLOCK_BYTES = 4 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -56,34 +65,64 @@ def span_hash(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 class Wavelet:
-    """Rank queries on a sequence of integers: one packed bit vector per binary digit, with counts per 64 bits."""
-
-    def __init__(self, seq: np.ndarray, levels: int):
-        self.levels, self.bits, self.counts, self.zeros = levels, [], [], []
-        for level in range(levels - 1, -1, -1):
-            bit = (seq >> level) & 1
+    """Rank queries on a sequence of integers: a wavelet tree in the shape of a prefix code (Shannon's code lengths, canonical
+    order), so a symbol takes about its zero-order entropy. One packed bit vector per digit, nodes in the codes' order."""
+
+    def __init__(self, seq: np.ndarray, sigma: int):
+        count = np.bincount(seq, minlength=sigma)
+        used = np.flatnonzero(count)
+        self.size = np.zeros(sigma, np.int64)
+        self.size[used] = np.maximum(1, np.ceil(np.log2(len(seq) / count[used]) - 1e-12)).astype(np.int64)
+        order = used[np.lexsort((used, self.size[used]))]
+        # canonical codes: the next number at each length
+        self.code = np.zeros(sigma, np.int64)
+        most = int(self.size.max()) if len(used) else 0
+        code = np.cumsum(np.r_[0, np.int64(1) << (most - self.size[order])])[:-1]
+        self.code[order] = code >> (most - self.size[order])
+        self.bits, self.ones, self.start, self.base = [], [], [], []
+        for d in range(most):
+            seq = seq[self.size[seq] > d]
+            bit = (self.code[seq] >> (self.size[seq] - 1 - d)) & 1
             raw = np.packbits(bit.astype(bool), bitorder="little")
             packed = np.concatenate([raw, np.zeros(8 + (-len(raw)) % 8, np.uint8)]).view(np.uint64)
             self.bits.append(packed)
-            self.counts.append(np.concatenate([[0], np.cumsum(np.bitwise_count(packed), dtype=np.int32)]).astype(np.int32))
-            self.zeros.append(int(len(seq) - bit.sum()))
-            seq = np.concatenate([seq[bit == 0], seq[bit == 1]])
+            self.ones.append(np.concatenate([[0], np.cumsum(np.bitwise_count(packed), dtype=np.int32)]).astype(np.int32))
+            # where each symbol's node begins at this level
+            here = order[self.size[order] > d]
+            prefix = self.code[here] >> (self.size[here] - d)
+            before = np.cumsum(np.r_[0, count[here]])[:-1]
+            first = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]])
+            start = np.zeros(sigma, np.int32)
+            start[here] = np.repeat(before[first], np.diff(np.r_[first, len(here)]))
+            self.start.append(start)
+            self.base.append(self._before(d, start).astype(np.int32))
+            # into the order of the next level: stable by node
+            seq = seq[np.argsort(self.code[seq] >> (self.size[seq] - 1 - d), kind="stable")]
+
+    def _before(self, d: int, i: np.ndarray) -> np.ndarray:
+        w = i >> 6
+        return self.ones[d][w] + np.bitwise_count(self.bits[d][w] & ((np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)))
 
     def rank(self, symbol: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Occurrences of each symbol before lo and before hi."""
-        base = np.zeros_like(lo)
-        for k in range(self.levels):
-            bits, counts = self.bits[k], self.counts[k]
-
-            def ones(i, bits=bits, counts=counts):
-                w = i >> 6
-                return counts[w] + np.bitwise_count(bits[w] & ((np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)))
-
-            one = ((symbol >> (self.levels - 1 - k)) & 1).astype(bool)
-            l1, h1, b1 = ones(lo), ones(hi), ones(base)
-            z = self.zeros[k]
-            lo, hi, base = np.where(one, z + l1, lo - l1), np.where(one, z + h1, hi - h1), np.where(one, z + b1, base - b1)
-        return lo - base, hi - base
+        """Occurrences of each symbol before lo and before hi; none of a symbol that doesn't occur."""
+        size, code = self.size[symbol], self.code[symbol]
+        lo, hi = np.where(size > 0, lo, 0), np.where(size > 0, hi, 0)
+        live = np.arange(len(symbol))
+        out_lo, out_hi = lo.copy(), hi.copy()
+        for d in range(len(self.bits)):
+            go = size > d
+            if not go.all():
+                done = ~go
+                out_lo[live[done]], out_hi[live[done]] = lo[done], hi[done]
+                live, lo, hi, size, code, symbol = live[go], lo[go], hi[go], size[go], code[go], symbol[go]
+            if not len(live):
+                break
+            start, base = self.start[d][symbol], self.base[d][symbol]
+            l1, h1 = self._before(d, start + lo) - base, self._before(d, start + hi) - base
+            one = ((code >> (size - 1 - d)) & 1).astype(bool)
+            lo, hi = np.where(one, l1, lo - l1), np.where(one, h1, hi - h1)
+        out_lo[live], out_hi[live] = lo, hi
+        return out_lo, out_hi
 
 
 def first_documents(text: np.ndarray, owner: np.ndarray, query: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -105,8 +144,7 @@ def first_documents(text: np.ndarray, owner: np.ndarray, query: np.ndarray, wind
         if width >= window:
             break
     bwt = text[order - 1]
-    levels = max(1, int(sigma - 1).bit_length())
-    tree = Wavelet(bwt, levels)
+    tree = Wavelet(bwt, sigma)
     below = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))])
     out = owner[query].copy()
     for a in range(0, len(query), 1 << 17):
@@ -167,7 +205,9 @@ class Segments:
 
 
 def dedup(docs: DataFrame, keep: list[str] | None = None, window: int = WINDOW, hot: int = HOT, prefix: str = "") -> DataFrame:
-    """The given columns (default doc_id) and, with the prefix before their names, n_words, n_removed, kept_sha256 and kept (the words left, one space between)."""
+    """The given columns (default doc_id) and, with the prefix before their names, n_words, n_removed, kept_sha256, kept
+    (the words left, one space between) and spans (start and stop word of every removed interval)."""
+    need_integers(docs)
     keep = keep or ["doc_id"]
     fields = {f.name: f for f in docs.schema.fields}
     # other columns travel under names of their own, so that none of theirs clashes
@@ -301,22 +341,23 @@ def dedup(docs: DataFrame, keep: list[str] | None = None, window: int = WINDOW,
         np.add.at(mark, w_start[gone] + window, -1)
         drop = np.cumsum(mark)[:-1] > 0
         removed = np.add.reduceat(np.r_[drop, False].astype(np.int64), np.minimum(s.first[:-1], len(drop))) * (np.diff(s.first) > 0)
-        kept = []
+        kept, spans = [], []
         for r, text in enumerate(t.column("text").to_pylist()):
             w = (text or "").encode().split()
             if removed[r]:
                 w = compress(w, (~drop[s.first[r] : s.first[r + 1]]).tolist())
+                edge = np.flatnonzero(np.diff(np.r_[0, drop[s.first[r] : s.first[r + 1]].astype(np.int8), 0]))
+                spans.append([{"start": a, "stop": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)])
+            else:
+                spans.append([])
             kept.append(b" ".join(w))
-        cols = [*(t.column(own[c]) for c in keep), pa.array(np.diff(s.first)), pa.array(removed), pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array([k.decode() for k in kept], pa.string())]
+        cols = [*(t.column(own[c]) for c in keep), pa.array(np.diff(s.first)), pa.array(removed), pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array([k.decode() for k in kept], pa.string()), pa.array(spans, _SPANS)]
         return pa.Table.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in cols], names)
 
-    names = [*keep, *(prefix + c for c in ("n_words", "n_removed", "kept_sha256", "kept"))]
-    from pyspark.sql import types as T
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    schema = T.StructType([*(T.StructField(c, fields[c].dataType) for c in keep), *(T.StructField(c, T.LongType() if i < 2 else T.StringType()) for i, c in enumerate(names[-4:]))])
+    names = [*keep, *(prefix + c for c in ("n_words", "n_removed", "kept_sha256", "kept", "spans"))]
+    schema = T.StructType([*(T.StructField(c, fields[c].dataType) for c in keep), *(T.StructField(c, k) for c, k in zip(names[-5:], (T.LongType(), T.LongType(), T.StringType(), T.StringType(), SPANS), strict=True))])
     out_schema = to_arrow_schema(schema)
-    keys = B.answer(dealt.groupBy("__block").applyInArrow(ask_keys, B.MESSAGES), count_keys)
+    keys = B.answer(dealt.groupBy("__block").applyInArrow(ask_keys, B.MESSAGES), count_keys, n)
     asked = dealt.groupBy("__block").cogroup(keys.groupBy(F.col("src").alias("__block"))).applyInArrow(ask_segments, B.MESSAGES)
-    found = B.answer(asked, search)
+    found = B.answer(asked, search, n)
     return dealt.groupBy("__block").cogroup(found.groupBy(F.col("src").alias("__block"))).applyInArrow(finish, schema)

@@ -10,7 +10,8 @@ over all suffixes that they contain, so their union in a document is the whole r
 
 Suffixes with over HOT distinct surroundings travel as single windows, each to its own hash's shard, so no shard holds
 such a group whole. Passages repeat across documents; repeats within one document don't count. Null or shorter texts and
-rows with a null id have no repeats; equal ids count as one document.
+rows with a null id have no repeats; equal ids count as one document, and repeated rows each get their own result. An empty
+table gives an empty one; other columns are not read, whatever their names. Ids that aren't integers raise TypeError.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.llm import blocks as B
+from lumenfold.llm.common import need_integers
 from lumenfold.llm.fm_dedup import span_hash
 from lumenfold.llm.tokens import grams, inside, mix, words
 
@@ -63,6 +65,7 @@ class Suffixes:
 def find_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """Rows with a passage of LENGTH words or more that another document has too: doc_id, n_words, n_repeated (words of
     such passages), n_removable (those whose every window also starts in a smaller id: a later copy), spans."""
+    need_integers(docs)
     n = B.block_count(docs)
     dealt = B.blocks(docs.select("doc_id", "text"), n)
     kind = dict(docs.dtypes)["doc_id"]
@@ -215,7 +218,7 @@ def find_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
         ids = t.column("doc_id").take(pa.array(r, pa.int64()))
         return pa.Table.from_arrays([ids, *(pa.array(x, pa.int64()) for x in rest[:3]), pa.array(rest[3], pair)], names)
 
-    keys = B.answer(dealt.groupBy("__block").applyInArrow(ask_keys, B.MESSAGES), count_keys)
+    keys = B.answer(dealt.groupBy("__block").applyInArrow(ask_keys, B.MESSAGES), count_keys, n)
     asked = dealt.groupBy("__block").cogroup(keys.groupBy(F.col("src").alias("__block"))).applyInArrow(ask_suffixes, B.MESSAGES)
-    found = B.answer(asked, compare)
+    found = B.answer(asked, compare, n)
     return dealt.groupBy("__block").cogroup(found.groupBy(F.col("src").alias("__block"))).applyInArrow(finish, schema)

@@ -331,18 +331,30 @@ def test_substring_dedup(spark, rows, docs, hot):
         want.append((r[0], len(w), int(drop.sum()), hashlib.sha256(kept).hexdigest()))
     got = fm_dedup.dedup(docs, hot=hot)
     assert sorted(map(tuple, got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect()), key=str) == sorted(want, key=str)
+    assert all(sum(x.stop - x.start for x in g.spans) == g.n_removed for g in got.collect())
     whole = fm_dedup.dedup(docs, docs.columns, prefix="__")
     assert whole.columns[: len(docs.columns)] == docs.columns and whole.count() == len(rows)
 
 
-def test_wavelet_ranks():
+@pytest.mark.parametrize("sigma", [1, 2, 37, 400])
+def test_wavelet_ranks(sigma):
     r = np.random.default_rng(3)
-    seq = r.integers(0, 37, 1000)
-    tree = fm_dedup.Wavelet(seq, 6)
-    c, lo, hi = r.integers(0, 37, 50), r.integers(0, 1001, 50), r.integers(0, 1001, 50)
+    seq = np.minimum(r.geometric(3 / (sigma + 2), 1000) - 1, sigma - 1)
+    tree = fm_dedup.Wavelet(seq, sigma + 3)
+    c, lo, hi = r.integers(0, sigma + 3, 300), r.integers(0, 1001, 300), r.integers(0, 1001, 300)
     a, b = tree.rank(c, lo, hi)
     assert a.tolist() == [int((seq[:i] == s).sum()) for s, i in zip(c, lo, strict=True)]
     assert b.tolist() == [int((seq[:i] == s).sum()) for s, i in zip(c, hi, strict=True)]
+    n = np.bincount(seq)
+    n = n[n > 0] / len(seq)
+    assert sum(map(len, tree.bits)) * 64 <= len(seq) * (1 + max(1, -(n * np.log2(n)).sum())) + 200 * len(tree.bits)
+
+
+def test_ids_must_be_integers(spark):
+    df = spark.createDataFrame([("a", "x y")], "doc_id string, text string")
+    for f in (fm_dedup.dedup, suffix_dedup.find_repeats, jaccard_join.near_duplicates):
+        with pytest.raises(TypeError):
+            f(df)
 
 
 # 6 and 10
