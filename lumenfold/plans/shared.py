@@ -33,6 +33,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+class Buckets:
+    """A table in the shared folder that grows in steps and lies in buckets by one column, so that grouping by that column
+    needs no shuffle."""
+
+    def __init__(self, spark: SparkSession, name: str, key: str, n: int):
+        self.spark, self.key, self.n = spark, key, min(n, 65536)
+        self.name = f"{name}_{uuid.uuid4().hex}"
+        self.path = f"{shared_folder(spark)}/{self.name}"
+        _WRITTEN.append(self.path)
+
+    def add(self, df: DataFrame, deal: bool = False) -> None:
+        """deal: bring the rows of a bucket together first, where many tasks have a few of each."""
+        df = df.repartition(self.n, self.key) if deal else df
+        df.write.format("parquet").mode("append").bucketBy(self.n, self.key).option("path", self.path).saveAsTable(self.name)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+
 def release(spark: SparkSession) -> int:
     """Delete the tables written so far, once the results that read them are stored; their number."""
     hadoop, n = spark._jvm.org.apache.hadoop.fs, 0
