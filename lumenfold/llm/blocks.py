@@ -25,9 +25,10 @@ _NAMES = ["dest", "src", "kind", "payload"]
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays with a 7-byte head each (type, length), compressed."""
+    """Arrays with a 7-byte head each (type, length), their bytes by significance (which packs better), compressed."""
     head = struct.pack("<B", len(arrays)) + b"".join(struct.pack("<3sI", a.dtype.str.encode(), len(a)) for a in arrays)
-    body = head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
+    planes = (a.tobytes() if a.itemsize == 1 else np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays)
+    body = head + b"".join(planes)
     return struct.pack("<I", len(body)) + pa.compress(body, codec="zstd", asbytes=True)
 
 
@@ -35,12 +36,32 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     body = pa.decompress(blob[4:], struct.unpack("<I", blob[:4])[0], codec="zstd", asbytes=True)
     at, out = 1 + 7 * body[0], []
     for i in range(body[0]):
-        kind, size = struct.unpack_from("<3sI", body, 1 + 7 * i)
-        out.append(np.frombuffer(body, kind.decode(), size, at))
-        at += out[-1].nbytes
+        name, size = struct.unpack_from("<3sI", body, 1 + 7 * i)
+        kind = np.dtype(name.decode())
+        a = np.frombuffer(body, np.uint8, size * kind.itemsize, at)
+        out.append(a.view(kind) if kind.itemsize == 1 else np.ascontiguousarray(a.reshape(kind.itemsize, size).T).view(kind).ravel())
+        at += a.nbytes
     return out
 
 
+def groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, a position of each, which one every key is) of integers of 0 or more, sorted."""
+    n = len(key)
+    if not n:
+        return key, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    bits = int(n).bit_length()
+    if int(key.max()).bit_length() + bits <= 63:  # sorting one number is much faster than sorting positions
+        s = np.sort(key.astype(np.int64) << bits | np.arange(n))
+        order, s = s & ((1 << bits) - 1), s >> bits
+    else:
+        order = np.argsort(key)
+        s = key[order]
+    new = np.r_[True, s[1:] != s[:-1]]
+    which = np.empty(n, np.int64)
+    which[order] = np.cumsum(new) - 1
+    return s[new], order[new], which
+
+
 def narrow(a: np.ndarray) -> np.ndarray:
     """The smallest unsigned type that holds all values."""
     most = int(a.max()) if len(a) else 0

@@ -78,6 +78,7 @@ def test_words_of_arrow_columns(rows):
 
 def brute_scores(rows, hot=1 << 60):
     step = lambda p: round(-math.log2(p) * lm_scoring.STEPS)
+    high = lambda k: round(math.log2(k + 0.5) * lm_scoring.STEPS)
     toks = [[*split(r[1], True), None] for r in rows]
     held = [zlib.crc32(b"" if r[0] is None else str(r[0]).encode()) % 5 == 1 for r in rows]
     c = collections.Counter(t for w, out in zip(toks, held, strict=True) if not out for t in w)
@@ -94,7 +95,7 @@ def brute_scores(rows, hot=1 << 60):
     def prob(ctx, t):
         """In the longest retained suffix; what a hot context gives is rounded."""
         if not ctx:
-            return 2 ** (-step(base(t)) / lm_scoring.STEPS)
+            return 2 ** ((high(c[t]) - round(math.log2(n + 0.5 * (v + 1)) * lm_scoring.STEPS)) / lm_scoring.STEPS)
         parent, f = prob(ctx[1:], t), follow.get(ctx)
         size = sum(f.values()) if f else 0
         if ctx not in kept:
