@@ -1,4 +1,4 @@
-"""Facts encoded in file names, as column expressions (also registered as SQL functions of the same meaning)."""
+"""Facts encoded in file names and in small texts beside them, as column expressions."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ def basename(path: Column) -> Column:
 def infer_axis(path: Column, axis: str) -> Column:
     """'01' of -z01- in the name, else of a parent folder correctionsNN; an error where there is neither."""
     own = _found(F.regexp_extract(basename(path), rf"-{axis}(\d+)-", 1))
-    parent = _found(F.regexp_extract(path, r"corrections(\d+)", 1))
+    parent = _found(F.regexp_extract(path, r"corrections(\d+)[^/]*/[^/]*$", 1))
     return F.coalesce(own, parent, F.raise_error(F.concat(F.lit(f"no {axis} in "), path)))
 
 
@@ -93,3 +93,17 @@ def is_spool(name: Column) -> Column:
 def is_compressed(name: Column) -> Column:
     """By extension; anything but a spool is an error."""
     return F.when(F.lower(name).endswith(".fli.zst"), True).when(F.lower(name).endswith(".fli"), False).otherwise(F.raise_error(F.concat(F.lit("not a spool: "), name)).cast("boolean"))
+
+
+def flags(column: Column, fields: str) -> Column:
+    """A run's flags out of base64-coded JSON, as a structure of the given fields; null where it can't be read."""
+    return F.from_json(F.try_to_binary(column, F.lit("base64")).cast("string"), fields)
+
+
+def encode_flags(struct: Column) -> Column:
+    return F.base64(F.to_json(struct).cast("binary"))
+
+
+def log_time(line: Column) -> Column:
+    """The time at the start of a log line, or null."""
+    return F.try_to_timestamp(F.regexp_extract(line, r"^(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d)", 1), F.lit("yyyy-MM-dd HH:mm:ss"))

@@ -131,16 +131,23 @@ def inpaint(vox: DataFrame, mask: DataFrame, *patch: str) -> DataFrame:
     return d.join(med, list(patch), "left").withColumn("v", F.when(F.col("m") == 0, F.col("med")).otherwise(F.col("v").cast("double"))).drop("m", "med")
 
 
-def pad_ramp(vox: DataFrame, n: int, to: int) -> DataFrame:
-    """Along y from n to a multiple of `to`: the last column falls linearly to 0."""
+def pad_ramp(vox: DataFrame, n: int, to: int, axis: str = "y") -> DataFrame:
+    """Along an axis from n to a multiple of `to`: the last values fall linearly to 0."""
     pad = -n % to
     if not pad:
         return vox.withColumn("v", F.col("v").cast("double"))
-    edge = vox.where(F.col("y") == n - 1).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(pad))))
-    more = edge.withColumn("y", F.col("y") + F.col("k")).withColumn("v", F.col("v") * (1 - F.col("k") / pad)).drop("k")
+    edge = vox.where(F.col(axis) == n - 1).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(pad))))
+    more = edge.withColumn(axis, (F.col(axis) + F.col("k")).cast(dict(vox.dtypes)[axis])).withColumn("v", F.col("v") * (1 - F.col("k") / pad)).drop("k")
     return vox.withColumn("v", F.col("v").cast("double")).unionByName(more)
 
 
+def pad_volume(vox: DataFrame, shape: tuple[int, int, int], to: int = 128) -> DataFrame:
+    """All three axes to multiples of `to`, one after the other, so corners fall along every axis that is padded."""
+    for axis, n in zip("xzy", shape, strict=True):
+        vox = pad_ramp(vox, n, to, axis)
+    return vox
+
+
 def to_units(points: DataFrame, scale: dict[str, float], back: bool = False) -> DataFrame:
     """Pixel coordinates in micrometres (or back)."""
     for c, s in scale.items():

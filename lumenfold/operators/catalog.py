@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from lumenfold.functions import names
 from lumenfold.model import table, to_blocks, to_voxels, volume
 from lumenfold.operators import arith, chunks, components, geometry, linalg, reduce, stitch, tables
 from lumenfold.plans.imaging import Config, correct_and_project
-from lumenfold.sources import spool
+from lumenfold.sources import images, spool, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -208,6 +209,16 @@ def pad_linear_ramp(s, d):
     return arith.pad_ramp(volume(s, d).drop("label"), 8, 13)
 
 
+@Q("""with {vox}, n as (select max(x) + 1 n, (-(max(x) + 1) % 12 + 12) % 12 p from vox),
+a as (select x, z, y, v::double v from vox union all select x + k, z, y, v * (1 - k / p::double) from vox, n, range(1, 12) t(k) where x = n - 1 and k <= p),
+b as (select x, z, y, v from a union all select x, (z + k)::int, y, v * (1 - k / 4.0::double) from a, range(1, 5) t(k) where z = 7)
+select x, z, y, v from b union all select x, z, (y + k)::int, v * (1 - k / 4.0::double) from b, range(1, 5) t(k) where y = 7""")
+def pad_volume(s, d):
+    """All axes to multiples of 12, falling to 0."""
+    n = (table(s, d, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1
+    return arith.pad_volume(volume(s, d).drop("label"), (n, 8, 8), 12)
+
+
 @Q("with {vox} select x * 1.34::double x, z * 1.54::double z, y * 2.0::double y, v from vox")
 def unit_scaling(s, d):
     return arith.to_units(volume(s, d).drop("label"), {"x": 1.34, "z": 1.54, "y": 2.0})
@@ -582,6 +593,33 @@ def resize_linear(s, d):
     return geometry.resize_linear(volume(s, d), 8, 8, 4, 4)
 
 
+@Q()
+def resize_volume(s, d):
+    """All axes at once, behind the anti-aliasing filter."""
+    n = (table(s, d, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1
+    return geometry.resize_volume(volume(s, d), (n, 8, 8), (-(-n // 3), 4, 12))
+
+
+@Q()
+def register_channels(s, d):
+    """Nuclei at the colours' size and turned, four colours under transforms of their own."""
+    v = volume(s, d).drop("label")
+    n = (table(s, d, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1
+    q = arith.split_quadrants(v, 4, 4, 8, 8)
+    m = {k: [[1.0, 0.0, 0.25 * k], [0.0, 1.0, -0.5 * k]] for k in range(1, 5)}
+    return geometry.register_channels(v, q, (n, 8, 8), (n, 4, 4), m)
+
+
+@Q("select range + 1 ch, -(range + 1) dz, range + 1 dy from range(3)")
+def channel_shifts(s, d):
+    """Three rolled copies against the channel that they came from, on every 10th of the middle planes."""
+    from functools import reduce as fold
+
+    v = volume(s, d).drop("label")
+    ch = fold(DataFrame.unionByName, [arith.roll(v, k, -k, 8, 8).withColumn("ch", F.lit(k).cast("long")) for k in range(4)])
+    return geometry.channel_shifts(ch, 0, 8, 8).select("ch", F.col("dz").cast("long").alias("dz"), F.col("dy").cast("long").alias("dy"))
+
+
 N26 = "n as (select a dx, b dz, c dy from range(-1, 2) t(a), range(-1, 2) u(b), range(-1, 2) w(c))"
 
 
@@ -622,6 +660,14 @@ def extract_points(s, d):
     return extract(v.drop("label"), 8, 8, 6, 4)
 
 
+@Q(f"""with recursive {{vox}}, {PLANES.format(t=41000)}, i as (select x, z, y, (x * 8 + z) * 8 + y id from p), e as (select a.id a, b.id b from i a join i b on abs(a.x - b.x) <= 1 and abs(a.z - b.z) <= 1 and abs(a.y - b.y) <= 1),
+r(id, c) as (select id, id from i union select e.b, r.c from r join e on e.a = r.id), l as (select x, z, y, min(c) label from i join r using (id) group by x, z, y) select x, z, y, dense_rank() over (order by label) as object from l""")
+def numbered_objects(s, d):
+    """Components numbered 1, 2, ... in the order of their first voxels."""
+    v = volume(s, d).withColumn("v", F.when(F.col("v") > 41000, 1).otherwise(0))
+    return components.number_labels(components.label_components(v.drop("label"), 8, 8, 26, 16)).select("x", "z", "y", "object")
+
+
 POINTS = "pt as (select p_partkey id, (p_partkey * 37 % 101)::double x, (p_partkey * 53 % 97)::double z, (p_size)::double y from part)"
 
 
@@ -642,23 +688,31 @@ def two_threshold_objects(s, d):
     return split_merged(on(35000), on(39500), 8, 8, 2)
 
 
-@Q()
+@Q("select vec_id x, -2 dz, 3 dy from embeddings")
 def phase_shift(s, d):
+    """Planes against copies rolled by (2, -3): the shift back is the same for all."""
     v = volume(s, d).drop("label")
     p = v.withColumnRenamed("v", "a").join(arith.roll(v, 2, -3, 8, 8).withColumnRenamed("v", "b"), ["x", "z", "y"])
     return geometry.phase_shift(p, 8, 8)
 
 
-@Q()
+@Q("select 0 ch, -1 dz, -2 dy from embeddings limit 1")
 def register_channel(s, d):
+    """A channel rolled by (1, 2) against the one it came from."""
     v = volume(s, d).drop("label")
     return geometry.register(arith.roll(v, 1, 2, 8, 8), v, 8, 8)
 
 
-@Q()
+@Q("""with {vox}, sq as (select distinct x, v, cume_dist() over (partition by x order by v) q from vox), rq as (select x - 1 x, v, q from sq),
+m as (select s.x, s.v, s.q, max(r.q) ql, arg_max(r.v, r.q) vl from sq s join rq r on r.x = s.x and r.q <= s.q group by all),
+h as (select s.x, s.v, min(r.q) qh, arg_min(r.v, r.q) vh from sq s join rq r on r.x = s.x and r.q >= s.q group by all),
+n as (select h.x, h.v, case when ql is null or qh = ql then vh::double else vl + (vh - vl) * (q - ql) / (qh - ql) end w from h left join m using (x, v))
+select x, z, y, round(w, 6) v from vox join n using (x, v)""")
 def histogram_match(s, d):
     v = volume(s, d).drop("label")
-    return geometry.match_histogram(v, v.withColumn("x", F.col("x") - 1), "x")
+    last = (table(s, d, "embeddings").agg(F.max("vec_id")).first()[0] or 0)
+    matched = geometry.match_histogram(v.where(F.col("x") < last), v.where("x > 0").withColumn("x", F.col("x") - 1), "x")
+    return matched.withColumn("v", F.round("v", 6))
 
 
 @Q()
@@ -852,23 +906,149 @@ def renumber_planes(s, d):
     return stitch.renumber_planes(table(s, d, "part").select((F.col("p_size") % 4 + 1).alias("slab"), F.col("p_partkey").alias("plane")))
 
 
+def scratch(s: SparkSession, name: str) -> str:
+    """A new folder that all machines share."""
+    import uuid
+
+    from lumenfold.plans.shared import shared_folder
+
+    return f"{shared_folder(s)}/{name}-{uuid.uuid4().hex}"
+
+
 # --- sources and streams ---------------------------------------------------------------------------------------------
 
 
 @Q("with {vox} select x, z, y, v from vox")
 def spool_round_trip(s, d):
     """All frames written by the executors as packed spools, half of them compressed, and read back by the data source."""
-    import uuid
+    return spool.frames_to_voxels(spool.read_spools(s, *spool_folders(s, d), frames_at_once=64)).select("x", "z", "y", "v")
 
-    from lumenfold.plans.shared import shared_folder
 
-    path = f"{shared_folder(s)}/spools-{uuid.uuid4().hex}"
+def spool_folders(s: SparkSession, d: str) -> tuple[str, str]:
+    """A folder of plain spools with the first half of the frames, and one of compressed spools with the others."""
+    path = scratch(s, "spools")
     pixel = lambda e: F.greatest(F.lit(0), F.least(F.lit(4095), F.rint((e.cast("double") + 1) * 2047.5).cast("int")))
     e = table(s, d, "embeddings").select(F.col("vec_id").alias("frame"), F.transform("embedding", pixel).alias("data"))
     half = e.agg(F.expr("max(frame) div 2")).first()[0] or 0
     spool.write_spools(e.where(F.col("frame") <= half), f"{path}/plain", 8, 8)
     spool.write_spools(e.where(F.col("frame") > half), f"{path}/packed", 8, 8, packed=True)
-    return spool.frames_to_voxels(spool.read_spools(s, f"{path}/plain", f"{path}/packed", frames_at_once=64)).select("x", "z", "y", "v")
+    return f"{path}/plain", f"{path}/packed"
+
+
+@Q("with {vox}, h as (select max(x) // 2 m from vox) select x, z, y, v // 16 v from vox, h where x <= m")
+def spool_unscaled(s, d):
+    """Plain spools without the factor of 16."""
+    return spool.frames_to_voxels(spool.read_spools(s, spool_folders(s, d)[0], scale=False)).select("x", "z", "y", "v")
+
+
+@Q("with h as (select max(vec_id) // 2 m from embeddings) select count(*) frames, count(*) * 96 bytes, false packed from embeddings, h where vec_id <= m union all select count(*), count(*) * 96, true from embeddings, h where vec_id > m")
+def spool_lengths(s, d):
+    """Frames out of a spool's length (plain: its own, packed: of its content) and its header."""
+    plain, packed = spool_folders(s, d)
+    files_ = images.files(s, plain, "*.fli").union(images.files(s, packed, "*.fli.zst")).select("path")
+    head = spool.headers(files_).withColumn("packed", F.col("path").endswith(".zst"))
+    got = head.join(spool.lengths(files_), "path")
+    body = F.coalesce(F.col("content"), F.col("header_length") + F.col("timestamps") * 96) - F.col("header_length")
+    return got.groupBy("packed").agg(F.sum("timestamps").alias("frames"), F.sum(body).alias("bytes"))
+
+
+@Q("with {vox} select x, z, y, v::double v from vox")
+def spool_to_volume(s, d):
+    """Plain spools as a chunked volume with its header beside it, compressed ones as another; both read back."""
+    out = scratch(s, "volumes")
+    both = None
+    for i, folder in enumerate(spool_folders(s, d)):
+        assert spool.spools_to_store(s, folder, f"{out}/{i}", (16, 4, 8)) and not spool.spools_to_store(s, folder, f"{out}/{i}")
+        v = store.store_to_voxels(store.read_store(s, f"{out}/{i}"))
+        # a store starts with frame 0; frames before a spool's first are empty
+        v = v if not i else v.where(F.col("x") > both_last)
+        both_last = v.agg(F.max("x")).first()[0] or 0
+        both = v if both is None else both.union(v)
+    return both
+
+
+@Q("with {vox} select x, z, y, v::double v from vox where x between 10 and 39 and z between 2 and 6 and y < 5")
+def store_region(s, d):
+    """A region of a stored volume: only the chunks that it touches are read."""
+    out = scratch(s, "store")
+    n = (table(s, d, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1
+    store.write_store(store.to_chunks(volume(s, d), (n, 8, 8), (16, 4, 4)), out, (n, 8, 8), (16, 4, 4))
+    return store.store_to_voxels(store.read_store(s, out, region=[(10, 40), (2, 7), (0, 5)]))
+
+
+@Q("with {vox} select x // 2 x, (z // 2)::int z, (y // 2)::int y, round_even(avg(v), 0) v from vox group by all")
+def store_level(s, d):
+    """A lower resolution beside the full one, read by its level."""
+    out = scratch(s, "levels")
+    n = (table(s, d, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1
+    low = geometry.block_average(volume(s, d), 2)
+    store.write_store(store.to_chunks(low, (-(-n // 2), 4, 4), (64, 4, 4)), f"{out}/scale1", (-(-n // 2), 4, 4), (64, 4, 4), codec="zlib")
+    v = store.store_to_voxels(store.read_store(s, out, level=1))
+    return v
+
+
+@Q("with {vox} select x, z - 1 z, y - 2 y, v::double v from vox where z between 1 and 6 and y >= 2")
+def tiff_planes(s, d):
+    """Every frame as a TIFF file, read back with the rim cut off."""
+    out = scratch(s, "tiffs")
+    images.write_images(volume(s, d), out, F.format_string("plane_%06d", F.col("x")), 8, 8)
+    p = images.planes_to_pixels(images.read_tiffs(s, out), top=1, bottom=1, left=2)
+    return p.select(names.last_number(F.regexp_extract("path", r"([^/]*)\.tif$", 1)).cast("long").alias("x"), "z", "y", "v")
+
+
+@Q("with {vox} select z, y, v::double v from vox where x = 7")
+def tiff_plane_by_name(s, d):
+    """One plane by the name of its file; no other file's content is read."""
+    out = scratch(s, "tiffs")
+    images.write_images(volume(s, d), out, F.format_string("plane_%04d", F.col("x")), 8, 8)
+    return images.planes_to_pixels(images.read_tiffs(s, out, where=F.col("path").endswith("/plane_0007.tif"))).select("z", "y", "v")
+
+
+@Q(f"with {{vox}}, {BG} select z, y, bg from bg")
+def npy_mask(s, d):
+    """The background mask kept as an NPY file."""
+    out = scratch(s, "masks")
+    images.write_images(bg(volume(s, d)).withColumnRenamed("bg", "v"), out, F.lit("bg_nuclei_mask_z00"), 8, 8, "npy", "<f8")
+    a = images.read_npys(s, out).select("shape", F.posexplode("data").alias("p", "bg"))
+    return a.select(F.expr("cast(p div shape[1] as int)").alias("z"), F.expr("cast(p % shape[1] as int)").alias("y"), "bg")
+
+
+@Q("with n as (select n_nationkey k, 'sub' || (n_nationkey % 3) || '/slab_plane' || lpad((n_nationkey * 7)::varchar, 3, '0') || case when n_nationkey % 4 > 0 then '_ch' || (n_nationkey % 4) else '' end || '.tif' f from nation) select split_part(f, '/', 2) as name, case when k % 4 > 0 then split_part(f, '/', 1) || '/ch' || (k % 4) || '/' || split_part(f, '/', 2) else f end target from n")
+def route_files(s, d):
+    """Files found by pattern in nested folders, and the channel folder that each belongs to."""
+    from lumenfold.sources.files import write_files
+
+    out = scratch(s, "routes")
+    k = F.col("n_nationkey")
+    name = F.concat(F.lit("sub"), k % 3, F.format_string("/slab_plane%03d", k * 7), F.when(k % 4 > 0, F.concat(F.lit("_ch"), k % 4)).otherwise(""))
+    n = table(s, d, "nation").select(F.concat(name, F.lit(".tif")).alias("name"), F.lit(b"x").alias("payload"))
+    write_files(n.union(n.limit(1).select(F.lit("sub0/readme.txt"), "payload")), out)
+    r = tables.route_files(images.files(s, out, "*.tif"))
+    return r.select("name", F.regexp_extract("target", r"(sub\d/.*)$", 1).alias("target"))
+
+
+@Q("select c_custkey, c_nationkey nation, c_mktsegment seg, c_acctbal > 0 live from customer")
+def flags_argument(s, d):
+    """Flags as base64-coded JSON, as a launcher passes them, and read back."""
+    c = table(s, d, "customer").select("c_custkey", F.struct(F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("seg"), (F.col("c_acctbal") > 0).alias("live")).alias("f"))
+    c = c.select("c_custkey", names.encode_flags(F.col("f")).alias("code"))
+    return c.select("c_custkey", names.flags(F.col("code"), "nation int, seg string, live boolean").alias("f")).select("c_custkey", "f.*")
+
+
+@Q("select user_id as file, min(date_trunc('second', ts)) as \"first\", max(date_trunc('second', ts)) as \"last\", (epoch(max(date_trunc('second', ts))) - epoch(min(date_trunc('second', ts))))::bigint as seconds, count(*) n from events where event_type <> 'error' group by 1")
+def log_spans(s, d):
+    """Begin, end and duration of every log file from the times at the starts of its lines."""
+    e = table(s, d, "events")
+    line = F.when(F.col("event_type") == "error", F.lit("Traceback")).otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" done: "), F.col("event_type")))
+    return tables.log_spans(e.select(F.col("user_id").alias("file"), line.alias("line")))
+
+
+@Q("select c_custkey, case when c_custkey in (select o_custkey from orders) then '/data/z' || c_nationkey || '/plane_' || lpad(c_custkey::varchar, 4, '0') || '.tif' end path from customer")
+def find_planes(s, d):
+    """The file of every wanted plane by its name; null where it is missing."""
+    c = table(s, d, "customer").select("c_custkey", F.concat(F.lit("/data/z"), "c_nationkey").alias("folder"), F.col("c_custkey").alias("plane"))
+    there = c.join(table(s, d, "orders").select(F.col("o_custkey").alias("plane")).distinct(), "plane").select(F.concat("folder", F.format_string("/plane_%04d.tif", F.col("plane").cast("int"))).alias("path"))
+    return stitch.find_planes(c, there).select(F.col("plane").alias("c_custkey"), "path")
 
 
 @Q("select user_id % 40 chunk from events group by 1")
@@ -912,12 +1092,13 @@ def csv_round_trip(s, d):
     return back.select("chunk", F.col("`axis-0`").alias("axis_0"), F.col("`axis-1`").alias("axis_1"), F.col("`axis-2`").alias("axis_2"))
 
 
-@Q("with c as (select a * 31 + 4.5 cx, b * 7 cz, e * 7 cy from range(2) t(a), range(2) u(b), range(2) w(e)) select floor(min(2.0 * cx - 0.5 * cz))::int lo, ceil(max(2.0 * cx - 0.5 * cz))::int hi from c")
+@Q("""with a(r, cx, cz, cy, c0) as (values (0, 2.0, -0.5, 0.0, 4.5), (1, 0.25, 1.0, 0.0, -1.0), (2, 0.0, 0.5, 1.5, 0.0)), c as (select i * 31 x, j * 7 z, k * 7 y from range(2) t(i), range(2) u(j), range(2) w(k)),
+o as (select r, cx * x + cz * z + cy * y + c0 v from a, c) select r, floor(min(v))::int lo, ceil(max(v))::int hi from o group by r""")
 def affine_bounds(s, d):
-    """Extent of a transformed volume from its eight corners, as a relation."""
-    c = s.range(8).selectExpr("(id div 4) * 31 + 4.5 cx", "(id div 2 % 2) * 7 cz", "(id % 2) * 7 cy")
-    o = 2.0 * F.col("cx") - 0.5 * F.col("cz")
-    return c.agg(F.floor(F.min(o)).cast("int").alias("lo"), F.ceil(F.max(o)).cast("int").alias("hi"))
+    """Extent of a transformed volume from its eight corners."""
+    m = [[2.0, -0.5, 0.0, 4.5], [0.25, 1.0, 0.0, -1.0], [0.0, 0.5, 1.5, 0.0], [0.0, 0.0, 0.0, 1.0]]
+    low, high = geometry.output_bounds(np.array(m), (32, 8, 8))
+    return s.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(zip(low, high, strict=True))], "r int, lo int, hi int")
 
 
 @Q("with n as (select n_nationkey, case when n_nationkey % 6 = 5 then 'plain' else 'tile_y' || (n_nationkey * 7 % 30) end f from nation), k as (select *, case when f = 'plain' then 1000000000 else regexp_extract(f, 'y(\\d+)', 1)::bigint end k from n) select n_nationkey, f, (row_number() over (order by k, f, n_nationkey))::int r from k")

@@ -150,6 +150,55 @@ def resize_linear(vox: DataFrame, nz: int, ny: int, oz: int, oy: int) -> DataFra
     return d.groupBy("x", F.col("oz").alias("z"), F.col("oy").alias("y")).agg(F.sum(F.col("v") * F.col("wz") * F.col("wy")).alias("v"))
 
 
+def resize_taps(n: int, o: int, anti_alias: bool) -> np.ndarray:
+    """(output, source, weight) of one axis, order 1 with half-pixel centres and mirrored edges; where the axis shrinks and
+    anti_alias, behind a Gaussian of (n / o - 1) / 2 samples."""
+    mirror = lambda i: i if n == 1 else abs((i + n - 1) % (2 * n - 2) - (n - 1))
+    smooth = np.zeros((n, n))
+    sigma = max(0.0, (n / o - 1) / 2) if anti_alias else 0.0
+    reach = int(4 * sigma + 0.5)
+    k = np.arange(-reach, reach + 1)
+    w = np.exp(-0.5 * (k / sigma) ** 2) if sigma else np.ones(1)
+    for i in range(n):
+        for d, x in zip(k, w / w.sum(), strict=True):
+            smooth[i, mirror(i + d) if n > 1 else 0] += x
+    pick = np.zeros((o, n))
+    for i in range(o):
+        at = (i + 0.5) * n / o - 0.5
+        low = int(np.floor(at))
+        for j, x in ((low, 1 - (at - low)), (low + 1, at - low)):
+            pick[i, mirror(j) if n > 1 else 0] += x
+    whole = pick @ smooth
+    i, j = np.nonzero(whole)
+    return np.stack([i, j, whole[i, j]], axis=1)
+
+
+def resize_volume(vox: DataFrame, shape: tuple[int, int, int], to: tuple[int, int, int], anti_alias: bool = True) -> DataFrame:
+    """An (x, z, y) volume at another size: axis by axis, as the filter and the interpolation are separable. An axis' taps
+    are a relation of a few rows per output plane, and its sums combine on the map side."""
+    spark, out = vox.sparkSession, vox.select("x", "z", "y", F.col("v").cast("double").alias("v"))
+    kinds = dict(vox.dtypes)
+    for axis, n, o in zip("xzy", shape, to, strict=True):
+        if n == o:
+            continue
+        t = spark.createDataFrame(pd.DataFrame(resize_taps(n, o, anti_alias), columns=["o", "i", "w"])).select(F.col("o").cast(kinds[axis]).alias("o"), F.col("i").cast(kinds[axis]).alias(axis), "w")
+        rest = [c for c in "xzy" if c != axis]
+        out = out.join(t, axis).groupBy(*rest, F.col("o").alias(axis)).agg(F.sum(F.col("w") * F.col("v")).alias("v"))
+    return out.select("x", "z", "y", "v")
+
+
+def register_channels(nuclei: DataFrame, colours: DataFrame, shape: tuple[int, int, int], to: tuple[int, int, int], transforms: dict[int, list[list[float]]]) -> DataFrame:
+    """One volume of all channels at the colours' size: channel 0 is the nuclei, resized and turned by 180 degrees; channel k
+    is colour k under its own 2-D transform. Stored integers. colours: ch (from 1), x, z, y, v."""
+    from lumenfold.operators.arith import clip16, rot180
+
+    first = rot180(resize_volume(nuclei, shape, to), to[1], to[2]).withColumn("ch", F.lit(0))
+    rest = [warp_bilinear(colours.where(F.col("ch") == ch), m, to[1], to[2]).withColumn("ch", F.lit(ch)) for ch, m in sorted(transforms.items())]
+    for d in rest:
+        first = first.unionByName(d)
+    return first.select("ch", "x", "z", "y", clip16(F.col("v")).alias("v"))
+
+
 def block_average(vox: DataFrame, k: int) -> DataFrame:
     """One level of a resolution pyramid."""
     return vox.groupBy(F.expr(f"x div {k}").alias("x"), F.expr(f"cast(z div {k} as int)").alias("z"), F.expr(f"cast(y div {k} as int)").alias("y")).agg(F.avg("v").alias("v"))
@@ -197,9 +246,9 @@ def phase_shift(pairs: DataFrame, nz: int, ny: int) -> DataFrame:
         f = np.fft.fft2(a) * np.conj(np.fft.fft2(b))
         c = np.fft.ifft2(f / np.maximum(np.abs(f), 1e-12)).real
         dz, dy = np.unravel_index(int(np.argmax(np.round(c, 9))), c.shape)
-        return pd.DataFrame({"x": [g.x.iloc[0]], "dz": [int(dz - nz if dz > nz // 2 else dz)], "dy": [int(dy - ny if dy > ny // 2 else dy)]})
+        return pd.DataFrame({"x": g.x.iloc[:1].reset_index(drop=True), "dz": [int(dz - nz if dz > nz // 2 else dz)], "dy": [int(dy - ny if dy > ny // 2 else dy)]})
 
-    return pairs.groupBy("x").applyInPandas(one, "x long, dz int, dy int")
+    return pairs.groupBy("x").applyInPandas(one, f"x {dict(pairs.dtypes)['x']}, dz int, dy int")
 
 
 def match_histogram(source: DataFrame, reference: DataFrame, *keys: str) -> DataFrame:
@@ -257,3 +306,17 @@ def register(moving: DataFrame, fixed: DataFrame, nz: int, ny: int, share: float
     best = top_frames(mutual_information(pairs, bins, "x").select("x", F.col("nmi").alias("score")), share)
     return median_shift(phase_shift(pairs.join(best.select("x"), "x", "left_semi"), nz, ny).withColumn("ch", F.lit(0)))
 
+
+
+def channel_shifts(volume: DataFrame, reference: int, nz: int, ny: int, every: int = 10, most: int = 1000) -> DataFrame:
+    """ch, dz, dy: the median phase shift of every channel against the reference one, from every 10th plane of the middle
+    1000. volume: ch, x, z, y, v."""
+    from lumenfold.operators.reduce import median_shift
+
+    ends = volume.agg(F.min("x").alias("low"), F.max("x").alias("high")).select(F.expr(f"greatest(low, low + (high - low + 1 - {most}) div 2)").alias("start"), F.lit(1).alias("k"))
+    d = volume.withColumn("k", F.lit(1)).join(F.broadcast(ends), "k").where((F.col("x") >= F.col("start")) & (F.col("x") < F.col("start") + most) & ((F.col("x") - F.col("start")) % every == 0)).drop("k", "start")
+    fixed = d.where(F.col("ch") == reference).select("x", "z", "y", F.col("v").alias("a"))
+    pairs = d.where(F.col("ch") != reference).withColumnRenamed("v", "b").join(fixed, ["x", "z", "y"])
+    # a frame of a channel is a frame of its own
+    pairs = pairs.withColumn("x", F.struct("ch", "x"))
+    return median_shift(phase_shift(pairs, nz, ny).select(F.col("x.ch").alias("ch"), "dz", "dy"))

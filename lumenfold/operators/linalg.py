@@ -51,18 +51,30 @@ def unmix(wide: DataFrame, m: list[list[float]], columns: list[str]) -> DataFram
     return wide.select(*[c for c in wide.columns if c not in columns], *out)
 
 
-def unmix_nonnegative(wide: DataFrame, m: list[list[float]], columns: list[str], steps: int = 400) -> DataFrame:
-    """Least squares with non-negative results: projected gradient over whole Arrow batches."""
+def nonnegative_least_squares(v: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Exact minima of |a u - v| over u >= 0 for many right-hand sides: of all sets of free unknowns (2^n for n columns) the
+    one whose least-squares solution is feasible and has no descent direction left, tested for all rows at once."""
+    n = a.shape[1]
+    best, out = np.full(len(v), np.inf), np.zeros((len(v), n))
+    for chosen in range(1 << n):
+        free = [i for i in range(n) if chosen >> i & 1]
+        u = np.zeros((len(v), n))
+        if free:
+            u[:, free] = v @ np.linalg.pinv(a[:, free]).T
+        error = ((u @ a.T - v) ** 2).sum(axis=1)
+        better = (u >= 0).all(axis=1) & (error < best)
+        best[better], out[better] = error[better], u[better]
+    return out
+
+
+def unmix_nonnegative(wide: DataFrame, m: list[list[float]], columns: list[str]) -> DataFrame:
+    """Least squares with non-negative results, exact, over whole Arrow batches."""
     a = np.array(m, float).T
-    rate = 1 / np.linalg.norm(a.T @ a, 2)
     keep = [c for c in wide.columns if c not in columns]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            v = b[columns].to_numpy(float)
-            u = np.maximum(v @ np.linalg.pinv(a).T, 0)
-            for _ in range(steps):
-                u = np.maximum(u - rate * (u @ a.T - v) @ a, 0)
+            u = nonnegative_least_squares(b[columns].to_numpy(float), a)
             yield b[keep].assign(**{f"u_{c}": u[:, i] for i, c in enumerate(columns)})
 
     kinds = dict(wide.dtypes)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -49,5 +49,7 @@ def plane_composite(vox: DataFrame, tiles: DataFrame, z: int, normalise: bool =
     return minmax16(d) if normalise else d
 
 
-def find_plane(files: DataFrame, folder: Column, plane: int) -> DataFrame:
-    return files.where(F.col("path") == F.concat(folder, F.format_string("/plane_%04d.tif", F.lit(plane))))
+def find_planes(wanted: DataFrame, files: DataFrame) -> DataFrame:
+    """The file of every wanted plane (folder, plane), by the name that it must have; path is null where there is none."""
+    name = F.concat(F.col("folder"), F.format_string("/plane_%04d.tif", F.col("plane").cast("int")))
+    return wanted.withColumn("path", name).join(files.select("path", F.lit(True).alias("there")), "path", "left").select("folder", "plane", F.when(F.col("there"), F.col("path")).alias("path"))

@@ -105,3 +105,21 @@ def spectral_table(layers: DataFrame, vox: DataFrame) -> DataFrame:
     vols = [F.count(F.when(where(k, first), 1)).alias(f"vol_l{k}") for k in range(1, 5)]
     means = [F.coalesce(F.avg(F.when(where(k, F.col("ch") == c), F.col("v"))), F.lit(0.0)).alias(f"ch{c}_l{k}") for c in range(1, 6) for k in range(1, 5)]
     return d.groupBy("label").agg(r("x").alias("axis_0"), r("z").alias("axis_1"), r("y").alias("axis_2"), *vols, *means)
+
+
+def route_files(files: DataFrame) -> DataFrame:
+    """Where each file of (path, name) belongs: a folder per channel, files without a channel stay where they are."""
+    from lumenfold.functions.names import channel_number
+
+    ch = channel_number(F.col("name"))
+    folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+    return files.select("path", "name", F.when(ch.isNotNull(), F.concat(folder, F.lit("/ch"), ch, F.lit("/"), F.col("name"))).otherwise(F.col("path")).alias("target"))
+
+
+def log_spans(lines: DataFrame) -> DataFrame:
+    """file, first and last time, seconds between, lines with a time. lines: file, line."""
+    from lumenfold.functions.names import log_time
+
+    t = lines.select("file", log_time(F.col("line")).alias("t")).where("t IS NOT NULL")
+    g = t.groupBy("file").agg(F.min("t").alias("first"), F.max("t").alias("last"), F.count("*").alias("n"))
+    return g.select("file", "first", "last", (F.unix_timestamp("last") - F.unix_timestamp("first")).alias("seconds"), "n")

@@ -234,6 +234,80 @@ class SpoolSource(DataSource):
         return SpoolWriter(self.options)
 
 
+def content_size(head: bytes) -> int | None:
+    """Size of a zstd stream's content as its frame header states it, None where it doesn't or the bytes aren't zstd."""
+    if len(head) < 6 or head[:4] != b"\x28\xb5\x2f\xfd":
+        return None
+    flag, single, key = head[4] >> 6, head[4] >> 5 & 1, (0, 1, 2, 4)[head[4] & 3]
+    size = (single, 2, 4, 8)[flag]
+    at = 5 + (0 if single else 1) + key
+    if not size or len(head) < at + size:
+        return None
+    return int.from_bytes(head[at : at + size], "little") + (256 if size == 2 else 0)
+
+
+def lengths(spools: DataFrame) -> DataFrame:
+    """path, stored (bytes of the file), content (unpacked bytes; null where a packed spool doesn't state it). spools: path."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for path in b.column("path").to_pylist():
+                fs, p = _open(path)
+                size = fs.get_file_info(p).size
+                if path.endswith(".zst"):
+                    with fs.open_input_stream(p) as f:
+                        out.append((path, size, content_size(f.read(18))))
+                else:
+                    out.append((path, size, size))
+            path, size, content = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(path, pa.string()), pa.array(size, pa.int64()), pa.array(content, pa.int64())], ["path", "stored", "content"])
+
+    return spools.select("path").mapInArrow(run, "path string, stored long, content long")
+
+
+def headers(spools: DataFrame) -> DataFrame:
+    """header_table() of plain and packed spools; only the start of each file is read. spools: path."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = []
+            for path in b.column("path").to_pylist():
+                fs, p = _open(path)
+                with fs.open_input_stream(p, compression="zstd" if path.endswith(".zst") else None) as f:
+                    raw = f.read(HEADER_LIMIT)
+                texts.append(raw[: raw.find(b"{END}") + 5].decode("latin-1"))
+            yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(texts, pa.string())], ["path", "text"])
+
+    return header_table(spools.select("path").mapInArrow(run, "path string, text string"))
+
+
+def spools_to_store(spark: SparkSession, path: str, out: str, chunks: tuple[int, int, int] = (128, 128, 128), frames_at_once: int = 64, scale: bool = True) -> bool:
+    """A spool, or a folder of the spools of one scan, as a chunked volume with its header beside it: header.json,
+    header_raw.txt and README.txt. One job: groups of frames are read, cut by chunk and written by the executors. False
+    where the store is there already."""
+    import json
+
+    from lumenfold.sources.files import write_files
+    from lumenfold.sources.store import exists, frames_to_chunks, write_store
+
+    if exists(out):
+        return False
+    first = _spools(path)[0]
+    fs, p = _open(first)
+    with fs.open_input_stream(p, compression="zstd" if first.endswith(".zst") else None) as f:
+        raw = f.read(HEADER_LIMIT)
+    head = parse_header(raw)
+    frames = read_spools(spark, path, frames_at_once=frames_at_once, scale=scale)
+    n = (frames.agg(F.max("frame")).first()[0] or 0) + 1
+    shape = (int(n), int(head["y"]), int(head["x"]))
+    write_store(frames_to_chunks(frames, shape, chunks), out, shape, chunks)
+    about = f"frames x rows x columns: {shape}; chunks: {tuple(chunks)}; from {path}\n"
+    side = [("header.json", json.dumps(head, default=str, indent=1).encode()), ("header_raw.txt", raw[: head["header_length"]]), ("README.txt", about.encode())]
+    write_files(spark.createDataFrame([(a, bytearray(b)) for a, b in side], "name string, payload binary"), out)
+    return True
+
+
 def read_spools(spark: SparkSession, *paths: str, frames_at_once: int = 64, scale: bool = True) -> DataFrame:
     spark.dataSource.register(SpoolSource)
     return spark.read.format("fli").option("framesAtOnce", frames_at_once).option("scale", str(scale).lower()).load(",".join(paths))
