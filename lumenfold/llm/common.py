@@ -15,6 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """The name, with as many underscores in front as keep it apart from the columns there are (and what they begin with)."""
+    name = "__" + name
+    while any(c.lower().startswith(name.lower()) for c in taken):
+        name = "_" + name
+    return name
+
+
 def need_integers(docs: DataFrame, column: str = "doc_id") -> None:
     """Operators that compare ids work on integers (up to 64 bits)."""
     kind = dict(docs.dtypes)[column]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.llm.bloom import Bloom
-from lumenfold.llm.common import by_piece
+from lumenfold.llm.common import by_piece, free_name
 from lumenfold.llm.tokens import MUL, inside, mix, words
 from lumenfold.plans.shared import materialize
 
@@ -164,5 +164,6 @@ def row_key():
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs without a leak, all columns as they are."""
-    bad = find_leaks(docs, items).select(F.col("row_key").alias("__bad")).distinct()
-    return docs.join(bad, row_key() == F.col("__bad"), "left_anti")
+    name = free_name("bad", docs.columns)
+    bad = find_leaks(docs, items).select(F.col("row_key").alias(name)).distinct()
+    return docs.join(bad, row_key() == F.col(name), "left_anti")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenfold.llm.common import by_piece, remainder
+from lumenfold.llm.common import by_piece, free_name, remainder
 from lumenfold.llm.tokens import raw, words
 
 BUCKETS, RANK = 1024, 8
@@ -106,24 +106,25 @@ def train(docs: DataFrame, labels: DataFrame, held: int = 0, of: int = 5) -> dic
     return {"mean": mean, "std": std, "w0": float(w0), "w": w, "v": v}
 
 
-def score(docs: DataFrame, model: dict | None, keep: list[str] | None = None) -> DataFrame:
-    """The given columns of docs (default doc_id) and score."""
+def score(docs: DataFrame, model: dict | None, keep: list[str] | None = None, name: str = "__score") -> DataFrame:
+    """The given columns of docs (default doc_id) and the score, under the given name."""
     keep = keep or ["doc_id"]
+    text = free_name("text", keep)
     fields = {f.name: f for f in docs.schema.fields}
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        hashed, stats = features(b.column("__text"))
+        hashed, stats = features(b.column(text))
         if model is None:
             p = np.full(len(stats), 0.5)
         else:
             x = np.concatenate([hashed, np.clip((stats - model["mean"]) / model["std"], -6, 6) / 3], axis=1).astype(np.float32)
             p = 1 / (1 + np.exp(-np.clip(margins(x, model["w0"], model["w"], model["v"]).astype(np.float64), -40, 40)))
-        return pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(p, pa.float64())], [*keep, "__score"])
+        return pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(p, pa.float64())], [*keep, name])
 
     from pyspark.sql import types as T
 
-    schema = T.StructType([*(T.StructField(c, fields[c].dataType, True) for c in keep), T.StructField("__score", T.DoubleType())])
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(by_piece(run, "__text", 2 << 20), schema)
+    schema = T.StructType([*(T.StructField(c, fields[c].dataType, True) for c in keep), T.StructField(name, T.DoubleType())])
+    return docs.select(*keep, F.col("text").alias(text)).mapInArrow(by_piece(run, text, 2 << 20), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:

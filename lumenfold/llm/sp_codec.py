@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lumenfold.llm.common import by_piece
+from lumenfold.llm.common import by_piece, free_name
 
 SPACE = "▁"
 #: Stands for a U+2581 of the text: a lone surrogate, which no valid text holds.
@@ -367,16 +367,17 @@ def codec(path: str) -> Codec:
 def encode(docs: DataFrame, tables: Codec, keep: list[str] | None = None) -> DataFrame:
     """The given columns (default doc_id), ids array<int> (null for a null text), n_tokens and score of every row's whole text."""
     keep = keep or ["doc_id"]
+    text = free_name("text", keep)
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        got = tables.encode(b.column("__text").to_pylist())
+        got = tables.encode(b.column(text).to_pylist())
         size = np.array([len(g[0]) // 4 for g in got])
-        null = b.column("__text").is_null()
+        null = b.column(text).is_null()
         ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)], pa.int32()), pa.array(np.frombuffer(b"".join(g[0] for g in got), np.int32)), mask=null)
         return pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), ids, pa.array(size, pa.int64()), pa.array([float(g[1]) for g in got])], [*keep, "ids", "n_tokens", "score"])
 
     kinds = dict(docs.dtypes)
-    return docs.select(*keep, docs["text"].alias("__text")).mapInArrow(by_piece(run, "__text", 2 << 20), ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids array<int>, n_tokens long, score double"]))
+    return docs.select(*keep, docs["text"].alias(text)).mapInArrow(by_piece(run, text, 2 << 20), ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids array<int>, n_tokens long, score double"]))
 
 
 def decode(tokens: DataFrame, tables: Codec) -> DataFrame:
