@@ -1,6 +1,8 @@
 """A corpus pipeline: quality, near duplicates, repeated passages, benchmark leaks, token ids.
 
-Every stage takes (spark, docs, sf_dir) and works on all rows that the one before kept.
+Every stage takes (spark, docs, sf_dir) and works on all rows that the one before kept. In all stages a null text counts as
+an empty one (and stays null), rows with a null id are rows of their own, an empty table gives an empty one, and columns
+beside doc_id and text are handed on unread, whatever their names; n_chars follows a text that is cut. Ids must be integers.
 """
 
 from __future__ import annotations
@@ -9,41 +11,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenfold.llm import decontaminate, fm_dedup, jaccard_join, quality, sp_codec
-from lumenfold.llm.common import table
+from lumenfold.llm.common import free_name, table
 from lumenfold.llm.queries import vocabulary
 from lumenfold.plans.shared import materialize
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; it learns from the labels of the documents given."""
+    """Documents that the quality classifier accepts; it learns from the labels of the documents given. A score on the
+    threshold is accepted, repeated rows share their score and stay or go together, and without labels all stay."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, docs.columns).where("__score >= 0.3").select(*docs.columns)
+    name = free_name("score", docs.columns)
+    return quality.score(docs, model, docs.columns, name).where(F.col(name) >= 0.3).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
-    groups = jaccard_join.near_duplicates(docs, k=5, percent=80)
+    """One document of each group of near duplicates: the one with the smallest id. Rows that repeat an id are one document:
+    of those with words the one with the smallest text stays. Texts without words are in no group and stay."""
+    groups = materialize(jaccard_join.near_duplicates(docs, k=5, percent=80).select("doc_id", "n_shingles", "component_id"), "groups")
     extra = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
+    out = docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
+    twice = groups.where("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if twice.isEmpty():
+        return out
+    again = out.join(twice, "doc_id", "left_semi").select(*docs.columns)
+    wordless = F.coalesce("text", F.lit("")).rlike("^[\\x20\\x09-\\x0D]*$")
+    row = F.struct(*docs.columns)
+    first = again.where(~wordless).groupBy("doc_id").agg(F.min_by(row, "text").alias(free_name("row", docs.columns))).select(free_name("row", docs.columns) + ".*")
+    return out.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(again.where(wordless)).unionByName(first)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the words of repeated passages; a text that loses none stays as it is, one that loses all goes."""
-    cut = fm_dedup.dedup(docs, docs.columns, prefix="__").where("__n_removed < __n_words OR __n_words = 0")
-    changed = F.col("__n_removed") > 0
-    out = cut.withColumn("text", F.when(changed, F.col("__kept")).otherwise(F.col("text")))
+    """Texts without the words of repeated passages; a text that loses none stays as it is, one that loses all goes.
+    Repeated rows don't remove each other's words."""
+    prefix = free_name("cut", docs.columns) + "_"
+    mine = lambda c: F.col(prefix + c)
+    cut = fm_dedup.dedup(docs, docs.columns, prefix=prefix).where((mine("n_removed") < mine("n_words")) | (mine("n_words") == 0))
+    changed = mine("n_removed") > 0
+    out = cut.withColumn("text", F.when(changed, mine("kept")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark; repeated rows stay or go together."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document."""
+    """Token ids of every row's whole text (null for a null one, none for an empty one)."""
     return sp_codec.encode(docs, sp_codec.codec(vocabulary())).select("doc_id", "n_tokens", "ids")
 
 
