@@ -200,6 +200,17 @@ def test_netpbm_and_bmp_forms(spark):
     assert np.load(io.BytesIO(out[1].tile)).shape == (16, 16) and out[2].tile is None
 
 
+def test_tiles_are_written_as_npy_files(spark, docs, tmp_path):
+    import io
+
+    rgb = np.random.default_rng(4).integers(0, 256, (40, 33, 3)).astype(np.uint8)
+    df = spark.createDataFrame([(1, bytearray(media.encode_bmp(rgb))), (2, bytearray(b"P5\n2 1\n255\n\x01\x09")), (3, None)], "doc_id long, media binary")
+    media.write_tiles(media.media_tiles(df, side=8), str(tmp_path / "tiles"))
+    out = {r.id: r for r in spark.read.parquet(str(tmp_path / "tiles")).collect()}
+    assert np.allclose(np.load(io.BytesIO(out[1].tile)), media.area_resize(rgb, 8, 8), atol=1e-3)
+    assert out[1].dhash == media.difference_hash(rgb) and np.load(io.BytesIO(out[2].tile)).shape == (8, 8) and out[3].tile is None
+
+
 # 3
 
 
