@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lumenfold.functions import names
 from lumenfold.model import table, to_blocks, to_voxels, volume
 from lumenfold.operators import arith, chunks, components, geometry, linalg, reduce, stitch, tables
+from lumenfold.plans import blocks
 from lumenfold.plans.imaging import Config, correct_and_project
 from lumenfold.sources import images, spool, store
 
@@ -915,6 +916,29 @@ def scratch(s: SparkSession, name: str) -> str:
     return f"{shared_folder(s)}/{name}-{uuid.uuid4().hex}"
 
 
+@Q(f"with {{vox}}, {BG}, {PATTERN} select x, z, y, trunc(least(65535, greatest(0, greatest(0, v - bg) / (pattern + 1e-6))))::double v from vox join bg using (z, y) join pat using (z, y)")
+def correct_blocks(s, d):
+    """Background, subtraction and illumination of a stored volume, block by block, into another store."""
+    out = scratch(s, "corrected")
+    v = volume(s, d).drop("label")
+    shape = ((table(s, d, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1, 8, 8)
+    store.write_store(store.to_chunks(v, shape, (64, 4, 8)), f"{out}/raw", shape, (64, 4, 8))
+    raw = store.read_store(s, f"{out}/raw")
+    masks = blocks.plane_array(blocks.median_plane(raw), "bg"), blocks.plane_array(pattern(v), "pattern")
+    store.write_store(blocks.correct_blocks(raw, *masks, clamp=True), f"{out}/done", shape, (64, 4, 8))
+    return store.store_to_voxels(store.read_store(s, f"{out}/done"))
+
+
+@Q(f"with {{vox}}, {BG}, d as (select z, y, trunc(least(65535, greatest(0, v - bg)))::int v from vox join bg using (z, y)) select z, y, max(v)::double v_max, sum(v)::double v_sum from d group by z, y")
+def project_blocks(s, d):
+    """Corrected maximum and sum along the frames of a stored volume, without a row per voxel after reading."""
+    out = scratch(s, "projected")
+    shape = ((table(s, d, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1, 8, 8)
+    store.write_store(store.to_chunks(volume(s, d), shape, (64, 4, 8)), out, shape, (64, 4, 8))
+    raw = store.read_store(s, out)
+    return blocks.project_blocks(blocks.correct_blocks(raw, blocks.plane_array(blocks.median_plane(raw), "bg")))
+
+
 # --- sources and streams ---------------------------------------------------------------------------------------------
 
 
