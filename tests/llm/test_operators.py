@@ -435,6 +435,41 @@ def test_quality_held_out(spark, small, docs, empty):
     assert {r.score for r in none} == {0.5} and quality.classify(empty, lab).count() == 0
 
 
+def brute_features(t):
+    """One text's features by the definitions: hashed word shares, kinds of characters, then the structure."""
+    w = split(t, True)
+    b = (t or "").encode()
+    x = [0.0] * quality.BUCKETS
+    import pyarrow as pa
+
+    for k, c in collections.Counter(w).items():
+        x[int(words(pa.array([k.decode()]), True)[0][0] % np.uint64(quality.BUCKETS))] += c / len(w)
+    out = [math.sqrt(v) for v in x]
+    out += [math.sqrt(sum(c in set(m) for c in b) / max(len(b), 1)) for m in quality.CLASSES.values()]
+    if not w:
+        return out + [0.0] * 9
+    n, own, size = len(w), collections.Counter(w), [len(v) for v in w]
+    mean = sum(size) / n
+    lines = b.split(b"\n")
+    return out + [len(own) / n, max(own.values()) / n, mean / 10, math.sqrt(sum((v - mean) ** 2 for v in size) / n) / 10, sum(v > 15 for v in size) / n, 1 - len(set(lines)) / len(lines), sum(p == q for p, q in itertools.pairwise(w)) / n, math.log1p(n) / 10, len(own) / math.sqrt(n) / 20]
+
+
+def test_quality_scores_against_brute_force(spark, small, rows, docs):
+    d, lab = spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/labels.parquet")
+    model = quality.train(d, lab)
+    got = collections.defaultdict(list)
+    for r in quality.score(docs, model, ["doc_id", "text"]).collect():
+        got[r.doc_id, r.text].append(r["__score"])
+    for i, t in [(r[0], r[1]) for r in rows if len(r[1] or "") < 3000]:
+        x = np.array(brute_features(t))
+        k = quality.BUCKETS
+        x[k:] = np.clip((x[k:] - model["mean"]) / model["std"], -6, 6) / 3
+        on = np.flatnonzero(x)
+        pairs = sum(float(x[a] * x[b] * (model["v"][a] @ model["v"][b])) for a, b in itertools.combinations(on, 2))
+        want = 1 / (1 + math.exp(-(model["w0"] + float(x @ model["w"]) + pairs)))
+        assert all(v == pytest.approx(want, abs=2e-4) for v in got[i, t])
+
+
 def test_sum_of_squares_identity():
     r = np.random.default_rng(0)
     x, w, v = r.random((4, 6)), r.random(6), r.random((6, 3))
