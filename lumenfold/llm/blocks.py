@@ -14,7 +14,7 @@ import struct
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from lumenfold.llm.common import text_bytes
@@ -79,8 +79,18 @@ def block_count(docs: DataFrame, bytes_each: int = BLOCK_BYTES) -> int:
 
 
 def blocks(docs: DataFrame, n: int) -> DataFrame:
-    """docs with a column __block, dealt by it; every round reads this one shuffle."""
-    return docs.withColumn("__block", F.pmod(F.xxhash64("doc_id"), F.lit(n))).repartition(n, "__block")
+    """docs with a column __block, dealt by it, a block a task; every round reads this one shuffle."""
+    return docs.withColumn("__block", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")).repartitionById(n, "__block")
+
+
+def shards(asked: DataFrame, n: int) -> GroupedData:
+    """Messages by the shard they go to, a shard a task (hashing would put several into one)."""
+    return asked.withColumn("dest", F.col("dest").cast("int")).repartitionById(n, "dest").groupBy("dest")
+
+
+def back(answers: DataFrame, n: int) -> GroupedData:
+    """Replies by the block that asked, beside the block itself."""
+    return answers.withColumn("__block", F.col("src").cast("int")).repartitionById(n, "__block").groupBy("__block")
 
 
 def shard_of(h: np.ndarray, parts: int) -> np.ndarray:
@@ -106,9 +116,9 @@ def answer(asked: DataFrame, f, n: int) -> DataFrame:
     def run(t: pa.Table) -> pa.Table:
         dest = t.column("dest")[0].as_py()
         if dest < 0:
-            return t
+            return t.set_column(0, "dest", t.column("dest").cast(pa.int64()))
         t = t.take(pc.sort_indices(t, sort_keys=[("src", "ascending")]))
         got = f([x.as_py() for x in t.column("payload")])
         return messages([(dest, s, 1, r) for s, r in zip(t.column("src").to_pylist(), got, strict=True)])
 
-    return asked.repartition(n, "dest").groupBy("dest").applyInArrow(run, MESSAGES)
+    return shards(asked, n).applyInArrow(run, MESSAGES)

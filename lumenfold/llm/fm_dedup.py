@@ -358,6 +358,6 @@ def dedup(docs: DataFrame, keep: list[str] | None = None, window: int = WINDOW,
     schema = T.StructType([*(T.StructField(c, fields[c].dataType) for c in keep), *(T.StructField(c, k) for c, k in zip(names[-5:], (T.LongType(), T.LongType(), T.StringType(), T.StringType(), SPANS), strict=True))])
     out_schema = to_arrow_schema(schema)
     keys = B.answer(dealt.groupBy("__block").applyInArrow(ask_keys, B.MESSAGES), count_keys, n)
-    asked = dealt.groupBy("__block").cogroup(keys.groupBy(F.col("src").alias("__block"))).applyInArrow(ask_segments, B.MESSAGES)
+    asked = dealt.groupBy("__block").cogroup(B.back(keys, n)).applyInArrow(ask_segments, B.MESSAGES)
     found = B.answer(asked, search, n)
-    return dealt.groupBy("__block").cogroup(found.groupBy(F.col("src").alias("__block"))).applyInArrow(finish, schema)
+    return dealt.groupBy("__block").cogroup(B.back(found, n)).applyInArrow(finish, schema)

@@ -19,7 +19,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lumenfold.llm import blocks as B
 from lumenfold.llm.common import need_integers
@@ -219,6 +218,6 @@ def find_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
         return pa.Table.from_arrays([ids, *(pa.array(x, pa.int64()) for x in rest[:3]), pa.array(rest[3], pair)], names)
 
     keys = B.answer(dealt.groupBy("__block").applyInArrow(ask_keys, B.MESSAGES), count_keys, n)
-    asked = dealt.groupBy("__block").cogroup(keys.groupBy(F.col("src").alias("__block"))).applyInArrow(ask_suffixes, B.MESSAGES)
+    asked = dealt.groupBy("__block").cogroup(B.back(keys, n)).applyInArrow(ask_suffixes, B.MESSAGES)
     found = B.answer(asked, compare, n)
-    return dealt.groupBy("__block").cogroup(found.groupBy(F.col("src").alias("__block"))).applyInArrow(finish, schema)
+    return dealt.groupBy("__block").cogroup(B.back(found, n)).applyInArrow(finish, schema)
