@@ -230,6 +230,14 @@ def clip_round_u16(s, d):
     return volume(s, d).select("x", "z", "y", arith.round16((F.col("v") - 30000) * 1.25).alias("v"))
 
 
+@Q("with {vox} select k cut, count(*) n, sum(v)::bigint total, max(z)::int z, max(y)::int y from (select k, z - k z, y, v from vox, range(4) t(k) where z between k and 7 - k) group by k")
+def crop_sweep(s, d):
+    """The same crop at several widths, in one pass over the volume."""
+    v = volume(s, d).select("z", "y", "v", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))).alias("cut"))
+    v = v.where((F.col("z") >= F.col("cut")) & (F.col("z") < 8 - F.col("cut"))).withColumn("z", (F.col("z") - F.col("cut")).cast("int"))
+    return v.groupBy("cut").agg(F.count("*").alias("n"), F.sum("v").alias("total"), F.max("z").alias("z"), F.max("y").alias("y"))
+
+
 # --- filters ---------------------------------------------------------------------------------------------------------
 
 
@@ -893,6 +901,19 @@ def stitch_grid(s, d):
     return stitch.stitch(v, t, -24, 8, rotate=(8, 8))
 
 
+@Q("""with {vox}, t as (select n_regionkey scan_z, n_nationkey scan_y, 8 width, coalesce(sum(8) over (partition by n_regionkey order by n_nationkey rows between unbounded preceding and 1 preceding), 0) st from nation),
+sl as (select scan_z, dense_rank() over (order by scan_z) - 1 i, count(*) over () n from (select distinct scan_z from t)), q as (select x, z, y, v, n_regionkey scan_z, n_nationkey scan_y from vox join nation on n_nationkey = x % 25)
+select i::bigint slab, (i * 8 + 7 - z)::bigint z, x, (st + (n - 1 - i) * 24 + 7 - y)::bigint y, v from q join t using (scan_z, scan_y) join sl using (scan_z) where i = 1""")
+def slab_export(s, d):
+    """Planes of the stitched volume in folders by slab and plane; one slab is read back by partition pruning."""
+    from lumenfold.sources.tables import write_planes
+
+    path = scratch(s, "slabs")
+    write_planes(stitch_grid(s, d).withColumn("slab", F.expr("z div 8")), path, "slab", "z")
+    got = s.read.parquet(path).where("slab = 1")
+    return got.select(F.col("slab").cast("long").alias("slab"), F.col("z").cast("long").alias("z"), "x", "y", "v")
+
+
 @Q("""with {vox}, t as (select n_regionkey scan_z, n_nationkey scan_y, coalesce(sum(8) over (partition by n_regionkey order by n_nationkey rows between unbounded preceding and 1 preceding), 0) st from nation),
 q as (select n_regionkey scan_z, x, (st + y)::bigint y, v from vox join nation on n_nationkey = x % 25 join t on scan_y = n_nationkey where z = 5), m as (select min(v) lo, max(v) hi from q) select scan_z, x, y, floor((v - lo) * 65535.0::double / (hi - lo))::int v from q, m""")
 def plane_composite(s, d):
@@ -991,6 +1012,21 @@ def spool_to_volume(s, d):
     return both
 
 
+@Q("with {vox}, h as (select max(x) // 2 m from vox) select x <= m early, count(*) voxels, avg(v) mean from vox, h group by 1")
+def calibration_ingest(s, d):
+    """Every spool of a calibration set becomes a volume of its own, named after it."""
+    out = scratch(s, "calibration")
+    plain, packed = spool_folders(s, d)
+    got = None
+    for early, folder in ((True, plain), (False, packed)):
+        names_ = spool.ingest(s, folder, f"{out}/{early}", (64, 8, 8))
+        for n in names_:
+            low = int(n.split("-")[1])
+            v = store.store_to_voxels(store.read_store(s, f"{out}/{early}/{n}")).where(F.col("x") >= low).select(F.lit(early).alias("early"), "v")
+            got = v if got is None else got.union(v)
+    return got.groupBy("early").agg(F.count("*").alias("voxels"), F.avg("v").alias("mean"))
+
+
 @Q("with {vox} select x, z, y, v::double v from vox where x between 10 and 39 and z between 2 and 6 and y < 5")
 def store_region(s, d):
     """A region of a stored volume: only the chunks that it touches are read."""

@@ -308,6 +308,15 @@ def spools_to_store(spark: SparkSession, path: str, out: str, chunks: tuple[int,
     return True
 
 
+def ingest(spark: SparkSession, folder: str, out: str, chunks: tuple[int, int, int] = (128, 128, 128)) -> list[str]:
+    """Every spool of a folder as a volume named after it; finished ones are skipped. Returns the names."""
+    names = []
+    for path in _spools(folder):
+        names.append(path.rpartition("/")[2].removesuffix(".zst").removesuffix(".fli"))
+        spools_to_store(spark, path, f"{out}/{names[-1]}", chunks)
+    return names
+
+
 def read_spools(spark: SparkSession, *paths: str, frames_at_once: int = 64, scale: bool = True) -> DataFrame:
     spark.dataSource.register(SpoolSource)
     return spark.read.format("fli").option("framesAtOnce", frames_at_once).option("scale", str(scale).lower()).load(",".join(paths))
