@@ -33,6 +33,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def written() -> int:
+    """How many tables there are by now, as a mark for release()."""
+    return len(_WRITTEN)
+
+
 class Buckets:
     """A table in the shared folder that grows in steps and lies in buckets by one column, so that grouping by that column
     needs no shuffle."""
@@ -52,10 +57,12 @@ class Buckets:
         return self.spark.table(self.name)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the tables written so far, once the results that read them are stored; their number."""
+def release(spark: SparkSession, since: int = 0, last: bool = True) -> int:
+    """Delete the tables written since a mark, once the results that read them are stored; their number. The newest table
+    stays if not last: it is what a finished step has left to the next one."""
     hadoop, n = spark._jvm.org.apache.hadoop.fs, 0
-    while _WRITTEN:
-        path = hadoop.Path(_WRITTEN.pop())
+    old = _WRITTEN[since:] if last else _WRITTEN[since:-1]
+    _WRITTEN[since:] = [] if last else _WRITTEN[max(since, len(_WRITTEN) - 1) :]
+    for path in map(hadoop.Path, old):
         n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
     return n

@@ -302,3 +302,28 @@ def test_graph_rounds_and_one_task_agree(spark):
     assert rows(connected_components(d)) == rows(connected_components(d, small=0))
     with pytest.raises(RuntimeError):
         connected_components(d, small=0, max_rounds=1)
+
+
+def test_released_tables_are_gone(spark):
+    import os
+
+    from lumenfold.plans.shared import materialize, release, written
+
+    mark = written()
+    first, second = materialize(spark.range(3), "one"), materialize(spark.range(4), "two")
+    folder = lambda d: os.path.dirname(d.inputFiles()[0].removeprefix("file://"))
+    a, b = folder(first), folder(second)
+    assert release(spark, mark, last=False) == 1 and not os.path.exists(a) and second.count() == 4
+    assert release(spark, mark) == 1 and not os.path.exists(b) and written() == mark
+
+
+def test_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from lumenfold.plans.shared import shared_folder
+
+    conf = {"spark.master": "spark://host:7077"}
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_folder(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d))))
+    conf["spark.checkpoint.dir"] = "hdfs:///x/"
+    assert shared_folder(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)))) == "hdfs:///x"
