@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lumenfold.llm import decontaminate, fm_dedup, jaccard_join, quality, sp_codec
 from lumenfold.llm.common import free_name, table
 from lumenfold.llm.queries import vocabulary
-from lumenfold.plans.shared import materialize
+from lumenfold.plans.shared import materialize, release, written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,7 +75,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; the tables that a stage wrote for itself go as soon as its result is stored."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        mark = written()
         docs = materialize(stage(spark, docs, sf_dir), name)
+        release(spark, mark, last=False)
     return docs
