@@ -203,7 +203,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     pairs = materialize(best.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct(), "pairs")
     links = materialize(verify(docs, pairs, narrow, k, percent), "links")
     found = connected_components(links)
-    lists = materialize(met.where("kind = 1").select("payload").mapInArrow(lists_of, "token long, cls long, n int, pos int"), "lists")
+    lists = distinct_lists(materialize(met.where("kind = 1").select("payload").mapInArrow(lists_of, "token long, cls long, n int, pos int"), "lists"))
     need = lambda a, b: F.expr(f"({percent} * cast({a}.n + {b}.n as long) + {99 + percent}) div {100 + percent}")
     passes = lambda a, b: F.expr(f"100L * least({a}.n, {b}.n) >= {percent}L * greatest({a}.n, {b}.n)") & (F.expr(f"least({a}.n - {a}.pos, {b}.n - {b}.pos)") >= need(a, b))
     # once more with the earliest of whole lists, where a list is still in several components
@@ -240,6 +240,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     return rows.join(named, "print", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).cast(kind).alias("component_id"), F.coalesce("n_class", F.lit(1)).alias("n_class"))
 
 
+def distinct_lists(lists: DataFrame) -> DataFrame:
+    """Of shingles whose lists hold the same classes, the one that comes first in the global order: the first shingle that
+    a pair shares is always among them, and copies that share hundreds of rare shingles leave one list."""
+    dealt = lists.repartition("token")
+    marks = dealt.groupBy("token").agg(F.bit_xor(F.xxhash64("cls")).alias("p"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("q"), F.count("*").alias("c"), F.min("pos").alias("first"))
+    keep = marks.groupBy("p", "q", "c").agg(F.min_by("token", F.struct("first", "token")).alias("token")).select("token")
+    return materialize(dealt.join(keep, "token", "left_semi"), "lists")
+
+
 def unsettled(lists: DataFrame, found: DataFrame) -> DataFrame:
     """Entries, with their components, of shingles whose lists are in more than one."""
     d = lists.join(found.withColumnRenamed("node", "cls"), "cls", "left").select("token", "cls", "n", "pos", F.coalesce("component", "cls").alias("comp"))
