@@ -1,7 +1,8 @@
 """Media columns: Netpbm and BMP to numpy arrays, area resizing by integral images, NPY tiles and difference hashes.
 
-Each row is handled on its own, without a shuffle. A null or empty payload is one unit of padding. Images of any size
-are decoded from their own bytes; a malformed image raises ValueError.
+Each row is handled on its own, without a shuffle, so repeated rows each get their own, equal result. A null or empty payload
+is one unit of padding; null media give nulls. Images of any size are decoded from their own bytes; a malformed image raises
+ValueError. An empty table gives an empty one; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
