@@ -28,9 +28,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near duplicates: the one with the smallest id. Rows that repeat an id are one document:
     of those with words the one with the smallest text stays. Texts without words are in no group and stay."""
     groups = materialize(jaccard_join.near_duplicates(docs, k=5, percent=80).select("doc_id", "n_shingles", "component_id"), "groups")
-    extra = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    # the ids to drop grow with the table, so they are never broadcast, however few they are on a small one
+    extra = groups.where("doc_id <> component_id").select("doc_id").distinct().hint("merge")
     out = docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
-    twice = groups.where("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    twice = groups.where("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id").hint("merge")
     if twice.isEmpty():
         return out
     again = out.join(twice, "doc_id", "left_semi").select(*docs.columns)
