@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfold.llm import decontaminate, fm_dedup, jaccard_join, language_id, lm_scoring, media, quality, sp_codec, suffix_dedup, url_filter
+from lumenfold.llm import decontaminate, fm_dedup, html_extract, jaccard_join, language_id, lm_scoring, media, periodic_runs, quality, sp_codec, suffix_dedup, url_filter, whitening
 from lumenfold.llm.common import table
 from lumenfold.llm.oracles import ORACLES
 
@@ -58,5 +58,23 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_media_columns, op3_url_filters, op4_jaccard_join, op5_suffix_dedup, op6_language_id, op7_sentencepiece, op8_decontamination, op9_substring_dedup, op10_quality_classifier)}
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        *(op1_lm_scoring, op2_media_columns, op3_url_filters, op4_jaccard_join, op5_suffix_dedup, op6_language_id, op7_sentencepiece),
+        *(op8_decontamination, op9_substring_dedup, op10_quality_classifier, op11_html_extraction, op12_periodic_runs, op13_embedding_whitening),
+    )
+}
 __all__ = ["ORACLES", "QUERIES"]
