@@ -1036,6 +1036,34 @@ def store_region(s, d):
     return store.store_to_voxels(store.read_store(s, out, region=[(10, 40), (2, 7), (0, 5)]))
 
 
+@Q("with {vox} select ((z // 4) * 2 + y // 4)::int c, x, (z % 4)::int z, (y % 4)::int y, v::double v from vox where not (z < 4 and y >= 4)")
+def store_blosc_channels(s, d):
+    """The four quadrants of every frame as channels of a nested Blosc store, all but one of them read back."""
+    out = scratch(s, "channels")
+    n = (table(s, d, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1
+    v = volume(s, d).select(F.expr("cast(z div 4 * 2 + y div 4 as int)").alias("c"), "x", F.expr("cast(z % 4 as int)").alias("z"), F.expr("cast(y % 4 as int)").alias("y"), "v")
+    shape, edge = (4, n, 4, 4), (1, 64, 4, 4)
+    store.write_store(store.to_chunks(v, shape, edge), out, shape, edge, codec="blosc", separator="/")
+    return store.store_to_voxels(store.read_store(s, out).where("c != 1"))
+
+
+@Q("with {vox} select x, z, y, v::double v from vox where x >= 128 and z >= 4 and y < 4")
+def store_pushdown(s, d):
+    """Conditions on the block columns choose the chunks that are opened."""
+    out = scratch(s, "store")
+    n = (table(s, d, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1
+    store.write_store(store.to_chunks(volume(s, d), (n, 8, 8), (16, 4, 4)), out, (n, 8, 8), (16, 4, 4), codec="blosc")
+    return store.store_to_voxels(store.read_store(s, out).where("x0 >= 128 and z0 = 4 and y0 in (0)"))
+
+
+@Q("with {vox}, h as (select max(x) // 2 m from vox) select x, z, y, v from vox, h where x between m - 20 and m + 40")
+def spool_packed_groups(s, d):
+    """Frames around the change from plain to packed spools; packed ones are entered midway by their seek tables."""
+    plain, packed = spool_folders(s, d)
+    m = table(s, d, "embeddings").agg(F.expr("max(vec_id) div 2")).first()[0] or 0
+    return spool.frames_to_voxels(spool.read_spools(s, plain, packed, frames_at_once=16).where(F.col("frame").between(m - 20, m + 40))).select("x", "z", "y", "v")
+
+
 @Q("with {vox} select x // 2 x, (z // 2)::int z, (y // 2)::int y, round_even(avg(v), 0) v from vox group by all")
 def store_level(s, d):
     """A lower resolution beside the full one, read by its level."""

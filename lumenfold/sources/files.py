@@ -1,7 +1,8 @@
 """A sink for whole small files: every row's bytes become a file of its own under the given folder.
 
-A task writes under a name of its own; a file gets its final name only when its task was committed, so a repeated or lost
-task leaves no half of a file. An existing file of the same name is replaced.
+A task writes a file under a name of its own and moves it to its final name once it is whole, so a repeated or lost task
+leaves no half of a file and replaces what it has written before. A failed job leaves whole files; what says that all are
+there (a store's description) is written after all tasks. An existing file of the same name is replaced.
 """
 
 from __future__ import annotations
@@ -23,41 +24,45 @@ def open_folder(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 @dataclass
-class Moves(WriterCommitMessage):
-    moves: list[tuple[str, str]]
+class Written(WriterCommitMessage):
+    files: int
+
+
+def put_file(fs: pafs.FileSystem, final: str, payload: pa.Buffer | bytes) -> None:
+    """Write a file under a name of its own, then give it its final name: others see it whole or not at all."""
+    folder, _, last = final.rpartition("/")
+    fs.create_dir(folder)
+    temporary = f"{folder}/.{last}-{uuid.uuid4().hex}"
+    with fs.open_output_stream(temporary) as f:
+        f.write(payload)
+    try:
+        fs.move(temporary, final)
+    except OSError:  # file systems that don't move onto a file
+        fs.delete_file(final)
+        fs.move(temporary, final)
 
 
 class FilesWriter(DataSourceArrowWriter):
-    """Rows of (name, payload); a name may hold folders."""
+    """Rows of (name, payload); a name may hold folders. Tasks give their files the final names themselves, so the driver
+    has nothing to do for a file."""
 
     def __init__(self, options: dict):
         self.path = options["path"]
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         fs, root = open_folder(self.path)
-        moves = []
+        n = 0
         for b in iterator:
             for name, payload in zip(b.column("name").to_pylist(), b.column("payload"), strict=True):
-                final = f"{root}/{name}"
-                folder, _, last = final.rpartition("/")
-                fs.create_dir(folder)
-                temporary = f"{folder}/.{last}-{uuid.uuid4().hex}"
-                with fs.open_output_stream(temporary) as f:
-                    f.write(payload.as_buffer())
-                moves.append((temporary, final))
-        return Moves(moves)
+                put_file(fs, f"{root}/{name}", payload.as_buffer())
+                n += 1
+        return Written(n)
 
     def commit(self, messages: list) -> None:
-        fs, _ = open_folder(self.path)
-        for m in messages:
-            for a, b in m.moves if m else ():
-                fs.move(a, b)
+        pass
 
     def abort(self, messages: list) -> None:
-        fs, _ = open_folder(self.path)
-        for m in messages:
-            for a, _ in m.moves if m else ():
-                fs.delete_file(a)
+        pass
 
 
 class FilesSink(DataSource):

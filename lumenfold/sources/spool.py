@@ -1,14 +1,18 @@
 """Camera spools: text header up to {END}, then packed 12-bit frames, optionally zstd-compressed.
 
-The "fli" data source yields one partition per group of frames (compressed files: one per file, as the stream can't be
-entered midway), reads only its own byte range and decodes whole frames at once into Arrow. A path may be a spool or a
-folder of spools. Writing gives one spool per partition; the field `first` keeps the number of its first frame. A task
-writes under a name of its own, and only the files of tasks that were committed get their final names.
+The "fli" data source yields one partition per group of frames, reads only its own byte range and decodes whole frames at
+once into Arrow. A compressed spool that ends with a seek table (the public seekable zstd layout: frames of their own and a
+skippable one with their sizes) is split in the same way; without one it can't be entered midway and is one partition. A
+path may be a spool or a folder of spools. read_spools() gives the same rows and reads only the byte ranges of frames that
+conditions on path and frame let through. Writing gives one spool per partition, compressed ones with a seek table; the field
+`first` keeps the number of its first frame. A task writes under a name of its own, and only the files of tasks that were
+committed get their final names.
 """
 
 from __future__ import annotations
 
 import ast
+import struct
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 HEADER_LIMIT = 40_000
+# Fixed values of the public seekable zstd layout: the skippable frame that holds the table, and what ends it.
+SKIPPABLE, SEEKABLE, FOOTER = 0x184D2A5E, 0x8F92EAB1, 9
 SCHEMA = "path string, frame long, height int, width int, data array<int>"
 
 
@@ -102,9 +108,98 @@ def _spools(path: str) -> list[str]:
     return [f"{path.rstrip('/')}/{n}" for n in names if n.endswith((".fli", ".fli.zst"))]
 
 
+def seek_table(fs: pafs.FileSystem, p: str) -> list[tuple[int, int, int]] | None:
+    """(offset, packed bytes, unpacked bytes) of every frame of a seekable zstd file, None where there is no table. Two reads
+    at the end of the file."""
+    size = fs.get_file_info(p).size
+    with fs.open_input_file(p) as f:
+        if size < FOOTER + 8:
+            return None
+        n, about, magic = struct.unpack("<IBI", f.read_at(FOOTER, size - FOOTER))
+        width = 12 if about & 0x80 else 8
+        start = size - FOOTER - n * width - 8
+        if magic != SEEKABLE or start < 0:
+            return None
+        raw = f.read_at(8 + n * width, start)
+    if struct.unpack_from("<II", raw) != (SKIPPABLE, n * width + FOOTER):
+        return None
+    out, at = [], 0
+    for i in range(n):
+        packed, whole = struct.unpack_from("<II", raw, 8 + i * width)
+        out.append((at, packed, whole))
+        at += packed
+    return out if at == start else None
+
+
+def encode_seek_table(sizes: list[tuple[int, int]]) -> bytes:
+    """The frame that ends a seekable file of frames of these (packed, unpacked) bytes."""
+    body = b"".join(struct.pack("<II", *s) for s in sizes) + struct.pack("<IBI", len(sizes), 0, SEEKABLE)
+    return struct.pack("<II", SKIPPABLE, len(body)) + body
+
+
 class Frames(InputPartition):
-    def __init__(self, path: str, start: int, count: int, first: int, x: int, y: int, packed: bool):
-        self.path, self.start, self.count, self.first, self.x, self.y, self.packed = path, start, count, first, x, y, packed
+    """count frames from byte start on (-1: all up to the end); with pieces, start counts from the content of the first of these
+    (offset, packed bytes, unpacked bytes) frames."""
+
+    def __init__(self, path: str, start: int, count: int, first: int, x: int, y: int, packed: bool, pieces: list[tuple[int, int, int]] | None = None):
+        self.path, self.start, self.count, self.first, self.x, self.y, self.packed, self.pieces = path, start, count, first, x, y, packed, pieces
+
+
+def groups_of(path: str, at_once: int) -> list[Frames]:
+    """The parts that a spool can be read in: at_once frames each, or all of it where it can't be entered midway."""
+    packed = path.endswith(".zst")
+    if not packed and not path.endswith(".fli"):
+        raise ValueError(f"not a spool: {path}")
+    fs, p = _open(path)
+    table = seek_table(fs, p) if packed else None
+    head = parse_header(read_head(path, table))
+    x, y, first, skip = int(head["x"]), int(head["y"]), int(head.get("first") or 0), head["header_length"]
+    frame = x * y // 2 * 3
+    if packed and not table:
+        return [Frames(path, skip, -1, first, x, y, True)]
+    body = (sum(t[2] for t in table) if table else fs.get_file_info(p).size) - skip
+    if body % frame:
+        raise ValueError(f"{path} doesn't hold whole frames")
+    n = min(body // frame, int(head.get("timestamps") or body // frame))
+    ends, out = np.cumsum([t[2] for t in table or []]), []
+    for a in range(0, n, at_once):
+        count = min(at_once, n - a)
+        start, pieces = skip + a * frame, None
+        if table:
+            i, j = np.searchsorted(ends, start, "right"), np.searchsorted(ends, start + count * frame, "left") + 1
+            pieces, start = table[i:j], start - int(ends[i] - table[i][2])
+        out.append(Frames(path, start, count, first + a, x, y, packed, pieces))
+    return out
+
+
+def read_head(path: str, table: list[tuple[int, int, int]] | None) -> bytes:
+    """The start of a spool, with its header; with a table no more pieces are unpacked than the header takes."""
+    fs, p = _open(path)
+    if not table:
+        with fs.open_input_stream(p, compression="zstd" if path.endswith(".zst") else None) as f:
+            return f.read(HEADER_LIMIT)
+    out = b""
+    with fs.open_input_file(p) as f:
+        for place, packed, whole in table:
+            out += pa.decompress(f.read_at(packed, place), whole, codec="zstd", asbytes=True) if whole else b""
+            if b"{END}" in out or len(out) >= HEADER_LIMIT:
+                break
+    return out[:HEADER_LIMIT]
+
+
+def read_bytes(path: str, start: int, size: int, pieces: list[tuple[int, int, int]] | None) -> bytes:
+    """A range of a spool, or of the content of some pieces of a packed one."""
+    fs, p = _open(path)
+    with fs.open_input_file(p) as f:
+        if not pieces:
+            return f.read_at(size, start)
+        out, at = [], 0
+        for place, packed, whole in pieces:
+            if at + whole > start and at < start + size:  # others aren't unpacked
+                b = pa.decompress(f.read_at(packed, place), whole, codec="zstd", asbytes=True)
+                out.append(b[max(0, start - at) : start + size - at])
+            at += whole
+        return b"".join(out)
 
 
 class SpoolReader(DataSourceReader):
@@ -114,30 +209,12 @@ class SpoolReader(DataSourceReader):
         self.scale = str(options.get("scale", "true")).lower() == "true"
 
     def partitions(self) -> list[Frames]:
-        out = []
-        for path in self.paths:
-            packed = path.endswith(".zst")
-            if not packed and not path.endswith(".fli"):
-                raise ValueError(f"not a spool: {path}")
-            fs, p = _open(path)
-            with fs.open_input_stream(p, compression="zstd" if packed else None) as f:
-                head = parse_header(f.read(HEADER_LIMIT))
-            x, y, first = int(head["x"]), int(head["y"]), int(head.get("first") or 0)
-            frame = x * y // 2 * 3
-            if packed:
-                out.append(Frames(path, head["header_length"], -1, first, x, y, True))
-                continue
-            body = fs.get_file_info(p).size - head["header_length"]
-            if body % frame:
-                raise ValueError(f"{path} doesn't hold whole frames")
-            n = min(body // frame, int(head.get("timestamps") or body // frame))
-            out += [Frames(path, head["header_length"] + a * frame, min(self.at_once, n - a), first + a, x, y, False) for a in range(0, n, self.at_once)]
-        return out
+        return [g for path in self.paths for g in groups_of(path, self.at_once)]
 
     def read(self, part: Frames) -> Iterator[pa.RecordBatch]:
         fs, p = _open(part.path)
         frame = part.x * part.y // 2 * 3
-        if part.packed:
+        if part.count < 0:
             with fs.open_input_stream(p, compression="zstd") as f:
                 f.read(part.start)
                 at = part.first
@@ -147,9 +224,7 @@ class SpoolReader(DataSourceReader):
                     yield self._batch(part, at, raw, frame)
                     at += len(raw) // frame
         else:
-            with fs.open_input_file(p) as f:
-                f.seek(part.start)
-                yield self._batch(part, part.first, f.read(part.count * frame), frame)
+            yield self._batch(part, part.first, read_bytes(part.path, part.start, part.count * frame, part.pieces), frame)
 
     def _batch(self, part: Frames, first: int, raw: bytes, frame: int) -> pa.RecordBatch:
         n = len(raw) // frame
@@ -170,6 +245,7 @@ class SpoolWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.path, self.x, self.y = options["path"], int(options["width"]), int(options["height"])
         self.packed = str(options.get("packed", "false")).lower() == "true"
+        self.at_once = int(options.get("framesperpiece", options.get("framesPerPiece", 64)))
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         from pyspark import TaskContext
@@ -196,10 +272,15 @@ class SpoolWriter(DataSourceArrowWriter):
             fs.delete_file(f"{temporary}.body")
             return Written("", "")
         fields = {"x": self.x, "y": self.y, "timestamps": int(last - first + 1), "first": int(first)}
-        with fs.open_output_stream(temporary, compression="zstd" if self.packed else None) as f, fs.open_input_stream(f"{temporary}.body") as body:
-            f.write(header_text(fields))
-            while raw := body.read(1 << 20):
-                f.write(raw)
+        with fs.open_output_stream(temporary, compression=None) as f, fs.open_input_stream(f"{temporary}.body", compression=None) as body:
+            sizes, raw = [], header_text(fields)
+            while raw:  # the header, then so many frames a piece
+                piece = pa.compress(raw, codec="zstd", asbytes=True) if self.packed else raw
+                f.write(piece)
+                sizes.append((len(piece), len(raw)))
+                raw = body.read(self.x * self.y // 2 * 3 * self.at_once)
+            if self.packed:
+                f.write(encode_seek_table(sizes))
         fs.delete_file(f"{temporary}.body")
         return Written(temporary, f"{p}/part-{first:012d}.fli" + (".zst" if self.packed else ""))
 
@@ -256,8 +337,9 @@ def lengths(spools: DataFrame) -> DataFrame:
                 fs, p = _open(path)
                 size = fs.get_file_info(p).size
                 if path.endswith(".zst"):
-                    with fs.open_input_stream(p) as f:
-                        out.append((path, size, content_size(f.read(18))))
+                    table = seek_table(fs, p)
+                    with fs.open_input_stream(p, compression=None) as f:
+                        out.append((path, size, sum(t[2] for t in table) if table else content_size(f.read(18))))
                 else:
                     out.append((path, size, size))
             path, size, content = zip(*out, strict=True) if out else ((), (), ())
@@ -293,9 +375,12 @@ def spools_to_store(spark: SparkSession, path: str, out: str, chunks: tuple[int,
 
     if exists(out):
         return False
-    first = _spools(path)[0]
-    fs, p = _open(first)
-    with fs.open_input_stream(p, compression="zstd" if first.endswith(".zst") else None) as f:
+    spools = _spools(path)
+    sizes = headers(spark.createDataFrame([(s,) for s in spools], "path string")).select("x", "y").distinct().limit(2).collect()
+    if len(sizes) > 1:
+        raise ValueError(f"the spools of {path} have frames of different sizes")
+    fs, p = _open(spools[0])
+    with fs.open_input_stream(p, compression="zstd" if spools[0].endswith(".zst") else None) as f:
         raw = f.read(HEADER_LIMIT)
     head = parse_header(raw)
     frames = read_spools(spark, path, frames_at_once=frames_at_once, scale=scale)
@@ -318,8 +403,51 @@ def ingest(spark: SparkSession, folder: str, out: str, chunks: tuple[int, int, i
 
 
 def read_spools(spark: SparkSession, *paths: str, frames_at_once: int = 64, scale: bool = True) -> DataFrame:
+    """Frames of spools and folders of spools, up to frames_at_once consecutive ones in a partition. Paths and frame numbers come
+    from the headers, and data is an Arrow function of them: Spark applies conditions on these before any frame is read."""
     spark.dataSource.register(SpoolSource)
-    return spark.read.format("fli").option("framesAtOnce", frames_at_once).option("scale", str(scale).lower()).load(",".join(paths))
+    spools = [s for p in paths for s in _spools(p)]
+    piece = "struct<place:long,packed:long,whole:long>"
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path in b.column("path").to_pylist():
+                g = groups_of(path, frames_at_once)
+                pieces = [[{"place": a, "packed": n, "whole": w} for a, n, w in f.pieces or []] for f in g]
+                numbers = [pa.array([getattr(f, k) for f in g], pa.int64()) for k in ("first", "count", "start", "x", "y")]
+                kind = pa.list_(pa.struct([(k, pa.int64()) for k in ("place", "packed", "whole")]))
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(g), pa.string()), *numbers, pa.array(pieces, kind)], ["path", "first", "count", "start", "x", "y", "pieces"])
+
+    listed = spark.createDataFrame([(s,) for s in spools], "path string")
+    groups = listed.repartition(max(1, min(len(spools), 1000))).mapInArrow(parts, f"path string, first long, count long, start long, x long, y long, pieces array<{piece}>")
+    # spools that can't be entered midway are streams; the headers say how many parts the others have
+    n, streams = groups.agg(F.count(F.expr("if(count > 0, 1, null)")), F.collect_set(F.expr("if(count < 0, path, null)"))).first()
+
+    @F.arrow_udf("array<int>")
+    def values(path: pa.Array, k: pa.Array, start: pa.Array, x: pa.Array, y: pa.Array, pieces: pa.Array) -> pa.Array:
+        at, begin = k.to_numpy(), start.to_numpy()
+        names = path.to_pylist()
+        out, i = [], 0
+        while i < len(at):
+            j = i + 1  # frames that follow each other are one read
+            while j < len(at) and names[j] == names[i] and begin[j] == begin[i] and at[j] == at[j - 1] + 1:
+                j += 1
+            frame = x[i].as_py() * y[i].as_py() // 2 * 3
+            own = [(q["place"], q["packed"], q["whole"]) for q in pieces[i].as_py()]
+            raw = read_bytes(names[i], int(begin[i] + at[i] * frame), (j - i) * frame, own)
+            if len(raw) != (j - i) * frame:
+                raise ValueError(f"{names[i]} doesn't hold whole frames")
+            out += np.split(unpack12_bytes(raw, scale).astype(np.int32), j - i)
+            i = j
+        ends = np.cumsum([0, *map(len, out)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*out, np.zeros(0, np.int32)])))
+
+    d = groups.where("count > 0").repartition(max(1, n)).select("*", F.posexplode(F.expr("sequence(first, first + count - 1)")).alias("k", "frame"))
+    out = d.select("path", "frame", F.col("y").cast("int").alias("height"), F.col("x").cast("int").alias("width"), values("path", "k", "start", "x", "y", "pieces").alias("data"))
+    if streams:
+        r = spark.read.format("fli").option("framesAtOnce", frames_at_once).option("scale", str(scale).lower())
+        out = out.union(r.load(",".join(streams)))
+    return out
 
 
 def frames_to_voxels(frames: DataFrame) -> DataFrame:
@@ -327,8 +455,9 @@ def frames_to_voxels(frames: DataFrame) -> DataFrame:
     return e.select("path", "x", F.expr("cast(p div width as int)").alias("z"), F.expr("cast(p % width as int)").alias("y"), "v")
 
 
-def write_spools(frames: DataFrame, path: str, height: int, width: int, packed: bool = False, at_once: int = 1024) -> None:
-    """(frame, data) rows as spools of up to at_once consecutive frames, each written by an executor."""
+def write_spools(frames: DataFrame, path: str, height: int, width: int, packed: bool = False, at_once: int = 1024, per_piece: int = 64) -> None:
+    """(frame, data) rows as spools of up to at_once consecutive frames, each written by an executor; packed ones in pieces of
+    per_piece frames."""
     frames.sparkSession.dataSource.register(SpoolSource)
     n, low = frames.agg(F.max("frame") - F.min("frame") + 1, F.min("frame")).first()
     if not n:
@@ -338,7 +467,7 @@ def write_spools(frames: DataFrame, path: str, height: int, width: int, packed:
     # equal ranges of frame numbers, one a partition
     group = F.expr(f"(frame - {low}) div {at_once}")
     d = d.repartitionByRange(parts, group).sortWithinPartitions("frame") if parts > 1 else d.coalesce(1).sortWithinPartitions("frame")
-    d.write.format("fli").option("width", width).option("height", height).option("packed", str(packed).lower()).mode("append").save(path)
+    d.write.format("fli").option("width", width).option("height", height).option("packed", str(packed).lower()).option("framesPerPiece", per_piece).mode("append").save(path)
 
 
 def header_text(fields: dict) -> bytes:

@@ -1,15 +1,19 @@
 """Chunked array stores: a folder with `.zarray` and one file per chunk (version 2 of the public layout), nested by level.
 
-"volume_store" reads a three-dimensional array as blocks (x0, z0, y0, nx, nz, ny, data), one partition per group of chunks,
-and skips the chunks outside an optional region. Writing takes the same rows: every task writes its own chunk files, whole
-and under their final names only after the commit, and the description is written last, so a store without it is
-unfinished. Chunks are raw, zstd, zlib or gzip; a missing chunk file means the fill value.
+"volume_store" reads an array of three axes as blocks (x0, z0, y0, nx, nz, ny, data), or of four axes (channels first) as such
+blocks with their channel c in front, one partition per group of chunks, without the chunks outside an optional region.
+read_store() gives the same rows and opens only the chunks that conditions on them let through. Writing takes the rows: every
+task writes its own chunk files, each of them whole or not at all, and the description is written last, so a store without
+it is unfinished. Chunks are raw, zstd, zlib, gzip or Blosc; their names are joined by dots or nested by slashes; a missing
+chunk file means the fill value.
 """
 
 from __future__ import annotations
 
 import gzip
+import itertools
 import json
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -20,10 +24,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, WriterCommitMessage
 
+from lumenfold.sources import blosc
 from lumenfold.sources.files import FilesWriter, open_folder
 
+AXES = ["x0", "z0", "y0", "nx", "nz", "ny"]
 SCHEMA = "x0 long, z0 long, y0 long, nx int, nz int, ny int, data array<double>"
+CHANNELS = "c int, " + SCHEMA
 EDGE = 128
+#: What the writer's codec names stand for in a description.
+COMPRESSORS = {
+    "none": None,
+    "zstd": {"id": "zstd", "level": 3},
+    "zlib": {"id": "zlib", "level": 1},
+    "gzip": {"id": "gzip", "level": 1},
+    "blosc": {"id": "blosc", "cname": "zstd", "clevel": 5, "shuffle": 1, "blocksize": 0},
+}
 
 
 def read_text(fs: pafs.FileSystem, path: str) -> str | None:
@@ -40,10 +55,10 @@ def describe(path: str) -> dict:
     if text is None:
         raise LookupError(f"no array store at {path}")
     d = json.loads(text)
-    if d.get("zarr_format") != 2 or d.get("order", "C") != "C" or d.get("filters"):
+    if d.get("zarr_format") != 2 or d.get("order", "C") != "C" or d.get("filters") or len(d["shape"]) not in (3, 4):
         raise ValueError(f"{path} has a layout that isn't supported")
     kind = (d.get("compressor") or {}).get("id")
-    if kind not in (None, "zstd", "zlib", "gzip"):
+    if kind not in (None, "zstd", "zlib", "gzip", "blosc"):
         raise ValueError(f"chunks packed with {kind} can't be read")
     return d
 
@@ -53,19 +68,95 @@ def level_path(path: str, level: int | None) -> str:
     return path if level is None else f"{path.rstrip('/')}/scale{level}"
 
 
-def unpack(raw: bytes, kind: str | None) -> bytes:
+def unpack(raw: bytes, compressor: dict | None) -> bytes:
+    kind = (compressor or {}).get("id")
+    if kind == "blosc":
+        return blosc.decompress(raw)
     if kind == "zstd":
         with pa.input_stream(pa.BufferReader(raw), compression="zstd") as f:
             return f.read()
     return zlib.decompress(raw) if kind == "zlib" else gzip.decompress(raw) if kind == "gzip" else raw
 
 
-def pack(raw: bytes, kind: str | None) -> bytes:
+def pack(raw: bytes, compressor: dict | None, size: int) -> bytes:
+    """size: bytes of an element."""
+    kind = (compressor or {}).get("id")
+    if kind == "blosc":
+        mode = {0: 0, 1: blosc.SHUFFLE, 2: blosc.BITSHUFFLE}[compressor["shuffle"]]
+        return blosc.compress(raw, size, compressor["cname"], compressor["clevel"], mode, compressor["blocksize"])
     if kind == "zstd":
         return pa.compress(raw, codec="zstd", asbytes=True)
     return zlib.compress(raw, 1) if kind == "zlib" else gzip.compress(raw, 1, mtime=0) if kind == "gzip" else raw
 
 
+def store_values(v: np.ndarray, kind: np.dtype) -> np.ndarray:
+    """Values as they are stored: clipped and rounded half to even for integers."""
+    return np.clip(np.rint(v), np.iinfo(kind).min, np.iinfo(kind).max).astype(kind) if kind.kind in "ui" else v.astype(kind)
+
+
+class Store:
+    """One array store, opened wherever it is used: chunks by place, and boxes cut from as many chunks as they touch."""
+
+    def __init__(self, path: str, about: dict | None = None):
+        self.path = path.rstrip("/")
+        self.about = about or describe(path)
+        self.shape, self.chunks, self.dtype = self.about["shape"], self.about["chunks"], np.dtype(self.about["dtype"])
+
+    def counts(self) -> list[int]:
+        """Chunks along every axis."""
+        return [-(-n // c) for n, c in zip(self.shape, self.chunks, strict=True)]
+
+    def name(self, place: tuple[int, ...]) -> str:
+        return self.about.get("dimension_separator", ".").join(map(str, place))
+
+    def chunk(self, place: tuple[int, ...]) -> np.ndarray:
+        """A whole chunk, beyond the array's far faces too; the fill value where there is no file."""
+        fs, p = open_folder(self.path)
+        try:
+            with fs.open_input_stream(f"{p}/{self.name(place)}", compression=None) as f:
+                raw = unpack(f.read(), self.about.get("compressor"))
+        except FileNotFoundError:
+            return np.full(self.chunks, self.about.get("fill_value") or 0, self.dtype)
+        return np.frombuffer(raw, self.dtype).reshape(self.chunks)
+
+    def put_chunk(self, place: tuple[int, ...], values: np.ndarray) -> tuple[str, bytes]:
+        """(name, payload) of a chunk's file; values may be short at the far faces."""
+        whole = np.zeros(self.chunks, self.dtype)
+        whole[tuple(slice(0, n) for n in values.shape)] = store_values(values, self.dtype)
+        return self.name(place), pack(whole.tobytes(), self.about.get("compressor"), self.dtype.itemsize)
+
+    def box(self, low: list[int], high: list[int]) -> np.ndarray:
+        """Values from low up to before high, which must lie within the array; chunks are opened one after the other."""
+        out = np.empty([b - a for a, b in zip(low, high, strict=True)], self.dtype)
+        for place in itertools.product(*(range(a // c, -(-b // c)) for a, b, c in zip(low, high, self.chunks, strict=True))):
+            lo = [max(a, i * c) for a, i, c in zip(low, place, self.chunks, strict=True)]
+            hi = [min(b, (i + 1) * c) for b, i, c in zip(high, place, self.chunks, strict=True)]
+            if all(a < b for a, b in zip(lo, hi, strict=True)):
+                cut = tuple(slice(a - i * c, b - i * c) for a, b, i, c in zip(lo, hi, place, self.chunks, strict=True))
+                out[tuple(slice(a - o, b - o) for a, b, o in zip(lo, hi, low, strict=True))] = self.chunk(place)[cut]
+        return out
+
+    def present(self) -> set[str]:
+        """Names of the chunk files that are there."""
+        fs, p = open_folder(self.path)
+        if fs.get_file_info(p).type != pafs.FileType.Directory:
+            return set()
+        found = fs.get_file_info(pafs.FileSelector(p, recursive=True))
+        return {i.path[len(p) :].strip("/") for i in found if i.type == pafs.FileType.File and not i.base_name.startswith(".")}
+
+
+def finish(path: str, about: dict) -> None:
+    """Write the description, which makes a store whole."""
+    fs, p = open_folder(path)
+    fs.create_dir(p)
+    with fs.open_output_stream(f"{p}/.zarray") as f:
+        f.write(json.dumps(about, indent=1).encode())
+
+
+def description(shape: list[int], chunks: list[int], codec: str = "zstd", dtype: str = "<u2", separator: str = ".") -> dict:
+    return {"zarr_format": 2, "shape": list(shape), "chunks": list(chunks), "dtype": dtype, "compressor": COMPRESSORS[codec], "fill_value": 0, "filters": None, "order": "C", "dimension_separator": separator}
+
+
 class Chunks(InputPartition):
     def __init__(self, places: list[tuple[int, ...]]):
         self.places = places
@@ -73,71 +164,68 @@ class Chunks(InputPartition):
 
 class StoreReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.path = level_path(options["path"], int(options["level"]) if "level" in options else None)
+        self.store = Store(level_path(options["path"], int(options["level"]) if "level" in options else None))
         self.at_once = int(options.get("chunksatonce", options.get("chunksAtOnce", 8)))
-        self.about = describe(self.path)
-        if len(self.about["shape"]) != 3:
-            raise ValueError(f"{self.path} isn't three-dimensional")
-        self.region = [tuple(map(int, r.split(":"))) for r in options["region"].split(",")] if "region" in options else [(0, n) for n in self.about["shape"]]
+        shape = self.store.shape
+        self.region = [tuple(map(int, r.split(":"))) for r in options["region"].split(",")] if "region" in options else []
+        self.region = [(0, n) for n in shape[: len(shape) - len(self.region)]] + self.region
+
+    def bounds(self, place: tuple[int, ...]) -> tuple[list[int], list[int]]:
+        """What a chunk gives: chunks at the far faces are stored whole, the region cuts on both sides."""
+        s = self.store
+        low = [max(i * c, a) for i, c, (a, _) in zip(place, s.chunks, self.region, strict=True)]
+        return low, [min((i + 1) * c, n, b) for i, c, n, (_, b) in zip(place, s.chunks, s.shape, self.region, strict=True)]
 
     def partitions(self) -> list[Chunks]:
-        spans = [range(max(a, 0) // c, -(-min(b, n) // c)) for (a, b), c, n in zip(self.region, self.about["chunks"], self.about["shape"], strict=True)]
-        places = [(i, j, k) for i in spans[0] for j in spans[1] for k in spans[2]]
+        s = self.store
+        spans = [range(max(a, 0) // c, -(-min(b, n) // c)) for (a, b), c, n in zip(self.region, s.chunks, s.shape, strict=True)]
+        places = list(itertools.product(*spans))
         return [Chunks(places[a : a + self.at_once]) for a in range(0, len(places), self.at_once)] or [Chunks([])]
 
     def read(self, part: Chunks) -> Iterator[pa.RecordBatch]:
-        fs, p = open_folder(self.path)
-        d = self.about
-        dot, kind, chunk = d.get("dimension_separator", "."), (d.get("compressor") or {}).get("id"), d["chunks"]
         for place in part.places:
-            name = f"{p}/{dot.join(map(str, place))}"
-            if fs.get_file_info(name).type == pafs.FileType.File:
-                with fs.open_input_stream(name) as f:
-                    block = np.frombuffer(unpack(f.read(), kind), np.dtype(d["dtype"])).reshape(chunk)
-            else:
-                block = np.full(chunk, d.get("fill_value") or 0)
-            # chunks at the far faces are stored whole; the region cuts on both sides
-            low = [max(i * c, a) for i, c, (a, _) in zip(place, chunk, self.region, strict=True)]
-            high = [min((i + 1) * c, n, b) for i, c, n, (_, b) in zip(place, chunk, d["shape"], self.region, strict=True)]
-            cut = block[tuple(slice(a - i * c, b - i * c) for a, b, i, c in zip(low, high, place, chunk, strict=True))]
-            data = pa.ListArray.from_arrays(pa.array([0, cut.size], pa.int32()), pa.array(np.ascontiguousarray(cut).ravel().astype(float)))
-            yield pa.RecordBatch.from_arrays([*(pa.array([v], pa.int64()) for v in low), *(pa.array([v], pa.int32()) for v in cut.shape), data], ["x0", "z0", "y0", "nx", "nz", "ny", "data"])
+            low, high = self.bounds(place)
+            block = self.store.chunk(place)[tuple(slice(a - i * c, b - i * c) for a, b, i, c in zip(low, high, place, self.store.chunks, strict=True))]
+            if block.ndim == 3:
+                yield block_row(low, block)
+                continue
+            for c, one in enumerate(block, low[0]):
+                row = block_row(low[1:], one)
+                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), *row.columns], ["c", *AXES, "data"])
+
+
+def block_row(low: list[int], block: np.ndarray) -> pa.RecordBatch:
+    data = pa.ListArray.from_arrays(pa.array([0, block.size], pa.int32()), pa.array(np.ascontiguousarray(block).ravel().astype(float)))
+    return pa.RecordBatch.from_arrays([*(pa.array([v], pa.int64()) for v in low), *(pa.array([v], pa.int32()) for v in block.shape), data], [*AXES, "data"])
 
 
 class StoreWriter(FilesWriter):
     def __init__(self, options: dict):
         super().__init__(options)
-        self.chunk = [int(v) for v in options["chunks"].split(",")]
-        self.kind, self.dtype = options.get("codec", "zstd"), options.get("dtype", "<u2")
-        self.shape = [int(v) for v in options["shape"].split(",")]
+        numbers = lambda k: [int(v) for v in options[k].split(",")]
+        self.about = description(numbers("shape"), numbers("chunks"), options.get("codec", "zstd"), options.get("dtype", "<u2"), options.get("separator", "."))
+        if len(self.about["shape"]) == 4 and self.about["chunks"][0] != 1:
+            raise ValueError("channels are written in chunks of their own")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         return super().write(map(self.files, iterator))
 
     def files(self, b: pa.RecordBatch) -> pa.RecordBatch:
         names, payloads = [], []
-        kind, codec = np.dtype(self.dtype), None if self.kind == "none" else self.kind
-        for r, data in zip(b.select(["x0", "z0", "y0", "nx", "nz", "ny"]).to_pylist(), b.column("data"), strict=True):
-            at, size = (r["x0"], r["z0"], r["y0"]), (r["nx"], r["nz"], r["ny"])
-            if any(a % c or n != min(c, s - a) for a, n, c, s in zip(at, size, self.chunk, self.shape, strict=True)):
+        store = Store(self.path, self.about)
+        four = len(store.shape) == 4
+        for r, data in zip(b.select([*(["c"] if four else []), *AXES]).to_pylist(), b.column("data"), strict=True):
+            at, size = [r[a] for a in AXES[:3]], [r[a] for a in AXES[3:]]
+            at, size = ([r["c"], *at], [1, *size]) if four else (at, size)
+            if any(a % c or n != min(c, s - a) for a, n, c, s in zip(at, size, store.chunks, store.shape, strict=True)):
                 raise ValueError(f"a block at {at} of {size} isn't a chunk")
-            v = data.values.to_numpy(zero_copy_only=False)
-            if kind.kind in "ui":  # clipped, rounded half to even
-                v = np.clip(np.rint(v), np.iinfo(kind).min, np.iinfo(kind).max)
-            whole = np.zeros(self.chunk, kind)
-            whole[tuple(slice(0, n) for n in size)] = v.reshape(size).astype(kind)
-            names.append(".".join(str(a // c) for a, c in zip(at, self.chunk, strict=True)))
-            payloads.append(pack(whole.tobytes(), codec))
+            name, payload = store.put_chunk(tuple(a // c for a, c in zip(at, store.chunks, strict=True)), data.values.to_numpy(zero_copy_only=False).reshape(size))
+            names.append(name)
+            payloads.append(payload)
         return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(payloads, pa.binary())], ["name", "payload"])
 
     def commit(self, messages: list) -> None:
-        super().commit(messages)
-        fs, p = open_folder(self.path)
-        fs.create_dir(p)
-        codec = None if self.kind == "none" else {"id": self.kind, "level": 3 if self.kind == "zstd" else 1}
-        about = {"zarr_format": 2, "shape": self.shape, "chunks": self.chunk, "dtype": self.dtype, "compressor": codec, "fill_value": 0, "filters": None, "order": "C", "dimension_separator": "."}
-        with fs.open_output_stream(f"{p}/.zarray") as f:
-            f.write(json.dumps(about, indent=1).encode())
+        finish(self.path, self.about)
 
 
 class VolumeStore(DataSource):
@@ -148,7 +236,8 @@ class VolumeStore(DataSource):
         return "volume_store"
 
     def schema(self) -> str:
-        return SCHEMA
+        about = describe(level_path(self.options["path"], int(self.options["level"]) if "level" in self.options else None))
+        return CHANNELS if len(about["shape"]) == 4 else SCHEMA
 
     def reader(self, schema) -> StoreReader:
         return StoreReader(self.options)
@@ -158,12 +247,39 @@ class VolumeStore(DataSource):
 
 
 def read_store(spark: SparkSession, path: str, level: int | None = None, region: list[tuple[int, int]] | None = None, chunks_at_once: int = 8) -> DataFrame:
-    """Blocks of a store; a region (start and stop of x, z and y) reads only the chunks that it touches."""
-    spark.dataSource.register(VolumeStore)
-    r = spark.read.format("volume_store").option("chunksAtOnce", chunks_at_once)
-    r = r.option("level", level) if level is not None else r
-    r = r.option("region", ",".join(f"{a}:{b}" for a, b in region)) if region else r
-    return r.load(path)
+    """Blocks of a store; a region (start and stop of x, z and y, or of channels as well) leaves out the chunks beyond it.
+
+    The block columns are arithmetic on a range of chunk numbers, and data is an Arrow function of them. So Spark itself
+    applies any condition on c, x0, z0, y0, nx, nz or ny before a chunk is opened, and opens none where data isn't selected.
+    (The source interface's own way of pushing conditions keeps those of one query for the next over the same frame in Spark
+    4.1, and for both sides of a union, so it can't be used.)"""
+    store = Store(level_path(path, level))
+    shape, chunks = store.shape, store.chunks
+    region = [(0, n) for n in shape[: len(shape) - len(region or [])]] + list(region or [])
+    if len(shape) == 4:
+        chunks = [1, *chunks[1:]]  # a row has one channel
+    spans = [(max(a, 0) // c, max(0, -(-min(b, n) // c) - max(a, 0) // c)) for (a, b), c, n in zip(region, chunks, shape, strict=True)]
+    total = math.prod(n for _, n in spans)
+    d, rest = spark.range(0, total, 1, max(1, -(-total // chunks_at_once))), total
+    names = ["c", "x", "z", "y"][-len(shape) :]
+    low, size = [], []
+    for name, (first, n), (a, b), c, whole in zip(names, spans, region, chunks, shape, strict=True):
+        rest //= max(n, 1)
+        start = F.expr(f"(id div {max(rest, 1)} % {max(n, 1)} + {first}) * {c}")
+        low.append(F.greatest(start, F.lit(max(a, 0)).cast("long")).alias(name))
+        size.append((F.least(start + c, F.lit(min(b, whole)).cast("long")) - low[-1]).cast("int").alias("n" + name))
+    d = d.select(*low, *size)
+
+    @F.arrow_udf("array<double>")
+    def values(*columns: pa.Array) -> pa.Array:
+        numbers = np.stack([c.to_numpy() for c in columns], axis=1)
+        parts = [store.box(r[: len(names)].tolist(), (r[: len(names)] + r[len(names) :]).tolist()).astype(float).ravel() for r in numbers]
+        ends = np.cumsum([0, *(len(v) for v in parts)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*parts, np.zeros(0)])))
+
+    rows = [F.col(n).alias(n + "0") for n in "xzy"], [F.col("n" + n) for n in "xzy"]
+    # the function sees plain columns only, so conditions on them stay below it
+    return d.select(*(F.col(n).cast("int").alias(n) for n in names[:-3]), *rows[0], *rows[1], values(*(F.col(n) for n in names), *(F.col("n" + n) for n in names)).alias("data"))
 
 
 def exists(path: str) -> bool:
@@ -173,24 +289,25 @@ def exists(path: str) -> bool:
         return False
 
 
-def write_store(blocks: DataFrame, path: str, shape: tuple[int, int, int], chunks: tuple[int, int, int] = (EDGE,) * 3, codec: str = "zstd", dtype: str = "<u2", resume: bool = True) -> None:
-    """Blocks that are whole chunks (see to_chunks) as a store. A finished store stays as it is if resume, else it is an
-    error; chunk files of an unfinished one are replaced."""
+def write_store(blocks: DataFrame, path: str, shape: tuple[int, ...], chunks: tuple[int, ...] = (EDGE,) * 3, codec: str = "zstd", dtype: str = "<u2", resume: bool = True, separator: str = ".") -> None:
+    """Blocks that are whole chunks (see to_chunks) as a store; with four axes they have a channel c, each in chunks of its
+    own. A finished store stays as it is if resume, else it is an error; chunk files of an unfinished one are replaced."""
     if exists(path):
         if resume:
             return
         raise FileExistsError(path)
     blocks.sparkSession.dataSource.register(VolumeStore)
-    w = blocks.select("x0", "z0", "y0", "nx", "nz", "ny", "data").write.format("volume_store").mode("append")
+    w = blocks.select(*(["c"] if len(shape) == 4 else []), *AXES, "data").write.format("volume_store").mode("append")
     join = lambda v: ",".join(map(str, v))
-    w.option("shape", join(shape)).option("chunks", join(chunks)).option("codec", codec).option("dtype", dtype).save(path)
+    w.option("shape", join(shape)).option("chunks", join(chunks)).option("codec", codec).option("dtype", dtype).option("separator", separator).save(path)
 
 
-def to_chunks(vox: DataFrame, shape: tuple[int, int, int], chunks: tuple[int, int, int] = (EDGE,) * 3) -> DataFrame:
+def to_chunks(vox: DataFrame, shape: tuple[int, ...], chunks: tuple[int, ...] = (EDGE,) * 3) -> DataFrame:
     """Voxels as blocks that are whole chunks of a volume (cut at its far faces), missing voxels 0: one shuffle by chunk and
-    one Arrow kernel call per chunk."""
+    one Arrow kernel call per chunk. With four axes voxels have a channel c."""
     import pandas as pd
 
+    own, (shape, chunks) = (["c"], (shape[1:], chunks[1:])) if len(shape) == 4 else ([], (shape, chunks))
     at = [F.expr(f"cast({c} div {n} as long) * {n}").alias(f"{c}0") for c, n in zip("xzy", chunks, strict=True)]
 
     def one(g: pd.DataFrame) -> pd.DataFrame:
@@ -198,9 +315,10 @@ def to_chunks(vox: DataFrame, shape: tuple[int, int, int], chunks: tuple[int, in
         size = [min(n, s - a) for n, s, a in zip(chunks, shape, low, strict=True)]
         block = np.zeros(size)
         block[tuple(g[c].to_numpy() - a for c, a in zip("xzy", low, strict=True))] = g.v
-        return pd.DataFrame({"x0": [low[0]], "z0": [low[1]], "y0": [low[2]], "nx": [size[0]], "nz": [size[1]], "ny": [size[2]], "data": [block.ravel()]})
+        return pd.DataFrame({**{c: [int(g[c].iloc[0])] for c in own}, "x0": [low[0]], "z0": [low[1]], "y0": [low[2]], "nx": [size[0]], "nz": [size[1]], "ny": [size[2]], "data": [block.ravel()]})
 
-    return vox.select("x", "z", "y", F.col("v").cast("double").alias("v"), *at).groupBy("x0", "z0", "y0").applyInPandas(one, SCHEMA)
+    d = vox.select(*(F.col(c).cast("int").alias(c) for c in own), "x", "z", "y", F.col("v").cast("double").alias("v"), *at)
+    return d.groupBy(*own, "x0", "z0", "y0").applyInPandas(one, CHANNELS if own else SCHEMA)
 
 
 def frames_to_chunks(frames: DataFrame, shape: tuple[int, int, int], chunks: tuple[int, int, int] = (EDGE,) * 3) -> DataFrame:
@@ -236,6 +354,7 @@ def frames_to_chunks(frames: DataFrame, shape: tuple[int, int, int], chunks: tup
 
 
 def store_to_voxels(blocks: DataFrame) -> DataFrame:
-    """x, z, y, v of all voxels."""
-    e = blocks.select("x0", "z0", "y0", "nz", "ny", F.posexplode("data").alias("p", "v"))
-    return e.select(F.expr("x0 + p div (nz * ny)").alias("x"), F.expr("cast(z0 + p div ny % nz as int)").alias("z"), F.expr("cast(y0 + p % ny as int)").alias("y"), "v")
+    """x, z, y, v of all voxels, with their channel c where there is one."""
+    own = [c for c in blocks.columns if c == "c"]
+    e = blocks.select(*own, "x0", "z0", "y0", "nz", "ny", F.posexplode("data").alias("p", "v"))
+    return e.select(*own, F.expr("x0 + p div (nz * ny)").alias("x"), F.expr("cast(z0 + p div ny % nz as int)").alias("z"), F.expr("cast(y0 + p % ny as int)").alias("y"), "v")
