@@ -17,7 +17,7 @@ from lumenfold.model import table, to_blocks, to_voxels, volume
 from lumenfold.operators import arith, chunks, components, geometry, linalg, reduce, stitch, tables
 from lumenfold.plans import blocks
 from lumenfold.plans.imaging import Config, correct_and_project
-from lumenfold.sources import images, spool, store
+from lumenfold.sources import images, spool, store, tiff
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1092,6 +1092,30 @@ def tiff_plane_by_name(s, d):
     return images.planes_to_pixels(images.read_tiffs(s, out, where=F.col("path").endswith("/plane_0007.tif"))).select("z", "y", "v")
 
 
+def tiff_folder(s: SparkSession, d: str, **how) -> str:
+    """The frames as pages of 64-bit TIFF volumes of 256 pages, out of a stored volume's blocks."""
+    out = scratch(s, "tiff_volumes")
+    n = (table(s, d, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1
+    store.write_store(store.to_chunks(volume(s, d), (n, 8, 8), (64, 4, 8)), f"{out}/store", (n, 8, 8), (64, 4, 8))
+    planes = tiff.blocks_to_planes(store.read_store(s, f"{out}/store"), 8, 8)
+    tiff.write_tiff_volumes(tiff.volume_files(planes, F.format_string("volume_%06d.tif", F.col("file")), 256), f"{out}/tiff", **how)
+    return f"{out}/tiff"
+
+
+@Q("with {vox} select x, z, y, v::double v from vox")
+def tiff_volume(s, d):
+    """A volume as tiled 64-bit TIFF files, their tiles read back by many tasks."""
+    p = tiff.segments_to_pixels(tiff.read_tiff_volume(s, tiff_folder(s, d, rows=16, columns=16), group=1 << 16))
+    return p.select((names.last_number(F.regexp_extract("path", r"([^/]*)\.tif$", 1)).cast("long") * 256 + F.col("page")).alias("x"), "z", "y", "v")
+
+
+@Q("with {vox} select x, z, y, v::double v from vox where x % 256 in (3, 200) and z >= 6")
+def tiff_page_strips(s, d):
+    """Some pages' last strips: no other part of the files is read."""
+    t = tiff.read_tiff_volume(s, tiff_folder(s, d, packing="zstd", predictor=False, rows=2)).where("page in (3, 200) and z0 >= 6")
+    return tiff.segments_to_pixels(t).select((names.last_number(F.regexp_extract("path", r"([^/]*)\.tif$", 1)).cast("long") * 256 + F.col("page")).alias("x"), "z", "y", "v")
+
+
 @Q(f"with {{vox}}, {BG} select z, y, bg from bg")
 def npy_mask(s, d):
     """The background mask kept as an NPY file."""

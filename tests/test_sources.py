@@ -8,7 +8,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from lumenfold.sources import blosc, spool, store
+from pyspark.sql import functions as F
+
+from lumenfold.sources import blosc, spool, store, tiff
 
 
 def dense(df, shape):
@@ -198,3 +200,177 @@ def test_spools_of_different_sizes_are_refused(spark, tmp_path):
     spool.write_spool(str(tmp_path / "b.fli"), np.zeros((2, 4, 8), int))
     with pytest.raises(ValueError, match="different sizes"):
         spool.spools_to_store(spark, str(tmp_path), str(tmp_path / "out"), (2, 4, 4))
+
+
+# tiff
+
+
+def pack_lzw(raw):
+    """An encoder of the public format, written for this test: codes of 9 to 12 bits, first bit first, growing one code early."""
+    out, bits, n = 0, 0, 0
+    table, width, word = {bytes([i]): i for i in range(256)}, 9, b""
+    codes = [(256, 9)]
+    size = 258
+    for c in raw:
+        c = bytes([c])
+        if word + c in table:
+            word += c
+            continue
+        codes.append((table[word], width))
+        table[word + c], size = size, size + 1
+        width = 9 if size < 512 else 10 if size < 1024 else 11 if size < 2048 else 12
+        if size == 4094:
+            codes.append((256, width))
+            table, size, width = {bytes([i]): i for i in range(256)}, 258, 9
+        word = c
+    if word:
+        codes.append((table[word], width))
+        size += 1
+        width = 9 if size < 512 else 10 if size < 1024 else 11 if size < 2048 else 12
+    codes.append((257, width))
+    for code, w in codes:
+        out, bits = out << w | code, bits + w
+    pad = -bits % 8
+    return (out << pad).to_bytes((bits + pad) // 8, "big")
+
+
+def test_lzw_and_packbits():
+    r = np.random.default_rng(2)
+    for raw in (b"", b"a", b"aaaaaaa", bytes(range(256)) * 3, r.integers(0, 4, 30_000).astype("u1").tobytes(), r.integers(0, 256, 20_000).astype("u1").tobytes()):
+        assert tiff.unpack_lzw(pack_lzw(raw)) == raw
+    # the format's own example: 7 7 7 8 8 7 7 6 6
+    codes = [256, 7, 258, 8, 8, 258, 6, 6, 257]
+    bits = "".join(f"{c:09b}" for c in codes)
+    raw = int(bits + "0" * (-len(bits) % 8), 2).to_bytes(-(-len(bits) // 8), "big")
+    assert list(tiff.unpack_lzw(raw)) == [7, 7, 7, 8, 8, 7, 7, 6, 6]
+    assert tiff.unpack_bits(bytes([0xFE, 0xAA, 0x02, 0x80, 0x00, 0x2A, 0xFD, 0xAA, 0x80, 0x03, 0x80, 0x00, 0x2A, 0x22, 0xF7, 0xAA])) == bytes.fromhex("aaaaaa80002aaaaaaaaa80002a22aaaaaaaaaaaaaaaaaaaa")
+
+
+def by_hand(big, order, tiled, packing, predictor, a):
+    """A file of one page with its directory behind its segments, put together from the public description."""
+    o, n16 = order, {"none": 1, "lzw": 5, "deflate": 8}[packing]
+    rows, cols = (16, 16) if tiled else (3, a.shape[1])
+    body = []
+    for z in range(0, a.shape[0], rows):
+        for y in range(0, a.shape[1], cols):
+            p = a[z : z + rows, y : y + cols]
+            p = np.pad(p, ((0, rows - p.shape[0]), (0, cols - p.shape[1]))) if tiled else p
+            p = np.concatenate([p[:, :1], np.diff(p, axis=1)], axis=1) if predictor else p
+            raw = p.astype(a.dtype.newbyteorder(o)).tobytes()
+            body.append(pack_lzw(raw) if packing == "lzw" else zlib.compress(raw) if packing == "deflate" else raw)
+    out = bytearray(struct.pack(o + "2sHHHQ", b"II" if o == "<" else b"MM", 43, 8, 0, 0) if big else struct.pack(o + "2sHI", b"II" if o == "<" else b"MM", 42, 0))
+    places = []
+    for b in body:
+        places.append(len(out))
+        out += b
+    kind, code = (16, "Q") if big else (4, "I")
+    at = {}
+    for name, values in (("places", places), ("bytes", [len(b) for b in body])):
+        at[name] = len(out)
+        out += struct.pack(f"{o}{len(values)}{code}", *values)
+    start = len(out)
+    fields = [(256, 3, 1, a.shape[1]), (257, 3, 1, a.shape[0]), (258, 3, 1, a.itemsize * 8), (259, 3, 1, n16), (277, 3, 1, 1), (317, 3, 1, 1 + predictor), (339, 3, 1, {"u": 1, "i": 2, "f": 3}[a.dtype.kind])]
+    lists = [(kind, len(body), at[n] if len(body) > 1 else v[0]) for n, v in (("places", places), ("bytes", [len(b) for b in body]))]
+    fields += [(322, 3, 1, cols), (323, 3, 1, rows), (324, *lists[0]), (325, *lists[1])] if tiled else [(278, 3, 1, rows), (273, *lists[0]), (279, *lists[1])]
+    fields.sort()
+    out += struct.pack(o + ("Q" if big else "H"), len(fields))
+    for tag, k, n, v in fields:
+        width = 8 if big else 4
+        value = struct.pack(o + ("H" if k == 3 else code), v).ljust(width, b"\0")
+        out += struct.pack(o + ("HHQ" if big else "HHI"), tag, k, n) + value
+    out += bytes(8 if big else 4)
+    struct.pack_into(o + code, out, 8 if big else 4, start)
+    return bytes(out)
+
+
+def test_tiffs_by_hand(spark, tmp_path):
+    r = np.random.default_rng(9)
+    want = {}
+    for big in (False, True):
+        for order in "<>":
+            for tiled in (False, True):
+                for packing, predictor, kind in (("none", 0, "u2"), ("lzw", 1, "u2"), ("deflate", 1, "u1"), ("lzw", 0, "f4")):
+                    a = r.integers(0, 250, (20, 37)).astype(kind)
+                    name = f"{big:d}{'le' if order == '<' else 'be'}{tiled:d}{packing}{predictor}{kind}.tif"
+                    (tmp_path / name).write_bytes(by_hand(big, order, tiled, packing, predictor, a))
+                    want[name] = a
+    p = tiff.segments_to_pixels(tiff.read_tiff_volume(spark, str(tmp_path))).toPandas()
+    for path, g in p.groupby("path"):
+        out = np.full((20, 37), -1.0)
+        out[g.z, g.y] = g.v
+        assert (out == want.pop(path.rpartition("/")[2])).all()
+    assert not want
+
+
+@pytest.mark.parametrize("how", [{"rows": 3}, {"rows": 16, "columns": 32}, {"packing": "none", "rows": 100}, {"packing": "zstd", "dtype": "<f4", "rows": 7}, {"dtype": "<i2", "rows": 1}])
+def test_tiff_volumes(spark, tmp_path, how):
+    a = np.random.default_rng(5).integers(-300 if "i2" in str(how) else 0, 30_000, (11, 20, 37))
+    planes = spark.createDataFrame([(i, 20, 37, x.ravel().astype(float).tolist()) for i, x in enumerate(a)], "x long, height int, width int, data array<double>")
+    tiff.write_tiff_volumes(tiff.volume_files(planes, F.format_string("sub/v%d.tif", F.col("file")), 4), str(tmp_path), **how)
+    assert sorted(p.name for p in (tmp_path / "sub").iterdir() if not p.name.startswith(".")) == ["v0.tif", "v1.tif", "v2.tif"]
+    with open(tmp_path / "sub/v1.tif", "rb") as f:
+        got = list(tiff.pages(f))
+    assert len(got) == 4 and (got[0].height, got[0].width) == (20, 37)
+    t = tiff.read_tiff_volume(spark, str(tmp_path), group=1)
+    p = tiff.segments_to_pixels(t).toPandas()
+    out = np.full(a.shape, -9.0)
+    out[p.path.str.extract(r"v(\d)")[0].astype(int) * 4 + p.page, p.z, p.y] = p.v
+    assert (out == a).all()
+
+
+def test_a_page_is_read_by_its_strips(spark, tmp_path):
+    a = np.arange(5 * 12 * 6).reshape(5, 12, 6)
+    planes = spark.createDataFrame([(i, 12, 6, x.ravel().astype(float).tolist()) for i, x in enumerate(a)], "x long, height int, width int, data array<double>")
+    tiff.write_tiff_volumes(tiff.volume_files(planes, F.lit("v.tif"), 9), str(tmp_path), rows=4)
+    path = tmp_path / "v.tif"
+    with open(path, "rb") as f:
+        got = list(tiff.pages(f))
+    raw = bytearray(path.read_bytes())
+    keep = list(got[3].segments())[1]
+    for g in got:
+        for s in g.segments():
+            if s != keep:
+                raw[s[4] : s[4] + s[5]] = bytes(s[5])
+    path.write_bytes(raw)
+    t = tiff.read_tiff_volume(spark, str(tmp_path)).where("page = 3 and z0 between 1 and 5")
+    assert [r.data for r in t.collect()] == [a[3, 4:8].ravel().tolist()]
+    text = plan(t)
+    assert text.index("ArrowEvalPython") < text.index("Filter")
+    assert tiff.read_tiff_volume(spark, str(tmp_path)).where("page = 3").select("z0", "height").count() == 3
+
+    class Counting:
+        def __init__(self, f):
+            self.f, self.bytes = f, 0
+
+        def seek(self, at):
+            self.f.seek(at)
+
+        def read(self, n):
+            out = self.f.read(n)
+            self.bytes += len(out)
+            return out
+
+    big = np.random.default_rng(1).random((3, 700, 400))
+    planes = spark.createDataFrame([(i, 700, 400, x.ravel().tolist()) for i, x in enumerate(big)], "x long, height int, width int, data array<double>")
+    tiff.write_tiff_volumes(tiff.volume_files(planes, F.lit("w.tif"), 9), str(tmp_path), dtype="<f8", packing="none")
+    with open(tmp_path / "w.tif", "rb") as f:
+        c = Counting(f)
+        assert len(list(tiff.pages(c))) == 3 and c.bytes < 3 * 5000
+
+
+def test_tiffs_that_are_refused(spark, tmp_path):
+    import io
+
+    for bad in (b"", b"GIF89a__", b"II*\0\x08\0\0\0", b"II+\0\x04\0\0\0" + bytes(8)):
+        with pytest.raises((ValueError, struct.error)):
+            list(tiff.pages(io.BytesIO(bad)))
+    circle = bytearray(by_hand(False, "<", False, "none", 0, np.ones((3, 4), "u1")))
+    at = struct.unpack_from("<I", circle, 4)[0]
+    circle[-4:] = struct.pack("<I", at)
+    with pytest.raises(ValueError, match="circle"):
+        list(tiff.pages(io.BytesIO(bytes(circle))))
+    gap = spark.createDataFrame([("a.tif", 0, 1, 1, [1.0]), ("a.tif", 2, 1, 1, [1.0])], "name string, page int, height int, width int, data array<double>")
+    with pytest.raises(Exception, match="is due"):
+        tiff.write_tiff_volumes(gap, str(tmp_path))
+    with pytest.raises(Exception, match="multiples of 16"):
+        tiff.write_tiff_volumes(gap.limit(1), str(tmp_path), rows=8, columns=8)
