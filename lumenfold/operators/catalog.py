@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lumenfold.functions import names
 from lumenfold.model import table, to_blocks, to_voxels, volume
 from lumenfold.operators import arith, chunks, components, geometry, linalg, reduce, stitch, tables
-from lumenfold.plans import blocks
+from lumenfold.plans import blocks, store_jobs
 from lumenfold.plans.imaging import Config, correct_and_project
 from lumenfold.sources import images, spool, store, tiff
 
@@ -659,6 +659,31 @@ def connected_components_26(s, d):
     return components.label_components(v.drop("label"), 8, 8, 26, 4).select("x", "z", "y", "label")
 
 
+ORACLES["label_store"] = ORACLES["connected_components_26"]
+
+
+@Q()
+def label_store(s, d):
+    """Components of a stored volume, chunk by chunk, as a store of labels."""
+    out, _ = stored(s, d)
+    store_jobs.label_store(s, f"{out}/raw", f"{out}/labels", 38000)
+    return store.store_to_voxels(store.read_store(s, f"{out}/labels")).where("v > 0").select("x", "z", "y", (F.col("v").cast("long") - 1).alias("label"))
+
+
+@Q("""with {vox}, n as (select a dx, b dz, c dy, a*a + b*b + c*c d from range(-3, 4) t(a), range(-3, 4) u(b), range(-3, 4) w(c) where a*a + b*b + c*c <= 9), m as (select max(x) m from vox),
+e as (select label + 1 label, x + dx x, (z + dz)::int z, (y + dy)::int y, d from vox, n where v > 43000), r as (select *, row_number() over (partition by x, z, y order by d, label) r from e, m where x between 0 and m and z between 0 and 7 and y between 0 and 7)
+select label::double label, x, z, y, (ceil(sqrt(d::double)) + 1) layer from r where r = 1""")
+def shells_store(s, d):
+    """Shells around the objects of a stored label volume, by chunks with a halo."""
+    out = scratch(s, "shells")
+    shape = ((table(s, d, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1, 8, 8)
+    objects = volume(s, d).where("v > 43000").select("x", "z", "y", (F.col("label") + 1).alias("v"))
+    store.write_store(store.to_chunks(objects, shape, (32, 4, 4)), f"{out}/objects", shape, (32, 4, 4), codec="blosc", dtype="<i8")
+    store_jobs.shell_store(s, f"{out}/objects", f"{out}/shells")
+    label, layer = (store.store_to_voxels(store.read_store(s, f"{out}/shells/{n}")).where("v > 0").withColumnRenamed("v", n) for n in ("label", "layer"))
+    return label.join(layer, ["x", "z", "y"])
+
+
 @Q(f"""with recursive {{vox}}, {PLANES.format(t=35500)}, i as (select x, z, y, (x * 8 + z) * 8 + y id from p), e as (select a.id a, b.id b from i a join i b on abs(a.x - b.x) + abs(a.z - b.z) + abs(a.y - b.y) = 1),
 r(id, c) as (select id, id from i union select e.b, r.c from r join e on e.a = r.id), l as (select x, z, y, min(c) label from i join r using (id) group by x, z, y)
 select label, count(*) area, round_even(avg(x) * 100, 0) / 100 x, round_even(avg(z) * 100, 0) / 100 z, round_even(avg(y) * 100, 0) / 100 y from l group by label having count(*) >= 4""")
@@ -960,6 +985,57 @@ def project_blocks(s, d):
     return blocks.project_blocks(blocks.correct_blocks(raw, blocks.plane_array(blocks.median_plane(raw), "bg")))
 
 
+def stored(s: SparkSession, d: str, chunks: tuple[int, int, int] = (32, 4, 4)) -> tuple[str, tuple[int, int, int]]:
+    """The volume as a Blosc store in a new folder, and its shape."""
+    out = scratch(s, "volume")
+    shape = ((table(s, d, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1, 8, 8)
+    store.write_store(store.to_chunks(volume(s, d), shape, chunks), f"{out}/raw", shape, chunks, codec="blosc")
+    return out, shape
+
+
+@Q("""with {vox} select 'x' axis, z::bigint a, y::bigint b, max(v)::double v_max, sum(v)::double v_sum, avg(v) v_mean, median(v)::double v_median from vox group by all
+union all select 'z', x, y, max(v), sum(v), avg(v), median(v) from vox group by all union all select 'y', x, z, max(v), sum(v), avg(v), median(v) from vox group by all""")
+def project_median_blocks(s, d):
+    """Maximum, sum, mean and exact median of a stored volume along each axis, without a shuffle."""
+    out, _ = stored(s, d)
+    parts = [store_jobs.plane_pixels(store_jobs.project_store(s, f"{out}/raw", axis, tile=2)) for axis in "xzy"]
+    named = [p.select(F.lit(axis).alias("axis"), F.col(p.columns[0]).alias("a"), F.col(p.columns[1]).alias("b"), *p.columns[2:]) for axis, p in zip("xzy", parts, strict=True)]
+    return named[0].union(named[1]).union(named[2])
+
+
+@Q("with {vox}, n as (select max(x) m from vox) select m - x + 3 x, (z + 1)::bigint z, (7 - y)::bigint y, v::double v from vox, n")
+def warp_store(s, d):
+    """A stored volume turned and moved by whole voxels, written as another store; x and y run backwards."""
+    out, shape = stored(s, d)
+    m = np.array([[-1.0, 0, 0, shape[0] + 2], [0, 1, 0, 1], [0, 0, -1, 7], [0, 0, 0, 1]])
+    first = store_jobs.warp_store(s, f"{out}/raw", f"{out}/warped", m, (32, 4, 8))
+    v = store.store_to_voxels(store.read_store(s, f"{out}/warped"))
+    return v.select(*((F.col(c) + int(o)).cast("long").alias(c) for c, o in zip("xzy", first, strict=True)), "v")
+
+
+@Q("with {vox} select x, (z // 2)::int z, (y // 2)::int y, round_even(avg(v), 0) v from vox group by all")
+def resize_store(s, d):
+    """A stored volume at half its height and width, order 1."""
+    out, shape = stored(s, d)
+    store_jobs.resize_store(s, f"{out}/raw", f"{out}/half", (shape[0], 4, 4), False, (32, 2, 4))
+    return store.store_to_voxels(store.read_store(s, f"{out}/half"))
+
+
+@Q("""with {vox}, n as (select (max(x) + 32) // 32 c from vox) select 'a quarter' step, c made, 0::bigint kept, 3 * c pending from n union all select 'the rest', 3 * c, c, 0 from n union all select 'once more', 0, 0, 0 from n""")
+def resume_chunks(s, d):
+    """A job of which a quarter was done before makes only the other chunks, and none when it is finished."""
+    out, shape = stored(s, d)
+    src = store.Store(f"{out}/raw")
+    about = store.description(shape, src.chunks, "blosc")
+    rows = None
+    for step, only in (("a quarter", "place % 4 = 0"), ("the rest", None), ("once more", None)):
+        got = store_jobs.run_job(s, f"{out}/copy", about, lambda low, high, row: src.box(low, high), "copy", only=only)
+        left = store_jobs.pending(s, f"{out}/copy", about).agg(F.count("*").alias("pending"))
+        left = left.select(F.lit(step).alias("step"), *(F.lit(got[k]).cast("long").alias(k) for k in ("made", "kept")), F.lit(left.first()[0]).alias("pending"))
+        rows = left if rows is None else rows.union(left)
+    return rows
+
+
 # --- sources and streams ---------------------------------------------------------------------------------------------
 
 

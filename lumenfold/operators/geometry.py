@@ -19,24 +19,27 @@ def output_bounds(m: np.ndarray, shape: tuple[int, int, int]) -> tuple[np.ndarra
     return np.floor(out[:, :3].min(axis=0)).astype(int), np.ceil(out[:, :3].max(axis=0)).astype(int)
 
 
-def warp_bilinear(vox: DataFrame, m: list[list[float]], nz: int, ny: int) -> DataFrame:
-    """2-D affine of every frame, forward matrix on (y, z, 1), 0 outside: one kernel call a frame, after the one shuffle
-    that brings a frame together."""
+def warp_bilinear(vox: DataFrame, m: list[list[float]], nz: int, ny: int, pixels: int = 1 << 22) -> DataFrame:
+    """2-D affine of every frame, forward matrix on (y, z, 1), 0 outside: the taps are the same for all frames, so one kernel call
+    takes as many frames as have about `pixels` pixels, after the one shuffle that brings them together."""
     inv = np.linalg.inv(np.vstack([np.array(m, float), [0, 0, 1]]))
     z, y = (a.ravel() for a in np.indices((nz, ny)))
     sy, sz, _ = np.round(inv @ np.stack([y, z, np.ones(len(y))]), 9)
     fy, fz = np.floor(sy).astype(int), np.floor(sz).astype(int)
+    frames = max(1, min(256, pixels // (nz * ny)))
 
     def one(g: pd.DataFrame) -> pd.DataFrame:
-        img = np.zeros((nz + 2, ny + 2))  # a rim of zeros
-        img[g.z + 1, g.y + 1] = g.v
-        out = np.zeros(len(z))
+        xs, at = np.unique(g.x.to_numpy(), return_inverse=True)
+        img = np.zeros((len(xs), nz + 2, ny + 2))  # a rim of zeros
+        img[at, g.z + 1, g.y + 1] = g.v
+        out = np.zeros((len(xs), len(z)))
         for dz, dy in itertools.product((0, 1), (0, 1)):
             w = (1 - np.abs(sz - fz - dz)) * (1 - np.abs(sy - fy - dy))
-            out += w * img[np.clip(fz + dz + 1, 0, nz + 1), np.clip(fy + dy + 1, 0, ny + 1)]
-        return pd.DataFrame({"x": np.full(len(z), g.x.iloc[0]), "z": z.astype("int32"), "y": y.astype("int32"), "v": out})
+            out += w * img[:, np.clip(fz + dz + 1, 0, nz + 1), np.clip(fy + dy + 1, 0, ny + 1)]
+        return pd.DataFrame({"x": np.repeat(xs, len(z)), "z": np.tile(z.astype("int32"), len(xs)), "y": np.tile(y.astype("int32"), len(xs)), "v": out.ravel()})
 
-    return vox.select("x", "z", "y", "v").groupBy("x").applyInPandas(one, f"x {dict(vox.dtypes)['x']}, z int, y int, v double")
+    group = F.expr(f"x div {frames}").alias("g")
+    return vox.select("x", "z", "y", "v", group).groupBy("g").applyInPandas(one, f"x {dict(vox.dtypes)['x']}, z int, y int, v double")
 
 
 def grid(spark: SparkSession, nz: int, ny: int) -> DataFrame:
@@ -150,27 +153,30 @@ def resize_linear(vox: DataFrame, nz: int, ny: int, oz: int, oy: int) -> DataFra
     return d.groupBy("x", F.col("oz").alias("z"), F.col("oy").alias("y")).agg(F.sum(F.col("v") * F.col("wz") * F.col("wy")).alias("v"))
 
 
-def resize_taps(n: int, o: int, anti_alias: bool) -> np.ndarray:
-    """(output, source, weight) of one axis, order 1 with half-pixel centres and mirrored edges; where the axis shrinks and
-    anti_alias, behind a Gaussian of (n / o - 1) / 2 samples."""
-    mirror = lambda i: i if n == 1 else abs((i + n - 1) % (2 * n - 2) - (n - 1))
-    smooth = np.zeros((n, n))
+def axis_taps(n: int, o: int, anti_alias: bool, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sources, weights) of the outputs from low up to before high of one axis, a row each: order 1 with half-pixel centres and
+    mirrored edges; where the axis shrinks and anti_alias, behind a Gaussian of (n / o - 1) / 2 samples. A source may come up
+    more than once in a row."""
     sigma = max(0.0, (n / o - 1) / 2) if anti_alias else 0.0
     reach = int(4 * sigma + 0.5)
     k = np.arange(-reach, reach + 1)
     w = np.exp(-0.5 * (k / sigma) ** 2) if sigma else np.ones(1)
-    for i in range(n):
-        for d, x in zip(k, w / w.sum(), strict=True):
-            smooth[i, mirror(i + d) if n > 1 else 0] += x
-    pick = np.zeros((o, n))
-    for i in range(o):
-        at = (i + 0.5) * n / o - 0.5
-        low = int(np.floor(at))
-        for j, x in ((low, 1 - (at - low)), (low + 1, at - low)):
-            pick[i, mirror(j) if n > 1 else 0] += x
-    whole = pick @ smooth
-    i, j = np.nonzero(whole)
-    return np.stack([i, j, whole[i, j]], axis=1)
+    w /= w.sum()
+    at = (np.arange(low, high) + 0.5) * n / o - 0.5
+    base = np.floor(at).astype(int)
+    part = (at - base)[:, None]
+    # the filter around the lower neighbour, and around the upper one
+    weights = np.pad(w, (0, 1)) * (1 - part) + np.pad(w, (1, 0)) * part
+    i = base[:, None] + np.arange(-reach, reach + 2)
+    return (np.abs((i + n - 1) % (2 * n - 2) - (n - 1)) if n > 1 else np.zeros_like(i)), weights
+
+
+def resize_taps(n: int, o: int, anti_alias: bool) -> np.ndarray:
+    """(output, source, weight) rows of a whole axis, each pair once."""
+    i, w = axis_taps(n, o, anti_alias, 0, o)
+    pair, back = np.unique((np.arange(o)[:, None] * n + i).ravel(), return_inverse=True)
+    total = np.bincount(back, w.ravel())
+    return np.stack([pair // n, pair % n, total], axis=1)[total != 0]
 
 
 def resize_volume(vox: DataFrame, shape: tuple[int, int, int], to: tuple[int, int, int], anti_alias: bool = True) -> DataFrame:
