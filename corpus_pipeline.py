@@ -7,10 +7,13 @@ beside doc_id and text are handed on unread, whatever their names; n_chars follo
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenfold.llm import decontaminate, fm_dedup, jaccard_join, quality, sp_codec
+from lumenfold.llm.bloom import Bloom
 from lumenfold.llm.common import free_name, table
 from lumenfold.llm.queries import vocabulary
 from lumenfold.plans.shared import materialize, release, written
@@ -24,14 +27,40 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.score(docs, model, docs.columns, name).where(F.col(name) >= 0.3).select(*docs.columns)
 
 
+def without(docs: DataFrame, rows: DataFrame, gone: str) -> DataFrame:
+    """docs without the ids of those rows (doc_id, among all of docs') that a condition holds for. Most texts aren't shuffled: one
+    Bloom filter holds the ids that go, another those of the ids that stay which the first lets through; only documents that
+    both let through are joined. The filters' size is bounded; fuller ones send more documents to the join."""
+    key = lambda d: F.xxhash64(d["doc_id"].cast("long"))
+
+    def within(filter_: Bloom):
+        @F.arrow_udf("boolean")
+        def found(h: pa.Array) -> pa.Array:
+            out = np.zeros(len(h), bool)
+            out[filter_.find(h.to_numpy().view(np.uint64))] = True
+            return pa.array(out)
+
+        return found
+
+    extra = materialize(rows.where(gone).select("doc_id").distinct(), "gone")
+    n = extra.count()
+    if not n:
+        return docs
+    first = within(Bloom(extra.select(key(extra).alias("h")), "h", n))
+    spared = rows.where(f"doc_id IS NOT NULL AND NOT ({gone})").select(key(rows).alias("h")).where(first("h"))
+    spared = materialize(spared, "spared")
+    second = within(Bloom(spared, "h", spared.count()))
+    both = F.coalesce(F.col("doc_id").isNotNull() & first(key(docs)) & second(key(docs)), F.lit(False))
+    one = F.coalesce(F.col("doc_id").isNotNull() & first(key(docs)), F.lit(False))
+    return docs.where(~one).unionByName(docs.where(both).join(extra, "doc_id", "left_anti").select(*docs.columns))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id. Rows that repeat an id are one document:
     of those with words the one with the smallest text stays. Texts without words are in no group and stay."""
     groups = materialize(jaccard_join.near_duplicates(docs, k=5, percent=80).select("doc_id", "n_shingles", "component_id"), "groups")
-    # the ids to drop grow with the table, so they are never broadcast, however few they are on a small one
-    extra = groups.where("doc_id <> component_id").select("doc_id").distinct().hint("merge")
-    out = docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
-    twice = groups.where("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id").hint("merge")
+    out = without(docs, groups, "doc_id <> component_id").select(*docs.columns)
+    twice = groups.where("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if twice.isEmpty():
         return out
     again = out.join(twice, "doc_id", "left_semi").select(*docs.columns)
