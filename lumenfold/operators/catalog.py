@@ -397,14 +397,24 @@ REL = sql_matrix("flch", FLCH) + ", rel as (select i, j, v / sum(v) over (partit
 WEIGHTS = f"{REL}, {sql_matrix('exc', EXC)}, pw(laser, power) as (values " + ", ".join(f"({i}, {p / max(linalg.LASER_POWER)!r}::double)" for i, p in enumerate(linalg.LASER_POWER)) + "), w as (select e.j laser, r.j ch, sum(e.v * r.v) * any_value(power) w from exc e join rel r using (i) join pw on pw.laser = e.j group by e.j, r.j)"
 
 
-@Q(f"with {REL} select i, j, round(v, 12) v from rel")
+MEASURED = """f as (select (l_partkey % 5)::int i, (l_suppkey % 5)::int j, sum(l_quantity) v from lineitem group by 1, 2), e as (select (l_partkey % 5)::int i, (l_suppkey % 4)::int j, sum(l_extendedprice) / 1e6 v from lineitem group by 1, 2),
+r as (select i, j, v / sum(v) over (partition by i) v from f)"""
+
+
+def measured(s: SparkSession, d: str, columns: int, value: str) -> DataFrame:
+    """A matrix of sums over a whole table."""
+    return table(s, d, "lineitem").groupBy((F.col("l_partkey") % 5).cast("int").alias("i"), (F.col("l_suppkey") % columns).cast("int").alias("j")).agg(F.expr(f"sum({value})").alias("v"))
+
+
+@Q(f"with {MEASURED} select i, j, round(v, 12) v from r")
 def rownorm(s, d):
-    return linalg.row_normalise(linalg.matrix(s, FLCH)).withColumn("v", F.round("v", 12))
+    return linalg.row_normalise(measured(s, d, 5, "l_quantity")).withColumn("v", F.round("v", 12))
 
 
-@Q(f"with {WEIGHTS} select laser, ch, round(w, 9) w from w")
+@Q(f"with {MEASURED}, pw(laser, power) as (values " + ", ".join(f"({i}, {p / max(linalg.LASER_POWER)!r}::double)" for i, p in enumerate(linalg.LASER_POWER)) + ") select e.j laser, r.j ch, round(sum(e.v * r.v) * any_value(power), 6) w from e join r using (i) join pw on pw.laser = e.j group by e.j, r.j")
 def laser_channel_weights(s, d):
-    return linalg.laser_weights(linalg.matrix(s, FLCH), linalg.matrix(s, EXC), linalg.LASER_POWER).withColumn("w", F.round("w", 9))
+    e = measured(s, d, 4, "l_extendedprice").withColumn("v", F.col("v") / 1e6)
+    return linalg.laser_weights(measured(s, d, 5, "l_quantity"), e, linalg.LASER_POWER).withColumn("w", F.round("w", 6))
 
 
 @Q(f"with {{vox}}, {WEIGHTS}, p as (select label laser, z, y, median(v) v from vox where label < 4 group by all) select ch, z, y, round(sum(v * w), 4) v from p join w using (laser) group by all")
@@ -489,15 +499,32 @@ def pyramid_level(s, d):
     return geometry.block_average(volume(s, d), 4)
 
 
-@Q("with g as (select a * 12 + b * 3 + c chunk, a, b, c from range(2) t(a), range(4) u(b), range(3) w(c)) select chunk, least(17, a * 10)::bigint z0, least(17, (a + 1) * 10)::bigint z1, least(30, b * 10)::bigint y0, least(30, (b + 1) * 10)::bigint y1, least(25, c * 10)::bigint x0, least(25, (c + 1) * 10)::bigint x1 from g")
+SHAPES = "v as (select s_suppkey vol, 9 + s_nationkey nz, 21 + s_suppkey % 12 ny, 10 + s_suppkey % 31 nx from supplier)"
+
+
+def shapes(s: SparkSession, d: str) -> DataFrame:
+    """Volumes of many sizes: vol, nz, ny, nx."""
+    k = F.col("s_suppkey")
+    return table(s, d, "supplier").select(k.alias("vol"), (F.col("s_nationkey") + 9).cast("long").alias("nz"), (k % 12 + 21).alias("ny"), (k % 31 + 10).alias("nx"))
+
+
+def grid_sql(scale: int) -> str:
+    """Bounds of all chunks of all volumes."""
+    k = 2**scale
+    low = lambda c, o: f"least(round_even(n{c} / {k}, 0), round_even((k{c} + {o}) * {10 / k}, 0))::bigint {c}{o}"
+    axes = ", ".join(low(c, o) for c in "zyx" for o in (0, 1))
+    return f"""{SHAPES}, k as (select *, a.range kz, b.range ky, c.range kx from v, range(9) a, range(9) b, range(9) c where a.range <= nz // 10 and b.range <= ny // 10 and c.range <= nx // 10),
+g as (select vol, ((kz * (ny // 10 + 1) + ky) * (nx // 10 + 1) + kx)::bigint chunk, {axes} from k)"""
+
+
+@Q(f"with {grid_sql(0)} select * from g")
 def chunk_grid(s, d):
-    return chunks.chunk_grid(s, (17, 30, 25), 10)
+    return chunks.chunk_grids(shapes(s, d), 10)
 
 
-@Q("select a chunk, least(17, round_even(a * 2.5, 0))::bigint z0, least(17, round_even((a + 1) * 2.5, 0))::bigint z1, 0::bigint y0, 1::bigint y1, 0::bigint x0, 1::bigint x1 from range(7) t(a)")
+@Q(f"with {grid_sql(2)} select * from g")
 def chunk_grid_scaled(s, d):
-    g = chunks.chunk_grid(s, (67, 3, 3), 10, 2)
-    return g.select("chunk", "z0", "z1", "y0", F.lit(1).cast("long").alias("y1"), "x0", F.lit(1).cast("long").alias("x1"))
+    return chunks.chunk_grids(shapes(s, d), 10, 2)
 
 
 @Q("with {vox}, n as (select (max(x) + 1) // 3 + 1 nx from vox) select x, z, y, ((z // 3)::bigint * 3 + y // 3) * nx + x // 3 chunk from vox, n")
@@ -512,9 +539,9 @@ def fg_chunks(s, d):
     return chunks.foreground(s.range(70).select(F.col("id").alias("chunk")), f)
 
 
-@Q("select max(z1) nz, max(y1) ny, max(x1) nx from (select 17 z1, 30 y1, 25 x1)")
+@Q(f"with {grid_sql(0)} select vol, max(z1) nz, max(y1) ny, max(x1) nx from g group by vol")
 def grid_extent(s, d):
-    return chunks.grid_extent(chunks.chunk_grid(s, (17, 30, 25), 10)).select(*(F.col(c).cast("int").alias(c) for c in ("nz", "ny", "nx")))
+    return chunks.grid_extent(chunks.chunk_grids(shapes(s, d), 10), "vol")
 
 
 @Q("select o_orderkey chunk from orders where o_orderkey not in (select l_orderkey from lineitem where l_quantity > 45)")
@@ -629,6 +656,34 @@ def channel_shifts(s, d):
     return geometry.channel_shifts(ch, 0, 8, 8).select("ch", F.col("dz").cast("long").alias("dz"), F.col("dy").cast("long").alias("dy"))
 
 
+@Q("""with v as (select distinct vec_id x from embeddings), m as (select greatest(min(x), min(x) + (max(x) - min(x) + 1 - 1000) // 2) s from v), n as (select count(*) planes from v, m where x >= s and x < s + 1000 and (x - s) % 10 = 0)
+select c.range::int ch, 0.75 * c.range dz, -0.5 * c.range dy, planes from range(1, 4) c, n""")
+def align_translation(s, d):
+    """Three moved copies of four times enlarged frames against these, by mutual information: the median shifts."""
+    import pyarrow as pa
+
+    from lumenfold.operators import align
+
+    def enlarge(batches):
+        for b in batches:
+            x, e = b.column("x"), np.stack([np.asarray(v) for v in b.column("e").to_pylist()]).reshape(-1, 8, 8) if b.num_rows else np.zeros((0, 8, 8))
+            for ch in range(4):
+                taps = []
+                for shift in (0.75 * ch, -0.5 * ch):
+                    p = np.clip((np.arange(40) - shift + 0.5) / 5 - 0.5, 0, 7)
+                    t, low = np.zeros((40, 9)), np.floor(p).astype(int)
+                    t[np.arange(40), low], t[np.arange(40), low + 1] = 1 - p + low, p - low
+                    taps.append(t[:, :8])
+                data = np.einsum("pz,xzy,qy->xpq", taps[0], e, taps[1]).reshape(len(e), -1)
+                full = lambda v, k: pa.array(np.full(len(e), v), k)  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([full(ch, pa.int32()), x, full(40, pa.int32()), full(40, pa.int32()), pa.array(list(data), pa.list_(pa.float64()))], ["ch", "x", "height", "width", "data"])
+
+    e = table(s, d, "embeddings").select(F.col("vec_id").alias("x"), F.col("embedding").cast("array<double>").alias("e"))
+    planes = e.mapInArrow(enlarge, "ch int, x long, height int, width int, data array<double>")
+    got = align.channel_translations(planes, 0)
+    return got.select("ch", *((F.round(F.col(c) * 4) / 4).alias(c) for c in ("dz", "dy")), "planes")
+
+
 N26 = "n as (select a dx, b dz, c dy from range(-1, 2) t(a), range(-1, 2) u(b), range(-1, 2) w(c))"
 
 
@@ -1254,6 +1309,21 @@ def stream_completion(s, d):
     return s.read.schema("chunk long").parquet(f"{e}/out")
 
 
+@Q("""with a as (select user_id job, event_id % 9 chunk, date_trunc('milliseconds', ts) t from events), f as (select job, chunk, min(t) t from a group by all), j as (select job, min(t) + interval 2 days due from f group by job), w as (select max(ts) - interval 10 minutes mark from events),
+n as (select job, due, count(*) filter (t <= due) arrived, max(t) final from f join j using (job) group by all)
+select job::varchar job, case when arrived = 9 then 'complete' else 'late' end status, arrived, 9 - arrived missing, case when arrived = 9 then final else due end as at from n, w where arrived = 9 or due < mark""")
+def stream_deadlines(s, d):
+    """Jobs of nine chunks each that are complete within two days of their first, and those that are late."""
+    from lumenfold.streaming.completion import drain, watch
+
+    e = scratch(s, "deadlines")
+    # one file, so that all arrivals are known before time passes
+    table(s, d, "events").select(F.col("user_id").alias("job"), (F.col("event_id") % 9).alias("chunk"), F.col("ts").alias("at")).coalesce(1).write.parquet(f"{e}/in")
+    stream = s.readStream.schema("job long, chunk long, at timestamp").parquet(f"{e}/in")
+    drain(watch(stream, 9, "2 days"), f"{e}/out", f"{e}/log")
+    return s.read.schema("job string, status string, arrived long, missing long, at timestamp").parquet(f"{e}/out")
+
+
 # --- compositions ----------------------------------------------------------------------------------------------------
 
 
@@ -1280,22 +1350,20 @@ def csv_round_trip(s, d):
     return back.select("chunk", F.col("`axis-0`").alias("axis_0"), F.col("`axis-1`").alias("axis_1"), F.col("`axis-2`").alias("axis_2"))
 
 
-@Q("""with a(r, cx, cz, cy, c0) as (values (0, 2.0, -0.5, 0.0, 4.5), (1, 0.25, 1.0, 0.0, -1.0), (2, 0.0, 0.5, 1.5, 0.0)), c as (select i * 31 x, j * 7 z, k * 7 y from range(2) t(i), range(2) u(j), range(2) w(k)),
-o as (select r, cx * x + cz * z + cy * y + c0 v from a, c) select r, floor(min(v))::int lo, ceil(max(v))::int hi from o group by r""")
+@Q(f"""with {SHAPES}, a(r, cx, cz, cy, c0) as (values (0, 2.0, -0.5, 0.0, 4.5), (1, 0.25, 1.0, 0.0, -1.0), (2, 0.0, 0.5, 1.5, 0.0)), o as (select vol, r, cx * (i.range * (nx - 1)) + cz * (j.range * (nz - 1)) + cy * (k.range * (ny - 1)) + c0 v from v, a, range(2) i, range(2) j, range(2) k)
+select vol, r, floor(min(v))::bigint lo, ceil(max(v))::bigint hi from o group by vol, r""")
 def affine_bounds(s, d):
-    """Extent of a transformed volume from its eight corners."""
+    """Extent of every transformed volume of a table from its eight corners."""
     m = [[2.0, -0.5, 0.0, 4.5], [0.25, 1.0, 0.0, -1.0], [0.0, 0.5, 1.5, 0.0], [0.0, 0.0, 0.0, 1.0]]
-    low, high = geometry.output_bounds(np.array(m), (32, 8, 8))
-    return s.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(zip(low, high, strict=True))], "r int, lo int, hi int")
+    return geometry.bounds_of(shapes(s, d), m, "vol")
 
 
-@Q("with n as (select n_nationkey, case when n_nationkey % 6 = 5 then 'plain' else 'tile_y' || (n_nationkey * 7 % 30) end f from nation), k as (select *, case when f = 'plain' then 1000000000 else regexp_extract(f, 'y(\\d+)', 1)::bigint end k from n) select n_nationkey, f, (row_number() over (order by k, f, n_nationkey))::int r from k")
+@Q("with n as (select c_custkey, case when c_custkey % 6 = 5 then 'plain' else 'tile_y' || (c_custkey * 7 % 30) end f from customer), k as (select *, case when f = 'plain' then 1000000000 else regexp_extract(f, 'y(\\d+)', 1)::bigint end k from n) select c_custkey, f, (row_number() over (order by k, f, c_custkey))::bigint r from k")
 def natural_order(s, d):
-    """Files in numeric order of their strip, unnumbered ones last."""
-    from pyspark.sql import Window as W
-
-    n = table(s, d, "nation").select("n_nationkey", F.when(F.col("n_nationkey") % 6 == 5, "plain").otherwise(F.concat(F.lit("tile_y"), F.col("n_nationkey") * 7 % 30)).alias("f"))
-    return n.withColumn("r", F.row_number().over(W.orderBy(names.sort_key(F.col("f")), "f", "n_nationkey"))).select("n_nationkey", "f", "r")
+    """Files in numeric order of their strip, unnumbered ones last: numbers within a strip plus the sizes of those before."""
+    n = table(s, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 6 == 5, "plain").otherwise(F.concat(F.lit("tile_y"), F.col("c_custkey") * 7 % 30)).alias("f"))
+    n = n.withColumn("k", names.sort_key(F.col("f")))
+    return tables.reindex(n, ["f", "c_custkey"], "k").select("c_custkey", "f", (F.col("index") + 1).alias("r"))
 
 
 @Q("select o_custkey % 10 tile, count(*) n from orders where o_totalprice > 400000 group by 1 having count(*) > 1")

@@ -6,17 +6,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def chunk_grids(volumes: DataFrame, size: float, scale: int = 0) -> DataFrame:
+    """The volume's own columns but its shape (nz, ny, nx), and chunk, z0, z1, y0, y1, x0, x1 of all its chunks. Each axis has
+    floor(n / size) + 1 chunks, so a divisible one ends with an empty chunk. scale: bounds of a level reduced by 2^scale, rounded
+    half to even."""
+    own = [c for c in volumes.columns if c not in ("nz", "ny", "nx")]
+    d = volumes
+    for c in "zyx":
+        d = d.withColumn(f"k{c}", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col(f"n{c}") / size).cast("long"))))
+    ny, nx = (F.floor(F.col(f"n{c}") / size).cast("long") + 1 for c in "yx")
+    d = d.withColumn("chunk", (F.col("kz") * ny + F.col("ky")) * nx + F.col("kx"))
+    bounds = []
+    for c in "zyx":
+        top = F.rint(F.col(f"n{c}") / 2**scale)
+        bounds += [F.least(F.rint((F.col(f"k{c}") + o) * (size / 2**scale)), top).cast("long").alias(f"{c}{o}") for o in (0, 1)]
+    return d.select(*own, "chunk", *bounds)
+
+
 def chunk_grid(spark: SparkSession, shape: tuple[int, int, int], size: float, scale: int = 0) -> DataFrame:
-    """chunk, z0, z1, y0, y1, x0, x1 for shape (z, y, x). Each axis has floor(n / size) + 1 chunks, so a divisible one
-    ends with an empty chunk. scale: bounds of a level reduced by 2^scale, rounded half to even."""
-    nz, ny, nx = (int(n // size) + 1 for n in shape)
-    g = spark.range(nz * ny * nx).select(F.col("id").alias("chunk"), F.expr(f"id div {ny * nx}").alias("kz"), F.expr(f"id div {nx} % {ny}").alias("ky"), F.expr(f"id % {nx}").alias("kx"))
-    step = size / 2**scale
-    for c, n in zip("zyx", shape, strict=True):
-        n = round(n / 2**scale)
-        lo, hi = F.rint(F.col(f"k{c}") * step), F.rint((F.col(f"k{c}") + 1) * step)
-        g = g.withColumn(f"{c}0", F.least(lo, F.lit(float(n))).cast("long")).withColumn(f"{c}1", F.least(hi, F.lit(float(n))).cast("long"))
-    return g.select("chunk", "z0", "z1", "y0", "y1", "x0", "x1")
+    """chunk, z0, z1, y0, y1, x0, x1 of one volume of shape (z, y, x)."""
+    return chunk_grids(spark.createDataFrame([tuple(map(int, shape))], "nz long, ny long, nx long"), size, scale)
 
 
 def chunk_of(shape: tuple[int, int, int], size: int) -> Column:
@@ -24,8 +33,8 @@ def chunk_of(shape: tuple[int, int, int], size: int) -> Column:
     return F.expr(f"(cast(z div {size} as long) * {ny} + y div {size}) * {nx} + x div {size}")
 
 
-def grid_extent(grid: DataFrame) -> DataFrame:
-    return grid.agg(F.max("z1").alias("nz"), F.max("y1").alias("ny"), F.max("x1").alias("nx"))
+def grid_extent(grid: DataFrame, *by: str) -> DataFrame:
+    return grid.groupBy(*by).agg(F.max("z1").alias("nz"), F.max("y1").alias("ny"), F.max("x1").alias("nx"))
 
 
 def foreground(grid: DataFrame, flags: DataFrame) -> DataFrame:

@@ -19,6 +19,17 @@ def output_bounds(m: np.ndarray, shape: tuple[int, int, int]) -> tuple[np.ndarra
     return np.floor(out[:, :3].min(axis=0)).astype(int), np.ceil(out[:, :3].max(axis=0)).astype(int)
 
 
+def bounds_of(volumes: DataFrame, m: list[list[float]], *by: str) -> DataFrame:
+    """by, r, lo, hi: floor and ceiling of each coordinate r of a volume (nx, nz, ny) under an affine of (x, z, y). A coordinate is a
+    sum of one term an axis, so its extremes over the eight corners are the sums of the terms' extremes."""
+    rows = []
+    for r, (*c, offset) in enumerate(m[:3]):
+        ends = [F.lit(float(k)) * (F.col(f"n{a}") - 1) for k, a in zip(c, "xzy", strict=True)]
+        low, high = (sum((pick(e, F.lit(0.0)) for e in ends), F.lit(float(offset))) for pick in (F.least, F.greatest))
+        rows.append(F.struct(F.lit(r).alias("r"), F.floor(low).cast("long").alias("lo"), F.ceil(high).cast("long").alias("hi")))
+    return volumes.select(*by, F.explode(F.array(*rows)).alias("b")).select(*by, "b.*")
+
+
 def warp_bilinear(vox: DataFrame, m: list[list[float]], nz: int, ny: int, pixels: int = 1 << 22) -> DataFrame:
     """2-D affine of every frame, forward matrix on (y, z, 1), 0 outside: the taps are the same for all frames, so one kernel call
     takes as many frames as have about `pixels` pixels, after the one shuffle that brings them together."""

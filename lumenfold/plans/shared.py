@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _WRITTEN: list[str] = []
+#: Names in the catalog of those of them that are tables in buckets.
+_NAMED: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,6 +49,7 @@ class Buckets:
         self.name = f"{name}_{uuid.uuid4().hex}"
         self.path = f"{shared_folder(spark)}/{self.name}"
         _WRITTEN.append(self.path)
+        _NAMED[self.path] = self.name
 
     def add(self, df: DataFrame, deal: bool = False) -> None:
         """deal: bring the rows of a bucket together first, where many tasks have a few of each."""
@@ -63,6 +66,9 @@ def release(spark: SparkSession, since: int = 0, last: bool = True) -> int:
     hadoop, n = spark._jvm.org.apache.hadoop.fs, 0
     old = _WRITTEN[since:] if last else _WRITTEN[since:-1]
     _WRITTEN[since:] = [] if last else _WRITTEN[max(since, len(_WRITTEN) - 1) :]
-    for path in map(hadoop.Path, old):
-        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    for path in old:
+        if path in _NAMED:  # the catalog doesn't own the folder of such a table
+            spark.sql(f"DROP TABLE IF EXISTS `{_NAMED.pop(path)}`")
+        place = hadoop.Path(path)
+        n += bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True))
     return n

@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, InputPartition, WriterCommitMessage
 
 HEADER_LIMIT = 40_000
 # Fixed values of the public seekable zstd layout: the skippable frame that holds the table, and what ends it.
@@ -297,6 +297,55 @@ class SpoolWriter(DataSourceArrowWriter):
                 fs.delete_file(m.temporary)
 
 
+class GrowingReader(DataSourceStreamReader):
+    """Frames that are appended to plain spools while a stream runs. An offset says how many whole frames of each spool have been
+    handed on; half a frame at a spool's end waits for its rest. New spools of the folder are found at each trigger."""
+
+    def __init__(self, options: dict):
+        self.path = options["path"]
+        self.at_once = int(options.get("framesatonce", options.get("framesAtOnce", 64)))
+        self.scale = str(options.get("scale", "true")).lower() == "true"
+
+    def initialOffset(self) -> dict:  # noqa: N802
+        return {"frames": {}}
+
+    def latestOffset(self) -> dict:  # noqa: N802
+        out = {}
+        for path in _spools(self.path):
+            if path.endswith(".fli"):
+                about = self._about(path)
+                if about:
+                    _, _, _, skip, frame, size = about
+                    out[path.rpartition("/")[2]] = max(0, size - skip) // frame
+        return {"frames": out}
+
+    def _about(self, path: str) -> tuple[int, int, int, int, int, int] | None:
+        """x, y, first frame, header length, bytes of a frame, bytes of the file; None before the header is there."""
+        fs, p = _open(path)
+        with fs.open_input_stream(p, compression=None) as f:
+            raw = f.read(HEADER_LIMIT)
+        if b"{END}" not in raw:
+            return None
+        head = parse_header(raw)
+        x, y = int(head["x"]), int(head["y"])
+        return x, y, int(head.get("first") or 0), head["header_length"], x * y // 2 * 3, fs.get_file_info(p).size
+
+    def partitions(self, start: dict, end: dict) -> list[Frames]:
+        out = []
+        folder = next((s.rpartition("/")[0] for s in _spools(self.path)), "")
+        for name, n in sorted(end["frames"].items()):
+            path, before = f"{folder}/{name}", start["frames"].get(name, 0)
+            x, y, first, skip, frame, _ = self._about(path)
+            out += [Frames(path, skip + a * frame, min(self.at_once, n - a), first + a, x, y, False) for a in range(before, n, self.at_once)]
+        return out
+
+    def read(self, part: Frames) -> Iterator[pa.RecordBatch]:
+        return SpoolReader.read(self, part)
+
+    def _batch(self, part: Frames, first: int, raw: bytes, frame: int) -> pa.RecordBatch:
+        return SpoolReader._batch(self, part, first, raw, frame)
+
+
 class SpoolSource(DataSource):
     """spark.read.format("fli").option("framesAtOnce", 64).load(path), and frames.write.format("fli") with the options
     width, height and packed."""
@@ -311,6 +360,9 @@ class SpoolSource(DataSource):
     def reader(self, schema) -> SpoolReader:
         return SpoolReader(self.options)
 
+    def streamReader(self, schema) -> GrowingReader:  # noqa: N802
+        return GrowingReader(self.options)
+
     def writer(self, schema, overwrite: bool) -> SpoolWriter:
         return SpoolWriter(self.options)
 
@@ -450,6 +502,12 @@ def read_spools(spark: SparkSession, *paths: str, frames_at_once: int = 64, scal
     return out
 
 
+def stream_spools(spark: SparkSession, path: str, frames_at_once: int = 64, scale: bool = True) -> DataFrame:
+    """Frames of the plain spools of a folder as a stream: each whole frame once, also of spools that still grow."""
+    spark.dataSource.register(SpoolSource)
+    return spark.readStream.format("fli").option("framesAtOnce", frames_at_once).option("scale", str(scale).lower()).load(path)
+
+
 def frames_to_voxels(frames: DataFrame) -> DataFrame:
     e = frames.select("path", F.col("frame").alias("x"), "width", F.posexplode("data").alias("p", "v"))
     return e.select("path", "x", F.expr("cast(p div width as int)").alias("z"), F.expr("cast(p % width as int)").alias("y"), "v")

@@ -211,3 +211,14 @@ def test_portions_finish_a_store(spark, tmp_path):
     assert store.exists(out) and (load(out) == a).all()
     store_jobs.map_store(spark, out, str(tmp_path / "c"), lambda v: v * 2.0, "twice")
     assert (load(str(tmp_path / "c")) == 2 * a).all()
+
+
+def test_released_tables_leave_the_catalog(spark):
+    from lumenfold.plans import shared
+
+    mark = shared.written()
+    b = shared.Buckets(spark, "kept", "k", 4)
+    b.add(spark.range(10).withColumnRenamed("id", "k"))
+    assert b.read().count() == 10 and b.name in {t.name for t in spark.catalog.listTables()}
+    shared.release(spark, mark)
+    assert b.name not in {t.name for t in spark.catalog.listTables()}
