@@ -9,9 +9,11 @@ k/2 ln(count). Its distribution is smoothed by that suffix's, (n + WEIGHT p) / (
 No machine holds the tree. Blocks of text send their distinct words to the words' shards and get numbers and corpus counts
 back (first round). A context's suffixes share its last word, so that word's shard can build the whole subtree: a block
 sends each distinct (context, next word) of its tokens there and gets one probability back (second round). Contexts with
-HOT occurrences or more would make a shard uneven. They are retained without the test (their counts pay for it), in rounds
-of their own before: their (context, next word) pairs are dealt by both, and what is below them is dealt by one word more.
-Probabilities travel as 16-bit logarithms, in steps of 1 / STEPS of a bit; a word's own follows from the level of its count.
+HOT occurrences or more would make a shard uneven. They take the same test in rounds of their own before: their (context,
+next word) pairs are dealt by both, each shard sums what its pairs gain, a shard of contexts adds these sums up and tells
+the blocks which contexts are retained; what is below them is dealt by one word more. So HOT decides where a context is
+counted and nothing else. A token's final probability is a 16-bit logarithm, in steps of 1 / STEPS of a bit, an error of half a
+step (0.00015 in log10) a token at most; a word's own follows from the level of its count, as exactly.
 
 Counts cover all training documents and don't depend on how the table is split. Null and empty texts consist of the end
 token alone; null ids count as the empty text in crc32. Repeated rows each count and each get their own result. Without
@@ -41,8 +43,9 @@ STEPS = 1024
 END = np.uint64(0x454E44)
 PIECE = 8 << 20
 #: Kinds of messages beside replies (0: words, 1 to DEPTH: hot pairs, then contexts): a block's tokens and ids, totals of a
-#: round's shards (TOTALS - round), and questions, which go to a shard.
-TOKENS, IDS, ASK, TOTALS = -1, -2, -3, -4
+#: round's shards (TOTALS - round), and questions, which go to a shard; a round's sums for its hot contexts (GAINS - round), and
+#: replies that say which of these are retained (KEPT + round).
+TOKENS, IDS, ASK, TOTALS, GAINS, KEPT = -1, -2, -3, -4, -16, 16
 
 
 def level(count: np.ndarray) -> np.ndarray:
@@ -126,22 +129,54 @@ def count_words(t: pa.Table, parts: int) -> pa.Table:
     return B.messages(out)
 
 
-def count_pairs(t: pa.Table) -> pa.Table:
-    """A shard of (hot context, next word) pairs: probability, and the count where it is hot itself."""
+def pays(gain: np.ndarray, kinds: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """The divergence test: whether contexts with so many occurrences gain enough for their followers."""
+    return (total >= MIN_COUNT) & (gain > 0.5 * kinds * np.log(np.maximum(total, 1)))
+
+
+def count_pairs(t: pa.Table, parts: int) -> pa.Table:
+    """A shard of (hot context, next word) pairs: the probability if the context is retained, and the count where it is hot
+    itself; and to the contexts' shards what their pairs here gain."""
     dest = t.column("dest")[0].as_py()
     kind = t.column("kind")[0].as_py()
     got = [B.unpack(x.as_py()) for x in t.column("payload")]
-    _, _, back = B.groups(np.concatenate([g[0] for g in got]))
-    n = np.bincount(back, np.concatenate([g[1] for g in got])).astype(np.int64)[back]
     total, q = np.concatenate([g[2] for g in got]).astype(np.float64), np.concatenate([g[3] for g in got])
-    q = pack_logs((n + WEIGHT * unpack_logs(q)) / (total + WEIGHT))
+    _, at, back = B.groups(np.concatenate([g[0] for g in got]))
+    count = np.bincount(back, np.concatenate([g[1] for g in got])).astype(np.int64)
+    n, parent = count[back], unpack_logs(q)
+    new = (-np.log2((n + WEIGHT * parent) / (total + WEIGHT)) * STEPS).astype(np.float32)
     most = np.array([n.max()], np.int64)
     n = np.where(n >= HOT, n, 0)
     ends = np.cumsum([0, *(len(g[0]) for g in got)])
-    out = [(dest, s, kind, B.pack(q[a:b], B.narrow(n[a:b]))) for s, a, b in zip(t.column("src").to_pylist(), ends[:-1], ends[1:], strict=True)]
+    out = [(dest, s, kind, B.pack(new[a:b], B.narrow(n[a:b]))) for s, a, b in zip(t.column("src").to_pylist(), ends[:-1], ends[1:], strict=True)]
+    seen = np.flatnonzero(count > 0)
+    pair, c = at[seen], count[seen]
+    ctx, first, which = B.groups(np.concatenate([g[4] for g in got])[pair])
+    gain = np.bincount(which, c * np.log(c / total[pair] / parent[pair]), len(ctx))
+    kinds, whole = np.bincount(which, minlength=len(ctx)), total[pair][first].astype(np.int64)
+    order, bounds = B.by_shard(ctx, parts)
+    # sums lie in the buckets of the shards that they go to
+    for p in np.flatnonzero(np.diff(bounds)):
+        i = order[bounds[p] : bounds[p + 1]]
+        out.append((int(p), -2 - int(p), GAINS - kind, B.pack(ctx[i], gain[i], B.narrow(kinds[i]), B.narrow(whole[i]))))
     return B.messages([(dest, -1, TOTALS - kind, B.pack(most)), *out])
 
 
+def decide(depth: int):
+    """A shard of hot contexts: which of those asked for are retained, by the sums of all shards of pairs."""
+
+    def run(t: pa.Table) -> pa.Table:
+        dest, rows = t.column("dest")[0].as_py(), [(s, B.unpack(x.as_py())) for s, x in zip(t.column("src").to_pylist(), t.column("payload"), strict=True)]
+        sums = [g for s, g in rows if s < 0]
+        ctx, first, which = B.groups(np.concatenate([g[0] for g in sums] or [np.zeros(0, np.uint64)]))
+        add = lambda i: np.bincount(which, np.concatenate([g[i] for g in sums]), len(ctx)) if sums else np.zeros(0)
+        total = np.concatenate([g[3] for g in sums]).astype(np.int64)[first] if sums else np.zeros(0)
+        kept = ctx[pays(add(1), add(2), total)]
+        return B.messages([(dest, s, KEPT + depth, B.pack(np.isin(g[0], kept).astype(np.uint8))) for s, g in rows if s >= 0])
+
+    return run
+
+
 def subtree(before: list[np.ndarray], word: np.ndarray, n: np.ndarray, done: np.ndarray, p: np.ndarray) -> np.ndarray:
     """Probability of each entry's next word in its longest suffix state. before: the words before it, nearest first, 0
     where there is none; done: how many of them p takes into account already (contexts of other shards)."""
@@ -161,7 +196,7 @@ def subtree(before: list[np.ndarray], word: np.ndarray, n: np.ndarray, done: np.
         seen = count > 0
         gain = np.bincount(own[seen], count[seen] * np.log(count[seen] / total[own[seen]] / parent[seen]), len(total))
         kinds = np.bincount(own[seen], minlength=len(total))
-        kept = (total >= MIN_COUNT) & (gain > 0.5 * kinds * np.log(np.maximum(total, 1)))
+        kept = pays(gain, kinds, total)
         p = p.copy()
         p[use] = np.where(kept[own], (count + WEIGHT * parent) / (total[own] + WEIGHT), parent)[pair]
     return p
@@ -183,8 +218,8 @@ def grow(t: pa.Table, offset: int) -> pa.Table:
 
 
 class Block:
-    """A block's tokens, from its own messages and all replies so far (kind 0: words, 1 to DEPTH: hot pairs, DEPTH + 1 and
-    DEPTH + 2: contexts)."""
+    """A block's tokens, from its own messages and all replies so far (kind 0: words, 1 to DEPTH: hot pairs, KEPT and more: hot
+    contexts, DEPTH + 1 and DEPTH + 2: contexts)."""
 
     def __init__(self, left: pa.Table, right: pa.Table | None, parts: int, tokens: int, distinct: int, rounds: int):
         own, replies = {}, {}
@@ -208,7 +243,7 @@ class Block:
         self.loc = loc = loc.astype(np.int64)
         n = len(loc)
         self.count, self.base = count[loc], base[loc]
-        self.q = root(tokens, distinct) - self.high.astype(np.int64)[loc]
+        self.q = (root(tokens, distinct) - self.high.astype(np.int64)[loc]).astype(np.float64)
         place = np.arange(n) - np.repeat(np.cumsum(self.size) - self.size, self.size)
         self.train = np.repeat(~self.held, self.size)
         # words before each token, nearest first, as number in the block + 1; a word that can't be in a context ends it
@@ -225,21 +260,28 @@ class Block:
         times[1:] = self.count[:-1]
         times[(self.before[0] == 0) | (times < HOT)] = 0
         ctx = np.zeros(n, np.uint64)
-        self.pairs = None
+        self.pairs = self.hot = None
         for d in range(1, rounds + 1):
             hot = np.flatnonzero(times > 0)
             ctx[hot] = mix(ctx[hot] * MUL + self.number[self.before[d - 1][hot] - 1].astype(np.uint64) + np.uint64(d))
             key, at, back = B.groups(mix(ctx[hot] * MUL + self.number[loc[hot]].astype(np.uint64)))
             order, bounds = B.by_shard(key, parts)
             if d not in replies and len(key):
-                self.pairs = (d, key[order], np.bincount(back, self.train[hot], len(key)).astype(np.int64)[order], times[hot][at][order], self.q[hot][at][order].astype(np.uint16), bounds)
+                self.pairs = (d, key[order], np.bincount(back, self.train[hot], len(key)).astype(np.int64)[order], times[hot][at][order], self.q[hot][at][order].astype(np.float32), ctx[hot][at][order], bounds)
                 return
             often = np.zeros(len(key), np.int64)
             if len(key):
                 got = answer(d)
-                q = np.empty(len(key), np.int64)
+                q = np.empty(len(key))
                 q[order], often[order] = np.concatenate([g[0] for _, g in got]), np.concatenate([g[1] for _, g in got])
-                self.q[hot] = q[back]
+                own, _, which = B.groups(ctx[hot])
+                order, bounds = B.by_shard(own, parts)
+                if KEPT + d not in replies:
+                    self.hot = (own[order], bounds)
+                    return
+                kept = np.empty(len(own), bool)
+                kept[order] = np.concatenate([g[0] for _, g in answer(KEPT + d)]) > 0
+                self.q[hot] = np.where(kept[which], q[back], self.q[hot])
                 self.done[hot] = d
             # the next token's context is this one's and its word
             times = np.zeros(n + 1, np.int64)
@@ -290,8 +332,14 @@ class Block:
     def ask_pairs(self, block: int) -> pa.Table:
         if self.pairs is None:
             return B.messages([])
-        d, key, n, times, q, bounds = self.pairs
-        return B.messages([(int(p), block, d, B.pack(key[i], B.narrow(n[i]), B.narrow(times[i]), q[i])) for p in np.flatnonzero(np.diff(bounds)) for i in [slice(bounds[p], bounds[p + 1])]])
+        d, key, n, times, q, ctx, bounds = self.pairs
+        return B.messages([(int(p), block, d, B.pack(key[i], B.narrow(n[i]), B.narrow(times[i]), q[i], ctx[i])) for p in np.flatnonzero(np.diff(bounds)) for i in [slice(bounds[p], bounds[p + 1])]])
+
+    def ask_kept(self, block: int) -> pa.Table:
+        if self.hot is None:
+            return B.messages([])
+        ctx, bounds = self.hot
+        return B.messages([(int(p), block, ASK, B.pack(ctx[bounds[p] : bounds[p + 1]])) for p in np.flatnonzero(np.diff(bounds))])
 
     def ask_contexts(self, block: int) -> pa.Table:
         out = []
@@ -306,7 +354,7 @@ class Block:
                 new = np.flatnonzero(np.r_[True, last[1:] != last[:-1]])
                 number = lambda w: B.narrow(np.where(w > 0, self.number[w - 1], 0))
                 word = self.loc[i]
-                more = (self.done[i].astype(np.uint8), self.q[i].astype(np.uint16)) if kind else ()
+                more = (self.done[i].astype(np.uint8), self.q[i].astype(np.float32)) if kind else ()
                 out.append((int(shard[a]), block, kind, B.pack(number(last[new]), B.narrow(np.diff(np.r_[new, len(last)])), *(number(w[i]) for w in self.before[1:]), self.high[word], B.narrow(self.among[word]), B.narrow(n[a:b]), *more)))
         return B.messages(out)
 
@@ -339,14 +387,17 @@ def score(docs: DataFrame, held: int = 1, of: int = 5) -> DataFrame:
     def state() -> DataFrame:
         return blocks.read().where(f"kind > {TOTALS} AND src >= 0")
 
-    def asks(f, rounds: int) -> GroupedData:
+    def asks(f, rounds: int, others: DataFrame | None = None) -> GroupedData:
         run = lambda t: f(Block(t, None, parts, tokens, distinct, rounds), t.column("src")[0].as_py())
-        return B.shards(state().groupBy("src").applyInArrow(run, B.MESSAGES), parts)
+        sent = state().groupBy("src").applyInArrow(run, B.MESSAGES)
+        return B.shards(sent if others is None else sent.union(others), parts)
 
     rounds = 0
     while often >= HOT and rounds < DEPTH:
         rounds += 1
-        blocks.add(asks(Block.ask_pairs, rounds).applyInArrow(count_pairs, B.MESSAGES), deal=True)
+        blocks.add(asks(Block.ask_pairs, rounds).applyInArrow(lambda t: count_pairs(t, parts), B.MESSAGES), deal=True)
+        gains = blocks.read().where(f"kind = {GAINS - rounds}").select("dest", "src", "kind", "payload")
+        blocks.add(asks(Block.ask_kept, rounds, gains).applyInArrow(decide(rounds), B.MESSAGES), deal=True)
         often = max((int(s[0]) for s in totals(TOTALS - rounds)), default=0)
     replies = asks(Block.ask_contexts, rounds).applyInArrow(lambda t: grow(t, offset), B.MESSAGES)
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -356,7 +407,7 @@ def score(docs: DataFrame, held: int = 1, of: int = 5) -> DataFrame:
         first = np.cumsum(b.size) - b.size
         add = lambda v: np.add.reduceat(v, first)
         return pa.Table.from_arrays(
-            [b.ids, pa.array(b.held), pa.array(b.size), pa.array(add((b.count > 0).astype(np.int64))), pa.array(np.full(len(b.size), tokens)), pa.array(add(np.log10(b.base))), pa.array(add(b.q) * (-np.log10(2) / STEPS))],
+            [b.ids, pa.array(b.held), pa.array(b.size), pa.array(add((b.count > 0).astype(np.int64))), pa.array(np.full(len(b.size), tokens)), pa.array(add(np.log10(b.base))), pa.array(add(np.round(b.q)) * (-np.log10(2) / STEPS))],
             names,
         )
 
