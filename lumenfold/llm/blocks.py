@@ -1,6 +1,6 @@
 """Rounds of packed messages between blocks of documents and shards of a key space.
 
-Documents are dealt to blocks of bounded size by a hash of their id. A block sends each shard one packed message with its
+Documents are dealt to blocks of bounded size by a hash of their id and text. A block sends each shard one packed message with its
 distinct keys, so a hot key costs one entry per block however many rows hold it; the shard answers every message in the
 order of its entries, so answers carry no keys. Blocks are rebuilt from the same shuffle for the next round. A message is
 sent only where there is an entry for it: there are at most blocks x shards of them, and never more than entries, so the
@@ -79,8 +79,9 @@ def block_count(docs: DataFrame, bytes_each: int = BLOCK_BYTES) -> int:
 
 
 def blocks(docs: DataFrame, n: int) -> DataFrame:
-    """docs with a column __block, dealt by it, a block a task; every round reads this one shuffle."""
-    return docs.withColumn("__block", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")).repartitionById(n, "__block")
+    """docs with a column __block, dealt by it, a block a task; every round reads this one shuffle. Rows are dealt by id and text:
+    those without an id, or with an id that many rows have, don't meet in one block."""
+    return docs.withColumn("__block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")).repartitionById(n, "__block")
 
 
 def shards(asked: DataFrame, n: int) -> GroupedData:

@@ -640,3 +640,19 @@ def test_leaks_recall_under_substitutions(spark):
 @pytest.mark.parametrize("run", [lambda d: lm_scoring.score(d), lambda d: media.store_payload(d), lambda d: jaccard_join.near_duplicates(d), lambda d: suffix_dedup.find_repeats(d), lambda d: fm_dedup.dedup(d)])
 def test_empty_tables(empty, run):
     assert run(empty).count() == 0
+
+
+def test_rows_of_one_id_are_spread_over_blocks(spark):
+    """10,000 rows without an id and 10,000 of one id: no block holds much more than its share."""
+    from lumenfold.llm import blocks
+
+    d = spark.range(20_000).selectExpr("if(id % 2 = 0, null, 7L) doc_id", "concat('word ', id) text")
+    sizes = [r["count"] for r in blocks.blocks(d, 50).groupBy("__block").count().collect()]
+    assert len(sizes) == 50 and max(sizes) < 2 * 20_000 / 50
+    # and what is removed stays a matter of ids: rows of one id, in blocks of their own, don't remove each other's words
+    w = text(60)
+    rows = [(7, w + f" {i}") for i in range(40)] + [(None, w + f" n{i}") for i in range(40)] + [(9, w), (8, "x " + w)]
+    got = fm_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all((x.n_removed > 0) == (x.doc_id in (8, 9)) for x in got) and len(got) == 82
+    found = suffix_dedup.find_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x.doc_id: x.n_removable for x in found} == {7: 0, 8: 60, 9: 60} and len(found) == 42
