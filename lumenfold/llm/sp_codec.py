@@ -1,18 +1,19 @@
 """SentencePiece vocabularies: best-path encoding as a max-plus scan, and decoding.
 
 The best path maximises the sum of piece scores over the lattice of all pieces, with byte pieces for characters outside
-the vocabulary. Giant texts (over GIANT characters) are split into chunks of SPLIT characters, wherever these end: each
-chunk yields a transfer matrix from "characters taken by a piece of the chunk before" to "characters taken from the next
-chunk", the matrices are combined associatively, and every chunk is traced back by itself from its exit state (giant,
-crossing). Where a chunk holds places that no piece crosses its matrix is kept as an outer product; stretches without such
-a place (units of over CHUNK characters, such as long runs without a space) go through dense matrices, an associative scan
-and traces for every exit state (scan). What lies between those places, the units, is solved side by side, once for each
-distinct unit. Equal scores: the longer last piece wins, so ids don't depend on where chunks end.
+the vocabulary. Giant texts (over GIANT characters), and units without a cut of over CHUNK characters, are split into chunks
+of CHUNK characters, wherever these end. Each chunk yields a transfer matrix from "characters that a piece of the chunk before
+takes of it" to "characters that its last piece takes of the next one" (matrices); the matrices are combined by an associative
+max-plus scan, which gives every chunk's entry values (prefix); and every chunk is traced back by itself from its exit state
+(traces). Shorter texts fall apart at the places that no piece crosses; what lies between these, the units, is solved side by
+side, once for each distinct unit. Both ways give the same path. Equal scores: the longer last piece wins, so ids don't depend
+on where chunks end.
 
 Spaces become U+2581 and one is put in front of non-empty texts; a U+2581 of the text itself is written as byte pieces,
 so decoding returns every text unchanged. Null texts have no tokens and decode to null; empty ones have none and decode to
 "". Repeated rows each get their own result, an empty table gives an empty one, and only the columns asked for are read,
-whatever others are called. A text without any cut takes the scan's memory: about 10 bytes a character beside the text.
+whatever others are called. A giant text takes the scan's memory: about 40 bytes a character beside the text, and about 10
+where it has a quarter of a million characters or more, as its chunks are longer then.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ SPACE = "▁"
 #: Stands for a U+2581 of the text: a lone surrogate, which no valid text holds.
 LITERAL = "\ud800"
 CHUNK, CACHE = 64, 200_000
-#: Texts of over GIANT characters are split into chunks of SPLIT; the scan takes about BATCH characters at once.
-GIANT, SPLIT, BATCH = 1 << 14, 1 << 12, 1 << 14
+#: Texts of over GIANT characters are split into chunks; the scan takes about BATCH characters at once.
+GIANT, BATCH = 1 << 16, 1 << 14
 NEG = np.int64(-(1 << 50))
 
 
@@ -200,23 +201,23 @@ class Codec:
             v[:, :, j], back[:, :, j] = best, length
         return v, back
 
-    def scan(self, text: str) -> tuple[bytes, int]:
-        """A unit of any length: transfer matrices of its chunks, their associative scan, and a trace of its own for every
-        chunk. Only the matrices (width x width for each chunk) and the tokens follow the length."""
-        chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        size = CHUNK if len(chars) < 1 << 18 else 16 * CHUNK
+    def matrices(self, chars: np.ndarray, size: int) -> np.ndarray:
+        """Transfer matrix [entry state, exit state] of every chunk: characters taken by the chunk before -> characters taken
+        from the next one."""
         width, n = self.longest, -(-len(chars) // size)
-        step = max(1, BATCH // size)
-        batches = [(a, min(n, a + step)) for a in range(0, n, step)]
-        # each chunk's matrix: characters taken by the chunk before -> characters taken from the next one
         eye = np.where(np.eye(width, dtype=bool), 0, NEG)
-        matrix = np.empty((n, width, width), np.int64)
-        for a, b in batches:
+        out = np.empty((n, width, width), np.int64)
+        for a, b in self._batches(n, size):
             _, gain = self._chunks(chars, a, b, size)
-            matrix[a:b] = self._advance(np.broadcast_to(eye, (b - a, width, width)), gain, size)[0][:, :, size:]
-        scan, d = np.maximum(matrix, NEG), 1
-        del matrix
-        while d < n:  # inclusive scan of the max-plus products
+            out[a:b] = self._advance(np.broadcast_to(eye, (b - a, width, width)), gain, size)[0][:, :, size:]
+        return np.maximum(out, NEG)
+
+    @staticmethod
+    def prefix(matrix: np.ndarray) -> np.ndarray:
+        """Max-plus products of the first 1, 2, ... matrices: an associative scan that doubles its reach each round."""
+        n, width, d = len(matrix), matrix.shape[1], 1
+        scan = matrix
+        while d < n:
             new = scan.copy()
             for a in range(d, n, 2048):
                 b = min(n, a + 2048)
@@ -226,14 +227,14 @@ class Codec:
                     np.maximum(best, left[:, :, k, None] + right[:, None, k, :], out=best)
                 new[a:b] = best
             scan, d = np.maximum(new, NEG), 2 * d
-        entry = np.full((n, 1, width), NEG)
-        entry[0, 0, 0] = 0
-        entry[1:, 0] = scan[:-1, 0]
-        score = int(scan[-1, 0, 0])  # the last chunk is full: padding is free
-        del scan
-        # every chunk by itself: where the path to each exit state came in
+        return scan
+
+    def traces(self, chars: np.ndarray, entry: np.ndarray, size: int) -> np.ndarray:
+        """Tokens of all chunks, each traced back by itself: first from every exit state to the entry state it came from, then,
+        once the exit states are known, along the path."""
+        width, n = self.longest, len(entry)
         came = np.empty((n, width), np.int64)
-        for a, b in batches:
+        for a, b in self._batches(n, size):
             _, gain = self._chunks(chars, a, b, size)
             back = self._advance(entry[a:b], gain, size)[1][:, 0]
             came[a:b] = self._trace(back, np.broadcast_to(np.arange(size, size + width), (b - a, width)))
@@ -241,7 +242,7 @@ class Codec:
         for c in range(n - 1, -1, -1):
             state[c] = came[c, state[c + 1]]
         out = []
-        for a, b in batches:
+        for a, b in self._batches(n, size):
             ids, gain = self._chunks(chars, a, b, size)
             back = self._advance(entry[a:b], gain, size)[1][:, 0]
             seen: list[tuple[np.ndarray, np.ndarray]] = []
@@ -253,7 +254,25 @@ class Codec:
             found, at = ids[length[o] - 1, at[o]], at[o] + a * size
             real = found != -3
             out.append(self._tokens(np.zeros(int(real.sum()), np.int64), found[real], chars[at[real]], 1)[0])
-        return np.concatenate(out).tobytes(), score
+        return np.concatenate(out)
+
+    @staticmethod
+    def _batches(n: int, size: int) -> list[tuple[int, int]]:
+        step = max(1, BATCH // size)
+        return [(a, min(n, a + step)) for a in range(0, n, step)]
+
+    def scan(self, text: str) -> tuple[bytes, int]:
+        """A text or unit of any length: transfer matrices of its chunks, their associative scan, and a trace of its own for
+        every chunk. Only the matrices (width x width for each chunk) and the tokens follow the length."""
+        chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        size = CHUNK if len(chars) < 1 << 18 else 16 * CHUNK
+        product = self.prefix(self.matrices(chars, size))
+        entry = np.full((len(product), 1, self.longest), NEG)
+        entry[0, 0, 0] = 0
+        entry[1:, 0] = product[:-1, 0]
+        score = int(product[-1, 0, 0])  # the last chunk is full: padding is free
+        del product
+        return self.traces(chars, entry, size).tobytes(), score
 
     @staticmethod
     def _trace(back: np.ndarray, start: np.ndarray, seen: list | None = None) -> np.ndarray:
@@ -270,73 +289,10 @@ class Codec:
                 seen.append((c, at[c, 0]))
             at = at - k
 
-    def crossing(self, units: list[str], left: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Units that a chunk's end cuts after `left` of their characters: (values of the exit states of the chunk before,
-        from the unit's start on; values from each entry state of the chunk behind to the unit's end; ids)."""
-        n, width = len(units), self.longest
-        size = np.array([len(u) for u in units])
-        chars = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
-        start = np.cumsum(size) - size
-        ids = self.lattice(chars, np.repeat(start + size, size))
-        most, each, col = int(size.max()), np.arange(n), np.arange(width)
-        tail, head = np.full((n, most + width), NEG), np.full((n, width, most + width), NEG)
-        back = np.zeros((2, n, most + width), np.int8)
-        tail[:, 0] = 0
-        head[each[:, None], col, left[:, None] + col] = 0
-        path = np.full((n, most + width), NEG)  # behind the cut, entered with the exit values
-        for j in range(1, most + 1):
-            for k in range(min(j, width), 0, -1):
-                pid = ids[k - 1, np.minimum(start + j - 1, len(chars) - 1)]
-                gain = np.where((pid == -1) | (j > size), NEG, self.score[pid])
-                before = j - k < left
-                s = np.where(before, tail[:, j - k] + gain, NEG)
-                up = s > tail[:, j]
-                tail[up, j], back[0, up, j] = s[up], k
-                s = np.where(before[:, None], NEG, head[:, :, j - k] + gain[:, None])
-                np.maximum(head[:, :, j], s, out=head[:, :, j])
-            entered = j >= left
-            path[entered, j] = tail[entered, j]
-            for k in range(min(j, width), 0, -1):
-                pid = ids[k - 1, np.minimum(start + j - 1, len(chars) - 1)]
-                s = np.where((pid == -1) | (j > size) | (j - k < left), NEG, path[:, j - k] + self.score[pid])
-                up = s > path[:, j]
-                path[up, j], back[1, up, j] = s[up], k
-        out = []
-        for i in range(n):
-            j, ends = int(size[i]), []
-            for side in (1, 0):
-                while j and (k := int(back[side, i, j])):
-                    ends.append((ids[k - 1, start[i] + j - 1], chars[start[i] + j - 1]))
-                    j -= k
-            found, last = (np.array(x) for x in zip(*reversed(ends), strict=True))
-            out.append(self._tokens(np.zeros(len(found), np.int64), found, last, 1)[0].tobytes())
-        return tail[each[:, None], left[:, None] + col], head[each, :, size], out
-
-    def giant(self, units: list[str]) -> tuple[bytes, int]:
-        """A giant text's units, in chunks of SPLIT characters wherever these end. Inside a chunk there are places that no
-        piece crosses, so its transfer matrix is an outer (max-plus) product: values to the first such place by entry
-        state, the value between, values from the last one by exit state. Of such matrices the product is
-        (h1, m1 + max(t1 + h2) + m2, t2), which is associative; here all of them are combined by one prefix sum. A unit of
-        over CHUNK characters has no such place: it starts a chunk and is solved by matrices of its own."""
-        size = np.fromiter(map(len, units), np.int64, len(units))
-        first = np.cumsum(size) - size
-        cut = np.arange(SPLIT, int(size.sum()), SPLIT)
-        at = np.searchsorted(first, cut, "right") - 1
-        inside = (first[at] < cut) & (size[at] <= CHUNK)
-        at, left = at[inside], (cut - first[at])[inside]
-        got = [self.cache[u] for u in units]
-        blobs, middle = [g[0] for g in got], np.array([g[1] for g in got], np.int64)
-        if len(at):
-            out, enter, ids = self.crossing([units[i] for i in at], left)
-            middle[at] = (out + enter).max(axis=1)
-            for i, x in zip(at.tolist(), ids, strict=True):
-                blobs[i] = x
-        return b"".join(blobs), int(np.cumsum(middle)[-1])
-
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, int]]:
         """(ids as int32 bytes, score) of whole texts."""
         whole = [SPACE + t.replace(SPACE, LITERAL).replace(" ", SPACE) if t else "" for t in texts]
-        split = [self.units.findall(t) for t in whole]
+        split = [self.units.findall(t) if len(t) <= GIANT else [] for t in whole]
         new = {u for own in split for u in own if u not in self.cache}
         if len(self.cache) + len(new) > CACHE:
             self.cache.clear()
@@ -349,7 +305,7 @@ class Codec:
         out = []
         for t, own in zip(whole, split, strict=True):
             if len(t) > GIANT:
-                out.append(self.giant(own))
+                out.append(self.scan(t))
                 continue
             got = [self.cache[u] for u in own]
             out.append((b"".join([g[0] for g in got]), sum([g[1] for g in got])))

@@ -539,22 +539,51 @@ def test_codec_best_path_and_round_trip(codec, rows):
         assert codec.decode(ids) == t
 
 
-@pytest.mark.parametrize("split", [7, 64, 1000])
-def test_giant_texts_in_chunks(codec, monkeypatch, split):
+@pytest.mark.parametrize("chunk", [17, 64, 1000])
+def test_giant_texts_in_chunks(codec, monkeypatch, chunk):
+    """Without the units' solver: matrices, scan and traces alone give the ids and the score."""
     r = random.Random(3)
     t = " ".join(r.choice([*VOCAB, "unbelievable", "internationalisation", "é▁ü日本", "x" * 90, "  "]) for _ in range(3000)) + "\n\n"
-    short = codec.encode([t])
-    used = []
+    short = codec.encode([t, "small"])
     monkeypatch.setattr(sp_codec, "GIANT", 100)
-    monkeypatch.setattr(sp_codec, "SPLIT", split if split > codec.longest else 65)
-    monkeypatch.setattr(sp_codec.Codec, "crossing", lambda self, u, n, f=sp_codec.Codec.crossing: used.extend(u) or f(self, u, n))
-    assert codec.encode([t]) == short and len(used) > 3
-    # every crossing unit at every cut
-    for u in ["▁unbelievable", "▁internationalisation", "▁é" + sp_codec.LITERAL + "ü"]:
-        want = codec.solve([u])[0]
-        cuts = list(range(1, len(u)))
-        out, enter, ids = codec.crossing([u] * len(cuts), np.array(cuts))
-        assert set((out + enter).max(axis=1).tolist()) == {want[1]} and set(ids) == {want[0]}
+    monkeypatch.setattr(sp_codec, "CHUNK", chunk)
+    codec.cache.clear()
+    solve, asked = sp_codec.Codec.solve, []
+    monkeypatch.setattr(sp_codec.Codec, "solve", lambda self, units: asked.extend(units) or solve(self, units))
+    assert codec.encode([t, "small"]) == short and asked == ["▁small"]
+
+
+def test_transfer_matrices_and_their_products(codec):
+    """A chunk's matrix by paths over its characters, and products in any grouping."""
+    text = "▁unbelievable▁thinking▁é▁internationalisation▁of▁the▁things" * 3
+    chars, size, width = np.frombuffer(text.encode("utf-32-le"), np.uint32), 32, codec.longest
+    m = codec.matrices(chars, size)
+    assert m.shape == (-(-len(text) // size), width, width)
+    lattice = codec.lattice(chars, np.full(len(chars), len(chars)))
+    for c in (0, 1, len(m) - 2):
+        for entry in range(width):
+            best = {entry: 0}  # taken characters of the chunk -> value
+            for j in range(entry + 1, size + width):
+                values = []
+                for k in range(1, width + 1):
+                    at = c * size + j - 1
+                    if 0 <= j - k < size and j - k in best and at < len(chars) and lattice[k - 1, at] != -1:
+                        i = lattice[k - 1, at]
+                        values.append(best[j - k] + int(codec.score[len(codec.score) - 2 if i == -2 else i]))
+                if values:
+                    best[j] = max(values)
+            for exit_ in range(width):
+                want = best.get(size + exit_)
+                assert (m[c, entry, exit_] == want) if want is not None else m[c, entry, exit_] < sp_codec.NEG // 2
+    product = codec.prefix(m)
+    times = lambda a, b: np.maximum((a[:, :, None] + b[None]).max(axis=1), sp_codec.NEG)
+    step = m[0]
+    for i in range(1, len(m)):
+        step = times(step, m[i])
+        assert (product[i, 0] == step[0])[step[0] > sp_codec.NEG // 2].all()
+    whole = times(m[0], times(m[1], m[2]))
+    assert (times(times(m[0], m[1]), m[2]) == whole)[whole > sp_codec.NEG // 2].all()
+    assert product[-1, 0, 0] == codec.scan(text)[1]
 
 
 def test_millions_of_characters_without_a_space(codec):
