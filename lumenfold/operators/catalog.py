@@ -792,6 +792,20 @@ def register_channel(s, d):
     return geometry.register(arith.roll(v, 1, 2, 8, 8), v, 8, 8)
 
 
+@Q("with {vox} select c.range::int c, x, z::bigint z, y::bigint y, v::double v from vox, range(4) c")
+def register_colours(s, d):
+    """A stored volume of four channels, three of them rolled: scored, equalised, matched, correlated and rolled back."""
+    from lumenfold.plans import registration
+
+    out, shape = scratch(s, "colours"), ((table(s, d, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1, 8, 8)
+    v = volume(s, d).drop("label")
+    rolled = [arith.roll(v, -c, 2 * c, 8, 8).select(F.lit(c).alias("c"), "x", "z", "y", "v") for c in range(4)]
+    four = rolled[0].union(rolled[1]).union(rolled[2]).union(rolled[3])
+    store.write_store(store.to_chunks(four, (4, *shape), (1, 32, 4, 4)), f"{out}/split", (4, *shape), (1, 32, 4, 4), codec="blosc")
+    registration.register_store(s, f"{out}/split", f"{out}/registered")
+    return store.store_to_voxels(store.read_store(s, f"{out}/registered")).select("c", "x", F.col("z").cast("long").alias("z"), F.col("y").cast("long").alias("y"), "v")
+
+
 @Q("""with {vox}, sq as (select distinct x, v, cume_dist() over (partition by x order by v) q from vox), rq as (select x - 1 x, v, q from sq),
 m as (select s.x, s.v, s.q, max(r.q) ql, arg_max(r.v, r.q) vl from sq s join rq r on r.x = s.x and r.q <= s.q group by all),
 h as (select s.x, s.v, min(r.q) qh, arg_min(r.v, r.q) vh from sq s join rq r on r.x = s.x and r.q >= s.q group by all),
@@ -1256,6 +1270,46 @@ def npy_mask(s, d):
     return a.select(F.expr("cast(p div shape[1] as int)").alias("z"), F.expr("cast(p % shape[1] as int)").alias("y"), "bg")
 
 
+@Q("""with m as (select l_suppkey % 20 scan, (l_partkey % 4)::int m, (l_orderkey % 3)::int i, (l_linenumber % 3)::int j, sum(l_quantity) v from lineitem group by all)
+select 'scan_' || scan scan, m, i, j, v from m union all select 'scan_' || scan, -1, m, 0, sum(v) from m group by scan, m""")
+def mat_matrices(s, d):
+    """Transforms of many scans kept as MAT files, a cell of 3 x 3 matrices and a plain array (m = -1) each, and read back."""
+    import pandas as pd
+
+    from lumenfold.sources.files import write_files
+
+    out = scratch(s, "matrices")
+    m = table(s, d, "lineitem").groupBy((F.col("l_suppkey") % 20).alias("scan"), (F.col("l_partkey") % 4).cast("int").alias("m"), (F.col("l_orderkey") % 3).cast("int").alias("i"), (F.col("l_linenumber") % 3).cast("int").alias("j")).agg(F.sum("l_quantity").alias("v"))
+
+    def one(g: pd.DataFrame) -> pd.DataFrame:
+        a = np.zeros((4, 3, 3))
+        a[g.m, g.i, g.j] = g.v
+        blob = images.encode_mat({"A2D_list": list(a), "totals": a.sum(axis=(1, 2))[:, None]})
+        return pd.DataFrame({"name": [f"scan_{g.scan.iloc[0]}.mat"], "payload": [blob]})
+
+    write_files(m.groupBy("scan").applyInPandas(one, "name string, payload binary"), out)
+    r = images.read_matrices(s, out)
+    # cells that no row filled are zeros
+    return r.select(F.regexp_extract("path", r"(scan_\d+)\.mat$", 1).alias("scan"), F.when(F.col("name") == "totals", -1).otherwise(F.col("m")).alias("m"), "i", "j", "v").where("v <> 0")
+
+
+@Q("with h as (select max(vec_id) // 2 m from embeddings) select vec_id <= m early, 8 x, 8 y, count(*) timestamps, min(vec_id) as first_frame, true raw from embeddings, h group by 1")
+def spool_side_files(s, d):
+    """The header files that stand beside every converted volume."""
+    out = scratch(s, "side")
+    got = None
+    for early, folder in zip((True, False), spool_folders(s, d), strict=True):
+        spool.spools_to_store(s, folder, f"{out}/{early}", (64, 8, 8))
+        text = s.read.text([f"{out}/{early}/header.json", f"{out}/{early}/header_raw.txt"], wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]*)$", 1).alias("name"), "value")
+        head = text.where("name = 'header.json'").select(F.lit(1).alias("k"), F.from_json("value", "x int, y int, timestamps long, first long").alias("h"))
+        raw = text.where("name = 'header_raw.txt'").select(F.lit(1).alias("k"), F.col("value").endswith("{END}").alias("raw"))
+        # a volume of several spools keeps the first one's header; its frames are those of all of them
+        n = spool.headers(images.files(s, folder, "*.fli*").select("path")).agg(F.sum("timestamps").alias("timestamps"), F.lit(1).alias("k"))
+        one = head.join(raw, "k").join(n, "k").select(F.lit(early).alias("early"), "h.x", "h.y", "timestamps", F.col("h.first").alias("first_frame"), "raw")
+        got = one if got is None else got.union(one)
+    return got
+
+
 @Q("with n as (select n_nationkey k, 'sub' || (n_nationkey % 3) || '/slab_plane' || lpad((n_nationkey * 7)::varchar, 3, '0') || case when n_nationkey % 4 > 0 then '_ch' || (n_nationkey % 4) else '' end || '.tif' f from nation) select split_part(f, '/', 2) as name, case when k % 4 > 0 then split_part(f, '/', 1) || '/ch' || (k % 4) || '/' || split_part(f, '/', 2) else f end target from n")
 def route_files(s, d):
     """Files found by pattern in nested folders, and the channel folder that each belongs to."""

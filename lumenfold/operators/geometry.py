@@ -254,16 +254,54 @@ def shells(labelled: DataFrame, most: int = 3, bounds: tuple[int, int, int] | No
     return g.select("m.label", "x", "z", "y", (F.ceil(F.sqrt(F.col("m.d").cast("double"))) + 1).cast("int").alias("layer"))
 
 
+def phase_peak(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
+    """(dz, dy) that moves b onto a: the peak of their phase correlation."""
+    nz, ny = a.shape
+    f = np.fft.fft2(a) * np.conj(np.fft.fft2(b))
+    c = np.fft.ifft2(f / np.maximum(np.abs(f), 1e-12)).real
+    dz, dy = (int(i) for i in np.unravel_index(int(np.argmax(np.round(c, 9))), c.shape))
+    return dz - nz if dz > nz // 2 else dz, dy - ny if dy > ny // 2 else dy
+
+
+def matched_values(source: np.ndarray, reference: np.ndarray) -> np.ndarray:
+    """Source values replaced by the reference's at the same quantile, linearly interpolated."""
+    sv, back, sn = np.unique(source.ravel(), return_inverse=True, return_counts=True)
+    rv, rn = np.unique(reference.ravel(), return_counts=True)
+    new = np.interp(np.cumsum(sn) / max(sn.sum(), 1), np.cumsum(rn) / max(rn.sum(), 1), rv) if len(rv) else sv
+    return new[back].reshape(source.shape)
+
+
+def equalised(img: np.ndarray, tile: int, clip: float = 0.01, bins: int = 256) -> np.ndarray:
+    """Contrast-limited adaptive equalisation: clipped tile histograms, interpolated between tile centres."""
+    nz, ny = img.shape
+    lo, hi = img.min(), img.max()
+    if hi <= lo:
+        return np.zeros_like(img, float)
+    q = np.minimum(((img - lo) / (hi - lo) * bins).astype(int), bins - 1)
+    tz, ty = -(-nz // tile), -(-ny // tile)
+    maps = np.zeros((tz, ty, bins))
+    for i, j in itertools.product(range(tz), range(ty)):
+        h = np.bincount(q[i * tile : (i + 1) * tile, j * tile : (j + 1) * tile].ravel(), minlength=bins).astype(float)
+        most = max(1.0, clip * h.sum())
+        over = np.maximum(h - most, 0).sum()
+        h = np.minimum(h, most) + over / bins
+        maps[i, j] = np.cumsum(h) / h.sum()
+    gz, gy = np.clip((np.arange(nz) + 0.5) / tile - 0.5, 0, tz - 1), np.clip((np.arange(ny) + 0.5) / tile - 0.5, 0, ty - 1)
+    z0, y0 = np.floor(gz).astype(int), np.floor(gy).astype(int)
+    z1, y1 = np.minimum(z0 + 1, tz - 1), np.minimum(y0 + 1, ty - 1)
+    fz, fy = (gz - z0)[:, None], (gy - y0)[None]
+    m = lambda a, b: maps[a[:, None], b[None], q]
+    return m(z0, y0) * (1 - fz) * (1 - fy) + m(z0, y1) * (1 - fz) * fy + m(z1, y0) * fz * (1 - fy) + m(z1, y1) * fz * fy
+
+
 def phase_shift(pairs: DataFrame, nz: int, ny: int) -> DataFrame:
     """(x, dz, dy) that moves plane b onto plane a: the peak of the phase correlation of each frame. pairs: x, z, y, a, b."""
 
     def one(g: pd.DataFrame) -> pd.DataFrame:
         a, b = np.zeros((nz, ny)), np.zeros((nz, ny))
         a[g.z, g.y], b[g.z, g.y] = g.a, g.b
-        f = np.fft.fft2(a) * np.conj(np.fft.fft2(b))
-        c = np.fft.ifft2(f / np.maximum(np.abs(f), 1e-12)).real
-        dz, dy = np.unravel_index(int(np.argmax(np.round(c, 9))), c.shape)
-        return pd.DataFrame({"x": g.x.iloc[:1].reset_index(drop=True), "dz": [int(dz - nz if dz > nz // 2 else dz)], "dy": [int(dy - ny if dy > ny // 2 else dy)]})
+        dz, dy = phase_peak(a, b)
+        return pd.DataFrame({"x": g.x.iloc[:1].reset_index(drop=True), "dz": [dz], "dy": [dy]})
 
     return pairs.groupBy("x").applyInPandas(one, f"x {dict(pairs.dtypes)['x']}, dz int, dy int")
 
@@ -274,10 +312,7 @@ def match_histogram(source: DataFrame, reference: DataFrame, *keys: str) -> Data
 
     def one(g: pd.DataFrame) -> pd.DataFrame:
         s, r = g[g.r == 0], g[g.r == 1]
-        sv, back, sn = np.unique(s.v.to_numpy(float), return_inverse=True, return_counts=True)
-        rv, rn = np.unique(r.v.to_numpy(float), return_counts=True)
-        new = np.interp(np.cumsum(sn) / max(sn.sum(), 1), np.cumsum(rn) / max(rn.sum(), 1), rv) if len(rv) else sv
-        return s[[*keys, "z", "y"]].assign(v=new[back])
+        return s[[*keys, "z", "y"]].assign(v=matched_values(s.v.to_numpy(float), r.v.to_numpy(float)))
 
     kinds = dict(source.dtypes)
     return cells.groupBy(*keys).applyInPandas(one, ", ".join([*(f"{k} {kinds[k]}" for k in keys), "z int, y int, v double"]))
@@ -286,30 +321,10 @@ def match_histogram(source: DataFrame, reference: DataFrame, *keys: str) -> Data
 def equalise(vox: DataFrame, nz: int, ny: int, tile: int, clip: float = 0.01, bins: int = 256) -> DataFrame:
     """Contrast-limited adaptive equalisation of every frame: clipped tile histograms, interpolated between tile centres."""
 
-    def plane(img: np.ndarray) -> np.ndarray:
-        lo, hi = img.min(), img.max()
-        if hi <= lo:
-            return np.zeros_like(img, float)
-        q = np.minimum(((img - lo) / (hi - lo) * bins).astype(int), bins - 1)
-        tz, ty = -(-nz // tile), -(-ny // tile)
-        maps = np.zeros((tz, ty, bins))
-        for i, j in itertools.product(range(tz), range(ty)):
-            h = np.bincount(q[i * tile : (i + 1) * tile, j * tile : (j + 1) * tile].ravel(), minlength=bins).astype(float)
-            most = max(1.0, clip * h.sum())
-            over = np.maximum(h - most, 0).sum()
-            h = np.minimum(h, most) + over / bins
-            maps[i, j] = np.cumsum(h) / h.sum()
-        gz, gy = np.clip((np.arange(nz) + 0.5) / tile - 0.5, 0, tz - 1), np.clip((np.arange(ny) + 0.5) / tile - 0.5, 0, ty - 1)
-        z0, y0 = np.floor(gz).astype(int), np.floor(gy).astype(int)
-        z1, y1 = np.minimum(z0 + 1, tz - 1), np.minimum(y0 + 1, ty - 1)
-        fz, fy = (gz - z0)[:, None], (gy - y0)[None]
-        m = lambda a, b: maps[a[:, None], b[None], q]
-        return m(z0, y0) * (1 - fz) * (1 - fy) + m(z0, y1) * (1 - fz) * fy + m(z1, y0) * fz * (1 - fy) + m(z1, y1) * fz * fy
-
     def run(g: pd.DataFrame) -> pd.DataFrame:
         img = np.zeros((nz, ny))
         img[g.z, g.y] = g.v
-        return g[["x", "z", "y"]].assign(v=plane(img)[g.z, g.y])
+        return g[["x", "z", "y"]].assign(v=equalised(img, tile, clip, bins)[g.z, g.y])
 
     return vox.groupBy("x").applyInPandas(run, "x long, z int, y int, v double")
 

@@ -143,6 +143,23 @@ def decode_mat(blob: bytes) -> dict[str, object]:
     return out
 
 
+def encode_mat(variables: dict[str, np.ndarray | list[np.ndarray]]) -> bytes:
+    """A MAT file of level 5 with arrays of doubles, and cells of such arrays for lists."""
+
+    def element(kind: int, raw: bytes) -> bytes:
+        return struct.pack("<II", kind, len(raw)) + raw + bytes(-len(raw) % 8)
+
+    def matrix(name: str, v: np.ndarray | list[np.ndarray]) -> bytes:
+        cells = isinstance(v, list)
+        shape = (1, len(v)) if cells else v.shape if v.ndim > 1 else (1, v.size)
+        head = element(6, struct.pack("<II", MAT_CELL if cells else 6, 0)) + element(5, np.array(shape, "<i4").tobytes()) + element(1, name.encode())
+        body = b"".join(matrix("", x) for x in v) if cells else element(9, np.asarray(v, "<f8").tobytes(order="F"))
+        return element(MAT_MATRIX, head + body)
+
+    text = b"MATLAB 5.0 MAT-file".ljust(124) + struct.pack("<H", 0x0100) + b"IM"
+    return text + b"".join(matrix(n, v) for n, v in variables.items())
+
+
 def affine_list(value: object) -> list[np.ndarray]:
     """3 x 3 matrices out of whatever holds them: cells, structures, one array of 3 x 3 or 3 x 3 x n; others are left out."""
     if isinstance(value, dict):

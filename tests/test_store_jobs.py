@@ -222,3 +222,36 @@ def test_released_tables_leave_the_catalog(spark):
     assert b.read().count() == 10 and b.name in {t.name for t in spark.catalog.listTables()}
     shared.release(spark, mark)
     assert b.name not in {t.name for t in spark.catalog.listTables()}
+
+
+def test_registration_of_a_store(spark, tmp_path):
+    from lumenfold.operators.align import smooth
+    from lumenfold.plans import registration
+
+    r = np.random.default_rng(12)
+    base = np.stack([smooth(r.random((24, 32)), 1.0) for _ in range(20)])
+    base = ((base - base.min()) / (base.max() - base.min()) * 60_000).astype(int)
+    planted = [(0, 0), (2, -3), (-1, 4), (5, 6)]
+    a = np.stack([np.roll(base, (-dz, -dy), axis=(1, 2)) for dz, dy in planted])
+    a[2, 5] = r.integers(0, 60_000, (24, 32))  # a plane that has nothing to do with its partner
+    a[1:, 7] = a[0, 7] // 2  # and one that would tell a wrong shift, were it the only one
+    save(str(tmp_path / "a"), a, (1, 8, 16, 16))
+    scores = {s.x: s.score for s in registration.plane_scores(spark, str(tmp_path / "a"), 0, 2, 10).collect()}
+    assert sorted(scores) == list(range(20))
+    for x in range(20):
+        h, _, _ = np.histogram2d(a[0, x].ravel(), a[2, x].ravel(), 10)
+        e = lambda p: -(p[p > 0] / p.sum() * np.log(p[p > 0] / p.sum())).sum()
+        assert scores[x] == pytest.approx((e(h.sum(axis=0)) + e(h.sum(axis=1))) / e(h), rel=1e-6)
+    found = registration.register_store(spark, str(tmp_path / "a"), str(tmp_path / "b"), share=0.5, tile=32)
+    assert found == dict(enumerate(planted))
+    want = np.stack([np.roll(x, s, axis=(1, 2)) for x, s in zip(a, planted, strict=True)])
+    assert (load(str(tmp_path / "b")) == want).all()
+
+
+def test_mat_files_round_trip():
+    from lumenfold.sources import images
+
+    a = np.arange(12.0).reshape(3, 4)
+    got = images.decode_mat(images.encode_mat({"plain": a, "cells": [np.eye(3), 2 * np.eye(3)], "row": np.ones(5)}))
+    assert (got["plain"] == a).all() and [m.tolist() for m in images.affine_list(got["cells"])] == [np.eye(3).tolist(), (2 * np.eye(3)).tolist()]
+    assert got["row"].shape == (1, 5)
