@@ -749,6 +749,40 @@ def extract_points(s, d):
     return extract(v.drop("label"), 8, 8, 6, 4)
 
 
+ORACLES["extract_points_store"] = ORACLES["extract_points"]
+
+
+@Q()
+def extract_points_store(s, d):
+    """Objects of a stored volume with four voxels or more, labelled and measured chunk by chunk."""
+    from lumenfold.plans import detection
+
+    out, _ = stored(s, d)
+    return detection.extract_points_store(s, f"{out}/raw", f"{out}/labels", 35500, 6, 4)
+
+
+@Q("""with {vox}, n as (select a dx, b dz, c dy, a*a + b*b + c*c d from range(-3, 4) t(a), range(-3, 4) u(b), range(-3, 4) w(c) where a*a + b*b + c*c <= 9),
+e as (select label + 1 label, x + dx x, z + dz z, y + dy y, d from vox, n where v > 43000), r as (select *, row_number() over (partition by x, z, y order by d, label) r from e),
+s as (select r.label, (ceil(sqrt(d::double)) + 1)::int layer, x, z, y, v, case when z < 4 then v else 0 end w from r join vox using (x, z, y) where r = 1)
+select label::bigint label, round_even(avg(x) filter (layer = 1), 0)::bigint x, round_even(avg(z) filter (layer = 1), 0)::bigint z, round_even(avg(y) filter (layer = 1), 0)::bigint y,
+count(*) filter (layer = 1) vol_l1, count(*) filter (layer = 2) vol_l2, count(*) filter (layer = 3) vol_l3, count(*) filter (layer = 4) vol_l4,
+round(coalesce(avg(v) filter (layer = 1), 0), 6) ch1_l1, round(coalesce(avg(v) filter (layer = 2), 0), 6) ch1_l2, round(coalesce(avg(v) filter (layer = 3), 0), 6) ch1_l3, round(coalesce(avg(v) filter (layer = 4), 0), 6) ch1_l4,
+round(coalesce(avg(w) filter (layer = 1), 0), 6) ch2_l1, round(coalesce(avg(w) filter (layer = 2), 0), 6) ch2_l2, round(coalesce(avg(w) filter (layer = 3), 0), 6) ch2_l3, round(coalesce(avg(w) filter (layer = 4), 0), 6) ch2_l4 from s group by label""")
+def spectra_store(s, d):
+    """Mean of two channels in the layers around the objects of a stored label volume."""
+    from lumenfold.plans import detection
+
+    out = scratch(s, "spectra")
+    shape = ((table(s, d, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1, 8, 8)
+    v = volume(s, d)
+    objects = v.where("v > 43000").select("x", "z", "y", (F.col("label") + 1).alias("v"))
+    store.write_store(store.to_chunks(objects, shape, (32, 4, 4)), f"{out}/objects", shape, (32, 4, 4), codec="blosc", dtype="<i8")
+    two = v.select(F.lit(0).alias("c"), "x", "z", "y", "v").union(v.select(F.lit(1), "x", "z", "y", F.when(F.col("z") < 4, F.col("v")).otherwise(0)))
+    store.write_store(store.to_chunks(two, (2, *shape), (1, 64, 8, 8)), f"{out}/values", (2, *shape), (1, 64, 8, 8), codec="blosc")
+    t = detection.spectra_store(s, f"{out}/objects", f"{out}/values", f"{out}/shells")
+    return t.select(*(F.round(c, 6).alias(c) if c.startswith("ch") else c for c in t.columns))
+
+
 @Q(f"""with recursive {{vox}}, {PLANES.format(t=41000)}, i as (select x, z, y, (x * 8 + z) * 8 + y id from p), e as (select a.id a, b.id b from i a join i b on abs(a.x - b.x) <= 1 and abs(a.z - b.z) <= 1 and abs(a.y - b.y) <= 1),
 r(id, c) as (select id, id from i union select e.b, r.c from r join e on e.a = r.id), l as (select x, z, y, min(c) label from i join r using (id) group by x, z, y) select x, z, y, dense_rank() over (order by label) as object from l""")
 def numbered_objects(s, d):

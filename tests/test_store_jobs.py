@@ -255,3 +255,23 @@ def test_mat_files_round_trip():
     got = images.decode_mat(images.encode_mat({"plain": a, "cells": [np.eye(3), 2 * np.eye(3)], "row": np.ones(5)}))
     assert (got["plain"] == a).all() and [m.tolist() for m in images.affine_list(got["cells"])] == [np.eye(3).tolist(), (2 * np.eye(3)).tolist()]
     assert got["row"].shape == (1, 5)
+
+
+def test_measured_objects_of_a_store(spark, tmp_path):
+    from lumenfold.plans import detection
+
+    r = np.random.default_rng(8)
+    labels = np.where(r.random((9, 7, 8)) < 0.3, r.integers(1, 6, (9, 7, 8)), 0)
+    values = r.integers(0, 60_000, (3, 9, 7, 8))
+    save(str(tmp_path / "l"), labels, (4, 4, 4), "<i8")
+    save(str(tmp_path / "v"), values, (1, 5, 7, 3))
+    got = {m.label: m for m in detection.measure_store(spark, str(tmp_path / "l"), str(tmp_path / "v")).collect()}
+    assert sorted(got) == [1, 2, 3, 4, 5]
+    for k, m in got.items():
+        at = np.nonzero(labels == k)
+        assert m.n == len(at[0]) and m.layer == 1 and np.allclose([m.x, m.z, m.y], [a.mean() for a in at])
+        assert np.allclose(m["values"], [v[at].mean() for v in values])
+    assert detection.measure_store(spark, str(tmp_path / "l")).first()["values"] == []
+    save(str(tmp_path / "other"), np.zeros((9, 7, 7), int), (4, 4, 4))
+    with pytest.raises(ValueError, match="different sizes"):
+        detection.measure_store(spark, str(tmp_path / "l"), str(tmp_path / "other"))
