@@ -443,6 +443,24 @@ def unmix_linear(s, d):
     return u.select("x", "z", *(F.round(f"u_c{k + 1}", 4).alias(f"u_c{k + 1}") for k in range(5)))
 
 
+FOUR = [row[:4] for row in FLCH[:4]]
+INV4 = linalg.inverse(FOUR)
+
+
+@Q(f"with {{vox}}, {QUAD.format(b=2, c=3)}, p as (select ch, z, y, avg(v)/65536 pattern from q group by all), s as (select x, ch, (z + case ch when 2 then 1 when 4 then 3 else 0 end) % 4 z, (y + case ch when 2 then 2 when 3 then 3 else 0 end) % 4 y, v / (pattern + 1e-6) v from q join p using (ch, z, y)), w as (select x, z, y, "
++ ", ".join(f"max(v) filter (ch = {k}) c{k}" for k in range(1, 5)) + " from s group by x, z, y) select x, z, y, " + ", ".join("round(" + " + ".join(f"c{j + 1} * ({INV4[j][i]!r})::double" for j in range(4)) + f", 3) u_c{i + 1}" for i in range(4)) + " from w")
+def preprocess_colours(s, d):
+    """The colour side as one plan: quadrants, correction by channel, registration shifts, linear unmixing."""
+    from lumenfold.plans import imaging
+
+    v = volume(s, d).drop("label")
+    q = arith.split_quadrants(v, 4, 4, 8, 8)
+    pattern_ = q.groupBy("ch", "z", "y").agg((F.avg("v") / 65536).alias("pattern"))
+    c = imaging.colours(v, Config(shift={2: (1, 2), 3: (0, -1), 4: (-1, 0)}), pattern_)
+    u = imaging.unmixed(c, FOUR)
+    return u.select("x", "z", "y", *(F.round(f"u_c{k}", 3).alias(f"u_c{k}") for k in range(1, 5)))
+
+
 @Q()
 def unmix_nonnegative(s, d):
     w = volume(s, d).groupBy("x", "z").agg(*(F.max(F.when(F.col("y") == k, F.col("v"))).cast("double").alias(f"c{k + 1}") for k in range(5)))
@@ -1101,7 +1119,7 @@ union all select 'z', x, y, max(v), sum(v), avg(v), median(v) from vox group by
 def project_median_blocks(s, d):
     """Maximum, sum, mean and exact median of a stored volume along each axis, without a shuffle."""
     out, _ = stored(s, d)
-    parts = [store_jobs.plane_pixels(store_jobs.project_store(s, f"{out}/raw", axis, tile=2)) for axis in "xzy"]
+    parts = [store_jobs.plane_pixels(store_jobs.project_store(s, f"{out}/raw", axis, at_once=4)) for axis in "xzy"]
     named = [p.select(F.lit(axis).alias("axis"), F.col(p.columns[0]).alias("a"), F.col(p.columns[1]).alias("b"), *p.columns[2:]) for axis, p in zip("xzy", parts, strict=True)]
     return named[0].union(named[1]).union(named[2])
 
@@ -1134,7 +1152,7 @@ def resume_chunks(s, d):
     for step, only in (("a quarter", "place % 4 = 0"), ("the rest", None), ("once more", None)):
         got = store_jobs.run_job(s, f"{out}/copy", about, lambda low, high, row: src.box(low, high), "copy", only=only)
         left = store_jobs.pending(s, f"{out}/copy", about).agg(F.count("*").alias("pending"))
-        left = left.select(F.lit(step).alias("step"), *(F.lit(got[k]).cast("long").alias(k) for k in ("made", "kept")), F.lit(left.first()[0]).alias("pending"))
+        left = left.select(F.lit(step).alias("step"), *(F.lit(got[k]).cast("long").alias(k) for k in ("made", "kept")), F.lit(left.first()[0]).cast("long").alias("pending"))
         rows = left if rows is None else rows.union(left)
     return rows
 
@@ -1397,6 +1415,25 @@ def stream_completion(s, d):
     return s.read.schema("chunk long").parquet(f"{e}/out")
 
 
+@Q("with {vox}, h as (select max(x) // 2 m from vox) select x, z, y, v from vox, h where x <= m")
+def spool_stream(s, d):
+    """Plain spools drained as a stream of frames, twice: the second run finds nothing new."""
+    from lumenfold.streaming.completion import drain
+
+    out, folder = scratch(s, "stream"), spool_folders(s, d)[0]
+    for _ in range(2):
+        drain(spool.stream_spools(s, folder), f"{out}/frames", f"{out}/log")
+    return spool.frames_to_voxels(s.read.schema(spool.SCHEMA).parquet(f"{out}/frames")).select("x", "z", "y", "v")
+
+
+@Q("select c_custkey % 50 chunk, min(c_custkey) first_row from customer where c_custkey % 50 >= 40 group by 1")
+def unknown_chunks(s, d):
+    """Chunks of points that the grid doesn't have."""
+    c = table(s, d, "customer").select((F.col("c_custkey") % 50).alias("chunk"), "c_custkey")
+    unknown = tables.unknown_chunks(c, s.range(40).select(F.col("id").alias("chunk")))
+    return c.join(unknown, "chunk").groupBy("chunk").agg(F.min("c_custkey").alias("first_row"))
+
+
 @Q("""with a as (select user_id job, event_id % 9 chunk, date_trunc('milliseconds', ts) t from events), f as (select job, chunk, min(t) t from a group by all), j as (select job, min(t) + interval 2 days due from f group by job), w as (select max(ts) - interval 10 minutes mark from events),
 n as (select job, due, count(*) filter (t <= due) arrived, max(t) final from f join j using (job) group by all)
 select job::varchar job, case when arrived = 9 then 'complete' else 'late' end status, arrived, 9 - arrived missing, case when arrived = 9 then final else due end as at from n, w where arrived = 9 or due < mark""")
