@@ -663,7 +663,7 @@ def test_leaks_recall_under_substitutions(spark):
     assert found <= want
     recall = {rate: np.mean([(d in {f[0] for f in found}) for d in {x[0] for x in want} if d // 40 == k]) for k, rate in enumerate((0.0, 0.05, 0.1, 0.15, 0.2))}
     print("recall by rate of replaced words", recall)
-    assert recall[0.0] == 1 and recall[0.05] >= 0.99 and recall[0.1] >= 0.97 and recall[0.2] >= 0.8
+    assert recall[0.0] == 1 and recall[0.05] >= 0.99 and recall[0.1] >= 0.97 and recall[0.15] >= 0.95 and recall[0.2] >= 0.9
 
 
 @pytest.mark.parametrize("run", [lambda d: lm_scoring.score(d), lambda d: media.store_payload(d), lambda d: jaccard_join.near_duplicates(d), lambda d: suffix_dedup.find_repeats(d), lambda d: fm_dedup.dedup(d)])
