@@ -170,11 +170,12 @@ def column_median(slabs: Callable[[], Iterator[np.ndarray]], pixels: int, n: int
     return (out[0] + out[1]) / 2
 
 
-def project_store(spark: SparkSession, path: str, axis: str = "x", first: int = 0, last: int | None = None, tile: int = 64) -> DataFrame:
+def project_store(spark: SparkSession, path: str, axis: str = "x", first: int = 0, last: int | None = None, tile: int = EDGE, at_once: int = 1) -> DataFrame:
     """Maximum, sum, mean and exact median along one axis (from first up to before last) of a stored volume of 8 or 16-bit integers.
 
     Rows are tiles of the plane that is left: the start and size on its two axes, and v_max, v_sum, v_mean and v_median as arrays. A
-    task goes along the axis chunk by chunk, twice, and holds one chunk and the counts of a tile, however long the axis is."""
+    task goes along the axis chunk by chunk, three times, and holds one chunk and the counts of a tile (100 MB for one of 128 x 128),
+    however long the axis is; it takes at_once tiles, one after the other."""
     src = Store(path)
     k = np.dtype(src.about["dtype"])
     if k.kind not in "ui" or k.itemsize > 2:
@@ -215,7 +216,7 @@ def project_store(spark: SparkSession, path: str, axis: str = "x", first: int =
 
     tiles = len(starts[0]) * len(starts[1])
     schema = f"{names[0]} long, {names[1]} long, {names[2]} int, {names[3]} int, " + ", ".join(f"{c} array<double>" for c in names[4:])
-    return spark.range(0, tiles, 1, tiles).mapInArrow(run, schema)
+    return spark.range(0, tiles, 1, -(-tiles // at_once)).mapInArrow(run, schema)
 
 
 def plane_pixels(tiles: DataFrame) -> DataFrame:
