@@ -36,7 +36,7 @@ def folder_number(name: Column, axis: str) -> Column:
 
 def sort_key(name: Column, axis: str = "y") -> Column:
     """Numeric key; names without a number come last."""
-    return F.coalesce(folder_number(name, axis).cast("long"), F.lit(1_000_000_000).cast("long"))
+    return F.coalesce(_found(F.regexp_extract(name, rf"(?i){axis}(\d+)", 1)).cast("long"), F.lit(1_000_000_000).cast("long"))
 
 
 def chunk_number(name: Column, prefix: str = "") -> Column:
@@ -58,6 +58,11 @@ def padded(n: Column, width: int) -> Column:
     return F.when(F.length(n.cast("string")) >= width, n.cast("string")).otherwise(F.lpad(n.cast("string"), width, "0"))
 
 
+def cut_number(n: Column, width: int) -> Column:
+    """Exactly so many characters, as LPAD gives them: zero-padded, and of longer numbers the first ones."""
+    return F.lpad(n.cast("string"), width, "0")
+
+
 def plane_number(name: Column) -> Column:
     return _found(F.regexp_extract(name, r"_plane(\d{3})", 1)).cast("int")
 
