@@ -19,7 +19,7 @@ def both(spark, folder, name, **tables):
     return sorted((tuple(r) for r in d.collect()), key=key), sorted(c.execute(f"select {cols} from ({e.oracle_sql()[name]})").fetchall(), key=key)
 
 
-@pytest.mark.parametrize("name", ["parse_numbers"])
+@pytest.mark.parametrize("name", ["parse_numbers", "parse_plane_name"])
 def test_parts(spark, tmp_path, name):
     part = pd.DataFrame({"p_partkey": [0, 1, 2, 99999, 100000, 100001, 123456, 1234567, 3000000001], "p_size": pd.array([1, 50, 3, 4, 5, 6, 7, 8, 9], "int32")})
     got, want = both(spark, tmp_path, name, part=part)
