@@ -51,5 +51,5 @@ def plane_composite(vox: DataFrame, tiles: DataFrame, z: int, normalise: bool =
 
 def find_planes(wanted: DataFrame, files: DataFrame) -> DataFrame:
     """The file of every wanted plane (folder, plane), by the name that it must have; path is null where there is none."""
-    name = F.concat(F.col("folder"), F.format_string("/plane_%04d.tif", F.col("plane").cast("int")))
+    name = F.concat(F.col("folder"), F.format_string("/plane_%04d.tif", F.col("plane").cast("long")))
     return wanted.withColumn("path", name).join(files.select("path", F.lit(True).alias("there")), "path", "left").select("folder", "plane", F.when(F.col("there"), F.col("path")).alias("path"))

@@ -24,3 +24,12 @@ def test_parts(spark, tmp_path, name):
     part = pd.DataFrame({"p_partkey": [0, 1, 2, 99999, 100000, 100001, 123456, 1234567, 3000000001], "p_size": pd.array([1, 50, 3, 4, 5, 6, 7, 8, 9], "int32")})
     got, want = both(spark, tmp_path, name, part=part)
     assert got == want and len(got) == len(part)
+
+
+def test_find_planes(spark, tmp_path):
+    """Planes whose names are equal once cut, with and without a file."""
+    keys = [7, 1234, 12340, 12341, 12349, 99999, 123456, 3000000001, 3000000002]
+    customer = pd.DataFrame({"c_custkey": keys, "c_nationkey": pd.array([3] * len(keys), "int32")})
+    orders = pd.DataFrame({"o_custkey": [12340, 12340, 99999, 3000000002, 5]})
+    got, want = both(spark, tmp_path, "find_planes", customer=customer, orders=orders)
+    assert got == want and sum(path is not None for _, path in got) == 3
