@@ -6,6 +6,7 @@ import itertools
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,56 +91,79 @@ def warp_cubic(vol: np.ndarray, inverse: np.ndarray, origin: np.ndarray, shape:
     for d in range(3):
         t = p[:, d] - base[:, d]
         weights.append(np.stack([(1 - t) ** 3, 3 * t**3 - 6 * t**2 + 4, -3 * t**3 + 3 * t**2 + 3 * t + 1, t**3]) / 6)
-    total = np.zeros(len(p))
-    for i, j, k in itertools.product(range(4), repeat=3):
-        at = []
-        for d, o in enumerate((i, j, k)):
-            n = vol.shape[d]
-            q = np.abs(base[:, d] + o - 1)
-            q = np.where(q > n - 1, 2 * (n - 1) - q, q)
-            at.append(np.clip(q, 0, n - 1))
-        total += weights[0][i] * weights[1][j] * weights[2][k] * c[tuple(at)]
+    # the places of the four taps of each axis, folded at the edges, in the flat volume
+    at = []
+    for d, n in enumerate(vol.shape):
+        q = np.abs(base[:, d] + np.arange(-1, 3)[:, None])
+        q = np.where(q > n - 1, 2 * (n - 1) - q, q)
+        at.append(np.clip(q, 0, n - 1) * int(np.prod(vol.shape[d + 1 :])))
+    total, flat = np.zeros(len(p)), c.ravel()
+    for i, j in itertools.product(range(4), repeat=2):
+        w, line = weights[0][i] * weights[1][j], at[0][i] + at[1][j]
+        for k in range(4):
+            total += w * weights[2][k] * flat[line + at[2][k]]
     out[ok] = total
     return out.reshape(shape)
 
 
 def warp_blocks(vox: DataFrame, m: np.ndarray, shape: tuple[int, int, int], block: int = 64, halo: int = 12) -> DataFrame:
-    """3-D affine of an (x, z, y) volume by output blocks: every input voxel goes to the output blocks whose source box,
-    widened by a halo (the spline filter fades by 0.27 a voxel), holds it. A task sees one block and its halo."""
+    """3-D affine of an (x, z, y) volume by output blocks. Voxels are packed into cells of the size of a block, and a cell goes to the
+    output blocks whose source box, widened by a halo (the spline filter fades by 0.27 a voxel), may touch it: these follow from the
+    cell's place, so no list of all blocks is made. A task sees one block and its cells."""
     inv = np.linalg.inv(m)
     low, high = output_bounds(m, shape)
-    starts = [range(a, b + 1, block) for a, b in zip(low, high, strict=True)]
-    boxes = []
-    for o in itertools.product(*starts):
-        size = [min(block, h - a + 1) for a, h in zip(o, high, strict=True)]
-        corners = np.array([[a + d * (n - 1) for a, d, n in zip(o, c, size, strict=True)] + [1.0] for c in itertools.product((0, 1), repeat=3)]) @ inv.T
+    counts = tuple(int(n) for n in (high - low) // block + 1)
+    middle = low + (block - 1) / 2
+    # how far a block's middle can be, in the source, from a voxel that the block needs
+    reach = np.abs(inv[:3, :3]).sum(axis=1) * (block - 1) / 2 + halo + 2
+
+    @F.arrow_udf("array<long>")
+    def touched(cx: pa.Array, cz: pa.Array, cy: pa.Array) -> pa.Array:
+        found = []
+        for cell in np.stack([c.to_numpy() for c in (cx, cz, cy)], axis=1):
+            a, b = cell * block - reach, np.minimum((cell + 1) * block, shape) - 1 + reach
+            centre, half = m[:3, :3] @ (a + b) / 2 + m[:3, 3], np.abs(m[:3, :3]) @ (b - a) / 2
+            first = np.maximum(np.ceil((centre - half - middle) / block).astype(int), 0)
+            last = np.minimum(np.floor((centre + half - middle) / block).astype(int), np.array(counts) - 1)
+            at = np.stack(np.meshgrid(*(np.arange(i, j + 1) for i, j in zip(first, last, strict=True)), indexing="ij"), axis=-1).reshape(-1, 3)
+            source = (middle + at * block) @ inv[:3, :3].T + inv[:3, 3]
+            found.append(np.ravel_multi_index(tuple(at[((source >= a) & (source <= b)).all(axis=1)].T), counts))
+        ends = np.cumsum([0, *map(len, found)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*found, np.zeros(0, np.int64)]), pa.int64()))
+
+    cells = [F.expr(f"cast({c} div {block} as long)").alias(f"c{c}") for c in "xzy"]
+    place = F.expr(f"cast((x % {block} * {block} + z % {block}) * {block} + y % {block} as int)").alias("p")
+    inside = " AND ".join(f"{c} BETWEEN 0 AND {n - 1}" for c, n in zip("xzy", shape, strict=True))
+    packed = vox.where(inside).select(*cells, F.struct(place, "v").alias("e")).groupBy("cx", "cz", "cy").agg(F.collect_list("e").alias("e"))
+    packed = packed.select("cx", "cz", "cy", F.col("e.p").alias("p"), F.col("e.v").alias("v"))
+    dealt = packed.select(F.explode(touched("cx", "cz", "cy")).alias("o"), "*")
+    names = ["x", "z", "y", "v"]
+
+    def one(g: pa.Table) -> pa.Table:
+        index = np.array(np.unravel_index(g.column("o")[0].as_py(), counts))
+        start = low + index * block
+        size = tuple(int(n) for n in np.minimum(block, high - start + 1))
+        corners = np.array([[k + d * (n - 1) for k, d, n in zip(start, c, size, strict=True)] + [1.0] for c in itertools.product((0, 1), repeat=3)]) @ inv.T
         a = np.maximum(np.floor(corners[:, :3].min(axis=0)).astype(int) - halo, 0)
         b = np.minimum(np.ceil(corners[:, :3].max(axis=0)).astype(int) + halo, np.array(shape) - 1)
-        if (a <= b).all():
-            boxes.append((*o, *size, *a, *b))
-    names = [*(f"o{i}" for i in range(3)), *(f"s{i}" for i in range(3)), *(f"a{i}" for i in range(3)), *(f"b{i}" for i in range(3))]
-    t = vox.sparkSession.createDataFrame(pd.DataFrame(boxes, columns=names), ", ".join(f"{c} long" for c in names))
-    # an equi-join on coarse cells of all three axes, then the exact box: a voxel meets the few boxes that touch its cell
-    cell = block
-    for i, c in enumerate("xzy"):
-        t = t.withColumn(f"c{c}", F.explode(F.sequence(F.expr(f"a{i} div {cell}"), F.expr(f"b{i} div {cell}"))))
-    cells = [F.expr(f"cast({c} div {cell} as long)").alias(f"c{c}") for c in "xzy"]
-    hit = vox.select("x", "z", "y", "v", *cells).join(t, ["cx", "cz", "cy"]).where("x between a0 and b0 and z between a1 and b1 and y between a2 and b2")
-
-    def one(g: pd.DataFrame) -> pd.DataFrame:
-        r = g.iloc[0]
-        a, b = np.array([r.a0, r.a1, r.a2], int), np.array([r.b0, r.b1, r.b2], int)
-        vol = np.zeros(b - a + 1)
-        vol[g.x - a[0], g.z - a[1], g.y - a[2]] = g.v
+        vol, n = np.zeros(np.maximum(b - a + 1, 0)), 0
+        for batch in g.to_batches():
+            for i, cell in enumerate(np.stack([batch.column(c).to_numpy() for c in ("cx", "cz", "cy")], axis=1)):
+                p, v = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("p", "v"))
+                at = np.stack(np.unravel_index(p, (block,) * 3)) + (cell * block - a)[:, None]
+                ok = ((at >= 0) & (at < np.array(vol.shape)[:, None])).all(axis=0)
+                vol[tuple(at[:, ok])] = v[ok]
+                n += int(ok.sum())
+        if not n:
+            return pa.table([pa.array([], k) for k in (pa.int64(), pa.int32(), pa.int32(), pa.float64())], names)
         local = inv.copy()
         local[:3, 3] -= a
-        size = (int(r.s0), int(r.s1), int(r.s2))
-        out = warp_cubic(vol, local, np.array([r.o0, r.o1, r.o2]), size)
         # inside the block's own volume but outside the whole one is 0 as well
-        i = np.stack(np.meshgrid(*(np.arange(n) for n in size), indexing="ij"), axis=-1).reshape(-1, 3) + [r.o0, r.o1, r.o2]
-        return pd.DataFrame({"x": i[:, 0].astype("int64"), "z": i[:, 1].astype("int32"), "y": i[:, 2].astype("int32"), "v": out.ravel()})
+        out = warp_cubic(vol, local, start, size)
+        x, z, y = (k.ravel() + s for k, s in zip(np.indices(size), start, strict=True))
+        return pa.table([pa.array(x, pa.int64()), pa.array(z.astype(np.int32)), pa.array(y.astype(np.int32)), pa.array(out.ravel())], names)
 
-    return hit.groupBy("o0", "o1", "o2").applyInPandas(one, "x long, z int, y int, v double")
+    return dealt.groupBy("o").applyInArrow(one, "x long, z int, y int, v double")
 
 
 def resize_nearest(vox: DataFrame, nz: int, ny: int, oz: int, oy: int) -> DataFrame:
