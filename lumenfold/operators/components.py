@@ -99,21 +99,42 @@ def containing(loose: DataFrame, strict: DataFrame, least: int = 3) -> DataFrame
     return inside.groupBy("l").agg(F.count("*").alias("parts")).where(F.col("parts") >= least).select(F.col("l").alias("label"), "parts")
 
 
-def near_pairs(points: DataFrame, eps: float, axes: tuple[str, ...] = ("x", "z", "y")) -> DataFrame:
-    """(a, b) of ids at most eps apart: a grid of eps-sized cells, each point sent to the half of the cells around it."""
-    cells = [F.floor(F.col(c) / eps).cast("long").alias(f"g_{c}") for c in axes]
-    p = points.select("id", *axes, *cells)
-    around = F.array(*(F.struct(*(F.lit(v).alias(c) for c, v in zip(axes, o, strict=True))) for o in itertools.product((-1, 0, 1), repeat=len(axes))))
-    left = p.select(F.col("id").alias("a"), *(F.col(c).alias(f"a_{c}") for c in axes), *(F.col(f"g_{c}").alias(f"h_{c}") for c in axes), F.explode(around).alias("o"))
+def near_cells(sites: DataFrame, eps: float, axes: tuple[str, ...]) -> DataFrame:
+    """(a, b) of cells of which some points are at most eps apart. sites: the axes, the cell of each point (g_ and an axis) and the id
+    of the cell, rep. A point is sent to the half of the cells around its own that are within reach, and pairs of points become pairs
+    of cells before they are shuffled."""
+    side = cell_side(eps, axes)
+    half = [o for o in itertools.product((-2, -1, 0, 1, 2), repeat=len(axes)) if o > (0,) * len(axes)]
+    around = F.array(*(F.struct(*(F.lit(v).alias(c) for c, v in zip(axes, o, strict=True))) for o in half))
+    left = sites.select(F.col("rep").alias("a"), *(F.col(c).alias(f"a_{c}") for c in axes), *(F.col(f"g_{c}").alias(f"h_{c}") for c in axes), F.explode(around).alias("o"))
+    # from the point to the nearest place of the cell, along each axis
+    gap = lambda c: F.when(F.col(f"o.{c}") > 0, (F.col(f"h_{c}") + F.col(f"o.{c}")) * side - F.col(f"a_{c}")).when(F.col(f"o.{c}") < 0, F.col(f"a_{c}") - (F.col(f"h_{c}") + F.col(f"o.{c}") + 1) * side).otherwise(0.0)
+    left = left.where(sum((gap(c) * gap(c) for c in axes), F.lit(0.0)) <= eps * eps * (1 + 1e-6))
     left = left.select("a", *(f"a_{c}" for c in axes), *((F.col(f"h_{c}") + F.col(f"o.{c}")).alias(f"g_{c}") for c in axes))
     d = sum(((F.col(c) - F.col(f"a_{c}")) * (F.col(c) - F.col(f"a_{c}")) for c in axes), F.lit(0.0))
-    return left.join(p, [f"g_{c}" for c in axes]).where((F.col("a") < F.col("id")) & (d <= eps * eps)).select("a", F.col("id").alias("b"))
+    # a merge join: no side of it goes through the driver
+    return left.join(sites.hint("merge"), [f"g_{c}" for c in axes]).where(d <= eps * eps).select("a", F.col("rep").alias("b")).distinct()
+
+
+def cell_side(eps: float, axes: tuple[str, ...]) -> float:
+    """Side of cells whose points are all within eps of each other, with some room for rounding."""
+    return eps / len(axes) ** 0.5 * (1 - 1e-6)
 
 
 def clusters(points: DataFrame, eps: float, axes: tuple[str, ...] = ("x", "z", "y")) -> DataFrame:
-    """id, cluster (smallest id within reach): density clustering with single-point cores is components of the eps-graph."""
-    cc = connected_components(near_pairs(points, eps, axes))
-    return points.join(cc.withColumnRenamed("node", "id"), "id", "left").select("id", *axes, F.coalesce("component", "id").alias("cluster"))
+    """id, cluster (smallest id within reach): density clustering with single-point cores is components of the eps-graph.
+
+    Points at one place are one site, and sites of a cell of diagonal eps are one node, so that crowded places don't make a link for
+    every pair of points. Points without a finite place stay alone."""
+    finite = " AND ".join(f"abs(cast({c} as double)) < cast('Infinity' as double)" for c in axes)
+    side = cell_side(eps, axes)
+    cells = [F.floor(F.col(c) / side).cast("long").alias(f"g_{c}") for c in axes]
+    sites = points.where(finite).groupBy(*axes).agg(F.min("id").alias("id")).select("id", *axes, *cells)
+    reps = sites.groupBy(*(f"g_{c}" for c in axes)).agg(F.min("id").alias("rep"))
+    sites = materialize(sites.join(reps.hint("merge"), [f"g_{c}" for c in axes]), "sites")
+    cc = connected_components(near_cells(sites, eps, axes))
+    named = sites.select("rep", *axes).join(cc.hint("merge").withColumnRenamed("node", "rep"), "rep", "left").select(*axes, F.coalesce("component", "rep").alias("cluster"))
+    return points.join(named.hint("merge"), list(axes), "left").select("id", *axes, F.coalesce("cluster", "id").alias("cluster"))
 
 
 def cluster_centres(clustered: DataFrame, axes: tuple[str, ...] = ("x", "z", "y")) -> DataFrame:

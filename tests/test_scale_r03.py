@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from lumenfold.operators import geometry, linalg
+from lumenfold.operators import components, geometry, linalg
 
 
 def test_warp_of_a_long_volume(spark):
@@ -17,3 +17,27 @@ def test_warp_of_a_long_volume(spark):
     assert len(parts[0]) > 400
     assert all(abs(parts[0].get(k, 0.0) - parts[1].get(k, 0.0)) < 0.05 for k in {*parts[0], *parts[1]})
     assert np.isclose(max(parts[0].values()), 1007, atol=150)
+
+
+def test_clusters_of_crowded_points(spark):
+    """Copies at a place are one site: 200,000 points at four places don't make a link a pair."""
+    p = spark.range(200_000).selectExpr("id", "double(id % 4 * 2 + if(id % 4 > 1, 5, 0)) AS x", "0D AS z")
+    whole = p.selectExpr("*", "if(id < 4, null, 1D) AS y")
+    got = components.clusters(whole, 2.0).groupBy("cluster").count().collect()
+    assert {(r.cluster, r["count"]) for r in got} == {(k, 1) for k in range(4)} | {(4, 99_998), (6, 99_998)}
+
+
+def test_clusters_against_all_pairs(spark):
+    rng = np.random.default_rng(3)
+    for axes, n in ((("x", "z", "y"), 400), (("x", "y"), 150)):
+        at = np.concatenate([rng.uniform(-15, 15, (n, len(axes))), np.round(rng.uniform(-15, 15, (n, len(axes))) * 2) / 2])
+        rows = [(int(i), *map(float, a)) for i, a in enumerate(at)]
+        label = np.arange(len(at))
+        near = ((at[:, None] - at[None]) ** 2).sum(axis=2) <= 4.0
+        for _ in range(len(at)):
+            new = np.where(near, label[None], len(at)).min(axis=1)
+            if (new == label).all():
+                break
+            label = new
+        got = components.clusters(spark.createDataFrame(rows, f"id long, {', '.join(f'{c} double' for c in axes)}"), 2.0, axes).collect()
+        assert {r.id: r.cluster for r in got} == dict(enumerate(label.tolist())) and 1 < len(set(label.tolist())) < len(at)
