@@ -446,12 +446,64 @@ def spools_to_store(spark: SparkSession, path: str, out: str, chunks: tuple[int,
 
 
 def ingest(spark: SparkSession, folder: str, out: str, chunks: tuple[int, int, int] = (128, 128, 128)) -> list[str]:
-    """Every spool of a folder as a volume named after it; finished ones are skipped. Returns the names."""
-    names = []
-    for path in _spools(folder):
-        names.append(path.rpartition("/")[2].removesuffix(".zst").removesuffix(".fli"))
-        spools_to_store(spark, path, f"{out}/{names[-1]}", chunks)
-    return names
+    """Every spool of a folder as a volume named after it; finished ones are skipped. Returns the names. All volumes are made by the
+    same few jobs, however many there are: chunks, the header's files beside them, and last the descriptions."""
+    import json
+
+    from lumenfold.sources.files import write_files
+    from lumenfold.sources.store import AXES, Store, description, exists, frames_to_chunks
+
+    spools = _spools(folder)
+    label = lambda path: path.rpartition("/")[2].removesuffix(".zst").removesuffix(".fli")
+    new = [s for s in spools if not exists(f"{out}/{label(s)}")]
+    if not new:
+        return [label(s) for s in spools]
+    frames = read_spools(spark, *new)
+    named = F.regexp_replace(F.regexp_extract("path", r"([^/]*)$", 1), r"\.fli(\.zst)?$", "").alias("volume")
+    sizes = frames.groupBy("path").agg((F.max("frame") + 1).alias("n"), F.max("height").alias("height"), F.max("width").alias("width"))
+    sizes = spark.createDataFrame(sizes.collect(), "path string, n long, height int, width int")  # a row a spool
+
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names, payloads = [], []
+            for r, data in zip(b.select(["volume", "n", "height", "width", *AXES]).to_pylist(), b.column("data"), strict=True):
+                store = Store(f"{out}/{r['volume']}", description([r["n"], r["height"], r["width"]], list(chunks)))
+                place = tuple(r[a] // c for a, c in zip(AXES[:3], chunks, strict=True))
+                name, payload = store.put_chunk(place, data.values.to_numpy(zero_copy_only=False).reshape([r[a] for a in AXES[3:]]))
+                names.append(f"{r['volume']}/{name}")
+                payloads.append(payload)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(payloads, pa.binary())], ["name", "payload"])
+
+    def beside(last: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                side = []
+                for r in b.to_pylist():
+                    shape, path = [r["n"], r["height"], r["width"]], r["path"]
+                    if last:
+                        side.append((f"{r['volume']}/.zarray", json.dumps(description(shape, list(chunks)), indent=1).encode()))
+                        continue
+                    fs, p = _open(path)
+                    with fs.open_input_stream(p, compression="zstd" if path.endswith(".zst") else None) as f:
+                        raw = f.read(HEADER_LIMIT)
+                    head = parse_header(raw)
+                    about = f"frames x rows x columns: {tuple(shape)}; chunks: {tuple(chunks)}; from {path}\n"
+                    side += [(f"{r['volume']}/{k}", v) for k, v in (("header.json", json.dumps(head, default=str, indent=1).encode()), ("header_raw.txt", raw[: head["header_length"]]), ("README.txt", about.encode()))]
+                names, payloads = zip(*side, strict=True) if side else ((), ())
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(payloads, pa.binary())], ["name", "payload"])
+
+        return run
+
+    # spools of one frame size are cut alike
+    for height, width in sorted({(r["height"], r["width"]) for r in sizes.collect()}):
+        own = F.broadcast(sizes.where((F.col("height") == height) & (F.col("width") == width)).select("path", "n"))
+        blocks = frames.join(own, "path").select(named, "n", "frame", "data")
+        cut = frames_to_chunks(blocks, (0, height, width), chunks).select("volume", "n", F.lit(height).alias("height"), F.lit(width).alias("width"), *AXES, "data")
+        write_files(cut.mapInArrow(files, "name string, payload binary"), out)
+    about = sizes.select("path", named, "n", "height", "width")
+    for last in (False, True):
+        write_files(about.mapInArrow(beside(last), "name string, payload binary"), out)
+    return [label(s) for s in spools]
 
 
 def read_spools(spark: SparkSession, *paths: str, frames_at_once: int = 64, scale: bool = True) -> DataFrame:

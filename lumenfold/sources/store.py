@@ -282,6 +282,42 @@ def read_store(spark: SparkSession, path: str, level: int | None = None, region:
     return d.select(*(F.col(n).cast("int").alias(n) for n in names[:-3]), *rows[0], *rows[1], values(*(F.col(n) for n in names), *(F.col("n" + n) for n in names)).alias("data"))
 
 
+def read_stores(spark: SparkSession, stores: list[tuple[str, int]], chunks_at_once: int = 8) -> DataFrame:
+    """path and blocks of many stores of three axes in one frame, each from its frame `first` on: (path, first) of every store. The
+    executors read the descriptions, and only chunks with such frames are opened."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, first in zip(b.column("path").to_pylist(), b.column("first").to_pylist(), strict=True):
+                s = Store(path)
+                if len(s.shape) != 3:
+                    raise ValueError(f"{path} has channels")
+                starts = itertools.product(range(max(first, 0) // s.chunks[0] * s.chunks[0], s.shape[0], s.chunks[0]), *(range(0, n, c) for n, c in zip(s.shape[1:], s.chunks[1:], strict=True)))
+                low = np.array(list(starts), np.int64).reshape(-1, 3)
+                high = np.minimum(low + s.chunks, s.shape)
+                low[:, 0] = np.maximum(low[:, 0], first)
+                cut = low[:, 0] < high[:, 0]
+                low, size = low[cut], (high - low)[cut].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(low), pa.string()), *map(pa.array, low.T), *map(pa.array, size.T)], ["path", *AXES])
+
+    listed = spark.createDataFrame(stores, "path string, first long")
+    d = listed.repartition(max(1, min(len(stores), 1000))).mapInArrow(places, "path string, " + SCHEMA.rpartition(",")[0])
+
+    @F.arrow_udf("array<double>")
+    def values(path: pa.Array, *columns: pa.Array) -> pa.Array:
+        opened: dict[str, Store] = {}
+        numbers = np.stack([c.to_numpy() for c in columns], axis=1)
+        parts = []
+        for name, r in zip(path.to_pylist(), numbers, strict=True):
+            s = opened.get(name) or opened.setdefault(name, Store(name))
+            parts.append(s.box(r[:3].tolist(), (r[:3] + r[3:]).tolist()).astype(float).ravel())
+        ends = np.cumsum([0, *map(len, parts)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*parts, np.zeros(0)])))
+
+    d = d.repartition(max(1, -(-d.count() // chunks_at_once)))
+    return d.select("path", *AXES, values("path", *AXES).alias("data"))
+
+
 def exists(path: str) -> bool:
     try:
         return bool(describe(path))
@@ -323,9 +359,12 @@ def to_chunks(vox: DataFrame, shape: tuple[int, ...], chunks: tuple[int, ...] =
 
 def frames_to_chunks(frames: DataFrame, shape: tuple[int, int, int], chunks: tuple[int, int, int] = (EDGE,) * 3) -> DataFrame:
     """Spool frames (frame, height, width, data) as chunk blocks without a row per pixel: every frame is cut into the parts
-    that belong to different chunks, and the parts of a chunk meet in one shuffle of arrays."""
+    that belong to different chunks, and the parts of a chunk meet in one shuffle of arrays. Frames of several volumes have two more
+    columns, which the blocks keep: volume, and n, the number of frames that is this volume's extent."""
     import pandas as pd
 
+    own = ["volume", "n"] if "volume" in frames.columns else []
+
     _, nz, ny = shape
     cx, cz, cy = chunks
 
@@ -338,23 +377,25 @@ def frames_to_chunks(frames: DataFrame, shape: tuple[int, int, int], chunks: tup
                     size = part[0].size if len(part) else 0
                     n = len(at)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(at // cx * cx), pa.array(np.full(n, z)), pa.array(np.full(n, y)), pa.array(at), pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * size, pa.int32()), pa.array(part.ravel()))],
-                        ["x0", "z0", "y0", "frame", "data"],
+                        [*(b.column(c) for c in own), pa.array(at // cx * cx), pa.array(np.full(n, z)), pa.array(np.full(n, y)), pa.array(at), pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * size, pa.int32()), pa.array(part.ravel()))],
+                        [*own, "x0", "z0", "y0", "frame", "data"],
                     )
 
     def one(g: pd.DataFrame) -> pd.DataFrame:
         low = [int(g[c].iloc[0]) for c in ("x0", "z0", "y0")]
-        size = [min(n, s - a) for n, s, a in zip(chunks, shape, low, strict=True)]
+        extent = (int(g.n.iloc[0]), nz, ny) if own else shape
+        size = [min(n, s - a) for n, s, a in zip(chunks, extent, low, strict=True)]
         block = np.zeros(size)
         block[g.frame.to_numpy() - low[0]] = np.stack(g.data.to_list()).reshape(-1, size[1], size[2])
-        return pd.DataFrame({"x0": [low[0]], "z0": [low[1]], "y0": [low[2]], "nx": [size[0]], "nz": [size[1]], "ny": [size[2]], "data": [block.ravel()]})
+        return pd.DataFrame({**{c: [g[c].iloc[0]] for c in own}, "x0": [low[0]], "z0": [low[1]], "y0": [low[2]], "nx": [size[0]], "nz": [size[1]], "ny": [size[2]], "data": [block.ravel()]})
 
-    parts = frames.select(F.col("frame").cast("long").alias("frame"), F.col("data").cast("array<int>").alias("data")).mapInArrow(cut, "x0 long, z0 long, y0 long, frame long, data array<int>")
-    return parts.groupBy("x0", "z0", "y0").applyInPandas(one, SCHEMA)
+    more = "volume string, n long, " if own else ""
+    parts = frames.select(*own, F.col("frame").cast("long").alias("frame"), F.col("data").cast("array<int>").alias("data")).mapInArrow(cut, f"{more}x0 long, z0 long, y0 long, frame long, data array<int>")
+    return parts.groupBy(*own, "x0", "z0", "y0").applyInPandas(one, more + SCHEMA)
 
 
 def store_to_voxels(blocks: DataFrame) -> DataFrame:
-    """x, z, y, v of all voxels, with their channel c where there is one."""
-    own = [c for c in blocks.columns if c == "c"]
+    """x, z, y, v of all voxels, with their channel c and the path of their store where there is one."""
+    own = [c for c in blocks.columns if c in ("path", "c")]
     e = blocks.select(*own, "x0", "z0", "y0", "nz", "ny", F.posexplode("data").alias("p", "v"))
     return e.select(*own, F.expr("x0 + p div (nz * ny)").alias("x"), F.expr("cast(z0 + p div ny % nz as int)").alias("z"), F.expr("cast(y0 + p % ny as int)").alias("y"), "v")

@@ -3,6 +3,7 @@
 import numpy as np
 
 from lumenfold.operators import components, geometry, linalg
+from lumenfold.sources import spool, store
 
 
 def test_warp_of_a_long_volume(spark):
@@ -41,3 +42,31 @@ def test_clusters_against_all_pairs(spark):
             label = new
         got = components.clusters(spark.createDataFrame(rows, f"id long, {', '.join(f'{c} double' for c in axes)}"), 2.0, axes).collect()
         assert {r.id: r.cluster for r in got} == dict(enumerate(label.tolist())) and 1 < len(set(label.tolist())) < len(at)
+
+
+def test_ingest_is_one_job_for_all_spools(spark, tmp_path):
+    """Volumes of spools of two frame sizes are those that each spool gives by itself, and more spools don't take more jobs."""
+    rng = np.random.default_rng(4)
+    jobs = []
+    for many in (2, 5):
+        folder = tmp_path / str(many)
+        folder.mkdir()
+        for i in range(many):
+            shape = (5 + i, 4, 6 if i % 2 else 8)
+            spool.write_spool(str(folder / f"s-{i * 3:02d}.fli{'.zst' if i == 1 else ''}"), rng.integers(0, 4096, shape), {"first": i * 3})
+        spark.sparkContext.setJobGroup(f"ingest {many}", "")
+        names = spool.ingest(spark, str(folder), f"{folder}/out", (4, 3, 4))
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"ingest {many}")))
+        spark.sparkContext.setJobGroup("other", "")
+        assert names == [f"s-{i * 3:02d}" for i in range(many)] and spool.ingest(spark, str(folder), f"{folder}/out", (4, 3, 4)) == names
+    assert jobs[1] <= jobs[0] + 1
+    boxes = [(f"{folder}/out/{n}", int(n.split("-")[1])) for n in names]
+    got = {}
+    for r in store.store_to_voxels(store.read_stores(spark, boxes)).collect():
+        got.setdefault(r.path.rpartition("/")[2], {})[r.x, r.z, r.y] = r.v
+    for i, n in enumerate(names):
+        spool.spools_to_store(spark, str(folder / f"{n}.fli{'.zst' if i == 1 else ''}"), f"{folder}/one/{n}", (4, 3, 4))
+        want = {(r.x, r.z, r.y): r.v for r in store.store_to_voxels(store.read_store(spark, f"{folder}/one/{n}")).collect() if r.x >= i * 3}
+        assert got[n] == want and len(want) == (5 + i) * 4 * (6 if i % 2 else 8)
+        for side in (".zarray", "header.json", "header_raw.txt", "README.txt"):
+            assert (folder / "out" / n / side).read_bytes() == (folder / "one" / n / side).read_bytes()
