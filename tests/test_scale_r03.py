@@ -1,8 +1,9 @@
 """Work that must not grow with the square of the input."""
 
 import numpy as np
+import pyarrow as pa
 
-from lumenfold.operators import components, geometry, linalg
+from lumenfold.operators import catalog, components, geometry, linalg
 from lumenfold.sources import spool, store
 
 
@@ -70,3 +71,14 @@ def test_ingest_is_one_job_for_all_spools(spark, tmp_path):
         assert got[n] == want and len(want) == (5 + i) * 4 * (6 if i % 2 else 8)
         for side in (".zarray", "header.json", "header_raw.txt", "README.txt"):
             assert (folder / "out" / n / side).read_bytes() == (folder / "one" / n / side).read_bytes()
+
+
+def test_enlarged_frames_come_in_small_batches():
+    """10,000 frames a batch, as Spark gives them, don't become batches of 10,000 enlarged ones."""
+    e = np.random.default_rng(5).random((1000, 64))
+    whole = pa.RecordBatch.from_arrays([pa.array(np.arange(1000)), pa.array(list(e), pa.list_(pa.float64()))], ["x", "e"])
+    got = list(catalog.enlarged([whole, whole.slice(0, 0)]))
+    assert max(b.num_rows for b in got) <= 256 and sum(b.num_rows for b in got) == 4000
+    first = {x: v for b in got if b.num_rows and b.column("ch")[0].as_py() == 0 for x, v in zip(b.column("x").to_pylist(), b.column("data"), strict=True)}
+    # place 2 of each five is the middle of a pixel
+    assert np.allclose(np.array(first[999].as_py()).reshape(40, 40)[2::5, 2::5], e[999].reshape(8, 8))
