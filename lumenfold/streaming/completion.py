@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -41,40 +42,50 @@ def is_complete(expected: DataFrame, done: DataFrame, key: str = "chunk") -> boo
 
 class Deadline(StatefulProcessor):
     """A job's chunks against its deadline, which starts with the first of them. State: the first arrival of each chunk, the
-    deadline, and whether the job was reported."""
+    deadline, and whether the job was reported. A job's arrivals are one value, read and written once a call, as every access to the
+    state is a message to the store."""
 
     def __init__(self, expected: int, limit_ms: int):
         self.expected, self.limit = expected, limit_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.first = handle.getMapState("first", "chunk long", "at long")
+        self.first = handle.getValueState("arrivals", "chunks string")
         self.due = handle.getValueState("due", "at long")
         self.said = handle.getValueState("said", "done boolean")
 
+    def arrived(self) -> dict[int, int]:
+        """First arrival of every chunk so far."""
+        value = self.first.get()
+        return dict(json.loads(value[0])) if value else {}
+
     def report(self, key: tuple, status: str, in_time: int, at: int) -> pd.DataFrame:
         return pd.DataFrame({"job": [key[0]], "status": [status], "arrived": [in_time], "missing": [self.expected - in_time], "at": [pd.Timestamp(at, unit="ms")]})
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        said = self.said.exists()
+        first = {} if said else self.arrived()
+        known = dict(first)
         for b in rows:
-            if self.said.exists():
+            if said:
                 continue
-            for chunk, at in b.groupby("chunk").at_ms.min().items():
-                known = self.first.getValue((int(chunk),)) if self.first.containsKey((int(chunk),)) else None
-                if known is None or at < known[0]:
-                    self.first.updateValue((int(chunk),), (int(at),))
-        if self.said.exists():
-            return
-        times = sorted(v[0] for v in self.first.values())
-        if not times:
+            for chunk, at in zip(b.chunk.tolist(), b.at_ms.tolist(), strict=True):
+                if chunk is not None and chunk == chunk and at < first.get(int(chunk), float("inf")):
+                    first[int(chunk)] = int(at)
+        if said or not first:
             return
+        times = sorted(first.values())
         due = times[0] + self.limit
-        before = self.due.get()[0] if self.due.exists() else None
+        value = self.due.get() if known else None  # a deadline comes with the first arrival
+        before = value[0] if value else None
         if len(times) >= self.expected and times[self.expected - 1] <= due:
             if before is not None:
                 self.handle.deleteTimer(before)
             yield self.finish(key, "complete", times, times[self.expected - 1])
-        elif before != due:  # an arrival from before the first one moves the deadline
+            return
+        if first != known:
+            self.first.update((json.dumps(list(first.items())),))
+        if before != due:  # an arrival from before the first one moves the deadline
             if before is not None:
                 self.handle.deleteTimer(before)
             self.due.update((due,))
@@ -88,7 +99,7 @@ class Deadline(StatefulProcessor):
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         if not self.said.exists():
-            yield self.finish(key, "late", sorted(v[0] for v in self.first.values()), expiredTimerInfo.getExpiryTimeInMs())
+            yield self.finish(key, "late", sorted(self.arrived().values()), expiredTimerInfo.getExpiryTimeInMs())
 
     def close(self) -> None:
         pass

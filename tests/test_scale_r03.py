@@ -1,10 +1,12 @@
 """Work that must not grow with the square of the input."""
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 from lumenfold.operators import catalog, components, geometry, linalg
 from lumenfold.sources import spool, store
+from lumenfold.streaming.completion import Deadline
 
 
 def test_warp_of_a_long_volume(spark):
@@ -82,3 +84,37 @@ def test_enlarged_frames_come_in_small_batches():
     first = {x: v for b in got if b.num_rows and b.column("ch")[0].as_py() == 0 for x, v in zip(b.column("x").to_pylist(), b.column("data"), strict=True)}
     # place 2 of each five is the middle of a pixel
     assert np.allclose(np.array(first[999].as_py()).reshape(40, 40)[2::5, 2::5], e[999].reshape(8, 8))
+
+
+def test_deadline_reads_and_writes_its_state_once_a_call():
+    """Every access is a message to the state store: their number doesn't grow with a job's chunks."""
+    calls = []
+
+    class State:
+        def __init__(self):
+            self.kept = {}
+
+        def __getattr__(self, name):
+            def run(*a):
+                calls.append(name)
+                if name in ("update", "updateValue"):
+                    self.kept[a[0] if len(a) > 1 else 0] = a[-1]
+                return {"exists": 0 in self.kept, "get": self.kept.get(0), "containsKey": a[:1] and a[0] in self.kept, "getValue": a and self.kept.get(a[0]), "values": list(self.kept.values())}.get(name)
+
+            return run
+
+    class Handle:
+        def __getattr__(self, name):
+            return (lambda *a: State()) if name.startswith("get") else lambda *a: calls.append(name)
+
+    counts = []
+    for n in (2, 200):
+        p = Deadline(1000, 10_000)
+        p.init(Handle())
+        for part in (range(n), range(n, 2 * n)):
+            calls.clear()
+            assert not list(p.handleInputRows(("a",), iter([pd.DataFrame({"chunk": list(part), "at_ms": [100 + k for k in part]})]), None))
+        counts.append(len(calls))
+        late = pd.concat(p.handleExpiredTimer(("a",), None, type("E", (), {"getExpiryTimeInMs": lambda self: 10_100})()))
+        assert late.arrived.tolist() == [2 * n] and late.missing.tolist() == [1000 - 2 * n]
+    assert counts[0] == counts[1] <= 4
