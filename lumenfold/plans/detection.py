@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenfold.plans.store_jobs import label_store, shell_store
-from lumenfold.sources.store import Store
+from lumenfold.sources.store import Store, chunks_a_task
 
 
-def measure_store(spark: SparkSession, labels: str, values: str | None = None, layers: str | None = None, at_once: int = 4) -> DataFrame:
+def measure_store(spark: SparkSession, labels: str, values: str | None = None, layers: str | None = None, at_once: int | None = None) -> DataFrame:
     """label, layer (1 without layers), n, x, z, y (means) and values (the mean of each channel, in order; empty without values) of
     everything that has a label. labels and layers: stores of one grid; values: a store of the same extent with three or four
     axes, whatever its chunks. A task reads the same box of all of them."""
@@ -52,6 +52,7 @@ def measure_store(spark: SparkSession, labels: str, values: str | None = None, l
                 arrays.append(pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * channels, pa.int32()), pa.array(flat)))
                 yield pa.RecordBatch.from_arrays(arrays, ["label", "layer", "n", "sx", "sz", "sy", "sums"])
 
+    at_once = at_once or chunks_a_task(spark, total, int(np.prod(src.chunks)))
     parts = spark.range(0, total, 1, max(1, -(-total // at_once))).mapInArrow(run, "label long, layer int, n long, sx double, sz double, sy double, sums array<double>")
     whole = parts.groupBy("label", "layer").agg(F.sum("n").alias("n"), *(F.sum(f"s{a}").alias(f"s{a}") for a in "xzy"), *(F.sum(F.col("sums")[c]).alias(f"c{c}") for c in range(channels)))
     mean = lambda c: F.col(c) / F.col("n")

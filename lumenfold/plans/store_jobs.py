@@ -23,56 +23,66 @@ from lumenfold.operators.geometry import axis_taps, output_bounds, warp_cubic
 from lumenfold.plans.graph import connected_components
 from lumenfold.plans.shared import materialize
 from lumenfold.sources.files import open_folder, put_file
-from lumenfold.sources.store import EDGE, Store, description, exists, finish, read_store, read_text
+from lumenfold.sources.store import EDGE, Store, chunks_a_task, description, exists, finish, read_store, read_text
 
 #: Voxels of halo around a cubic spline's source box: its filter fades by 0.27 a voxel, to 1e-14 here.
 HALO = 24
-Kernel = Callable[[list[int], list[int], dict], np.ndarray]
+Kernel = Callable[[list[int], list[int], dict], np.ndarray | tuple[np.ndarray, ...]]
 
 
-def run_job(spark: SparkSession, out: str, about: dict, kernel: Kernel, job: str, extra: DataFrame | None = None, at_once: int = 4, only: str | None = None) -> dict[str, int]:
+def run_job(
+    spark: SparkSession, out: str, about: dict, kernel: Kernel, job: str, extra: DataFrame | None = None, at_once: int | None = None, only: str | None = None, beside: list[tuple[str, dict, str]] | None = None
+) -> dict[str, int]:
     """Make a store of this description: kernel(low, high, row) gives the values of the chunk from low up to before high. extra has
     rows by chunk number `place`, one at most each, that the kernel gets. job names the work and its parameters: chunks of another
     job in the same folder raise ValueError. only: a condition on place, to do a job in portions; the last one finishes the store.
-    Returns how many chunks were made and how many were there before."""
-    if exists(out):
+    beside: (out, about, job) of further stores of the same grid that the same work fills; the kernel then gives a tuple of values,
+    one for each store. A task has at_once neighbouring chunks. Returns how many chunks were made and how many were there before."""
+    works = [(out, about, job), *(beside or [])]
+    if all(exists(o) for o, _, _ in works):
         return {"made": 0, "kept": 0}
-    fs, p = open_folder(out)
-    said = json.dumps({"job": job, "about": about}, sort_keys=True)
-    before = read_text(fs, f"{p}/.job")
-    if before is None:
-        put_file(fs, f"{p}/.job", said.encode())
-    elif before != said:
-        raise ValueError(f"{out} holds chunks of another job")
-    store = Store(out, about)
+    for o, about_, job_ in works:
+        fs, p = open_folder(o)
+        said = json.dumps({"job": job_, "about": about_}, sort_keys=True)
+        before = read_text(fs, f"{p}/.job")
+        if before is None:
+            put_file(fs, f"{p}/.job", said.encode())
+        elif before != said:
+            raise ValueError(f"{o} holds chunks of another job")
+    stores = [Store(o, about_) for o, about_, _ in works]
+    store = stores[0]
     counts = store.counts()
     total = math.prod(counts)
-    parts = max(1, -(-total // at_once))
+    parts = max(1, -(-total // (at_once or chunks_a_task(spark, total, math.prod(store.chunks)))))
     d = spark.range(0, total, 1, parts).withColumnRenamed("id", "place")
     d = d.where(only) if only else d
     if extra is not None:
         d = d.join(extra, "place", "left").repartition(parts, "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, p = open_folder(out)
+        folders = [open_folder(s.path) for s in stores]
         made = kept = 0
         for b in batches:
             for row in b.to_pylist():
                 place = tuple(int(v) for v in np.unravel_index(row["place"], counts))
-                if fs.get_file_info(f"{p}/{store.name(place)}").type == pafs.FileType.File:
+                if all(fs.get_file_info(f"{p}/{s.name(place)}").type == pafs.FileType.File for s, (fs, p) in zip(stores, folders, strict=True)):
                     kept += 1
                     continue
                 low = [i * c for i, c in zip(place, store.chunks, strict=True)]
                 high = [min(a + c, n) for a, c, n in zip(low, store.chunks, store.shape, strict=True)]
-                name, payload = store.put_chunk(place, kernel(low, high, row))
-                put_file(fs, f"{p}/{name}", payload)
+                values = kernel(low, high, row)
+                for s, (fs, p), v in zip(stores, folders, values if beside else (values,), strict=True):
+                    name, payload = s.put_chunk(place, v)
+                    put_file(fs, f"{p}/{name}", payload)
                 made += 1
         yield pa.RecordBatch.from_arrays([pa.array([made], pa.int64()), pa.array([kept], pa.int64())], ["made", "kept"])
 
     made, kept = d.mapInArrow(run, "made long, kept long").agg(F.sum("made"), F.sum("kept")).first()
-    if not only or pending(spark, out, about).isEmpty():
-        finish(out, about)
-        fs.delete_file(f"{p}/.job")
+    if not only or all(pending(spark, o, about_).isEmpty() for o, about_, _ in works):
+        for o, about_, _ in works:
+            finish(o, about_)
+            fs, p = open_folder(o)
+            fs.delete_file(f"{p}/.job")
     return {"made": made or 0, "kept": kept or 0}
 
 
@@ -355,12 +365,12 @@ def label_store(spark: SparkSession, path: str, out: str, threshold: float, kind
 def shell_store(spark: SparkSession, path: str, out: str, most: int = 3, codec: str = "blosc") -> None:
     """Shells around the objects of a store of labels, as two stores: `<out>/label` says whose shell a voxel is in (equal distances:
     the smallest label), `<out>/layer` which one: 1 is the object, k + 1 over k - 1 and up to k voxels away, 0 none. A task reads a
-    chunk and a halo of `most` voxels."""
+    chunk and a halo of `most` voxels, once for both."""
     src = Store(path)
     r = range(-most, most + 1)
     near = sorted((sum(i * i for i in o), o) for o in itertools.product(r, repeat=3) if sum(i * i for i in o) <= most * most)
 
-    def nearest(low: list[int], high: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(low: list[int], high: list[int], row: dict) -> tuple[np.ndarray, np.ndarray]:
         a = [max(0, v - most) for v in low]
         b = [min(n, v + most) for v, n in zip(high, src.shape, strict=True)]
         box = np.pad(src.box(a, b), [(v - lo + most, hi - v2 + most) for v, lo, v2, hi in zip(a, low, b, high, strict=True)])
@@ -375,5 +385,5 @@ def shell_store(spark: SparkSession, path: str, out: str, most: int = 3, codec:
             label[new], far[new] = best[new], d
         return label, np.where(label > 0, np.ceil(np.sqrt(far)).astype(np.int64) + 1, 0)
 
-    for i, (name, dtype) in enumerate((("label", "<i8"), ("layer", "|u1"))):
-        run_job(spark, f"{out}/{name}", description(src.shape, src.chunks, codec, dtype), lambda low, high, row, i=i: nearest(low, high)[i], f"shells {most} {name} of {path}")
+    label, layer = ((f"{out}/{name}", description(src.shape, src.chunks, codec, dtype), f"shells {most} {name} of {path}") for name, dtype in (("label", "<i8"), ("layer", "|u1")))
+    run_job(spark, *label[:2], nearest, label[2], beside=[layer])

@@ -31,6 +31,10 @@ AXES = ["x0", "z0", "y0", "nx", "nz", "ny"]
 SCHEMA = "x0 long, z0 long, y0 long, nx int, nz int, ny int, data array<double>"
 CHANNELS = "c int, " + SCHEMA
 EDGE = 128
+#: Voxels of the chunks that one task goes through, and of those that one kernel call fills, where chunks are smaller.
+TASK, PACK = 1 << 18, 1 << 16
+#: Bytes of unpacked chunks that a store keeps for the next boxes.
+KEEP = 32 << 20
 #: What the writer's codec names stand for in a description.
 COMPRESSORS = {
     "none": None,
@@ -94,13 +98,23 @@ def store_values(v: np.ndarray, kind: np.dtype) -> np.ndarray:
     return np.clip(np.rint(v), np.iinfo(kind).min, np.iinfo(kind).max).astype(kind) if kind.kind in "ui" else v.astype(kind)
 
 
+def chunks_a_task(spark: SparkSession, total: int, voxels: int, least: int = 4) -> int:
+    """So many of `total` chunks of this size are one task's work: small chunks don't make a task each, but every core has some."""
+    return max(least, min(TASK // max(1, voxels), total // (4 * spark.sparkContext.defaultParallelism)))
+
+
 class Store:
-    """One array store, opened wherever it is used: chunks by place, and boxes cut from as many chunks as they touch."""
+    """One array store, opened wherever it is used: chunks by place, and boxes cut from as many chunks as they touch. The chunks
+    of the last boxes are kept, so that boxes that overlap don't open a chunk's file each."""
 
     def __init__(self, path: str, about: dict | None = None):
         self.path = path.rstrip("/")
         self.about = about or describe(path)
         self.shape, self.chunks, self.dtype = self.about["shape"], self.about["chunks"], np.dtype(self.about["dtype"])
+        self.kept: dict[tuple[int, ...], np.ndarray] = {}
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "kept": {}}
 
     def counts(self) -> list[int]:
         """Chunks along every axis."""
@@ -119,6 +133,13 @@ class Store:
             return np.full(self.chunks, self.about.get("fill_value") or 0, self.dtype)
         return np.frombuffer(raw, self.dtype).reshape(self.chunks)
 
+    def kept_chunk(self, place: tuple[int, ...]) -> np.ndarray:
+        a = self.kept.pop(place) if place in self.kept else self.chunk(place)
+        self.kept[place] = a
+        while len(self.kept) > max(1, KEEP // max(1, a.nbytes)):
+            del self.kept[next(iter(self.kept))]
+        return a
+
     def put_chunk(self, place: tuple[int, ...], values: np.ndarray) -> tuple[str, bytes]:
         """(name, payload) of a chunk's file; values may be short at the far faces."""
         whole = np.zeros(self.chunks, self.dtype)
@@ -133,7 +154,7 @@ class Store:
             hi = [min(b, (i + 1) * c) for b, i, c in zip(high, place, self.chunks, strict=True)]
             if all(a < b for a, b in zip(lo, hi, strict=True)):
                 cut = tuple(slice(a - i * c, b - i * c) for a, b, i, c in zip(lo, hi, place, self.chunks, strict=True))
-                out[tuple(slice(a - o, b - o) for a, b, o in zip(lo, hi, low, strict=True))] = self.chunk(place)[cut]
+                out[tuple(slice(a - o, b - o) for a, b, o in zip(lo, hi, low, strict=True))] = self.kept_chunk(place)[cut]
         return out
 
     def present(self) -> set[str]:
@@ -246,8 +267,9 @@ class VolumeStore(DataSource):
         return StoreWriter(self.options)
 
 
-def read_store(spark: SparkSession, path: str, level: int | None = None, region: list[tuple[int, int]] | None = None, chunks_at_once: int = 8) -> DataFrame:
-    """Blocks of a store; a region (start and stop of x, z and y, or of channels as well) leaves out the chunks beyond it.
+def read_store(spark: SparkSession, path: str, level: int | None = None, region: list[tuple[int, int]] | None = None, chunks_at_once: int | None = None, beside: dict[str, str] | None = None) -> DataFrame:
+    """Blocks of a store; a region (start and stop of x, z and y, or of channels as well) leaves out the chunks beyond it. beside:
+    column names and paths of stores of the same extent, whose values in the same boxes are read along.
 
     The block columns are arithmetic on a range of chunk numbers, and data is an Arrow function of them. So Spark itself
     applies any condition on c, x0, z0, y0, nx, nz or ny before a chunk is opened, and opens none where data isn't selected.
@@ -260,6 +282,11 @@ def read_store(spark: SparkSession, path: str, level: int | None = None, region:
         chunks = [1, *chunks[1:]]  # a row has one channel
     spans = [(max(a, 0) // c, max(0, -(-min(b, n) // c) - max(a, 0) // c)) for (a, b), c, n in zip(region, chunks, shape, strict=True)]
     total = math.prod(n for _, n in spans)
+    others = {name: Store(p) for name, p in (beside or {}).items()}
+    for other in others.values():
+        if list(other.shape) != list(shape):
+            raise ValueError(f"{other.path} and {store.path} are of different sizes")
+    chunks_at_once = chunks_at_once or chunks_a_task(spark, total, math.prod(chunks), 8)
     d, rest = spark.range(0, total, 1, max(1, -(-total // chunks_at_once))), total
     names = ["c", "x", "z", "y"][-len(shape) :]
     low, size = [], []
@@ -270,16 +297,19 @@ def read_store(spark: SparkSession, path: str, level: int | None = None, region:
         size.append((F.least(start + c, F.lit(min(b, whole)).cast("long")) - low[-1]).cast("int").alias("n" + name))
     d = d.select(*low, *size)
 
-    @F.arrow_udf("array<double>")
-    def values(*columns: pa.Array) -> pa.Array:
-        numbers = np.stack([c.to_numpy() for c in columns], axis=1)
-        parts = [store.box(r[: len(names)].tolist(), (r[: len(names)] + r[len(names) :]).tolist()).astype(float).ravel() for r in numbers]
-        ends = np.cumsum([0, *(len(v) for v in parts)])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*parts, np.zeros(0)])))
+    def values(store: Store):
+        @F.arrow_udf("array<double>")
+        def of(*columns: pa.Array) -> pa.Array:
+            numbers = np.stack([c.to_numpy() for c in columns], axis=1)
+            parts = [store.box(r[: len(names)].tolist(), (r[: len(names)] + r[len(names) :]).tolist()).astype(float).ravel() for r in numbers]
+            ends = np.cumsum([0, *(len(v) for v in parts)])
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*parts, np.zeros(0)])))
+
+        # the function sees plain columns only, so conditions on them stay below it
+        return of(*(F.col(n) for n in names), *(F.col("n" + n) for n in names))
 
     rows = [F.col(n).alias(n + "0") for n in "xzy"], [F.col("n" + n) for n in "xzy"]
-    # the function sees plain columns only, so conditions on them stay below it
-    return d.select(*(F.col(n).cast("int").alias(n) for n in names[:-3]), *rows[0], *rows[1], values(*(F.col(n) for n in names), *(F.col("n" + n) for n in names)).alias("data"))
+    return d.select(*(F.col(n).cast("int").alias(n) for n in names[:-3]), *rows[0], *rows[1], values(store).alias("data"), *(values(o).alias(n) for n, o in others.items()))
 
 
 def read_stores(spark: SparkSession, stores: list[tuple[str, int]], chunks_at_once: int = 8) -> DataFrame:
@@ -339,22 +369,52 @@ def write_store(blocks: DataFrame, path: str, shape: tuple[int, ...], chunks: tu
 
 
 def to_chunks(vox: DataFrame, shape: tuple[int, ...], chunks: tuple[int, ...] = (EDGE,) * 3) -> DataFrame:
-    """Voxels as blocks that are whole chunks of a volume (cut at its far faces), missing voxels 0: one shuffle by chunk and
-    one Arrow kernel call per chunk. With four axes voxels have a channel c."""
-    import pandas as pd
-
-    own, (shape, chunks) = (["c"], (shape[1:], chunks[1:])) if len(shape) == 4 else ([], (shape, chunks))
-    at = [F.expr(f"cast({c} div {n} as long) * {n}").alias(f"{c}0") for c, n in zip("xzy", chunks, strict=True)]
-
-    def one(g: pd.DataFrame) -> pd.DataFrame:
-        low = [int(g[f"{c}0"].iloc[0]) for c in "xzy"]
-        size = [min(n, s - a) for n, s, a in zip(chunks, shape, low, strict=True)]
-        block = np.zeros(size)
-        block[tuple(g[c].to_numpy() - a for c, a in zip("xzy", low, strict=True))] = g.v
-        return pd.DataFrame({**{c: [int(g[c].iloc[0])] for c in own}, "x0": [low[0]], "z0": [low[1]], "y0": [low[2]], "nx": [size[0]], "nz": [size[1]], "ny": [size[2]], "data": [block.ravel()]})
-
-    d = vox.select(*(F.col(c).cast("int").alias(c) for c in own), "x", "z", "y", F.col("v").cast("double").alias("v"), *at)
-    return d.groupBy(*own, "x0", "z0", "y0").applyInPandas(one, CHANNELS if own else SCHEMA)
+    """Voxels as blocks that are whole chunks of a volume (cut at its far faces), missing voxels 0. With four axes voxels have a
+    channel c. Neighbouring chunks of up to PACK voxels are one brick; the voxels of a brick are packed into arrays before the one
+    shuffle, and one Arrow kernel call fills its chunks."""
+    own, channels, (shape, chunks) = (["c"], shape[0], (shape[1:], chunks[1:])) if len(shape) == 4 else ([], 1, (shape, chunks))
+    counts, many, room = [-(-n // c) for n, c in zip(shape, chunks, strict=True)], [1, 1, 1], max(1, PACK // math.prod(chunks))
+    for axis in (2, 1, 0):
+        many[axis] = max(1, min(counts[axis], room))
+        room //= many[axis]
+    wide = [c * k for c, k in zip(chunks, many, strict=True)]
+    bricks = [max(1, -(-n // w)) for n, w in zip(shape, wide, strict=True)]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = [b.column(c).to_numpy() for c in "xzy"]
+            if any(((v < 0) | (v >= n)).any() for v, n in zip(at, shape, strict=True)):
+                raise ValueError(f"voxels beyond a volume of {tuple(shape)}")
+            brick = b.column("c").to_numpy().astype(np.int64) if own else np.zeros(b.num_rows, np.int64)
+            place = np.zeros(b.num_rows, np.int32)
+            for v, n, w in zip(at, bricks, wide, strict=True):
+                brick, place = brick * n + v // w, place * w + (v % w).astype(np.int32)
+            order = np.argsort(brick, kind="stable")
+            found, start = np.unique(brick[order], return_index=True)
+            ends = pa.array([*start, b.num_rows] if len(found) else [0], pa.int32())
+            v = b.column("v").to_numpy(zero_copy_only=False)[order]
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.ListArray.from_arrays(ends, pa.array(place[order])), pa.ListArray.from_arrays(ends, pa.array(v))], ["brick", "p", "v"])
+
+    def one(g: pa.Table) -> pa.Table:
+        rest, *index = (int(i) for i in np.unravel_index(g.column("brick")[0].as_py(), (1 << 31, *bricks)))
+        place, v = (np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in g.column(n).chunks]) for n in ("p", "v"))
+        at = np.unravel_index(place, wide)
+        chunk = np.ravel_multi_index([a // c for a, c in zip(at, chunks, strict=True)], many)
+        found, which = np.unique(chunk, return_inverse=True)
+        block = np.zeros((len(found), *chunks))
+        block[which, *(a % c for a, c in zip(at, chunks, strict=True))] = v
+        low = np.stack([i * w + k * c for i, w, k, c in zip(index, wide, np.unravel_index(found, many), chunks, strict=True)], axis=1)
+        size = np.minimum(np.array(chunks), np.array(shape) - low)
+        parts = [a[tuple(slice(0, n) for n in s)].ravel() for a, s in zip(block, size, strict=True)]
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(np.concatenate(parts)))
+        first = [pa.array(np.full(len(found), rest, np.int32))] if own else []
+        return pa.table([*first, *map(pa.array, low.T), *map(pa.array, size.astype(np.int32).T), lists], [*own, *AXES, "data"])
+
+    d = vox.select(*(F.col(c).cast("int").alias(c) for c in own), *(F.col(c).cast("long").alias(c) for c in "xzy"), F.col("v").cast("double").alias("v"))
+    # the number of tasks follows the volume: packed voxels are too few bytes to tell it by
+    total = channels * math.prod(bricks)
+    packed = d.mapInArrow(pack, "brick long, p array<int>, v array<double>").repartition(-(-total // chunks_a_task(vox.sparkSession, total, math.prod(wide), 1)), "brick")
+    return packed.groupBy("brick").applyInArrow(one, CHANNELS if own else SCHEMA)
 
 
 def frames_to_chunks(frames: DataFrame, shape: tuple[int, int, int], chunks: tuple[int, int, int] = (EDGE,) * 3) -> DataFrame:
