@@ -1,8 +1,8 @@
 """Registration of the channels of a stored volume: planes are scored, the best ones equalised, matched and correlated, and every
 channel is rolled by its median shift into another store.
 
-A task goes through the planes of one row of chunks, tile by tile, so it holds histograms or the few chosen planes of it and
-never a whole channel. What comes to the driver is a shift a channel.
+A task goes through the planes of rows of chunks, one row after the other and tile by tile, so it holds histograms or the few
+chosen planes of a row and never a whole channel. What comes to the driver is a shift a channel.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from lumenfold.operators.geometry import equalised, matched_values, phase_peak
 from lumenfold.operators.reduce import top_frames
 from lumenfold.plans.shared import materialize
 from lumenfold.plans.store_jobs import run_job
-from lumenfold.sources.store import Store, description
+from lumenfold.sources.store import Store, chunks_a_task, description
 
 BINS = 100
 
@@ -33,9 +33,16 @@ def tiles(src: Store, low: int, high: int, channel: int) -> Iterator[tuple[tuple
 
 
 def entropy(counts: np.ndarray) -> np.ndarray:
-    """Of the histograms in the rows."""
-    p = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
-    return -(p * np.log(np.where(p > 0, p, 1))).sum(axis=1)
+    """Of the histograms in the rows, most of whose counts may be 0."""
+    row, at = np.nonzero(counts)
+    p = counts[row, at] / counts.sum(axis=1)[row]
+    return -np.bincount(row, p * np.log(p), len(counts))
+
+
+def row_tasks(spark: SparkSession, src: Store, channels: int) -> int:
+    """How many tasks the rows of chunks are dealt to."""
+    rows = -(-src.shape[1] // src.chunks[1])
+    return max(1, -(-rows // chunks_a_task(spark, rows, channels * src.chunks[1] * src.shape[2] * src.shape[3], 1)))
 
 
 def plane_scores(spark: SparkSession, path: str, a: int, b: int, bins: int = BINS) -> DataFrame:
@@ -65,14 +72,13 @@ def plane_scores(spark: SparkSession, path: str, a: int, b: int, bins: int = BIN
                 score = np.where(both > 1e-12, (entropy(joint.sum(axis=2)) + entropy(joint.sum(axis=1))) / np.where(both > 1e-12, both, 1), 1.0)
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(low, high)), pa.array(score)], ["x", "score"])
 
-    rows = -(-nx // cx)
-    return spark.range(0, nx, cx, rows).mapInArrow(run, "x long, score double")
+    return spark.range(0, nx, cx, row_tasks(spark, src, 2)).mapInArrow(run, "x long, score double")
 
 
 def plane_shifts(spark: SparkSession, path: str, planes: DataFrame, reference: int, channels: list[int], tile: int | None = None) -> DataFrame:
     """ch, x, dz, dy of the chosen planes (x): what rolls a channel's plane onto the reference's, by phase correlation of equalised
-    planes, the moving one's values matched to the reference's. Planes of a row of chunks and one channel are one task's work; it
-    holds these planes of two channels."""
+    planes, the moving one's values matched to the reference's. The reference's planes of a row of chunks are equalised once for
+    all channels; a task holds these planes of two channels."""
     src = Store(path)
     _, _, nz, ny = src.shape
     cx = src.chunks[1]
@@ -88,17 +94,17 @@ def plane_shifts(spark: SparkSession, path: str, planes: DataFrame, reference: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for ch, xs in zip(b.column("ch").to_pylist(), b.column("xs").to_pylist(), strict=True):
-                rows = []
-                for x, fixed, moving in zip(xs, chosen(xs, reference), chosen(xs, ch), strict=True):
-                    fixed = equalised(fixed, tile)
-                    rows.append((ch, x, *phase_peak(fixed, matched_values(equalised(moving, tile), fixed))))
-                cols = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["ch", "x", "dz", "dy"])
+            for xs in b.column("xs").to_pylist():
+                fixed = [equalised(p, tile) for p in chosen(xs, reference)]
+                for ch in channels:
+                    rows = [(ch, x, *phase_peak(f, matched_values(equalised(p, tile), f))) for x, f, p in zip(xs, fixed, chosen(xs, ch), strict=True)]
+                    cols = list(zip(*rows, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["ch", "x", "dz", "dy"])
 
-    rows = planes.groupBy(F.expr(f"x div {cx}").alias("row")).agg(F.array_sort(F.collect_list("x")).alias("xs"))
-    work = rows.select("row", "xs", F.explode(F.array(*map(F.lit, channels))).alias("ch"))
-    return work.repartition("row", "ch").select("ch", "xs").mapInArrow(run, "ch int, x long, dz int, dy int")
+    # the number of tasks follows the volume: a list of planes is too few bytes to tell it by
+    dealt = planes.select("x", F.expr(f"x div {cx}").alias("row")).repartition(row_tasks(spark, src, 1 + len(channels)), "row")
+    rows = dealt.groupBy("row").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    return rows.select("xs").mapInArrow(run, "ch int, x long, dz int, dy int")
 
 
 def register_store(spark: SparkSession, path: str, out: str, reference: int = 0, scored: int = 2, share: float = 0.9, tile: int | None = None, codec: str = "blosc") -> dict[int, tuple[int, int]]:
@@ -107,7 +113,8 @@ def register_store(spark: SparkSession, path: str, out: str, reference: int = 0,
     even, is applied to all of its planes as a circular shift. Returns the shift of each channel."""
     src = Store(path)
     channels = [c for c in range(src.shape[0]) if c != reference]
-    best = materialize(top_frames(plane_scores(spark, path, reference, scored), share).select("x"), "planes")
+    scores = materialize(plane_scores(spark, path, reference, scored), "scores")  # the percentile and its planes need them twice
+    best = materialize(top_frames(scores, share).select("x"), "planes")
     shifts = plane_shifts(spark, path, best, reference, channels, tile)
     found = {r["ch"]: (round(r["dz"]), round(r["dy"])) for r in shifts.groupBy("ch").agg(F.median("dz").alias("dz"), F.median("dy").alias("dy")).collect()}
     found[reference] = (0, 0)

@@ -63,3 +63,23 @@ def test_shells_are_found_once_for_both_stores(spark, tmp_path):
     before = store.Store(str(tmp_path / "s/label")).box([0, 0, 0], [40, 4, 4])
     store_jobs.shell_store(spark, str(tmp_path / "a"), str(tmp_path / "s"), 2)
     assert (store.Store(str(tmp_path / "s/label")).box([0, 0, 0], [40, 4, 4]) == before).all() and (tmp_path / "s/layer/2.0.0").exists()
+
+
+def test_rows_of_small_chunks_share_tasks(spark, tmp_path):
+    from lumenfold.plans import registration
+
+    r = np.random.default_rng(4)
+    base = r.integers(0, 60_000, (600, 8, 8))
+    a = np.stack([np.roll(base, (-c, 2 * c), axis=(1, 2)) for c in range(2)])
+    path = str(tmp_path / "a")
+    store.write_store(store.to_chunks(voxels(spark, a, "c int, x long, z int, y int, v int"), a.shape, (1, 2, 4, 4)), path, a.shape, (1, 2, 4, 4))
+    scores = registration.plane_scores(spark, path, 0, 1, 10)
+    assert scores.rdd.getNumPartitions() <= 24 and scores.count() == 600  # of 300 rows of chunks
+    planes = spark.range(5, 600, 3).withColumnRenamed("id", "x")
+    shifts = registration.plane_shifts(spark, path, planes, 0, [1])
+    assert 4 <= shifts.rdd.getNumPartitions() <= 24
+    got = shifts.collect()
+    assert sorted(s.x for s in got) == list(range(5, 600, 3)) and {(s.ch, s.dz, s.dy) for s in got} == {(1, 1, -2)}
+    counts = r.integers(0, 3, (5, 40)) * np.array([[1], [1], [0], [7], [1]])
+    p = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
+    assert np.allclose(registration.entropy(counts), -(p * np.log(np.where(p > 0, p, 1))).sum(axis=1))
