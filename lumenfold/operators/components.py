@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import itertools
+import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.operators.geometry import neighbours
-from lumenfold.plans.graph import connected_components
+from lumenfold.plans.graph import connected_components, stars
 from lumenfold.plans.shared import materialize
 
+#: Voxels of the blocks that one kernel call labels, where a block is smaller.
+PACK = 1 << 16
+
 
 def half_offsets(kind: int) -> list[tuple[int, int, int]]:
     """One of each pair of opposite neighbours."""
@@ -26,52 +31,90 @@ def linear(nz: int, ny: int):
 def label_components(vox: DataFrame, nz: int, ny: int, kind: int = 26, block: int = 64, by_value: bool = False) -> DataFrame:
     """label for every voxel with v <> 0: the smallest linear index of its component, whatever the block size.
 
-    Blocks are labelled on their own (union-find over one block in a task); equal labels across block faces become edges;
-    distributed components of those join the pieces. by_value: only equal values connect.
-    """
-    on = vox.where("v <> 0").select("x", "z", "y", "v", linear(nz, ny).alias("i"))
-    cut = on.select("*", *(F.expr(f"cast({c} div {block} as long)").alias(f"b{c}") for c in "xzy"))
+    Blocks (several in a row along x, up to PACK voxels) are labelled on their own, with the voxels that touch them from outside, which
+    are sent to them as well. So a task finds the links between a part and a voxel of another block itself; a join by that voxel makes
+    them edges between parts, and distributed components of those join the pieces. by_value: only equal values connect."""
+    wide = [block * max(1, PACK // (block * min(block, nz) * min(block, ny))), block, block]
+    counts = [-(-nz // block), -(-ny // block)]
     half = half_offsets(kind)
-
-    def one(g: pd.DataFrame) -> pd.DataFrame:
-        at = np.stack([g[c].to_numpy() - int(g[f"b{c}"].iloc[0]) * block for c in "xzy"]).astype(np.int64)
-        size = at.max(axis=1) + 3  # an empty rim, so that no shift wraps
-        flat = np.ravel_multi_index(tuple(at + 1), tuple(size))
-        place = np.full(int(np.prod(size)), -1, np.int64)
-        place[flat] = np.arange(len(g))
-        v = g.v.to_numpy()
+    # a neighbour block is before or at the same place along x, as half of the offsets are enough
+    around = [d for d in itertools.product((-1, 0), (-1, 0, 1), (-1, 0, 1)) if any(d)]
+    kinds = dict(vox.dtypes)
+
+    def axes(i: np.ndarray) -> list[np.ndarray]:
+        return [i // (nz * ny), i // ny % nz, i % ny]
+
+    def keys(at: list[np.ndarray]) -> np.ndarray:
+        x, z, y = (v // w for v, w in zip(at, wide, strict=True))
+        return (x * counts[0] + z) * counts[1] + y
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = [b.column(c).to_numpy() for c in "xzy"]
+            if any(((v < 0) | (v >= n)).any() for v, n in zip(at[1:], (nz, ny), strict=True)):
+                raise ValueError(f"voxels beyond planes of {nz} x {ny}")
+            i = (at[0] * nz + at[1]) * ny + at[2]
+            key, row = [keys(at)], [np.arange(len(i))]
+            first = [v % w == 0 for v, w in zip(at, wide, strict=True)]
+            last = [v % w == w - 1 for v, w in zip(at, wide, strict=True)]
+            for d in around:
+                ok = np.ones(len(i), bool)
+                for k, lo, hi in zip(d, first, last, strict=True):
+                    ok &= lo if k < 0 else hi if k > 0 else True
+                seen = np.flatnonzero(ok)
+                to = [v[seen] + k for v, k in zip(at, d, strict=True)]
+                inside = (to[1] >= 0) & (to[1] < nz) & (to[2] >= 0) & (to[2] < ny)
+                key.append(keys([v[inside] for v in to]))
+                row.append(seen[inside])
+            key, row = np.concatenate(key), np.concatenate(row)
+            order = np.argsort(key, kind="stable")
+            found, start = np.unique(key[order], return_index=True)
+            ends = pa.array([*start, len(row)] if len(found) else [0], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.ListArray.from_arrays(ends, pa.array(i[row[order]])), pa.ListArray.from_arrays(ends, b.column("v").take(pa.array(row[order])))], ["key", "i", "v"])
+
+    def one(g: pa.Table) -> pa.Table:
+        i = np.concatenate([c.flatten().to_numpy() for c in g.column("i").chunks])
+        value = pa.concat_arrays([c.flatten() for c in g.column("v").chunks])
+        order = np.argsort(i)  # so that the first voxel of a part is its smallest linear index
+        i, value = i[order], value.take(pa.array(order))
+        at = axes(i)
+        own = keys(at) == g.column("key")[0].as_py()
+        low = [v.min() - 1 for v in at]  # an empty rim, so that no shift wraps
+        size = [int(v.max() - a + 2) for v, a in zip(at, low, strict=True)]
+        flat = np.ravel_multi_index([v - a for v, a in zip(at, low, strict=True)], size)
+        place = np.full(math.prod(size), -1, np.int64)
+        place[flat] = np.arange(len(i))
+        v = value.to_numpy(zero_copy_only=False) if by_value else None
         a, b = [], []
         for o in half:
             other = place[flat + (o[0] * size[1] + o[1]) * size[2] + o[2]]
-            ok = other >= 0
+            ok = own & (other >= 0)
             if by_value:
                 ok &= v == v[other]
             a.append(np.flatnonzero(ok)), b.append(other[ok])
         a, b = np.concatenate(a), np.concatenate(b)
-        i = g.i.to_numpy()
-        order = np.argsort(i)  # roots are the smallest linear index
-        up = np.empty(len(g), np.int64)
-        up[order] = np.arange(len(g))
-        while True:
-            low = np.minimum(up[a], up[b])
-            new = up.copy()
-            np.minimum.at(new, a, low)
-            np.minimum.at(new, b, low)
-            new = np.minimum(new, new[order][new])  # also the label of the label
-            if (new == up).all():
-                break
-            up = new
-        return g[["x", "z", "y", "v", "i"]].assign(part=i[order][up])
-
-    kind_v = dict(vox.dtypes)["v"]
-    parts = materialize(cut.groupBy("bx", "bz", "by").applyInPandas(one, f"x {dict(vox.dtypes)['x']}, z int, y int, v {kind_v}, i long, part long"), "parts")
-    # only voxels on a face can touch another block
-    rim = " OR ".join(f"{c} % {block} IN (0, {block - 1})" for c in "xzy")
-    edge = parts.where(rim)
-    moved = F.array(*(F.struct(*(F.lit(v).alias(c) for c, v in zip("xzy", o, strict=True))) for o in half))
-    a = edge.select("part", F.col("v").alias("w"), "x", "z", "y", F.explode(moved).alias("o")).select(F.col("part").alias("a"), "w", *((F.col(c) + F.col(f"o.{c}")).alias(c) for c in "xzy"))
-    pairs = a.join(edge.select(F.col("part").alias("b"), "v", "x", "z", "y"), ["x", "z", "y"]).where("a <> b" + (" AND v = w" if by_value else "")).select("a", "b")
-    whole = connected_components(pairs)
+        inner = own[b]
+        up = np.arange(len(i))
+        node, root = stars(a[inner], b[inner])
+        up[node] = root
+        links = np.unique(np.stack([i[up[a[~inner]]], i[b[~inner]]], axis=1), axis=0)
+        # the block's voxels with their parts, then the links of parts to voxels outside
+        mine, n = np.flatnonzero(own), len(links)
+        none = lambda k: pa.nulls(n, k)
+        cols = [pa.concat_arrays([pa.array(i[mine]), none(pa.int64())]), pa.concat_arrays([value.take(pa.array(mine)), none(value.type)])]
+        cols += [pa.array(np.concatenate([i[up[mine]], links[:, 0]])), pa.concat_arrays([pa.nulls(len(mine), pa.int64()), pa.array(links[:, 1])])]
+        return pa.table(cols, ["i", "v", "part", "outside"])
+
+    on = vox.where("v <> 0").select(*(F.col(c).cast("long").alias(c) for c in "xzy"), "v")
+    # as many tasks as there are shuffle partitions: packed voxels are too few bytes for Spark to tell the work by
+    packed = on.mapInArrow(pack, f"key long, i array<long>, v array<{kinds['v']}>").repartition(int(vox.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
+    got = materialize(packed.groupBy("key").applyInArrow(one, f"i long, v {kinds['v']}, part long, outside long"), "parts")
+    parts = got.where("outside IS NULL").select(F.expr(f"i div {nz * ny}").cast(kinds["x"]).alias("x"), F.expr(f"cast(i div {ny} % {nz} as int)").alias("z"), F.expr(f"cast(i % {ny} as int)").alias("y"), "v", "i", "part")
+    # only voxels on a face are seen from outside
+    rim = " OR ".join(f"{c} % {w} IN (0, {w - 1})" for c, w in zip("xzy", wide, strict=True))
+    seen = parts.where(rim).select(F.col("i").alias("outside"), F.col("part").alias("b"))
+    pairs = got.where("outside IS NOT NULL").select(F.col("part").alias("a"), "outside").join(seen, "outside").select("a", "b")
+    whole = connected_components(pairs).where("node <> component")
     return parts.join(whole.withColumnRenamed("node", "part"), "part", "left").select("x", "z", "y", "v", F.coalesce("component", "part").alias("label"))
 
 

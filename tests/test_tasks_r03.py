@@ -83,3 +83,31 @@ def test_rows_of_small_chunks_share_tasks(spark, tmp_path):
     counts = r.integers(0, 3, (5, 40)) * np.array([[1], [1], [0], [7], [1]])
     p = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
     assert np.allclose(registration.entropy(counts), -(p * np.log(np.where(p > 0, p, 1))).sum(axis=1))
+
+
+@pytest.mark.parametrize("kind", [6, 18, 26])
+def test_blocks_in_a_row_are_labelled_by_one_call(spark, monkeypatch, kind):
+    from lumenfold.operators import components
+
+    a = (np.random.default_rng(kind).random((90, 7, 6)) < {6: 0.4, 18: 0.25, 26: 0.18}[kind]).astype(int)
+    a[:, 3, 3] = 1  # an object through all of them
+    want = store_jobs.label_block(a > 0, kind) - 1
+    for most in (1, 200, 1 << 16):  # blocks of 4, 12 and all 90 planes a call
+        monkeypatch.setattr(components, "PACK", most)
+        got = components.label_components(voxels(spark, a), 7, 6, kind, 4).toPandas()
+        assert len(got) == a.sum() and (want[got.x, got.z, got.y] == got.label).all()
+    with pytest.raises(Exception, match="beyond planes"):
+        components.label_components(voxels(spark, a), 7, 5, kind, 4).count()
+
+
+def test_links_between_blocks_are_few(spark):
+    """A full volume has 13 neighbour pairs a voxel; a part has one link to each voxel that it touches in another block."""
+    from lumenfold.operators import components
+    from lumenfold.plans import shared
+
+    mark = shared.written()
+    a = np.ones((400, 8, 8), int)
+    labels = components.label_components(voxels(spark, a), 8, 8, 26, 4).select("label").distinct().collect()
+    assert [r.label for r in labels] == [0]
+    links = spark.read.parquet(shared._WRITTEN[mark]).where("outside IS NOT NULL")
+    assert 0 < links.count() < a.size
