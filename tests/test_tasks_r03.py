@@ -111,3 +111,18 @@ def test_links_between_blocks_are_few(spark):
     assert [r.label for r in labels] == [0]
     links = spark.read.parquet(shared._WRITTEN[mark]).where("outside IS NOT NULL")
     assert 0 < links.count() < a.size
+
+
+def test_measures_of_small_chunks_share_tasks(spark, tmp_path):
+    from lumenfold.plans import detection
+
+    a = np.zeros((800, 4, 4), int)
+    a[::7, 1, 2] = 5
+    path = str(tmp_path / "a")
+    store.write_store(store.to_chunks(voxels(spark, a), a.shape, (2, 4, 4)), path, a.shape, (2, 4, 4))
+    spark.sparkContext.setJobGroup("measures", "")
+    m = detection.measure_store(spark, path).collect()
+    tracker = spark.sparkContext.statusTracker()
+    tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("measures") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setJobGroup("other", "")
+    assert max(tasks) <= 24 and [(r.label, r.n) for r in m] == [(5, 115)]  # of 400 chunks
