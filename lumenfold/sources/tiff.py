@@ -19,13 +19,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from lumenfold.plans.shared import materialize
 from lumenfold.sources.files import open_folder
+from lumenfold.sources.store import PACK
 
 # Fixed values of the public format: sizes and codes of field types, tags, and names of the ways to pack a segment.
 SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8, 13: 4, 16: 8, 17: 8, 18: 8}
@@ -182,7 +183,7 @@ def unpack_segment(raw: bytes, packing: str, kind: str, predictor: int, rows: in
 
 def read_tiff_volume(spark: SparkSession, path: str, pattern: str = "*.tif*", group: int = GROUP) -> DataFrame:
     """One row per strip or tile of every page: path, page, height and width of the page, z0, y0, nz, ny and data (row by row) of
-    the segment. Segments of about `group` unpacked bytes are read by a task."""
+    the segment. Segments of about `group` unpacked bytes stay together; a task reads one such group, or several small ones."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path).select("path")
     names = ["page", "height", "width", "z0", "y0", "nz", "ny", "place", "size", "rows", "columns", "predictor"]
     segment = pa.struct([*((n, pa.int64()) for n in names), ("kind", pa.string()), ("packing", pa.string())])
@@ -204,8 +205,9 @@ def read_tiff_volume(spark: SparkSession, path: str, pattern: str = "*.tif*", gr
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([rows], pa.list_(segment))], ["path", "s"])
 
-    groups = files.mapInArrow(walk, f"path string, s array<struct<{fields}>>")
+    groups = materialize(files.mapInArrow(walk, f"path string, s array<struct<{fields}>>"), "segments")
     n = groups.count()
+    tasks = min(n, max(4 * spark.sparkContext.defaultParallelism, -(-n * group // GROUP)))
 
     @F.arrow_udf("array<double>")
     def values(path: pa.Array, s: pa.Array) -> pa.Array:
@@ -222,7 +224,7 @@ def read_tiff_volume(spark: SparkSession, path: str, pattern: str = "*.tif*", gr
         ends = np.cumsum([0, *map(len, out)])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*out, np.zeros(0)])))
 
-    d = groups.repartition(max(1, n)).select("path", F.explode("s").alias("s"))
+    d = groups.repartition(max(1, tasks)).select("path", F.explode("s").alias("s"))
     own = [F.col(f"s.{c}").cast("int").alias(c) for c in ("page", "height", "width", "z0", "y0", "nz", "ny")]
     return d.select("path", *own, values("path", "s").alias("data"))
 
@@ -356,14 +358,16 @@ def write_tiff_volumes(planes: DataFrame, path: str, dtype: str = "<u2", packing
     written at once: a volume of many pages should be several files. Files are moved to their names when they are whole."""
     planes.sparkSession.dataSource.register(TiffVolumes)
     d = planes.select("name", F.col("page").cast("int").alias("page"), F.col("height").cast("int").alias("height"), F.col("width").cast("int").alias("width"), F.col("data").cast("array<double>").alias("data"))
-    w = d.repartition("name").sortWithinPartitions("name", "page").write.format("tiff_volumes").mode("append")
+    # as many tasks as there are shuffle partitions: small pages are too few bytes for Spark to tell the work by
+    w = d.repartition(int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")), "name").sortWithinPartitions("name", "page").write.format("tiff_volumes").mode("append")
     w = w.option("columns", columns) if columns else w
     w.option("dtype", dtype).option("packing", packing).option("predictor", str(predictor).lower()).option("rows", rows).save(path)
 
 
 def blocks_to_planes(blocks: DataFrame, height: int, width: int) -> DataFrame:
     """x, height, width, data of every plane of blocks (x0, z0, y0, nx, nz, ny, data): blocks are cut into slices that travel as
-    arrays, and the slices of a plane meet in one group. Missing parts are 0."""
+    arrays, and the slices of a plane meet in one group, together with those of its neighbours where planes are small. Missing parts are 0."""
+    many = max(1, PACK // (height * width))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -373,14 +377,22 @@ def blocks_to_planes(blocks: DataFrame, height: int, width: int) -> DataFrame:
                 full = lambda v: pa.array(np.full(nx, v, np.int64))  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(x0, x0 + nx)), full(z0), full(y0), full(ny), pa.ListArray.from_arrays(pa.array(np.arange(nx + 1) * nz * ny, pa.int32()), data)], ["x", "z0", "y0", "ny", "data"])
 
-    def one(g: pd.DataFrame) -> pd.DataFrame:
-        a = np.zeros((height, width))
-        for r in g.itertuples():
-            part = np.asarray(r.data).reshape(-1, r.ny)
-            a[r.z0 : r.z0 + len(part), r.y0 : r.y0 + r.ny] = part
-        return pd.DataFrame({"x": [int(g.x.iloc[0])], "height": [height], "width": [width], "data": [a.ravel()]})
-
-    return blocks.mapInArrow(cut, "x long, z0 long, y0 long, ny long, data array<double>").groupBy("x").applyInPandas(one, "x long, height int, width int, data array<double>")
+    def one(g: pa.Table) -> pa.Table:
+        xs, at = np.unique(g.column("x").to_numpy(), return_inverse=True)
+        lists = pa.concat_arrays(g.column("data").chunks)
+        kinds = np.stack([*(g.column(c).to_numpy() for c in ("z0", "y0", "ny")), lists.value_lengths().to_numpy()], axis=1)
+        a = np.zeros((len(xs), height, width))
+        found, which = np.unique(kinds, axis=0, return_inverse=True)
+        for k, (z0, y0, ny, n) in enumerate(found.tolist()):
+            rows = np.flatnonzero(which.ravel() == k)
+            part = lists.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).reshape(len(rows), n // max(1, ny), ny)
+            a[at[rows], z0 : z0 + part.shape[1], y0 : y0 + ny] = part
+        full = lambda v: pa.array(np.full(len(xs), v, np.int32))
+        planes = pa.ListArray.from_arrays(pa.array(np.arange(len(xs) + 1) * height * width, pa.int32()), pa.array(a.ravel()))
+        return pa.table([pa.array(xs), full(height), full(width), planes], ["x", "height", "width", "data"])
+
+    slices = blocks.mapInArrow(cut, "x long, z0 long, y0 long, ny long, data array<double>")
+    return slices.groupBy(F.expr(f"x div {many}").alias("g")).applyInArrow(one, "x long, height int, width int, data array<double>")
 
 
 def volume_files(planes: DataFrame, name: Column, pages_per_file: int) -> DataFrame:

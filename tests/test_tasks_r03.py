@@ -126,3 +126,18 @@ def test_measures_of_small_chunks_share_tasks(spark, tmp_path):
     tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("measures") for s in tracker.getJobInfo(j).stageIds]
     spark.sparkContext.setJobGroup("other", "")
     assert max(tasks) <= 24 and [(r.label, r.n) for r in m] == [(5, 115)]  # of 400 chunks
+
+
+def test_small_planes_share_calls_and_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from lumenfold.sources import tiff
+
+    a = np.random.default_rng(6).integers(0, 9, (600, 5, 7))
+    blocks = store.to_chunks(voxels(spark, a), a.shape, (4, 3, 4))
+    planes = tiff.blocks_to_planes(blocks, 5, 7)
+    assert all((np.array(r.data).reshape(5, 7) == a[r.x]).all() for r in planes.collect()) and planes.count() == 600
+    tiff.write_tiff_volumes(tiff.volume_files(planes, F.lit("v.tif"), 600), str(tmp_path), rows=5)
+    t = tiff.read_tiff_volume(spark, str(tmp_path), group=64)
+    assert t.rdd.getNumPartitions() <= 16  # of 600 groups
+    assert all((np.array(r.data).reshape(5, 7) == a[r.page]).all() for r in t.collect()) and t.count() == 600
