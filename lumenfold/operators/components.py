@@ -30,10 +30,18 @@ def linear(nz: int, ny: int):
 
 def label_components(vox: DataFrame, nz: int, ny: int, kind: int = 26, block: int = 64, by_value: bool = False) -> DataFrame:
     """label for every voxel with v <> 0: the smallest linear index of its component, whatever the block size.
+    by_value: only equal values connect."""
+    parts, whole = label_parts(vox, nz, ny, kind, block, by_value)
+    return parts.join(whole, "part", "left").select("x", "z", "y", "v", F.coalesce("component", "part").alias("label"))
+
+
+def label_parts(vox: DataFrame, nz: int, ny: int, kind: int = 26, block: int = 64, by_value: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The voxels with v <> 0 with their linear index i and the part of a component that they belong to, and (part, component) of the
+    parts whose component has another name. A part lies within a block, so that no part is larger than one, however large its component.
 
     Blocks (several in a row along x, up to PACK voxels) are labelled on their own, with the voxels that touch them from outside, which
     are sent to them as well. So a task finds the links between a part and a voxel of another block itself; a join by that voxel makes
-    them edges between parts, and distributed components of those join the pieces. by_value: only equal values connect."""
+    them edges between parts, and distributed components of those join the pieces."""
     wide = [block * max(1, PACK // (block * min(block, nz) * min(block, ny))), block, block]
     counts = [-(-nz // block), -(-ny // block)]
     half = half_offsets(kind)
@@ -110,12 +118,11 @@ def label_components(vox: DataFrame, nz: int, ny: int, kind: int = 26, block: in
     packed = on.mapInArrow(pack, f"key long, i array<long>, v array<{kinds['v']}>").repartition(int(vox.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
     got = materialize(packed.groupBy("key").applyInArrow(one, f"i long, v {kinds['v']}, part long, outside long"), "parts")
     parts = got.where("outside IS NULL").select(F.expr(f"i div {nz * ny}").cast(kinds["x"]).alias("x"), F.expr(f"cast(i div {ny} % {nz} as int)").alias("z"), F.expr(f"cast(i % {ny} as int)").alias("y"), "v", "i", "part")
-    # only voxels on a face are seen from outside
-    rim = " OR ".join(f"{c} % {w} IN (0, {w - 1})" for c, w in zip("xzy", wide, strict=True))
+    # only voxels on a face between blocks are seen from outside
+    rim = " OR ".join(f"{c} % {w} IN (0, {w - 1})" for c, w, n in zip("xzy", wide, (None, nz, ny), strict=True) if n is None or n > w)
     seen = parts.where(rim).select(F.col("i").alias("outside"), F.col("part").alias("b"))
     pairs = got.where("outside IS NOT NULL").select(F.col("part").alias("a"), "outside").join(seen, "outside").select("a", "b")
-    whole = connected_components(pairs).where("node <> component")
-    return parts.join(whole.withColumnRenamed("node", "part"), "part", "left").select("x", "z", "y", "v", F.coalesce("component", "part").alias("label"))
+    return parts, connected_components(pairs).where("node <> component").withColumnRenamed("node", "part")
 
 
 def drop_small(labelled: DataFrame, least: int = 4) -> DataFrame:

@@ -113,6 +113,61 @@ def test_links_between_blocks_are_few(spark):
     assert 0 < links.count() < a.size
 
 
+def records_a_task(spark, group):
+    """The most rows that a task of this job group has read from a shuffle."""
+    store, tracker = spark._jsc.sc().statusStore(), spark.sparkContext.statusTracker()
+    most = 0
+    for stage in {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}:
+        if tracker.getStageInfo(stage) and tracker.getStageInfo(stage).numCompletedTasks:
+            tasks = store.taskList(stage, 0, 10_000)
+            most = max([most, *(tasks.apply(i).taskMetrics().get().shuffleReadMetrics().recordsRead() for i in range(tasks.size()))])
+    return most
+
+
+def test_large_components_stay_dealt_out(spark, monkeypatch):
+    """A component through the whole volume doesn't bring its voxels to one task, whatever Spark broadcasts."""
+    from lumenfold.operators import components, detect
+
+    monkeypatch.setattr(components, "PACK", 1)  # blocks of 64 planes
+    loose, strict = np.ones((400, 8, 8), int), np.zeros((400, 8, 8), int)
+    loose[380] = 0  # the second component holds nothing and stays
+    strict[:350:5, 3, 3] = 1
+    pairs = [voxels(spark, a) for a in (loose, strict)]
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("merged", "")
+        got = detect.split_merged(*pairs, 8, 8).collect()
+    finally:
+        spark.sparkContext.setJobGroup("other", "")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = {(x, 3, 3) for x in range(0, 350, 5)} | {tuple(p) for p in np.argwhere(loose).tolist() if p[0] > 380}
+    assert {(r.x, r.z, r.y) for r in got} == want and len(got) == len(want)
+    assert 0 < records_a_task(spark, "merged") < loose.sum() * 0.6
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_merged_objects_of_any_masks(spark, monkeypatch, seed):
+    """Strict voxels may lie outside the loose ones, and blocks cut both."""
+    from lumenfold.operators import components, detect
+
+    monkeypatch.setattr(components, "PACK", 1)
+    r = np.random.default_rng(seed)
+    loose, strict = (r.random((150, 7, 6)) < 0.1).astype(int), (r.random((150, 7, 6)) < 0.05).astype(int)
+    loose[40:100, 2:4, 2:4] = 1
+    strict |= loose & (r.random(loose.shape) < 0.3)
+    a, b = store_jobs.label_block(loose > 0), store_jobs.label_block(strict > 0)
+    held = [set(a[b == s].tolist()) for s in np.unique(b[b > 0])]
+    inside = [h.pop() for h in held if len(h) == 1 and 0 not in h]
+    merged = np.isin(a, [k for k in set(inside) if inside.count(k) >= 2])
+    want = {tuple(p): 1 + int(strict[tuple(p)] > 0) for p in np.argwhere((loose > 0) & (~merged | (strict > 0))).tolist()}
+    got = detect.split_merged(voxels(spark, loose), voxels(spark, strict), 7, 6, 2, core_split=True).collect()
+    assert merged.any() and len(got) == len(want) and {(r.x, r.z, r.y): r.v for r in got} == want
+
+
 def test_measures_of_small_chunks_share_tasks(spark, tmp_path):
     from lumenfold.plans import detection
 
