@@ -27,6 +27,8 @@ from lumenfold.sources.store import EDGE, Store, chunks_a_task, description, exi
 
 #: Voxels of halo around a cubic spline's source box: its filter fades by 0.27 a voxel, to 1e-14 here.
 HALO = 24
+#: No label, in numbers without a sign.
+NONE = np.uint64(2**64 - 1)
 Kernel = Callable[[list[int], list[int], dict], np.ndarray | tuple[np.ndarray, ...]]
 
 
@@ -374,15 +376,19 @@ def shell_store(spark: SparkSession, path: str, out: str, most: int = 3, codec:
         a = [max(0, v - most) for v in low]
         b = [min(n, v + most) for v, n in zip(high, src.shape, strict=True)]
         box = np.pad(src.box(a, b), [(v - lo + most, hi - v2 + most) for v, lo, v2, hi in zip(a, low, b, high, strict=True)])
+        # less 1 and without a sign, no label is the largest number: one minimum for every place around, as small chunks cost by the call
+        box = (np.maximum(box.astype(np.int64), 0) - 1).view(np.uint64)
         size = [h - v for h, v in zip(high, low, strict=True)]
+        if (box == NONE).all():
+            return np.zeros(size, np.int64), np.zeros(size, np.int64)
+        around = np.lib.stride_tricks.sliding_window_view(box, (2 * most + 1,) * 3)
         label, far = np.zeros(size, np.int64), np.zeros(size, np.int64)
         for d, same in itertools.groupby(near, key=lambda x: x[0]):
-            best = np.zeros(size, np.int64)
-            for _, o in same:
-                v = box[tuple(slice(most + i, most + i + n) for i, n in zip(o, size, strict=True))]
-                best = np.where((v > 0) & ((best == 0) | (v < best)), v, best)
-            new = (label == 0) & (best > 0)
-            label[new], far[new] = best[new], d
+            best = np.full(size, NONE)
+            for _, (x, z, y) in same:
+                np.minimum(best, around[..., x + most, z + most, y + most], out=best)
+            new = (label == 0) & (best != NONE)
+            label[new], far[new] = best[new] + np.uint64(1), d
         return label, np.where(label > 0, np.ceil(np.sqrt(far)).astype(np.int64) + 1, 0)
 
     label, layer = ((f"{out}/{name}", description(src.shape, src.chunks, codec, dtype), f"shells {most} {name} of {path}") for name, dtype in (("label", "<i8"), ("layer", "|u1")))

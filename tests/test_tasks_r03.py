@@ -1,5 +1,7 @@
 """Small chunks and blocks don't make a task, a file opened or a call each."""
 
+import math
+
 import numpy as np
 import pytest
 
@@ -65,6 +67,26 @@ def test_shells_are_found_once_for_both_stores(spark, tmp_path):
     assert (store.Store(str(tmp_path / "s/label")).box([0, 0, 0], [40, 4, 4]) == before).all() and (tmp_path / "s/layer/2.0.0").exists()
 
 
+def test_shells_take_few_calls_a_chunk(spark, tmp_path, monkeypatch):
+    r = np.random.default_rng(9)
+    a = np.where(r.random((20, 7, 6)) < 0.03, r.integers(-2, 9, (20, 7, 6)), 0)
+    a[9:, :, :] = 0
+    store.write_store(store.to_chunks(voxels(spark, a), a.shape, (4, 4, 4)), str(tmp_path / "a"), a.shape, (4, 4, 4), dtype="<i4")
+    kernels, calls, where = [], [], np.where
+    monkeypatch.setattr(store_jobs, "run_job", lambda spark, out, about, kernel, *rest, **more: kernels.append(kernel))
+    store_jobs.shell_store(spark, str(tmp_path / "a"), str(tmp_path / "s"), 3)
+    monkeypatch.setattr(np, "where", lambda *v: calls.append(1) or where(*v))
+    for low in np.ndindex(5, 2, 2):
+        low = [4 * i for i in low]
+        high = [min(i + 4, n) for i, n in zip(low, a.shape, strict=True)]
+        del calls[:]
+        label, layer = kernels[0](low, high, {})
+        assert len(calls) < 20  # and not one for each of 123 places around
+        for at in np.ndindex(label.shape):
+            near = sorted((d, int(a[tuple(p)])) for p in np.argwhere(a > 0) if (d := int(((p - at - low) ** 2).sum())) <= 9)
+            assert (label[at], layer[at]) == ((near[0][1], math.ceil(near[0][0] ** 0.5) + 1) if near else (0, 0))
+
+
 def test_rows_of_small_chunks_share_tasks(spark, tmp_path):
     from lumenfold.plans import registration
 
